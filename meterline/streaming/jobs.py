@@ -95,12 +95,6 @@ def start_rating(
     return _started(rated.writeStream.foreachBatch(write_batch), checkpoint, trigger, name)
 
 
-def _first_of_each_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen = batch.column("payload_key").to_pandas().duplicated()
-        yield batch.filter(pa.array(~seen.to_numpy()))
-
-
 def dedup_stream(usage: DataFrame, arrival: str, delay: str) -> DataFrame:
     """One record per payload among those arriving within ``delay`` of each other.
 
@@ -108,8 +102,15 @@ def dedup_stream(usage: DataFrame, arrival: str, delay: str) -> DataFrame:
     payload.  Copies inside an Arrow batch go before the shuffle: a payload that makes up a third of all
     records would otherwise send all its copies to one task.
     """
+
+    # A local function travels to the executors by value, so they need not have this package installed.
+    def first_of_each_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            repeated = batch.column("payload_key").to_pandas().duplicated()
+            yield batch.filter(pa.array(~repeated.to_numpy()))
+
     keyed = usage.withColumn("payload_key", payload_key())
-    thinned = keyed.mapInArrow(_first_of_each_batch, keyed.schema)
+    thinned = keyed.mapInArrow(first_of_each_batch, keyed.schema)
     return thinned.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(["payload_key"]).drop("payload_key")
 
 
