@@ -45,9 +45,8 @@ def stream_raw(spark: SparkSession, fmt: str, options: Mapping[str, str], path:
         return _from_messages(reader.load())
     if fmt == "text":
         lines = spark.readStream.format("text").options(**options).load(path)
-        # Line positions start over with every micro-batch, and a file is read in only one of them.
-        position = F.xxhash64(F.col("_metadata.file_path"), F.monotonically_increasing_id())
-        return _from_lines(lines, position)
+        # A stream of lines has no positions.  The id is drawn here and stored by mediation, so it stays the same.
+        return _from_lines(lines, F.xxhash64(F.uuid()))
     raise ValueError(f"raw records come from kafka or text, not {fmt}")
 
 

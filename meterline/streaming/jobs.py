@@ -3,7 +3,7 @@
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -138,14 +138,11 @@ def daily_usage(usage: DataFrame, delay: str, width: str = "1 day") -> DataFrame
     )
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+def await_all(queries: list[StreamingQuery], look_every: float = 1.0) -> None:
     """Waits until all queries have ended; the first failure of any of them is raised and stops the rest."""
     try:
-        while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            query.awaitTermination()
+        while not all([query.awaitTermination(look_every) for query in queries]):
+            pass
     finally:
         for query in queries:
             query.stop()
