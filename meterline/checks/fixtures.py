@@ -4,20 +4,42 @@ Raw records are a projection of ``events``; clients come from ``customer``.  The
 example values.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators.mediate import type_usage
 from meterline.schema import IDENTIFIERS, QUANTITIES
 
 COPY_OFFSET = 1_000_000_000
-EVENTS_SCHEMA = (
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-)
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+_RECORD_TYPE = """
+    CASE event_type WHEN 'click' THEN 'voice' WHEN 'purchase' THEN 'sms' WHEN 'view' THEN 'data'
+                    WHEN 'signup' THEN 'data' ELSE CASE WHEN event_id % 2 = 0 THEN 'fax' END END"""
+
+_RECORD = """
+    named_struct(
+      'record_type', record_type,
+      'event_ts', ts,
+      'caller_id', if(record_type = 'voice', concat(' ', upper(uid), ' '), ''),
+      'callee_id', if(record_type = 'voice', partner, ''),
+      'duration_sec', if(record_type = 'voice', if(corrupted, 'CORRUPTED_DATA', CAST(CAST(floor(value * 3) AS INT) AS STRING)), ''),
+      'sender_id', if(record_type = 'sms', if(corrupted, 'CORRUPTED_DATA', uid), ''),
+      'receiver_id', if(record_type = 'sms', partner, ''),
+      'user_id', uid,
+      'data_volume_mb', if(record_type = 'data', if(missing, NULL, CAST(CAST(value AS DECIMAL(10,2)) AS STRING)), ''),
+      'session_duration_sec', if(record_type = 'data', if(corrupted, 'CORRUPTED_DATA', CAST(60 + event_id % 3541 AS STRING)), ''),
+      'cell_id', element_at(array('ALHOCEIMA_23', 'IMZOUREN_10', 'TANGER_05'), CAST(event_id % 3 AS INT) + 1),
+      'technology', concat(2 + event_id % 4, 'G')) AS record"""
 
 
 def raw_from_events(events: DataFrame) -> DataFrame:
@@ -26,62 +48,36 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     Damage and copies follow from the event id: 3 in tens lacks a field, 7 in tens has a corrupted one, 5 in
     twenties arrives twice.
     """
-    number = F.col("event_id")
-    digit = number % 10
-    missing, corrupted = digit == 3, digit == 7
-    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
-    kind = (
-        F.when(F.col("event_type") == "click", "voice")
-        .when(F.col("event_type") == "purchase", "sms")
-        .when(F.col("event_type").isin("view", "signup"), "data")
-        .when(number % 2 == 0, "fax")
+    described = events.selectExpr(
+        "event_id",
+        "ts",
+        "value",
+        "concat('u', user_id) AS uid",
+        f"{_RECORD_TYPE} AS record_type",
+        "event_id % 10 = 3 AS missing",
+        "event_id % 10 = 7 AS corrupted",
+        "if(event_id % 10 = 3, NULL, concat('2126', 10000000 + event_id)) AS partner",
     )
-
-    def only(wanted: str, value: Column) -> Column:
-        return F.when(F.col("record_type") == wanted, value).otherwise("")
-
-    def damaged(value: Column) -> Column:
-        return F.when(corrupted, "CORRUPTED_DATA").otherwise(value)
-
-    partner = F.when(~missing, F.concat(F.lit("2126"), (number + 10_000_000).cast("string")))
-    amount = F.when(~missing, F.col("value").cast("decimal(10,2)").cast("string"))
-    seconds = F.floor(F.col("value") * 3).cast("int").cast("string")
-    session_seconds = (number % 3541 + 60).cast("string")
-    twice = F.when(number % 20 == 5, F.array(F.lit(0), F.lit(COPY_OFFSET))).otherwise(F.array(F.lit(0)))
-    typed = events.select("*", kind.alias("record_type"), user.alias("uid"), F.explode(twice).alias("copy"))
-    return typed.select(
-        (number + F.col("copy")).alias("record_id"),
-        "record_type",
-        F.col("ts").alias("event_ts"),
-        only("voice", F.concat(F.lit(" "), F.upper("uid"), F.lit(" "))).alias("caller_id"),
-        only("voice", partner).alias("callee_id"),
-        only("voice", damaged(seconds)).alias("duration_sec"),
-        only("sms", damaged(F.col("uid"))).alias("sender_id"),
-        only("sms", partner).alias("receiver_id"),
-        F.col("uid").alias("user_id"),
-        only("data", amount).alias("data_volume_mb"),
-        only("data", damaged(session_seconds)).alias("session_duration_sec"),
-        F.when(number % 3 == 0, "ALHOCEIMA_23").when(number % 3 == 1, "IMZOUREN_10").otherwise("TANGER_05").alias("cell_id"),
-        F.concat((number % 4 + 2).cast("string"), F.lit("G")).alias("technology"),
+    # Unfolding records as wholes keeps these expressions from being repeated in everything built on them.
+    unfolded = described.selectExpr("event_id", _RECORD).selectExpr(
+        "event_id", "posexplode(if(event_id % 20 = 5, array(record, record), array(record))) AS (copy, record)"
     )
+    return unfolded.selectExpr(f"event_id + copy * {COPY_OFFSET}L AS record_id", "record.*")
 
 
 def json_from_raw(raw: DataFrame) -> DataFrame:
     """``record_id`` and ``value``: numbers bare, other text quoted, NULL as null."""
-
-    def quoted(text: Column) -> Column:
-        return F.concat(F.lit('"'), text, F.lit('"'))
-
-    def bare(name: str) -> Column:
-        return F.when(F.col(name).try_cast("double").isNull(), quoted(F.col(name))).otherwise(F.col(name))
-
-    stamp = quoted(F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-    texts = {name: quoted(F.col(name)) for name in ("record_type", *IDENTIFIERS, "cell_id", "technology")}
-    fields = {**texts, "timestamp": stamp, **{name: bare(name) for name in QUANTITIES}}
-    members = [
-        F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null"))) for name, value in fields.items()
+    texts = [*("record_type", "cell_id", "technology"), *IDENTIFIERS]
+    members = [f"""'"{name}":', coalesce(concat('"', {name}, '"'), 'null')""" for name in texts]
+    members += [
+        f"""'"{name}":', coalesce(if({name} RLIKE '^[0-9.]+$', {name}, concat('"', {name}, '"')), 'null')"""
+        for name in QUANTITIES
     ]
-    return raw.select("record_id", F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("value"))
+    members.append(
+        """'"timestamp":', coalesce(concat('"', date_format(event_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), '"'), 'null')"""
+    )
+    joined = ", ',', ".join(members)
+    return raw.selectExpr("record_id", f"concat('{{', {joined}, '}}') AS value")
 
 
 def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +94,7 @@ def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
 
 

@@ -32,9 +32,9 @@ def type_usage(df: DataFrame) -> DataFrame:
     """Canonical columns from a table that holds quantities as text; the text stays as ``<name>_text``."""
     texts = [F.col(name).alias(f"{name}_text") for name in QUANTITIES]
     numbers = {
-        "duration_sec": F.col("duration_sec").try_cast("int"),
-        "data_volume_mb": F.col("data_volume_mb").try_cast("double"),
-        "session_duration_sec": F.col("session_duration_sec").try_cast("int"),
+        "duration_sec": records.whole_number("duration_sec"),
+        "data_volume_mb": records.real_number("data_volume_mb"),
+        "session_duration_sec": records.whole_number("session_duration_sec"),
     }
     return normalize_usage(df.select("*", *texts).withColumns(numbers)).select(
         *CANONICAL, *[f"{name}_text" for name in QUANTITIES]

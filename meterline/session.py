@@ -15,6 +15,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.ui.enabled": "false",
+    # Looking up the Python line of every column expression takes longer than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
