@@ -98,11 +98,9 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clients(spark: SparkSession, sf_dir: str, known_only: bool = False) -> DataFrame:
-    """Clients with plan and country.  ``known_only`` leaves a tenth out, so that unknown clients occur."""
+def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients with plan and country."""
     customers = table(spark, sf_dir, "customer")
-    if known_only:
-        customers = customers.where(F.col("c_custkey") % 10 != 4)
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user_id"),
@@ -120,6 +118,11 @@ def plans(spark: SparkSession) -> DataFrame:
     )
 
 
+def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients whose plan is in the catalogue; usage of all others counts as that of unknown clients."""
+    return clients(spark, sf_dir).join(plans(spark), "plan", "left_semi")
+
+
 def promotions(spark: SparkSession) -> DataFrame:
     """The second data promotion overlaps the first."""
     return spark.sql(

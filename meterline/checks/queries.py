@@ -175,12 +175,12 @@ def invoice_documents(spark, sf_dir):
 
 
 def usage_known_clients(spark, sf_dir):
-    known = fixtures.clients(spark, sf_dir, known_only=True)
+    known = fixtures.subscribers(spark, sf_dir)
     return clients.usage_of_known_clients(fixtures.usage(spark, sf_dir), known).select("record_id", "payer")
 
 
 def usage_unknown_clients(spark, sf_dir):
-    known = fixtures.clients(spark, sf_dir, known_only=True)
+    known = fixtures.subscribers(spark, sf_dir)
     return clients.usage_of_unknown_clients(fixtures.usage(spark, sf_dir), known).select("record_id", "payer")
 
 

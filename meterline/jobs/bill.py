@@ -4,10 +4,8 @@ import argparse
 
 from meterline.jobs.options import add_endpoint, options
 from meterline.operators.documents import invoice_documents
-from meterline.operators.mediate import dedup_usage
-from meterline.operators.rate import rate_usage
 from meterline.plans.pipeline import bill_period
-from meterline.session import session
+from meterline.session import session, shuffle_settings
 from meterline.sinks import export_csv, read_published, write_documents, write_table
 from meterline.sources import read_batches, read_table
 
@@ -19,21 +17,20 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--path", required=True, help="folder of the billing tables")
     parser.add_argument("--all-usage", action="store_true", help="bill all usage under the period's label")
     parser.add_argument("--keep-copies", action="store_true", help="charge every copy of a record")
+    parser.add_argument("--input-gb", type=float, help="size of the period's usage, to size shuffles by")
     parser.add_argument("--csv", help="folder for the lines as CSV")
     parser.add_argument("--single-csv-file", action="store_true")
     parser.add_argument("--documents", help="folder for invoice documents")
     parser.add_argument("--document-format", choices=("json", "xml"), default="json")
     parser.add_argument("--database-option", action="append", default=[], metavar="KEY=VALUE")
     args = parser.parse_args(arguments)
-    spark = session("billing")
+    spark = session("billing", **shuffle_settings(args.input_gb))
     if args.rated_format == "batches":
         rated = read_batches(spark, args.rated_path)
     else:
         rated = read_table(spark, args.rated_format, options(args.rated_option), args.rated_path)
-    if not args.keep_copies:
-        # Streamed usage may hold copies that arrived further apart than stream state reaches back.
-        rated = rate_usage(dedup_usage(rated))
-    bill_period(rated, args.path, args.period, period_filter=not args.all_usage)
+    # Streamed usage may hold copies that arrived further apart than stream state reaches back.
+    bill_period(rated, args.path, args.period, period_filter=not args.all_usage, dedup=not args.keep_copies)
     summary, lines = (read_published(spark, args.path, name, args.period) for name in ("billing_summary", "invoice_lines"))
     if args.database_option:
         database = options(args.database_option)

@@ -12,20 +12,24 @@ from meterline.schema import LINE_COLUMNS, SUMMARY_COLUMNS
 
 
 def billable(rated: DataFrame) -> DataFrame:
-    """Rated records with the payer as ``user_id``; a record without a payer is for :func:`unbillable`."""
+    """Rated records with the payer as ``user_id``."""
     charged = rated.where(F.col("status") == c.STATUS_RATED).withColumn("user_id", charges.paying_user())
     return charged.where(F.col("user_id").isNotNull())
 
 
 def unbillable(rated: DataFrame) -> DataFrame:
-    """Rated records nobody can be charged for."""
-    return rated.where((F.col("status") == c.STATUS_RATED) & charges.paying_user().isNull())
+    """Rated records without a payer, or without a readable time and so without a period: for inspection."""
+    incomplete = charges.paying_user().isNull() | F.col("billing_period").isNull()
+    return rated.where((F.col("status") == c.STATUS_RATED) & incomplete)
 
 
 def _of_period(rated: DataFrame, period: str | None, period_filter: bool) -> DataFrame:
-    """Usage of the period, on the stored column so that partitions are pruned; or all of it, so labelled."""
+    """Usage of the period, on the stored column so that partitions are pruned; or all of it, so labelled.
+
+    Without a period, all usage that has one of its own.
+    """
     if period is None:
-        return rated
+        return rated.where(F.col("billing_period").isNotNull())
     if period_filter:
         return rated.where(F.col("billing_period") == period)
     return rated.withColumn("billing_period", F.lit(period))
@@ -109,7 +113,7 @@ def invoice_lines(
 
 def billing_by_cycle(rated: DataFrame) -> DataFrame:
     """Exact charges of every client and billing period."""
-    return _client_totals(rated).select(
+    return _client_totals(_of_period(rated, None, True)).select(
         "user_id",
         "billing_period",
         F.col("voice").alias("voice_cost"),
@@ -149,7 +153,7 @@ def _scoped_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
     'percent'), amount.  A fee of one service applies only to invoices with charges for it.  Each invoice is
     unfolded into its scopes, so fees are found by an equality join and not by pairing all with all.
     """
-    totals = _client_totals(rated)
+    totals = _client_totals(_of_period(rated, None, True))
     scopes = F.array(
         F.struct(F.lit("all").alias("scope"), F.col("subtotal").alias("charge")),
         *[F.struct(F.lit(k).alias("scope"), F.col(k).cast("decimal(32,6)").alias("charge")) for k in c.RECORD_TYPES],

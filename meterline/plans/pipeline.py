@@ -1,10 +1,11 @@
 """The stages put together for batch jobs."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from meterline.operators import bill, mediate, rate
 from meterline.schema import CANONICAL
-from meterline.sinks import publish_billing
+from meterline.sinks import new_run, record_run, run_path
 
 
 def rated_usage(raw: DataFrame, dedup: bool = True) -> DataFrame:
@@ -19,11 +20,25 @@ def bill_period(
     period: str,
     invoice_date: Column | None = None,
     period_filter: bool = True,
+    dedup: bool = True,
 ) -> str:
-    """Bills stored usage and publishes summary and lines of the period together; returns the run."""
-    return publish_billing(
-        bill.billing_summary(rated, period, invoice_date, period_filter=period_filter),
-        bill.invoice_lines(rated, period, period_filter=period_filter),
-        path,
-        period,
-    )
+    """Bills stored usage and publishes ``billed_usage``, summary and lines of the period together.
+
+    The usage that is billed is written first.  Summary, line sizes and lines then read that one snapshot, so
+    they agree with each other, and the copies are searched once.  Returns the run.
+    """
+    spark, run = rated.sparkSession, new_run()
+    if period_filter:
+        rated = rated.where(F.col("billing_period") == period)
+    billed = rate.rate_usage(mediate.dedup_usage(rated)) if dedup else rated
+    snapshot = run_path(path, "billed_usage", period, run)
+    billed.write.mode("error").parquet(snapshot)
+    usage = spark.read.parquet(snapshot)
+    tables = {
+        "billing_summary": bill.billing_summary(usage, period, invoice_date, period_filter=period_filter),
+        "invoice_lines": bill.invoice_lines(usage, period, period_filter=period_filter),
+    }
+    for name, table in tables.items():
+        table.write.mode("error").parquet(run_path(path, name, period, run))
+    record_run(spark, path, period, run)
+    return run

@@ -17,6 +17,8 @@ from meterline.plans.shared_folder import checkpointed
 
 #: Rows of one key that a single task may sort: some hundred MB of usage lines.
 HOT_ROWS = 2_000_000
+#: Slices at most; with more rows than this allows, slices grow beyond ``HOT_ROWS`` and spill while sorting.
+MAX_SLICES = 10_000
 #: Rows of keys or slice totals that are sent to every task; at some 100 bytes each about 20 MB.
 BROADCAST_ROWS = 200_000
 
@@ -35,7 +37,9 @@ def _windowed(df: DataFrame, keys: list[str], order: list[str], totals: dict[str
     return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})
 
 
-def _sliced(df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column], slices: int) -> DataFrame:
+def _sliced(
+    df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column], slices: int, n_keys: int
+) -> DataFrame:
     columns = df.columns
     # The slice must not change between its two uses below, so the sliced rows are written first.
     rows = checkpointed(
@@ -50,7 +54,7 @@ def _sliced(df: DataFrame, keys: list[str], order: list[str], totals: dict[str,
     )
     inside = _windowed(rows, [*keys, "_slice"], order, {f"_own_{n}": F.col(f"_in_{n}") for n in totals})
     # A slice border lies inside at most one key, so there are fewer slice totals than slices plus keys.
-    joined = inside.join(_bounded(before, 2 * slices), _same(inside, before, [*keys, "_slice"]), "left")
+    joined = inside.join(_bounded(before, slices + n_keys), _same(inside, before, [*keys, "_slice"]), "left")
     shifted = [
         F.when(F.col(f"_before_{n}").isNull(), F.col(f"_own_{n}"))
         .otherwise(F.col(f"_own_{n}") + F.col(f"_before_{n}"))
@@ -79,5 +83,7 @@ def running_totals(
     hot = _bounded(checkpointed(sizes.select(*keys)), found["keys"])
     ordinary = df.join(hot, _same(df, hot, keys), "left_anti")
     heavy = df.join(hot, _same(df, hot, keys), "left_semi")
-    slices = ceil(found["rows"] / hot_rows)
-    return _windowed(ordinary, keys, order, totals).unionByName(_sliced(heavy, keys, order, totals, slices))
+    slices = min(ceil(found["rows"] / hot_rows), MAX_SLICES)
+    return _windowed(ordinary, keys, order, totals).unionByName(
+        _sliced(heavy, keys, order, totals, slices, found["keys"])
+    )

@@ -1,5 +1,7 @@
 """Session settings the jobs are written for."""
 
+from math import ceil
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -10,7 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -26,3 +28,14 @@ def session(app_name: str, **settings: str) -> SparkSession:
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shuffle_settings(input_gb: float | None) -> dict[str, str]:
+    """Shuffle partitions of 128 MB for an input of that size.
+
+    Adaptive execution merges partitions that turn out small but cannot split those of an aggregation, so a
+    large input needs a large number from the start.
+    """
+    if not input_gb:
+        return {}
+    return {"spark.sql.shuffle.partitions": str(max(200, ceil(input_gb * 8)))}

@@ -1,20 +1,46 @@
-"""Writing micro-batches so that a repeated batch replaces itself."""
+"""Writing micro-batches of rated usage."""
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from meterline.sinks.tables import write_table
 
 
 @dataclass(frozen=True)
 class BatchFolder:
-    """``foreachBatch`` writer: every batch overwrites its own folder.
+    """``foreachBatch`` writer to files: every batch overwrites its own folder.
 
     A batch that Spark runs again after a failure therefore leaves its rows once.  Batch ids start over with a
     new checkpoint, so ``run`` must change whenever the checkpoint does.  Errors reach the query and stop it.
+    Inside a batch rows lie by billing period, so billing reads only its period.
     """
 
     path: str
     run: str
+    partition_by: tuple[str, ...] = ("billing_period",)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # Static mode empties the folder first, also of periods that the earlier attempt had and this one lacks.
+        writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*self.partition_by).parquet(f"{self.path}/run={self.run}/batch_id={batch_id}")
+
+
+@dataclass(frozen=True)
+class BatchTable:
+    """``foreachBatch`` writer that appends to a table, such as a database's.
+
+    Appending is at least once: a repeated batch can leave rows twice.  They carry the same payload, run and
+    batch id, and deduplication before billing removes them.
+    """
+
+    run: str
+    fmt: str = "jdbc"
+    options: Mapping[str, str] = field(default_factory=dict)
+    path: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/run={self.run}/batch_id={batch_id}")
+        marked = batch.withColumns({"run": F.lit(self.run), "batch_id": F.lit(batch_id)})
+        write_table(marked, self.fmt, self.options, self.path)

@@ -1,4 +1,4 @@
-"""Publishing the summary and the lines of a billing period together."""
+"""Runs of a billing period: their tables become visible together."""
 
 import uuid
 
@@ -6,25 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def publish_billing(summary: DataFrame, lines: DataFrame, path: str, period: str) -> str:
-    """Writes both tables under a new run and then records the run, so readers see both or neither.
+def new_run() -> str:
+    return uuid.uuid4().hex
 
-    A later run of the period replaces the earlier one for readers.
-    """
-    run = uuid.uuid4().hex
-    for name, table in (("billing_summary", summary), ("invoice_lines", lines)):
-        table.write.mode("error").parquet(f"{path}/{name}/period={period}/run={run}")
-    done = summary.sparkSession.range(1).select(
+
+def run_path(path: str, table: str, period: str, run: str) -> str:
+    return f"{path}/{table}/period={period}/run={run}"
+
+
+def record_run(spark: SparkSession, path: str, period: str, run: str) -> None:
+    """Makes a run, all of whose tables are written, the one that readers of the period see."""
+    done = spark.range(1).select(
         F.lit(period).alias("period"), F.lit(run).alias("run"), F.current_timestamp().alias("published_at")
     )
     done.write.mode("append").parquet(f"{path}/runs")
-    return run
 
 
 def read_published(spark: SparkSession, path: str, table: str, period: str) -> DataFrame:
-    """``billing_summary`` or ``invoice_lines`` of the last published run of ``period``."""
+    """``billing_summary``, ``invoice_lines`` or ``billed_usage`` of the last published run of ``period``."""
     runs = spark.read.parquet(f"{path}/runs").where(F.col("period") == period)
     last = runs.agg(F.max_by("run", "published_at").alias("run")).first()["run"]
     if last is None:
         raise LookupError(f"nothing published for {period}")
-    return spark.read.parquet(f"{path}/{table}/period={period}/run={last}")
+    return spark.read.parquet(run_path(path, table, period, last))

@@ -134,6 +134,8 @@ def test_publishing_replaces_a_period_as_a_whole(spark, rated, tmp_path):
     bill.billing_summary(rated.limit(0), "2024-01").write.parquet(f"{path}/billing_summary/period=2024-01/run=broken")
     assert sinks.read_published(spark, path, "billing_summary", "2024-01").count() == first == 15
     pipeline.bill_period(rated.where("user_id = 'u1'"), path, "2024-01")
+    usage = sinks.read_published(spark, path, "billed_usage", "2024-01")
+    assert usage.count() == sinks.read_published(spark, path, "invoice_lines", "2024-01").count() > 0
     lines = sinks.read_published(spark, path, "invoice_lines", "2024-01")
     assert [r[0] for r in lines.select("invoice_id").distinct().collect()] == ["202401u1"]
     with pytest.raises(LookupError):
@@ -176,10 +178,22 @@ def test_rating_stream_equals_batch_and_survives_a_failed_batch(spark, sf_dir, l
     streaming.await_all([again])
     result = sources.read_batches(spark, out)
     assert same_rows(no_id(result), no_id(rated).select(*no_id(result).columns))
+    plan = result.where("billing_period = '2024-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(billing_period" in plan
     observed = json.loads(again.lastProgress.json)["observedMetrics"]["rating"]
     assert observed == {"records": 672, "rated": 672}
 
 
+def test_appended_batches_carry_their_origin(spark, rated, tmp_path):
+    path = str(tmp_path / "table")
+    write = sinks.BatchTable("r", "parquet", path=path)
+    for batch_id in (0, 1, 1):
+        write(rated, batch_id)
+    table = sources.read_table(spark, path=path)
+    assert [tuple(r) for r in table.groupBy("run", "batch_id").count().orderBy("batch_id").collect()] == [("r", 0, 672), ("r", 1, 1344)]
+    assert mediate.dedup_usage(table).count() == 630
+
+
 def test_stream_dedup_across_batches(spark, tmp_path):
     """Copies in one batch and in a later one; the same payload again after the delay is a new record."""
     source = tmp_path / "in"

@@ -155,6 +155,13 @@ def test_summary_period(spark):
     assert bill.billing_summary(usage).first()["invoice_date"] is not None
 
 
+def test_undated_usage_is_shown_and_not_lost(spark):
+    usage = rated(spark, sms(), sms(at=None))
+    assert bill.billing_summary(usage).count() == 1
+    assert [row["record_id"] for row in bill.unbillable(usage).collect()] == [1]
+    assert bill.billing_summary(usage, "2024-01", period_filter=False).first()["subtotal"] == Decimal("1")
+
+
 def test_tax_rate_is_a_parameter(spark):
     row = bill.billing_summary(rated(spark, data("10")), tax_rate=Decimal("0.055")).first()
     assert (row["tax_amount"], row["total_amount"]) == (Decimal("2.75"), Decimal("52.75"))
