@@ -31,11 +31,12 @@ def session(app_name: str, **settings: str) -> SparkSession:
 
 
 def shuffle_settings(input_gb: float | None) -> dict[str, str]:
-    """Shuffle partitions of 128 MB for an input of that size.
+    """Shuffle partitions of about 256 MB of input each, and at most 100,000 of them.
 
     Adaptive execution merges partitions that turn out small but cannot split those of an aggregation, so a
-    large input needs a large number from the start.
+    large input needs a large number from the start.  Beyond the limit the bookkeeping of map outputs costs more
+    than larger partitions, which spill.
     """
     if not input_gb:
         return {}
-    return {"spark.sql.shuffle.partitions": str(max(200, ceil(input_gb * 8)))}
+    return {"spark.sql.shuffle.partitions": str(min(100_000, max(200, ceil(input_gb * 4))))}
