@@ -42,7 +42,7 @@ def read_columns(df):
     spark = df.sparkSession
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
-        found = re.findall(r"ReadSchema: struct<([^>]*)>", physical(df))
+        found = re.findall(r"ReadSchema: struct<([^>]*)>", physical(df.select("*")))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     return {name for schema in found for name in re.findall(r"(\w+):", schema)}
