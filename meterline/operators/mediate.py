@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from meterline.constants import CORRUPTION_MARKER
 from meterline.functions import records
-from meterline.schema import CANONICAL, IDENTIFIERS, PAYLOAD, QUANTITIES, WIRE_SCHEMA
+from meterline.schema import CANONICAL, IDENTIFIERS, PAYLOAD, QUANTITIES, WIRE_TEXT_SCHEMA
+
+QUANTITY_TEXT_NAMES = [f"{name}_text" for name in QUANTITIES]
 
 
 def normalize_usage(df: DataFrame) -> DataFrame:
@@ -17,28 +19,33 @@ def normalize_usage(df: DataFrame) -> DataFrame:
     return df.withColumns(changed)
 
 
+def _keep_texts(df: DataFrame) -> DataFrame:
+    return df.withColumns({text: F.col(name) for name, text in zip(QUANTITIES, QUANTITY_TEXT_NAMES, strict=True)})
+
+
 def parse_usage(df: DataFrame, value: str = "value", carry: tuple[str, ...] = ("record_id",)) -> DataFrame:
     """JSON records as canonical columns, next to the original text and the ``carry`` columns.
 
     An unreadable field is NULL and the rest of its record stays; a value that is no JSON object is all NULL.
+    The text of each quantity stays as ``<name>_text``.
     """
     parsed = df.select(*carry, F.col(value).cast("string").alias("value"))
-    parsed = parsed.withColumn("_record", F.from_json("value", WIRE_SCHEMA))
+    parsed = parsed.withColumn("_record", F.from_json("value", WIRE_TEXT_SCHEMA))
     flat = parsed.select(*carry, "value", "_record.*").withColumn("event_ts", records.event_time("timestamp"))
-    return normalize_usage(flat).select(*carry, *PAYLOAD, "value")
+    numbers = {name: records.json_number(name, "value") for name in QUANTITIES}
+    typed = _keep_texts(flat).withColumns(numbers)
+    return normalize_usage(typed).select(*carry, *PAYLOAD, "value", *QUANTITY_TEXT_NAMES)
 
 
 def type_usage(df: DataFrame) -> DataFrame:
     """Canonical columns from a table that holds quantities as text; the text stays as ``<name>_text``."""
-    texts = [F.col(name).alias(f"{name}_text") for name in QUANTITIES]
     numbers = {
         "duration_sec": records.whole_number("duration_sec"),
         "data_volume_mb": records.real_number("data_volume_mb"),
         "session_duration_sec": records.whole_number("session_duration_sec"),
     }
-    return normalize_usage(df.select("*", *texts).withColumns(numbers)).select(
-        *CANONICAL, *[f"{name}_text" for name in QUANTITIES]
-    )
+    typed = _keep_texts(df).withColumns(numbers)
+    return normalize_usage(typed).select(*CANONICAL, *QUANTITY_TEXT_NAMES)
 
 
 def encode_usage(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -50,12 +57,9 @@ def encode_usage(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _original_text(df: DataFrame):
-    """How to get a quantity's original text from whichever form the frame still has."""
-    if all(f"{name}_text" in df.columns for name in QUANTITIES):
-        return lambda name: F.col(f"{name}_text")
-    if "value" in df.columns:
-        return lambda name: F.get_json_object("value", f"$.{name}")
-    return lambda name: F.lit(None).cast("string")
+    """The column with a quantity's original text, or NULL if the frame no longer has it."""
+    known = set(df.columns)
+    return lambda name: F.col(f"{name}_text") if f"{name}_text" in known else F.lit(None).cast("string")
 
 
 def validate_usage(df: DataFrame, marker: str = CORRUPTION_MARKER) -> DataFrame:

@@ -5,8 +5,8 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 IDENTIFIERS = ("caller_id", "callee_id", "sender_id", "receiver_id", "user_id")
 QUANTITIES = ("duration_sec", "data_volume_mb", "session_duration_sec")
 
-#: A usage record as JSON.  The volume is a double here because a decimal field would also accept quoted
-#: numbers, which count as damaged.
+#: A usage record as JSON.  The volume is a double because a decimal would also accept quoted numbers, which
+#: count as damaged.
 WIRE_SCHEMA = StructType(
     [
         StructField("record_type", StringType()),
@@ -24,6 +24,9 @@ WIRE_SCHEMA = StructType(
     ]
 )
 
+#: The same with every field as text.
+WIRE_TEXT_SCHEMA = StructType([StructField(field.name, StringType()) for field in WIRE_SCHEMA])
+
 #: Everything a record says; ``record_id`` is its arrival position and not part of what it says.
 PAYLOAD = (
     "record_type",

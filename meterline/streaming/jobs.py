@@ -12,6 +12,7 @@ from meterline.constants import STATUS_RATED
 from meterline.functions import charges
 from meterline.operators.mediate import encode_usage, parse_usage, payload_key, validate_usage
 from meterline.operators.rate import rate_usage
+from meterline.schema import CANONICAL
 
 
 def _started(
@@ -87,7 +88,7 @@ def start_rating(
     ``write_batch`` must leave a repeated batch once (:class:`meterline.sinks.BatchFolder`).  If it raises, the
     query stops and the batch is run again at the next start.  Row counts are observed, not counted anew.
     """
-    rated = rate_usage(parse_usage(clean)).drop("value").observe(
+    rated = rate_usage(parse_usage(clean).select(*CANONICAL)).observe(
         "rating",
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("status") == STATUS_RATED).alias("rated"),

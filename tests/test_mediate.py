@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterline.checks import fixtures
 from meterline.operators import mediate
-from meterline.schema import CANONICAL, PAYLOAD
+from meterline.schema import CANONICAL, PAYLOAD, QUANTITIES, WIRE_SCHEMA
 
 VOICE = {
     "record_type": "voice",
@@ -91,6 +91,47 @@ def test_lenient_fields(spark, field, value, expected):
     assert row["record_type"] == "voice"
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"duration_sec":120}',
+        '{"duration_sec" : "120"}',
+        '{"duration_sec": ""}',
+        '{"duration_sec": " 120"}',
+        "{'duration_sec': '120'}",
+        "{'duration_sec': 120}",
+        '{"duration\\u005fsec": "120"}',
+        '{"duration\\u005fsec": 120}',
+        '{"duration_sec": "120", "duration_sec": 7}',
+        '{"duration_sec": 7, "duration_sec": 8}',
+        '{"cell_id": "\\"duration_sec\\":\\"5", "duration_sec": 5}',
+        '{"duration_sec": -5}',
+        '{"duration_sec": 7.0, "data_volume_mb": -7.25, "session_duration_sec": 12}',
+        '{"duration_sec": 1e2, "data_volume_mb": 1e2, "session_duration_sec": 2147483648}',
+        '{"data_volume_mb": NaN}',
+        '{"data_volume_mb": "NaN"}',
+        '{"data_volume_mb": -Infinity}',
+        '{"data_volume_mb": 1e400}',
+        '{"data_volume_mb": 0.1234567890123456789}',
+        '{"data_volume_mb": 123456789012345678901234567890}',
+        '{"data_volume_mb": {"a": 1}, "duration_sec": [5], "session_duration_sec": true}',
+        '{"data_volume_mb": "CORRUPTED_DATA", "duration_sec": "1x", "session_duration_sec": "-"}',
+        '{"duration_sec": 5} trailing',
+        '{"duration_sec": 5',
+        '[{"duration_sec": 5}]',
+        "12",
+    ],
+)
+def test_quantities_are_read_as_the_parser_reads_them(spark, text):
+    """Text first and numbers afterwards gives what parsing into number fields gives."""
+    row = parsed(spark, text).first()
+    direct = spark.createDataFrame([(text,)], "value STRING").select(F.from_json("value", WIRE_SCHEMA).alias("r"))
+    wanted = mediate.normalize_usage(direct.select("r.*")).first()
+    for name in QUANTITIES:
+        assert row[name] == wanted[name], name
+    assert row["cell_id"] == wanted["cell_id"]
+
+
 def test_damaged_objects(spark):
     rows = parsed(spark, "not json", "", "[1]", json.dumps(VOICE) + " rest", '{"Record_Type": "voice"}').orderBy("record_id")
     assert [row["record_type"] for row in rows.collect()] == [None, None, None, "voice", None]
