@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.plans.running import HOT_ROWS, running_totals
+from meterline.plans.shared_folder import checkpointed
 
 
 def histogram_percentiles(
@@ -21,6 +22,8 @@ def histogram_percentiles(
     at the two ranks around ``share * (n - 1)`` are picked and interpolated.  ``extra`` aggregates are taken along
     from the same histogram.
     """
+    # Read three times below, and far smaller than the usage it was counted from.
+    histogram = checkpointed(histogram)
     running = running_totals(histogram, keys, [value], {"_upto": F.col(count)}, hot_rows)
     sizes = histogram.groupBy(*keys).agg(F.sum(count).alias("_n"))
     matches = [F.col(f"h.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
