@@ -66,6 +66,19 @@ def validate_usage(spark, sf_dir):
     return judged.select("record_id", "record_type", "is_valid", "reject_reason")
 
 
+def usage_unified(spark, sf_dir):
+    """Calls, messages and sessions kept apart, each with its own fields only, as one table again."""
+    usage = fixtures.usage(spark, sf_dir)
+    common = ("record_id", "record_type", "event_ts", "user_id", "cell_id", "technology")
+    own = {
+        "voice": ("caller_id", "callee_id", "duration_sec"),
+        "sms": ("sender_id", "receiver_id"),
+        "data": ("data_volume_mb", "session_duration_sec"),
+    }
+    tables = [usage.where(F.col("record_type") == kind).select(*common, *fields) for kind, fields in own.items()]
+    return mediate.unify_usage(*tables)
+
+
 def usage_dirty(spark, sf_dir):
     return mediate.usage_dirty(fixtures.usage(spark, sf_dir)).select(*CANONICAL, "reject_reason")
 
@@ -290,6 +303,7 @@ QUERIES: dict[str, Query] = {
         usage_canonical,
         parse_usage,
         encode_usage,
+        usage_unified,
         validate_usage,
         usage_dirty,
         dedup_usage,

@@ -126,9 +126,11 @@ def billing_by_cycle(rated: DataFrame) -> DataFrame:
 def billable_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``quantity`` and ``billable``, the part beyond the client's free units of that service and period.
 
-    quotas: service, free_units.  Free units go to the earliest usage.
+    quotas: service, free_units; several quotas of a service add up.  Free units go to the earliest usage.
     """
-    free = quotas.select(F.col("service").alias("_service"), F.col("free_units").cast(c.VOLUME_TYPE))
+    free = quotas.groupBy(F.col("service").alias("_service")).agg(
+        F.sum("free_units").cast(c.VOLUME_TYPE).alias("free_units")
+    )
     nothing = F.lit(0).cast(c.VOLUME_TYPE)
     usage = billable(rated).withColumn("quantity", F.coalesce(charges.billed_quantity(), nothing))
     used = running_totals(

@@ -1,5 +1,8 @@
 """Plans, promotions, and time and place modifiers on rated usage.
 
+Where several rules of a kind fit a record the lowest price applies: rule tables are made unique before they meet
+usage, so no record is charged twice.
+
 Rule tables are small by nature, but nothing here relies on it: no join is hinted, so Spark broadcasts a rule
 table only if its own size estimate allows and shuffles it otherwise.
 """
@@ -14,26 +17,36 @@ from meterline.functions import charges
 def promotion_segments(promotions: DataFrame) -> DataFrame:
     """Promotions (service, valid_from, valid_to, percent_off) as non-overlapping segments by service and day.
 
-    Where promotions overlap the largest reduction applies.  A record therefore meets at most one segment, and
-    the day makes the join an equality with many distinct keys.
+    Where promotions overlap the largest reduction applies, so a record meets at most one segment.  Promotions
+    are unfolded into days first: only those of one service and day are compared with each other, and the day
+    makes the later join an equality with many distinct keys.
     """
-    borders = promotions.select(
-        "service", F.explode(F.array("valid_from", "valid_to")).alias("segment_from")
+    days = F.sequence(
+        F.to_date("valid_from"),
+        F.to_date(F.col("valid_to") - F.expr("INTERVAL 1 MICROSECOND")),
+        F.expr("INTERVAL 1 DAY"),
+    )
+    lasting = promotions.where(F.col("valid_from") < F.col("valid_to"))
+    daily = lasting.withColumn("day", F.explode(days)).select(
+        "service",
+        "day",
+        F.greatest("valid_from", F.col("day").cast("timestamp_ntz")).alias("valid_from"),
+        F.least("valid_to", F.date_add("day", 1).cast("timestamp_ntz")).alias("valid_to"),
+        "percent_off",
+    )
+    borders = daily.select(
+        "service", "day", F.explode(F.array("valid_from", "valid_to")).alias("segment_from")
     ).distinct()
-    following = Window.partitionBy("service").orderBy("segment_from")
+    following = Window.partitionBy("service", "day").orderBy("segment_from")
     segments = borders.withColumn("segment_to", F.lead("segment_from").over(following)).where(
         F.col("segment_to").isNotNull()
     )
-    covered = segments.join(promotions, "service").where(
+    covered = segments.join(daily, ["service", "day"]).where(
         (F.col("valid_from") <= F.col("segment_from")) & (F.col("segment_to") <= F.col("valid_to"))
     )
-    best = covered.groupBy("service", "segment_from", "segment_to").agg(F.max("percent_off").alias("percent_off"))
-    days = F.sequence(
-        F.to_date("segment_from"),
-        F.to_date(F.col("segment_to") - F.expr("INTERVAL 1 MICROSECOND")),
-        F.expr("INTERVAL 1 DAY"),
+    return covered.groupBy("service", "day", "segment_from", "segment_to").agg(
+        F.max("percent_off").alias("percent_off")
     )
-    return best.withColumn("day", F.explode(days))
 
 
 def rate_with_promotions(
@@ -41,11 +54,15 @@ def rate_with_promotions(
 ) -> DataFrame:
     """``base_cost`` becomes ``cost`` under the payer's plan and the promotion valid at that time.
 
-    subscriptions: user_id (unique), plan; plans: plan (unique), plan_multiplier.  A payer without a plan pays
+    subscriptions: user_id, plan; plans: plan, plan_multiplier.  A payer without a plan pays
     the base price.  A payer with very much usage makes a skewed join partition, which adaptive execution
     splits: usage is the left, splittable side.
     """
-    multipliers = subscriptions.join(plans, "plan").select(F.col("user_id").alias("_payer"), "plan_multiplier")
+    multipliers = (
+        subscriptions.join(plans, "plan")
+        .groupBy(F.col("user_id").alias("_payer"))
+        .agg(F.min("plan_multiplier").alias("plan_multiplier"))
+    )
     segments = promotion_segments(promotions).withColumnRenamed("service", "_service")
     usage = rated.withColumnRenamed("cost", "base_cost").withColumn("payer", charges.paying_user())
     in_segment = (
@@ -70,16 +87,17 @@ def rate_with_promotions(
 def hour_rows(bands: DataFrame) -> DataFrame:
     """Bands (weekend, from_hour, to_hour, hour_multiplier) as one row per kind of day and hour."""
     hours = F.sequence(F.col("from_hour"), F.col("to_hour") - 1)
-    return bands.where(F.col("from_hour") < F.col("to_hour")).select(
+    unfolded = bands.where(F.col("from_hour") < F.col("to_hour")).select(
         "weekend", F.explode(hours).alias("hour"), "hour_multiplier"
     )
+    return unfolded.groupBy("weekend", "hour").agg(F.min("hour_multiplier").alias("hour_multiplier"))
 
 
 def rate_with_modifiers(rated: DataFrame, bands: DataFrame, cells: DataFrame) -> DataFrame:
     """``base_cost`` becomes ``cost`` after the hour and cell multipliers; an unlisted hour or cell has 1."""
     neutral = F.lit(1).cast("decimal(4,2)")
     hours = hour_rows(bands).withColumnsRenamed({"weekend": "_weekend", "hour": "_hour"})
-    places = cells.select(F.col("cell_id").alias("_cell"), "cell_multiplier")
+    places = cells.groupBy(F.col("cell_id").alias("_cell")).agg(F.min("cell_multiplier").alias("cell_multiplier"))
     usage = rated.withColumnRenamed("cost", "base_cost")
     at_time = ((F.weekday("event_ts") >= 5) == F.col("_weekend")) & (F.hour("event_ts") == F.col("_hour"))
     joined = usage.join(hours, at_time, "left").join(places, F.col("cell_id") == F.col("_cell"), "left")

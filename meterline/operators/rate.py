@@ -34,7 +34,8 @@ def rate_by_tariff_table(df: DataFrame, tariff: DataFrame) -> DataFrame:
 
     Every tier is given the full charge of the tiers below it first, on the tariff side.  A record then meets
     exactly one tier, so pricing needs no regrouping of usage: one join that Spark broadcasts when its own
-    size estimate of the tariff allows.  Tiers of a service must be contiguous from zero.
+    size estimate of the tariff allows.  Tiers of a service must be contiguous from
+    zero (:func:`meterline.operators.constraints.tariff_gaps`).
     """
     below = Window.partitionBy("service").orderBy("tier_from").rowsBetween(Window.unboundedPreceding, -1)
     tiers = tariff.withColumn(

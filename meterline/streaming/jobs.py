@@ -43,6 +43,16 @@ def mediated(raw: DataFrame) -> DataFrame:
     )
 
 
+def to_messages(records: DataFrame, clean_topic: str, dirty_topic: str) -> DataFrame:
+    """Mediated records as messages that name their topic; a dead letter has its reason as a header."""
+    header = F.struct(F.lit("reject_reason").alias("key"), F.col("reject_reason").cast("binary").alias("value"))
+    return records.select(
+        F.when(F.col("is_valid"), clean_topic).otherwise(dirty_topic).alias("topic"),
+        "value",
+        F.when(~F.col("is_valid"), F.array(header)).alias("headers"),
+    )
+
+
 def start_mediation(
     raw: DataFrame,
     fmt: str,
@@ -61,16 +71,7 @@ def start_mediation(
     """
     records = mediated(raw)
     if fmt == "kafka":
-        topic = F.when(F.col("is_valid"), clean_topic).otherwise(dirty_topic)
-        # The reason travels as a header, so dead letters keep their text as it came.
-        reason = F.when(
-            ~F.col("is_valid"),
-            F.array(
-                F.struct(F.lit("reject_reason").alias("key"), F.col("reject_reason").cast("binary").alias("value"))
-            ),
-        )
-        messages = records.select(topic.alias("topic"), "value", reason.alias("headers"))
-        writer = messages.writeStream.format("kafka")
+        writer = to_messages(records, clean_topic, dirty_topic).writeStream.format("kafka")
     else:
         writer = records.writeStream.format(fmt).partitionBy("is_valid").option("path", path)
     return _started(writer.options(**options), checkpoint, trigger, name)

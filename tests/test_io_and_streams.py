@@ -79,6 +79,18 @@ def test_message_source_reads_bytes_and_positions(spark):
     assert rows[0]["value"] == "{}"
 
 
+def test_messages_name_their_topic(spark, sf_dir):
+    from meterline.streaming.jobs import mediated, to_messages
+
+    messages = to_messages(mediated(fixtures.raw_json(spark, sf_dir)), "good", "bad")
+    counts = {row["topic"]: row["count"] for row in messages.groupBy("topic").count().collect()}
+    assert counts == {"good": 672, "bad": 378}
+    assert messages.schema["headers"].dataType.simpleString() == "array<struct<key:string,value:binary>>"
+    letter = messages.where("topic = 'bad'").first()
+    assert letter["headers"][0]["key"] == "reject_reason" and b":" in letter["headers"][0]["value"]
+    assert messages.where("topic = 'good' AND headers IS NOT NULL").count() == 0
+
+
 def test_jdbc_options():
     plain = sources.jdbc_options("jdbc:x", "rated", user="u")
     assert plain == {"url": "jdbc:x", "dbtable": "rated", "fetchsize": "10000", "user": "u"}

@@ -126,6 +126,37 @@ def test_hour_and_cell_modifiers(spark):
     assert costs == [Decimal(c) for c in ("27.5", "45", "40", "45")]
 
 
+def test_overlapping_rules_charge_once_and_lowest(spark):
+    usage = rated(spark, data("10", cell="TANGER_05"), data("600"))
+    twice = [rules.union(rules.limit(2)) for rules in (fixtures.hour_bands(spark), fixtures.cell_modifiers(spark))]
+    cheaper = spark.sql("SELECT false AS weekend, 12 AS from_hour, 13 AS to_hour, CAST(0.10 AS decimal(4,2)) AS hour_multiplier")
+    result = modifiers.rate_with_modifiers(usage, twice[0].union(cheaper), twice[1]).orderBy("record_id").collect()
+    assert [row["cost"] for row in result] == [Decimal("5.5"), Decimal("150")]
+    two_plans = spark.createDataFrame([("a", "BUILDING"), ("a", "MACHINERY"), ("a", "BUILDING")], "user_id STRING, plan STRING")
+    promotions = fixtures.promotions(spark).union(fixtures.promotions(spark))
+    result = modifiers.rate_with_promotions(usage, two_plans, fixtures.plans(spark), promotions).orderBy("record_id").collect()
+    assert [row["cost"] for row in result] == [Decimal("31.875"), Decimal("956.25")]
+    quotas = fixtures.quotas(spark).union(fixtures.quotas(spark))
+    left = bill.billable_after_quota(rated(spark, data("1100")), quotas).collect()
+    assert [row["billable"] for row in left] == [Decimal("100")]
+
+
+def test_promotion_segments_do_not_overlap(spark):
+    segments = modifiers.promotion_segments(fixtures.promotions(spark))
+    pairs = segments.selectExpr(
+        "segment_from < lag(segment_to) OVER (PARTITION BY service ORDER BY segment_from) AS overlap", "segment_from >= segment_to AS empty"
+    )
+    assert pairs.where("overlap OR empty").count() == 0
+    hours = segments.groupBy("service").agg(F.sum(F.unix_micros(F.col("segment_to").cast("timestamp")) - F.unix_micros(F.col("segment_from").cast("timestamp"))).alias("t"))
+    assert {r["service"]: r["t"] / 3.6e9 for r in hours.collect()} == {"data": 12 * 24 + 6, "sms": 17 * 24}
+
+
+def test_tariff_gaps(spark):
+    assert constraints.tariff_gaps(rate.default_tariff(spark)).count() == 0
+    bad = spark.sql("SELECT * FROM VALUES ('a', 0, 5), ('a', 6, NULL), ('b', 1, NULL), ('c', 0, 5), ('c', 5, NULL), ('c', 5, NULL) AS t(service, tier_from, tier_to)")
+    assert sorted((r["service"], r["tier_from"]) for r in constraints.tariff_gaps(bad).collect()) == [("a", 6), ("b", 1), ("c", 5)]
+
+
 def test_summary(spark):
     usage = rated(spark, voice(60), voice(60), sms(), data("100.01"), sms(user="b"), other("fax", user="c"), voice(5, user=None))
     day = F.to_date(F.lit("2024-02-01"))
