@@ -91,13 +91,9 @@ def billed_quantity() -> Column:
     )
 
 
-def unit_price() -> Column:
-    """Cost per unit of quantity to four places; NULL for a zero or unknown quantity."""
-    per_unit = by_type(
-        {"sms": F.col("cost")},
-        F.try_divide(F.col("cost"), quantity()),
-    )
-    return F.round(per_unit, 4).cast(c.UNIT_PRICE_TYPE)
+def unit_price(quantity: Column) -> Column:
+    """Cost per unit to four places; NULL for a zero or unknown quantity."""
+    return F.round(F.try_divide(F.col("cost"), quantity), 4).cast(c.UNIT_PRICE_TYPE)
 
 
 def invoice_id(period: Column, user: Column) -> Column:

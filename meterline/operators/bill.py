@@ -89,16 +89,16 @@ def invoice_lines(
     rated: DataFrame, period: str | None = None, period_filter: bool = True, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One line per billed record, numbered within the invoice by service, time and arrival."""
-    usage = billable(_of_period(rated, period, period_filter))
+    usage = billable(_of_period(rated, period, period_filter)).withColumn("quantity", charges.quantity())
     lines = usage.select(
         charges.invoice_id(F.col("billing_period"), F.col("user_id")).alias("invoice_id"),
         "user_id",
         charges.service_label().alias("service_type"),
         "event_ts",
         "record_id",
-        charges.quantity().cast(c.QUANTITY_TYPE).alias("usage_quantity"),
+        F.col("quantity").cast(c.QUANTITY_TYPE).alias("usage_quantity"),
         charges.unit_label().alias("unit"),
-        charges.unit_price().alias("unit_price"),
+        charges.unit_price(F.col("quantity")).alias("unit_price"),
         F.round("cost", 2).cast(c.AMOUNT_TYPE).alias("line_amount"),
     )
     numbered = running_totals(

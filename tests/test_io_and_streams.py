@@ -240,6 +240,38 @@ def test_stream_dedup_across_batches(spark, tmp_path):
     assert len(arrive(("a", "2024-01-01 14:10:00"))) == 5
 
 
+def test_copies_are_thinned_before_they_reach_state(spark, tmp_path):
+    """20,000 copies of one record: state sees a handful, not all of them in one task."""
+    path = str(tmp_path / "copies")
+    one = fixtures.usage(spark, "/root/testdata/sf0.001").select(*CANONICAL).where("record_id = 1")
+    copies = one.drop("record_id").crossJoin(spark.range(20_000).withColumnRenamed("id", "record_id"))
+    copies.withColumn("arrival_ts", F.expr("TIMESTAMP'2024-01-01 00:00:00'")).repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    kept = streaming.dedup_stream(stream, "arrival_ts", "1 hour")
+    out = str(tmp_path / "out")
+    query = kept.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(**AT_ONCE).start(out)
+    query.awaitTermination()
+    assert spark.read.parquet(out).count() == 1
+    states = [json.loads(p.json)["stateOperators"] for p in query.recentProgress]
+    dropped = sum(state["customMetrics"]["numDroppedDuplicateRows"] for found in states for state in found)
+    assert dropped < 20
+
+
+def test_shared_folder_is_never_local_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from meterline.plans.shared_folder import fresh_path, shared_folder
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(RuntimeError):
+        shared_folder(cluster)
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
 def test_stream_equals_batch(spark, sf_dir):
     named = queries()
     assert same_rows(named["stream_mediate"](spark, sf_dir), named["usage_clean"](spark, sf_dir))

@@ -10,6 +10,7 @@ from meterline.checks.queries import QUERIES
 from meterline.operators import bill, clients, mediate, modifiers, rate, reports
 from meterline.schema import CANONICAL
 from meterline.session import SETTINGS, session, shuffle_settings
+from meterline.streaming.jobs import mediated
 
 #: The JVM's just-in-time compiler leaves larger methods alone, and they then run interpreted for ever.
 LARGEST_COMPILED_METHOD = 8000
@@ -122,6 +123,7 @@ def test_generated_code_is_small_enough_to_be_compiled(spark, sf_dir, raw, rated
     builds = {
         "validate": lambda: mediate.validate_usage(mediate.parse_usage(raw)),
         "rate": lambda: rate.rate_usage(mediate.usage_clean(mediate.parse_usage(raw))),
+        "mediated": lambda: mediated(raw),
         "dedup": lambda: mediate.dedup_usage(mediate.parse_usage(raw)),
         "summary": lambda: bill.billing_summary(rated, "2024-01"),
         "lines": lambda: bill.invoice_lines(rated, "2024-01"),
@@ -131,6 +133,8 @@ def test_generated_code_is_small_enough_to_be_compiled(spark, sf_dir, raw, rated
         "profile": lambda: reports.reject_profile(mediate.parse_usage(raw)),
         "counts": lambda: reports.pipeline_counts(mediate.parse_usage(raw)),
     }
+    registered = {name: query for name, query in QUERIES.items() if not name.startswith("stream")}
+    builds |= {name: lambda query=query: query(spark, sf_dir) for name, query in registered.items()}
     sizes = {name: max(generated_sizes(spark, build)) for name, build in builds.items()}
     assert {name: size for name, size in sizes.items() if size > LARGEST_COMPILED_METHOD} == {}
 
