@@ -100,6 +100,10 @@ def rate_usage(spark, sf_dir):
     return rate.rate_usage(fixtures.usage(spark, sf_dir)).select("record_id", "status", "cost")
 
 
+def rated_table(spark, sf_dir):
+    return rate.to_rated_table(_rated(spark, sf_dir))
+
+
 def rate_by_tariff_table(spark, sf_dir):
     rated = rate.rate_by_tariff_table(fixtures.usage(spark, sf_dir), rate.default_tariff(spark))
     return rated.select("record_id", "status", "cost")
@@ -310,6 +314,7 @@ QUERIES: dict[str, Query] = {
         duplicate_report,
         rating_status,
         rate_usage,
+        rated_table,
         rate_by_tariff_table,
         rate_with_promotions,
         rate_with_modifiers,

@@ -4,6 +4,7 @@ import argparse
 
 from meterline.jobs.options import add_endpoint, options
 from meterline.operators.documents import invoice_documents
+from meterline.operators.rate import from_rated_table
 from meterline.plans.pipeline import bill_period
 from meterline.session import session, shuffle_settings
 from meterline.sinks import export_csv, read_published, write_documents, write_table
@@ -28,7 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
     if args.rated_format == "batches":
         rated = read_batches(spark, args.rated_path)
     else:
-        rated = read_table(spark, args.rated_format, options(args.rated_option), args.rated_path)
+        rated = from_rated_table(read_table(spark, args.rated_format, options(args.rated_option), args.rated_path))
     # Streamed usage may hold copies that arrived further apart than stream state reaches back.
     bill_period(rated, args.path, args.period, period_filter=not args.all_usage, dedup=not args.keep_copies)
     summary, lines = (read_published(spark, args.path, name, args.period) for name in ("billing_summary", "invoice_lines"))

@@ -2,9 +2,11 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from meterline import constants as c
 from meterline.functions import charges, records
+from meterline.schema import CANONICAL, RATED_COLUMNS
 
 
 def rating_status(df: DataFrame) -> DataFrame:
@@ -16,6 +18,36 @@ def rate_usage(df: DataFrame) -> DataFrame:
     return rating_status(df).withColumns({"cost": charges.cost(), "billing_period": records.billing_period()})
 
 
+def to_rated_table(rated: DataFrame) -> DataFrame:
+    """Rated usage in the columns of a stored table."""
+    return rated.withColumnRenamed("event_ts", "timestamp").select(*RATED_COLUMNS)
+
+
+def from_rated_table(table: DataFrame) -> DataFrame:
+    """A stored table, whose numbers may be floating point, as rated usage ready for billing.
+
+    Stored rows have no arrival position; they are given one here, which holds once the rows are written
+    (:func:`meterline.plans.pipeline.bill_period` does that first).
+    """
+    stamp = F.col("timestamp")
+    if isinstance(table.schema["timestamp"].dataType, TimestampType):
+        stamp = records.utc_wall_clock(stamp)
+    seconds = {name: F.col(name).try_cast("int") for name in ("duration_sec", "session_duration_sec")}
+    return (
+        table.withColumns(
+            {
+                "record_id": F.monotonically_increasing_id(),
+                "event_ts": stamp,
+                "data_volume_mb": records.volume(F.col("data_volume_mb")),
+                "cost": F.col("cost").try_cast(c.COST_TYPE),
+                **seconds,
+            }
+        )
+        .withColumn("billing_period", records.billing_period())
+        .select(*CANONICAL, "status", "cost", "billing_period")
+    )
+
+
 def default_tariff(spark) -> DataFrame:
     """The default prices as a tariff table."""
     return spark.sql(

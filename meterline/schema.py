@@ -44,6 +44,23 @@ PAYLOAD = (
 )
 CANONICAL = ("record_id", *PAYLOAD)
 
+#: Rated usage as a database table holds it.
+RATED_COLUMNS = (
+    "record_type",
+    "timestamp",
+    "user_id",
+    "data_volume_mb",
+    "session_duration_sec",
+    "caller_id",
+    "callee_id",
+    "duration_sec",
+    "sender_id",
+    "receiver_id",
+    "cell_id",
+    "technology",
+    "status",
+    "cost",
+)
 SUMMARY_COLUMNS = (
     "invoice_id",
     "user_id",

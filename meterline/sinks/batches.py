@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.operators.rate import to_rated_table
 from meterline.sinks.tables import write_table
 
 
@@ -30,7 +31,7 @@ class BatchFolder:
 
 @dataclass(frozen=True)
 class BatchTable:
-    """``foreachBatch`` writer that appends to a table, such as a database's.
+    """``foreachBatch`` writer that appends to a table of rated usage, such as a database's.
 
     Appending is at least once: a repeated batch can leave rows twice.  They carry the same payload, run and
     batch id, and deduplication before billing removes them.
@@ -42,5 +43,5 @@ class BatchTable:
     path: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        marked = batch.withColumns({"run": F.lit(self.run), "batch_id": F.lit(batch_id)})
+        marked = to_rated_table(batch).withColumns({"run": F.lit(self.run), "batch_id": F.lit(batch_id)})
         write_table(marked, self.fmt, self.options, self.path)
