@@ -11,8 +11,9 @@ PRICED_BY = {"voice": "duration_sec", "sms": "sender_id", "data": "data_volume_m
 
 def by_type(choices: dict[str, Column], otherwise: Column) -> Column:
     """The choice for the record's type."""
-    picked = F
-    for kind, value in choices.items():
+    (first, value), *others = choices.items()
+    picked = F.when(F.col("record_type") == first, value)
+    for kind, value in others:
         picked = picked.when(F.col("record_type") == kind, value)
     return picked.otherwise(otherwise)
 

@@ -24,9 +24,18 @@ def identifier(name: str) -> Column:
     return F.lower(F.trim(F.col(name)))
 
 
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+
 def utc_wall_clock(instant: Column) -> Column:
     """An instant as TIMESTAMP_NTZ in UTC, whatever the session time zone is."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
+
+
+def utc_instant(wall_clock: Column) -> Column:
+    """The reverse of :func:`utc_wall_clock`."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), wall_clock))
 
 
 def event_time(name: str) -> Column:

@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
+# Field names, types and column orders of the records and tables that stages exchange.
 IDENTIFIERS = ("caller_id", "callee_id", "sender_id", "receiver_id", "user_id")
 QUANTITIES = ("duration_sec", "data_volume_mb", "session_duration_sec")
 

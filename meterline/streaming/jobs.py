@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from meterline.constants import STATUS_RATED
-from meterline.functions import charges
+from meterline.functions import charges, records
 from meterline.operators.mediate import encode_usage, parse_usage, payload_key, validate_usage
 from meterline.operators.rate import rate_usage
 from meterline.schema import CANONICAL
@@ -43,10 +43,10 @@ def mediated(raw: DataFrame) -> DataFrame:
     )
 
 
-def to_messages(records: DataFrame, clean_topic: str, dirty_topic: str) -> DataFrame:
+def to_messages(judged: DataFrame, clean_topic: str, dirty_topic: str) -> DataFrame:
     """Mediated records as messages that name their topic; a dead letter has its reason as a header."""
     header = F.struct(F.lit("reject_reason").alias("key"), F.col("reject_reason").cast("binary").alias("value"))
-    return records.select(
+    return judged.select(
         F.when(F.col("is_valid"), clean_topic).otherwise(dirty_topic).alias("topic"),
         "value",
         F.when(~F.col("is_valid"), F.array(header)).alias("headers"),
@@ -69,11 +69,11 @@ def start_mediation(
     On Kafka each record names its topic.  On files the two outputs are the partitions ``is_valid=true`` and
     ``is_valid=false`` of ``path``, written exactly once.
     """
-    records = mediated(raw)
+    judged = mediated(raw)
     if fmt == "kafka":
-        writer = to_messages(records, clean_topic, dirty_topic).writeStream.format("kafka")
+        writer = to_messages(judged, clean_topic, dirty_topic).writeStream.format("kafka")
     else:
-        writer = records.writeStream.format(fmt).partitionBy("is_valid").option("path", path)
+        writer = judged.writeStream.format(fmt).partitionBy("is_valid").option("path", path)
     return _started(writer.options(**options), checkpoint, trigger, name)
 
 
@@ -122,7 +122,7 @@ def daily_usage(usage: DataFrame, delay: str, width: str = "1 day") -> DataFrame
     Later records are dropped.  Partial sums are formed before the shuffle, so a busy service does not hurt.
     """
     timed = usage.select(
-        F.col("event_ts").cast("timestamp").alias("event_time"),
+        records.utc_instant(F.col("event_ts")).alias("event_time"),
         "record_type",
         charges.billed_quantity().alias("quantity"),
     )
@@ -131,8 +131,8 @@ def daily_usage(usage: DataFrame, delay: str, width: str = "1 day") -> DataFrame
         .groupBy(F.window("event_time", width), "record_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
         .select(
-            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            records.utc_wall_clock(F.col("window.start")).alias("window_start"),
+            records.utc_wall_clock(F.col("window.end")).alias("window_end"),
             "record_type",
             "n",
             "quantity",

@@ -27,6 +27,19 @@ def test_query_equals_sql(spark, sf_dir, db, name):
     assert rows
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["parse_usage", "encode_usage", "rate_with_modifiers", "billing_summary_deduplicated", "usage_by_hour", "consumption_rollup", "stream_daily_usage"],
+)
+def test_results_do_not_depend_on_the_session_time_zone(spark, sf_dir, db, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = compare.spark_rows(queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == compare.oracle_rows(db, oracle_sql()[name])
+
+
 def test_entry(spark):
     import __spark_entry__
 
