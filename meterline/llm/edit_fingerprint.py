@@ -31,8 +31,8 @@ CONTEXT = 4
 SEED = 20_240
 #: Characters walked at a time; bounds the memory of a task.
 BATCH_CHARS = 6_000_000
-BANDS = 64
-BAND_BITS = 24
+BANDS = 128
+BAND_BITS = 20
 
 _END = 255
 _BLOCK = 4096

@@ -5,13 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.llm.class_model import score_by_classes
 from meterline.llm.common import read_table, written
 from meterline.llm.edit_fingerprint import neighbour_likeness
 from meterline.llm.host_quality import MEASURES, judge_by_host
+from meterline.llm.language import dictionaries, predict_language
 from meterline.llm.mixing import mix
 from meterline.llm.packing import pack
 from meterline.llm.personal_data import find_personal_data, fitted
 from meterline.llm.simhash import as_hex, simhash, simhash_classes
+from meterline.llm import toxicity
+from meterline.llm.wrapper_induction import extract_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +30,14 @@ def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *MEASURES, "base_failed", "host_rejected", "kept")
 
 
+def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), "page_id", "url", "html")
+
+
+def op4_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_by_classes(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     prints = written(docs.select("doc_id", simhash(F.col("text")).alias("fingerprint")), "simhash")
@@ -47,15 +59,31 @@ def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, "doc_id", "source").select("row.*", "copy", "place")
 
 
+def op9_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.fitted(docs, labels, "doc_id", "text", "toxic")
+    return toxicity.score_toxicity(docs, model, "doc_id", "text")
+
+
+def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return predict_language(docs, dictionaries(docs, "doc_id", "text", "lang"), "doc_id", "text")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_edit_fingerprints,
         op2_host_quality,
+        op3_wrapper_text,
+        op4_brown_classes,
         op5_simhash_golay,
         op6_crf_personal_data,
         op7_bounded_packing,
         op8_poisson_mixing,
+        op9_toxic_neighbours,
+        op10_zstd_language,
     )
 }
 
