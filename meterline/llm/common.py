@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.plans.shared_folder import fresh_path
@@ -45,5 +45,20 @@ def bucket(key: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+def smallest_hashes(rows: DataFrame, group: str, n: int, *columns: str) -> DataFrame:
+    """Of each group the rows with the ``n`` smallest hashes of the columns, equal rows once: (group, *columns, hash).
+
+    A bounded sample that does not depend on the partitions.  Only hashes are ranked; the rows themselves are then picked
+    by each group's limit, so that no task or shuffle holds more texts than the sample has.
+    """
+    hashed = rows.select(F.col(group).alias("group"), *columns, F.xxhash64(group, *columns).alias("hash"))
+    rank = F.row_number().over(Window.partitionBy("group").orderBy("hash"))
+    limits = hashed.select("group", "hash").withColumn("rank", rank).where(F.col("rank") <= n)
+    limits = limits.groupBy(F.col("group").alias("of")).agg(F.max("hash").alias("most"))
+    limits = small(written(limits, "sample-limits"))
+    picked = hashed.join(limits, F.col("group").eqNullSafe(F.col("of")) & (F.col("hash") <= F.col("most")))
+    return picked.groupBy("group", "hash").agg(*[F.first(name).alias(name) for name in columns])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

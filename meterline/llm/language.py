@@ -18,10 +18,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import bucket
+from meterline.llm.common import bucket, smallest_hashes
 
 SAMPLE_DOCS = 400
 DICTIONARY_BYTES = 120_000
@@ -46,12 +46,11 @@ def dictionaries(docs: DataFrame, key: str, text: str, lang: str) -> dict[str, b
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where((bucket(F.col("key"), FOLDS) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key", "text"), "text")
-    ranked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
-    sample = ranked.select("lang", "rank", F.substring("text", 1, DICTIONARY_BYTES).alias("text")).collect()
+    sample = smallest_hashes(rows, "lang", SAMPLE_DOCS, "key", "text")
+    sample = sample.select("group", "hash", F.substring("text", 1, DICTIONARY_BYTES).alias("text")).collect()
     found: dict[str, list[tuple[int, str]]] = {}
     for row in sample:
-        found.setdefault(row["lang"], []).append((row["rank"], row["text"]))
+        found.setdefault(row["group"], []).append((row["hash"], row["text"]))
     content = {}
     for name, own in sorted(found.items(), key=lambda item: (-sizes[item[0]], item[0])):
         joined = " ".join(letters(text) for _, text in sorted(own)).encode()

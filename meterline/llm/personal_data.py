@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm import crf
+from meterline.llm.common import smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with a digit or an at sign that the labelled table is made of, those with the smallest hashes of their keys.
@@ -192,14 +193,9 @@ def labelled_runs(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]
 
 def fitted(docs: DataFrame, key: str, text: str) -> crf.Model | None:
     """The field trained on at most ``TRAINING_DOCS`` documents; None if none of them holds a finding."""
-    sample = (
-        docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .where(F.col("text").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("key"), "text")
-        .limit(TRAINING_DOCS)
-        .select("text")
-    )
-    sequences, labels = labelled_runs([row["text"] for row in sample.collect()])
+    rows = docs.select(F.lit(0).alias("all"), F.col(key).alias("key"), F.col(text).alias("text"))
+    sample = smallest_hashes(rows.where(F.col("text").rlike("[0-9@]")), "all", TRAINING_DOCS, "key", "text")
+    sequences, labels = labelled_runs([row["text"] for row in sample.orderBy("hash").select("text").collect()])
     if not any(own.any() for own in labels):
         return None
     n_labels = 2 * len(KINDS) + 1
