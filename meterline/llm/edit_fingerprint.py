@@ -3,7 +3,10 @@
 A pointer walks over the characters of a text.  At every step the character under it is emitted, and a random bit of
 (step, character), the same for all texts, says whether the pointer moves on.  Two walks that meet stay together while
 the texts agree, and after an edit they meet again soon, so that the emitted sequences differ in few places.  A
-fingerprint samples ``SLOTS`` steps of that walk and keeps one random bit of what each of them emitted.
+fingerprint samples ``SLOTS`` steps of a walk and keeps one random bit of what each of them emitted.
+
+One unlucky meeting can keep two walks apart for long, so there are ``WALKS`` independent walks, each with its own share of
+the slots, and the likeness of two fingerprints is that of the walk in which they agree most.
 
 Texts differ in length, so the steps are sampled consistently: slot ``k`` takes the step with the smallest random rank
 among all steps of the walk.  For walks of ``a <= b`` steps, a fraction ``a / b`` of the slots takes the same steps.
@@ -19,14 +22,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import partitions
+from meterline.llm.common import partitions, written
 from meterline.llm.components import components
-from meterline.llm.common import written
 
-SLOTS = 1024
+WALKS = 2
+SLOTS = 512
 CONTEXT = 4
 SEED = 20_240
 #: Characters walked at a time; bounds the memory of a task.
@@ -39,9 +42,9 @@ _BLOCK = 4096
 
 
 @lru_cache(maxsize=4)
-def _moves(block: int) -> np.ndarray:
+def _moves(walk: int, block: int) -> np.ndarray:
     """Random bits for ``_BLOCK`` steps and 256 classes of characters; nothing moves beyond the end of a text."""
-    drawn = np.random.RandomState(SEED + block).bytes(_BLOCK * 256 // 8)
+    drawn = np.random.RandomState([SEED, walk, block]).bytes(_BLOCK * 256 // 8)
     bits = np.unpackbits(np.frombuffer(drawn, np.uint8)).reshape(_BLOCK, 256).copy()
     bits[:, _END] = 0
     return bits
@@ -54,10 +57,10 @@ class _Sampled:
     records are drawn directly, as far as a walk goes.
     """
 
-    def __init__(self):
+    def __init__(self, walk: int):
         self.at: dict[int, list[int]] = {0: list(range(SLOTS))}
         self.last = np.zeros(SLOTS, np.int64)
-        self.random = [np.random.RandomState(SEED * 7 + slot) for slot in range(SLOTS)]
+        self.random = [np.random.RandomState([SEED, 7, walk, slot]) for slot in range(SLOTS)]
         self.known = 0
 
     def up_to(self, step: int) -> None:
@@ -71,7 +74,9 @@ class _Sampled:
         self.known = step
 
 
-_sampled: list[_Sampled] = []
+@lru_cache(maxsize=WALKS)
+def _sampled(walk: int) -> _Sampled:
+    return _Sampled(walk)
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -81,11 +86,8 @@ def _mix(values: np.ndarray) -> np.ndarray:
 
 
 def _walk(texts: list[str]) -> np.ndarray:
-    """Bits of all texts, one row of ``SLOTS`` bits each."""
-    if not _sampled:
-        _sampled.append(_Sampled())
-    sampled = _sampled[0]
-    bits = np.zeros((SLOTS, len(texts)), np.uint8)
+    """Bits of all texts, one row of ``WALKS * SLOTS`` bits each."""
+    bits = np.zeros((WALKS * SLOTS, len(texts)), np.uint8)
     lengths = np.array([len(t) for t in texts], np.int64)
     width = lengths + CONTEXT
     starts = np.concatenate([[0], np.cumsum(width)[:-1]])
@@ -100,37 +102,39 @@ def _walk(texts: list[str]) -> np.ndarray:
         emitted[:size] = (emitted[:size] + flat[offset : offset + size]) * np.uint32(0x01000193 + 2 * offset)
     emitted = _mix(emitted)
 
-    walking = np.flatnonzero(lengths)
-    place = starts[walking]
-    step = 0
-    while len(walking):
-        if step % 64 == 0:
-            going = classes[place] != _END
-            if not going.all():
-                walking, place = walking[going], place[going]
-                if not len(walking):
-                    break
-            here = np.empty(len(walking), np.uint8)
-            move = np.empty(len(walking), np.uint8)
-        if step % _BLOCK == 0:
-            moves = _moves(step // _BLOCK)
-            sampled.up_to(step + _BLOCK)
-        np.take(classes, place, out=here, mode="clip")
-        if step in sampled.at:
-            inside = here != _END
-            columns, found = walking[inside], emitted[place[inside]]
-            for slot in sampled.at[step]:
-                key = np.uint32((slot * 0x9E3779B1 + step * 0x85EBCA77) & 0xFFFFFFFF)
-                bits[slot, columns] = _mix(found ^ key) >> np.uint32(31)
-        np.take(moves[step % _BLOCK], here, out=move, mode="clip")
-        place += move
-        step += 1
+    for walk in range(WALKS):
+        sampled = _sampled(walk)
+        walking = np.flatnonzero(lengths)
+        place = starts[walking]
+        step = 0
+        while len(walking):
+            if step % 64 == 0:
+                going = classes[place] != _END
+                if not going.all():
+                    walking, place = walking[going], place[going]
+                    if not len(walking):
+                        break
+                here = np.empty(len(walking), np.uint8)
+                move = np.empty(len(walking), np.uint8)
+            if step % _BLOCK == 0:
+                moves = _moves(walk, step // _BLOCK)
+                sampled.up_to(step + _BLOCK)
+            np.take(classes, place, out=here, mode="clip")
+            if step in sampled.at:
+                inside = here != _END
+                columns, found = walking[inside], emitted[place[inside]]
+                for slot in sampled.at[step]:
+                    key = np.uint32((slot * 0x9E3779B1 + step * 0x85EBCA77) & 0xFFFFFFFF)
+                    bits[walk * SLOTS + slot, columns] = _mix(found ^ key) >> np.uint32(31)
+            np.take(moves[step % _BLOCK], here, out=move, mode="clip")
+            place += move
+            step += 1
     return np.ascontiguousarray(bits.T)
 
 
 def fingerprint_bits(texts: list[str]) -> np.ndarray:
-    """Packed fingerprints, ``SLOTS / 8`` bytes a text.  Texts of like length walk together."""
-    packed = np.zeros((len(texts), SLOTS // 8), np.uint8)
+    """Packed fingerprints, ``WALKS * SLOTS / 8`` bytes a text.  Texts of like length walk together."""
+    packed = np.zeros((len(texts), WALKS * SLOTS // 8), np.uint8)
     order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
     at = 0
     while at < len(order):
@@ -146,7 +150,7 @@ def fingerprint_bits(texts: list[str]) -> np.ndarray:
 
 def likeness_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """1 for equal fingerprints, about 0 for those of unrelated texts, where half of the bits agree by chance."""
-    differing = np.bitwise_count(left ^ right).sum(axis=1)
+    differing = np.bitwise_count(left ^ right).reshape(len(left), WALKS, SLOTS // 8).sum(axis=2).min(axis=1)
     return np.clip(1.0 - 2.0 * differing / SLOTS, 0.0, 1.0)
 
 
@@ -284,6 +288,7 @@ def edit_distance(left: str, right: str) -> int:
 
 def _band_keys(hexed: pd.Series) -> list[list[int]]:
     slots = np.random.RandomState(SEED + 1).randint(0, SLOTS, (BANDS, BAND_BITS))
+    slots += SLOTS * (np.arange(BANDS) % WALKS)[:, None]
     keys = []
     for value in hexed:
         bits = np.unpackbits(np.frombuffer(bytes.fromhex(value), np.uint8)).astype(np.int64)
@@ -294,7 +299,7 @@ def _band_keys(hexed: pd.Series) -> list[list[int]]:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
     """(key, fingerprint, component): documents linked by an edit distance of at most ``1 - similarity`` of the longer text.
 
-    Equal texts are one node.  Each of ``BANDS`` bands groups nodes by ``BAND_BITS`` sampled bits; inside a group a node
+    Equal texts are one node.  Each of ``BANDS`` bands groups nodes by ``BAND_BITS`` bits sampled from one walk; inside a group a node
     is compared with the group's smallest node and with its predecessor, so that the candidates grow with the number of
     nodes, not with its square.  A candidate counts only if the edit distance confirms it.  ``component`` is the smallest
     key reachable.
@@ -310,8 +315,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     def bands(hexed: pd.Series) -> pd.Series:
         return pd.Series(_band_keys(hexed))
 
-    from pyspark.sql import Window
-
     keyed = nodes.select("node", F.explode(bands("fingerprint")).alias("band"))
     ordered = Window.partitionBy("band").orderBy("node")
     beside = keyed.select("node", F.array(F.first("node").over(ordered), F.lag("node").over(ordered)).alias("others"))
