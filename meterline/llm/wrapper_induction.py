@@ -44,14 +44,12 @@ DEEPEST = 60
 class Tree:
     """A node with a label, the number of pages that have it, and how many of them have which content."""
 
-    __slots__ = ("children", "contents", "label", "node", "support")
+    __slots__ = ("children", "content", "contents", "label", "node", "support")
 
     def __init__(self, label: str, support: int, contents: dict[int, int], children: list["Tree"], node: Node | None = None):
         self.label, self.support, self.contents, self.children, self.node = label, support, contents, children, node
-
-    @property
-    def content(self) -> int:
-        return max(self.contents, key=self.contents.get)
+        #: The most frequent content.
+        self.content = next(iter(contents)) if len(contents) == 1 else max(contents, key=contents.get)
 
 
 def tree_of(node: Node, depth: int = 0) -> Tree:
@@ -90,11 +88,16 @@ def _weight(left: Tree, right: Tree) -> int:
     if left.label != right.label:
         return 0
     same = 1 if left.content == right.content else 0
+    if not left.children or not right.children:
+        return 1 + same
     return 1 + same + sum(_weight(a, b) for a, b in match(left.children, right.children))
 
 
 def match(left: list[Tree], right: list[Tree]) -> list[tuple[Tree, Tree]]:
     """Pairs of children in order with the largest weight."""
+    labels = [tree.label for tree in left]
+    if len(set(labels)) == len(labels) and labels == [tree.label for tree in right]:
+        return list(zip(left, right, strict=True))
     pairs: list[tuple[Tree, Tree]] = []
     start = 0
     least = min(len(left), len(right))
@@ -148,7 +151,7 @@ def merged(left: Tree, right: Tree) -> Tree:
     contents = dict(left.contents)
     for content, n in right.contents.items():
         contents[content] = contents.get(content, 0) + n
-    if len(contents) > 2 * CONTENTS:
+    if len(contents) > 4 * CONTENTS:
         # As many as the first content left out has are taken from each, as in the summary of Misra and Gries.
         ranked = sorted(contents.items(), key=lambda item: (-item[1], item[0]))
         contents = {c: n - ranked[CONTENTS][1] for c, n in ranked[:CONTENTS] if n > ranked[CONTENTS][1]} or dict(ranked[:1])
@@ -183,6 +186,18 @@ def read_form(text: str) -> Tree:
     return build(json.loads(text))
 
 
+def has_template(wrapper: Tree) -> bool:
+    """Whether any node of the wrapper can be template; without one, no page needs to be aligned."""
+    todo = [wrapper]
+    while todo:
+        node = todo.pop()
+        enough = node.support >= max(LEAST_PAGES, LEAST_SUPPORT * wrapper.support)
+        if enough and node.contents[node.content] >= LEAST_AGREEMENT * node.support:
+            return True
+        todo += node.children
+    return False
+
+
 def template_of(page: Tree, wrapper: Tree) -> set[int]:
     """Ids of the page's nodes that the wrapper has as template, those inside an article only with enough support."""
     found: set[int] = set()
@@ -259,7 +274,7 @@ def extract_text(pages: DataFrame, key: str, url: str, source: str) -> DataFrame
     joined = rows.join(small(wrappers), "host", "left").select("page_id", "url", "tree", "html")
 
     def extract(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read: dict[str, Tree] = {}
+        read: dict[str, Tree | None] = {}
         for batch in batches:
             texts = []
             for form, markup in zip(batch["tree"], batch["html"], strict=True):
@@ -269,8 +284,10 @@ def extract_text(pages: DataFrame, key: str, url: str, source: str) -> DataFrame
                     if form not in read:
                         if len(read) > 200:
                             read.clear()
-                        read[form] = read_form(form)
-                    template = template_of(tree_of(root), read[form])
+                        wrapper = read_form(form)
+                        read[form] = wrapper if has_template(wrapper) else None
+                    if read[form] is not None:
+                        template = template_of(tree_of(root), read[form])
                 texts.append("\n\n".join(article_blocks(root, template)))
             yield pd.DataFrame(
                 {"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]}
