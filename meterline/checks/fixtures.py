@@ -38,7 +38,7 @@ _RECORD = """
       'user_id', uid,
       'data_volume_mb', if(record_type = 'data', if(missing, NULL, CAST(CAST(value AS DECIMAL(10,2)) AS STRING)), ''),
       'session_duration_sec', if(record_type = 'data', if(corrupted, 'CORRUPTED_DATA', CAST(60 + event_id % 3541 AS STRING)), ''),
-      'cell_id', element_at(array('ALHOCEIMA_23', 'IMZOUREN_10', 'TANGER_05'), CAST(event_id % 3 AS INT) + 1),
+      'cell_id', element_at(array('ridge-01', 'harbour-02', 'mill-03'), CAST(event_id % 3 AS INT) + 1),
       'technology', concat(2 + event_id % 4, 'G')) AS record"""
 
 
@@ -56,7 +56,7 @@ def raw_from_events(events: DataFrame) -> DataFrame:
         f"{_RECORD_TYPE} AS record_type",
         "event_id % 10 = 3 AS missing",
         "event_id % 10 = 7 AS corrupted",
-        "if(event_id % 10 = 3, NULL, concat('2126', 10000000 + event_id)) AS partner",
+        "if(event_id % 10 = 3, NULL, concat('90055', 10000000 + event_id)) AS partner",
     )
     # Unfolding records as wholes keeps these expressions from being repeated in everything built on them.
     unfolded = described.selectExpr("event_id", _RECORD).selectExpr(
@@ -98,6 +98,32 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_close_records(raw: DataFrame) -> DataFrame:
+    """On top, of 1 record in 50 another one that differs in its time alone, and by less than a millisecond."""
+    again = F.when(F.col("record_id") % 50 == 11, F.array(F.lit(0), F.lit(400))).otherwise(F.array(F.lit(0)))
+    unfolded = raw.withColumn("_later", F.explode(again))
+    return unfolded.withColumn("event_ts", F.timestamp_add("MICROSECOND", F.col("_later"), F.col("event_ts"))).drop("_later")
+
+
+def unordered_events(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The events as a stream of several batches, each with events of all days."""
+    events = table(spark, sf_dir, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def incomplete(clean: DataFrame) -> DataFrame:
+    """Clean usage of which some has lost its time and some its payer."""
+    undated, unowned = F.col("record_id") % 50 == 1, F.col("record_id") % 50 == 2
+    names = ("caller_id", "user_id")
+    return clean.withColumns(
+        {
+            "event_ts": F.when(~undated, F.col("event_ts")),
+            **{name: F.when(~unowned, F.col(name)) for name in names},
+        }
+    )
+
+
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clients with plan and country."""
     customers = table(spark, sf_dir, "customer")
@@ -124,13 +150,14 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promotions(spark: SparkSession) -> DataFrame:
-    """The second data promotion overlaps the first."""
+    """The second data promotion overlaps the first; the one for calls has no end."""
     return spark.sql(
         """SELECT service, CAST(valid_from AS TIMESTAMP_NTZ) AS valid_from, CAST(valid_to AS TIMESTAMP_NTZ) AS valid_to,
                   CAST(percent_off AS decimal(4,2)) AS percent_off
            FROM VALUES ('data', '2024-01-10 00:00:00', '2024-01-20 00:00:00', 0.25),
                        ('data', '2024-01-18 12:00:00', '2024-01-22 06:00:00', 0.10),
-                       ('sms', '2024-01-15 00:00:00', '2024-02-01 00:00:00', 0.50)
+                       ('sms', '2024-01-15 00:00:00', '2024-02-01 00:00:00', 0.50),
+                       ('voice', '2024-01-25 00:00:00', NULL, 0.20)
                 AS promotions(service, valid_from, valid_to, percent_off)"""
     )
 
@@ -138,7 +165,7 @@ def promotions(spark: SparkSession) -> DataFrame:
 def hour_bands(spark: SparkSession) -> DataFrame:
     return spark.sql(
         """SELECT weekend, from_hour, to_hour, CAST(hour_multiplier AS decimal(4,2)) AS hour_multiplier
-           FROM VALUES (false, 0, 8, 0.50), (false, 8, 20, 1.00), (false, 20, 24, 0.80),
+           FROM VALUES (false, 22, 6, 0.50), (false, 6, 20, 1.00), (false, 20, 22, 0.80),
                        (true, 0, 8, 0.50), (true, 8, 20, 0.90), (true, 20, 24, 0.70)
                 AS bands(weekend, from_hour, to_hour, hour_multiplier)"""
     )
@@ -147,19 +174,33 @@ def hour_bands(spark: SparkSession) -> DataFrame:
 def cell_modifiers(spark: SparkSession) -> DataFrame:
     return spark.sql(
         """SELECT cell_id, CAST(cell_multiplier AS decimal(4,2)) AS cell_multiplier
-           FROM VALUES ('ALHOCEIMA_23', 1.00), ('IMZOUREN_10', 0.90), ('TANGER_05', 1.10)
+           FROM VALUES ('ridge-01', 1.00), ('harbour-02', 0.90), ('mill-03', 1.10)
                 AS cells(cell_id, cell_multiplier)"""
     )
 
 
+def other_tariff(spark: SparkSession) -> DataFrame:
+    """Prices unlike the default ones, with three tiers and amounts below a cent."""
+    return spark.sql(
+        """SELECT service, CAST(tier_from AS decimal(18,6)) AS tier_from, CAST(tier_to AS decimal(18,6)) AS tier_to, unit,
+                  CAST(price AS decimal(10,4)) AS price, round_rule
+           FROM VALUES ('voice', 0, 5, 'minute', 0.30, 'ceil'), ('voice', 5, NULL, 'minute', 0.10, 'ceil'),
+                       ('sms', 0, NULL, 'message', 0.07, 'none'),
+                       ('data', 0, 50, 'MB', 1.25, 'none'), ('data', 50, 200, 'MB', 0.80, 'none'),
+                       ('data', 200, NULL, 'MB', 0.25, 'none')
+                AS tariff(service, tier_from, tier_to, unit, price, round_rule)"""
+    )
+
+
 def fees(spark: SparkSession) -> DataFrame:
+    """The tax comes last and is taken of the fees, too."""
     return spark.sql(
-        """SELECT fee, category, scope, kind, CAST(amount AS decimal(10,4)) AS amount
-           FROM VALUES ('tax', 'tax', 'all', 'percent', 0.20),
-                       ('regulatory', 'fee', 'all', 'percent', 0.01),
-                       ('access', 'fee', 'all', 'fixed', 2.00),
-                       ('data network', 'fee', 'data', 'percent', 0.005)
-                AS fees(fee, category, scope, kind, amount)"""
+        """SELECT fee, category, scope, kind, CAST(amount AS decimal(10,4)) AS amount, step
+           FROM VALUES ('tax', 'tax', 'all', 'percent', 0.20, 2),
+                       ('regulatory', 'fee', 'all', 'percent', 0.01, 1),
+                       ('access', 'fee', 'all', 'fixed', 2.00, 1),
+                       ('data network', 'fee', 'data', 'percent', 0.005, 1)
+                AS fees(fee, category, scope, kind, amount, step)"""
     )
 
 

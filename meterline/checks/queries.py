@@ -8,11 +8,22 @@ from pyspark.sql.types import DecimalType
 
 from meterline.checks import fixtures
 from meterline.operators import bill, clients, constraints, documents, mediate, modifiers, rate, reports
+from meterline.plans.pipeline import Rules, bill_period
 from meterline.plans.shared_folder import fresh_path
-from meterline.schema import CANONICAL, LINE_KEY
-from meterline.sinks import BatchFolder
-from meterline.sources import read_batches, read_mediated, stream_clean
-from meterline.streaming import daily_usage, dedup_stream, start_mediation, start_rating
+from meterline.schema import CANONICAL, LINE_KEY, PAYLOAD
+from meterline.sinks import BatchFolder, BatchTable, export_csv, publish_tables, read_published, write_table
+from meterline.sources import (
+    read_batches,
+    read_clients,
+    read_consumption,
+    read_mediated,
+    read_published_table,
+    read_raw,
+    read_table,
+    stream_clean,
+    stream_raw,
+)
+from meterline.streaming import await_all, dedup_stream, start_consumption, start_mediation, start_rating
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,7 +78,7 @@ def validate_usage(spark, sf_dir):
 
 
 def usage_unified(spark, sf_dir):
-    """Calls, messages and sessions kept apart, each with its own fields only, as one table again."""
+    """Calls, messages, sessions and all others kept apart, each with its own fields only, as one table again."""
     usage = fixtures.usage(spark, sf_dir)
     common = ("record_id", "record_type", "event_ts", "user_id", "cell_id", "technology")
     own = {
@@ -76,7 +87,8 @@ def usage_unified(spark, sf_dir):
         "data": ("data_volume_mb", "session_duration_sec"),
     }
     tables = [usage.where(F.col("record_type") == kind).select(*common, *fields) for kind, fields in own.items()]
-    return mediate.unify_usage(*tables)
+    others = usage.where(~F.coalesce(F.col("record_type").isin(*own), F.lit(False))).select(*common)
+    return mediate.unify_usage(*tables, others)
 
 
 def usage_dirty(spark, sf_dir):
@@ -184,6 +196,7 @@ def invoice_documents(spark, sf_dir):
     return pages.select(
         "invoice_id",
         "page",
+        "pages",
         F.col("header.total_amount").alias("total_amount"),
         F.size("lines").cast("bigint").alias("n_lines"),
         F.aggregate(amounts, F.lit(0).cast("decimal(28,2)"), lambda a, b: (a + b).cast("decimal(28,2)")).alias("page_amount"),
@@ -290,15 +303,109 @@ def _written(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 def stream_dedup(spark, sf_dir):
     """The event time stands in for the arrival time; the month of events fits into the delay."""
-    usage = mediate.type_usage(fixtures.raw_from_events(fixtures.event_stream(spark, sf_dir)))
+    raw = fixtures.with_close_records(fixtures.raw_from_events(fixtures.event_stream(spark, sf_dir)))
+    usage = mediate.type_usage(raw)
     arriving = usage.select(*CANONICAL, F.col("event_ts").cast("timestamp").alias("arrival_ts"))
     kept = dedup_stream(arriving, "arrival_ts", "31 days")
     return _written(spark, kept.drop("record_id", "arrival_ts"), "deduplicated")
 
 
 def stream_daily_usage(spark, sf_dir):
-    usage = mediate.type_usage(fixtures.raw_from_events(fixtures.event_stream(spark, sf_dir)))
-    return _written(spark, daily_usage(mediate.usage_clean(usage), "1 hour"), "daily")
+    """Consumption per user from several batches that each hold usage of all days."""
+    path = fresh_path(spark, "consumption")
+    events = fixtures.unordered_events(spark, sf_dir, f"{path}/events")
+    usage = mediate.usage_clean(mediate.type_usage(fixtures.raw_from_events(events))).select(*CANONICAL)
+    query = start_consumption(rate.rate_usage(usage), f"{path}/sums", "check", f"{path}/checkpoint", trigger=AT_ONCE, name=None)
+    query.awaitTermination()
+    return read_consumption(spark, f"{path}/sums")
+
+
+def billing_published(spark, sf_dir):
+    """Stored usage with prices of its own, billed and read back: the prices are the stored ones."""
+    path = fresh_path(spark, "billing")
+    priced = rate.rate_by_tariff_table(_clean(spark, sf_dir), fixtures.other_tariff(spark))
+    write_table(priced, path=f"{path}/rated")
+    bill_period(read_table(spark, path=f"{path}/rated"), path, PERIOD, invoice_day())
+    return read_published(spark, path, "billing_summary", PERIOD)
+
+
+def usage_unbillable(spark, sf_dir):
+    """What a billing run could put on no invoice."""
+    path = fresh_path(spark, "billing")
+    rated = rate.rate_usage(fixtures.incomplete(_clean(spark, sf_dir)))
+    bill_period(rated, path, PERIOD, invoice_day())
+    return read_published(spark, path, "unbillable_usage", PERIOD).select("record_id", "problem", "cost")
+
+
+def billing_full(spark, sf_dir):
+    """Tariff, hours and cells, plans and promotions, quotas, and fees in sequence, up to the published invoice."""
+    path = fresh_path(spark, "billing")
+    rules = Rules(
+        tariff=fixtures.other_tariff(spark),
+        bands=fixtures.hour_bands(spark),
+        cells=fixtures.cell_modifiers(spark),
+        subscriptions=fixtures.clients(spark, sf_dir),
+        plans=fixtures.plans(spark),
+        promotions=fixtures.promotions(spark),
+        quotas=fixtures.quotas(spark),
+        fees=fixtures.fees(spark),
+    )
+    bill_period(_rated(spark, sf_dir), path, PERIOD, invoice_day(), rules=rules)
+    lines = read_published(spark, path, "invoice_lines", PERIOD)
+    sums = lines.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("line_amount").alias("lines_amount"))
+    return read_published(spark, path, "invoices", PERIOD).join(sums, "user_id", "left")
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    path = f"{fresh_path(spark, 'landing')}/records"
+    fixtures.raw_json(spark, sf_dir).select("value").repartition(3).write.text(path)
+    return path
+
+
+def landing_batch(spark, sf_dir):
+    """Raw records through text files."""
+    return mediate.parse_usage(read_raw(spark, _landed(spark, sf_dir))).select(*PAYLOAD)
+
+
+def landing_stream(spark, sf_dir):
+    """The same as a stream through mediation: normalised fields of clean records."""
+    path = fresh_path(spark, "landed")
+    raw = stream_raw(spark, "text", {"maxFilesPerTrigger": "1"}, _landed(spark, sf_dir))
+    query = start_mediation(raw, "parquet", {}, f"{path}-checkpoint", path, trigger=AT_ONCE, name=None)
+    await_all([query])
+    return mediate.parse_usage(read_mediated(spark, path).where("is_valid")).select(*PAYLOAD)
+
+
+def table_round_trip(spark, sf_dir):
+    """Rated usage through a stored table, billed twice into result tables, and read back: one run shows."""
+    path = fresh_path(spark, "tables")
+    stored = rate.to_rated_table(_rated(spark, sf_dir))
+    doubles = {name: F.col(name).cast("double") for name in ("data_volume_mb", "cost")}
+    batches = BatchTable("check", "parquet", path=f"{path}/rated")
+    for _ in range(2):
+        batches(stored.withColumns(doubles).withColumnRenamed("timestamp", "event_ts"), 0)
+    for _ in range(2):
+        rated = rate.from_rated_table(read_table(spark, path=f"{path}/rated"), PERIOD)
+        run = bill_period(rated, f"{path}/billing", PERIOD, invoice_day())
+        tables = {name: read_published(spark, f"{path}/billing", name, PERIOD) for name in ("billing_summary", "invoice_lines")}
+        publish_tables(tables, PERIOD, run, "parquet", path=f"{path}/database")
+    summary, lines = (read_published_table(spark, name, PERIOD, "parquet", path=f"{path}/database") for name in tables)
+    sums = lines.groupBy("invoice_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("line_amount").alias("lines_amount"))
+    return summary.join(sums, "invoice_id", "left").select("invoice_id", "subtotal", "total_amount", "n_lines", "lines_amount")
+
+
+def csv_round_trip(spark, sf_dir):
+    path = fresh_path(spark, "csv")
+    lines = bill.invoice_lines(_rated(spark, sf_dir), PERIOD, period_filter=False)
+    export_csv(lines, path)
+    return spark.read.schema(lines.schema).option("header", True).csv(path)
+
+
+def client_ids(spark, sf_dir):
+    path = fresh_path(spark, "clients")
+    write_table(fixtures.clients(spark, sf_dir), path=path)
+    write_table(fixtures.clients(spark, sf_dir), path=path)
+    return read_clients(spark, path=path)
 
 
 QUERIES: dict[str, Query] = {
@@ -346,6 +453,14 @@ QUERIES: dict[str, Query] = {
         stream_rate,
         stream_dedup,
         stream_daily_usage,
+        billing_published,
+        usage_unbillable,
+        billing_full,
+        landing_batch,
+        landing_stream,
+        table_round_trip,
+        csv_round_trip,
+        client_ids,
     )
 } | {"usage_clean": _clean}
 

@@ -97,5 +97,10 @@ def unit_price(quantity: Column) -> Column:
     return F.round(F.try_divide(F.col("cost"), quantity), 4).cast(c.UNIT_PRICE_TYPE)
 
 
+def line_amount() -> Column:
+    """A record's cost in cents.  Everything an invoice shows is summed from these, so that it adds up."""
+    return F.round("cost", 2).cast(c.AMOUNT_TYPE)
+
+
 def invoice_id(period: Column, user: Column) -> Column:
     return F.concat(F.replace(period, F.lit("-"), F.lit("")), user)

@@ -38,6 +38,11 @@ def utc_instant(wall_clock: Column) -> Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), wall_clock))
 
 
+def micros(wall_clock: str) -> Column:
+    """Microseconds of a wall clock time."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), F.col(wall_clock))
+
+
 def event_time(name: str) -> Column:
     """Time stamp text to UTC wall clock; NULL where it cannot be read."""
     return utc_wall_clock(F.try_to_timestamp(F.col(name)))
@@ -53,8 +58,12 @@ def whole_number(name: str) -> Column:
 
 
 def real_number(name: str) -> Column:
-    """Text as DOUBLE, including NaN and infinity, NULL where it is none; see :func:`whole_number`."""
-    return F.when(F.col(name).rlike(r"^\s*[-+]?[.0-9NnIi]"), F.col(name).try_cast("double"))
+    """Text as DOUBLE, including NaN and infinity, NULL where it is none; see :func:`whole_number`.
+
+    The whole text must be a number: the cast alone would also accept a trailing type letter, as in ``5d``.
+    """
+    number = r"(?i)^\s*[-+]?((\d+\.?\d*|\.\d+)(e[-+]?\d+)?|nan|inf(inity)?)\s*$"
+    return F.when(F.col(name).rlike(number), F.col(name).try_cast("double"))
 
 
 def json_number(name: str, value: str) -> Column:

@@ -1,15 +1,18 @@
 """Bills a period: summary and lines, published together, and their CSV and document exports."""
 
 import argparse
+from dataclasses import fields
 
 from meterline.jobs.options import add_endpoint, options
 from meterline.operators.documents import invoice_documents
 from meterline.operators.rate import from_rated_table
-from meterline.plans.pipeline import bill_period
-from meterline.session import session, shuffle_settings
-from meterline.sinks import export_csv, read_published, write_documents, write_table
+from meterline.plans.pipeline import Rules, bill_period
+from meterline.session import session, size_shuffles
+from meterline.sinks import export_csv, publish_tables, read_published, write_documents
 from meterline.sources import read_batches, read_table
 
+RULE_TABLES = [field.name for field in fields(Rules)]
+
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
@@ -18,25 +21,36 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--path", required=True, help="folder of the billing tables")
     parser.add_argument("--all-usage", action="store_true", help="bill all usage under the period's label")
     parser.add_argument("--keep-copies", action="store_true", help="charge every copy of a record")
-    parser.add_argument("--input-gb", type=float, help="size of the period's usage, to size shuffles by")
+    parser.add_argument("--input-gb", type=float, help="size of the period's usage, for sources that do not tell it")
+    for name in RULE_TABLES:
+        parser.add_argument(f"--{name}", help=f"Parquet table of the {name} rules")
     parser.add_argument("--csv", help="folder for the lines as CSV")
     parser.add_argument("--single-csv-file", action="store_true")
     parser.add_argument("--documents", help="folder for invoice documents")
     parser.add_argument("--document-format", choices=("json", "xml"), default="json")
     parser.add_argument("--database-option", action="append", default=[], metavar="KEY=VALUE")
     args = parser.parse_args(arguments)
-    spark = session("billing", **shuffle_settings(args.input_gb))
+    spark = session("billing")
+    period = None if args.all_usage else args.period
     if args.rated_format == "batches":
-        rated = read_batches(spark, args.rated_path)
+        rated = read_batches(spark, args.rated_path, period)
     else:
-        rated = from_rated_table(read_table(spark, args.rated_format, options(args.rated_option), args.rated_path))
+        table = read_table(spark, args.rated_format, options(args.rated_option), args.rated_path)
+        rated = from_rated_table(table, period)
+    size_shuffles(rated, args.input_gb)
+    given = {name: spark.read.parquet(path) for name in RULE_TABLES if (path := getattr(args, name))}
     # Streamed usage may hold copies that arrived further apart than stream state reaches back.
-    bill_period(rated, args.path, args.period, period_filter=not args.all_usage, dedup=not args.keep_copies)
+    run = bill_period(
+        rated,
+        args.path,
+        args.period,
+        period_filter=not args.all_usage,
+        dedup=not args.keep_copies,
+        rules=Rules(**given) if given else None,
+    )
     summary, lines = (read_published(spark, args.path, name, args.period) for name in ("billing_summary", "invoice_lines"))
     if args.database_option:
-        database = options(args.database_option)
-        write_table(summary, "jdbc", {**database, "dbtable": "billing_summary"})
-        write_table(lines, "jdbc", {**database, "dbtable": "invoice_lines"})
+        publish_tables({"billing_summary": summary, "invoice_lines": lines}, args.period, run, "jdbc", options(args.database_option))
     if args.csv:
         export_csv(lines, args.csv, args.single_csv_file)
     if args.documents:

@@ -14,6 +14,7 @@ def main(arguments: list[str] | None = None) -> None:
     add_endpoint(parser, "sink", "kafka")
     parser.add_argument("--clean-topic", default="clean_records")
     parser.add_argument("--dirty-topic", default="dirty_records")
+    parser.add_argument("--dedup-delay", help="leave out copies that arrive within this time, such as '7 days'")
     add_streaming(parser)
     args = parser.parse_args(arguments)
     spark = session("mediation")
@@ -27,6 +28,7 @@ def main(arguments: list[str] | None = None) -> None:
         args.clean_topic,
         args.dirty_topic,
         trigger(args),
+        dedup_delay=args.dedup_delay,
     )
     await_all([query])
 

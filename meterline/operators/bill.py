@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from meterline import constants as c
 from meterline.functions import charges
-from meterline.plans.running import HOT_ROWS, running_totals
+from meterline.plans.running import HOT_ROWS, write_running_totals
+from meterline.plans.rules import with_rules
 from meterline.schema import LINE_COLUMNS, SUMMARY_COLUMNS
 
 
@@ -18,9 +19,9 @@ def billable(rated: DataFrame) -> DataFrame:
 
 
 def unbillable(rated: DataFrame) -> DataFrame:
-    """Rated records without a payer, or without a readable time and so without a period: for inspection."""
-    incomplete = charges.paying_user().isNull() | F.col("billing_period").isNull()
-    return rated.where((F.col("status") == c.STATUS_RATED) & incomplete)
+    """Rated records that no invoice can hold, with the ``problem``: no payer, or no readable time and so no period."""
+    problem = F.when(charges.paying_user().isNull(), "payer").when(F.col("billing_period").isNull(), "time")
+    return rated.where(F.col("status") == c.STATUS_RATED).withColumn("problem", problem).where(F.col("problem").isNotNull())
 
 
 def _of_period(rated: DataFrame, period: str | None, period_filter: bool) -> DataFrame:
@@ -39,17 +40,18 @@ def charges_by_service(rated: DataFrame) -> DataFrame:
     return billable(rated).groupBy("user_id", "record_type").agg(F.sum("cost").alias("service_cost"))
 
 
-def _service_total(kind: str) -> Column:
-    nothing = F.lit(0).cast(c.COST_TYPE)
-    return F.sum(F.when(F.col("record_type") == kind, F.col("cost")).otherwise(nothing))
+def _client_totals(rated: DataFrame, amount: Column | None = None) -> DataFrame:
+    """One row per client and period with service totals: one pass, one exchange, no pivot.
 
-
-def _client_totals(rated: DataFrame) -> DataFrame:
-    """One row per client and period with exact service totals: one pass, one exchange, no pivot."""
+    Totals are of line amounts in cents, as invoices show them, or of another ``amount``.
+    """
+    amount = charges.line_amount() if amount is None else amount
+    # An unknown record type costs nothing, so the services are all there is to sum.
+    totals = [F.sum(F.when(F.col("record_type") == kind, amount).otherwise(F.lit(0))).alias(kind) for kind in c.RECORD_TYPES]
     return (
         billable(rated)
         .groupBy("user_id", "billing_period")
-        .agg(*[_service_total(kind).alias(kind) for kind in c.RECORD_TYPES])
+        .agg(*totals)
         .withColumn("subtotal", F.col("voice") + F.col("sms") + F.col("data"))
     )
 
@@ -64,10 +66,11 @@ def billing_summary(
     """One invoice per client and period.
 
     ``period=None`` bills every period in the data; ``period_filter=False`` bills all usage under the label
-    ``period``.  Amounts are summed exactly and rounded to cents once, at the end.
+    ``period``.  Lines are rounded to cents, the subtotal is their sum, the tax is that of the subtotal rounded to cents,
+    and the total is the sum of both.
     """
     totals = _client_totals(_of_period(rated, period, period_filter))
-    tax = F.col("subtotal") * F.lit(tax_rate)
+    tax = F.round(F.col("subtotal") * F.lit(tax_rate), 2).cast(c.AMOUNT_TYPE)
     amounts = {
         "total_voice_cost": F.col("voice"),
         "total_sms_cost": F.col("sms"),
@@ -80,7 +83,7 @@ def billing_summary(
         {
             "invoice_id": charges.invoice_id(F.col("billing_period"), F.col("user_id")),
             "invoice_date": F.current_date() if invoice_date is None else invoice_date,
-            **{name: F.round(value, 2).cast(c.AMOUNT_TYPE) for name, value in amounts.items()},
+            **{name: value.cast(c.AMOUNT_TYPE) for name, value in amounts.items()},
         }
     ).select(*SUMMARY_COLUMNS)
 
@@ -88,7 +91,10 @@ def billing_summary(
 def invoice_lines(
     rated: DataFrame, period: str | None = None, period_filter: bool = True, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """One line per billed record, numbered within the invoice by service, time and arrival."""
+    """One line per billed record, numbered within the invoice by service, time and arrival.
+
+    Runs jobs while it is built (:mod:`meterline.plans.running`): bill from stored usage.
+    """
     usage = billable(_of_period(rated, period, period_filter)).withColumn("quantity", charges.quantity())
     lines = usage.select(
         charges.invoice_id(F.col("billing_period"), F.col("user_id")).alias("invoice_id"),
@@ -99,9 +105,9 @@ def invoice_lines(
         F.col("quantity").cast(c.QUANTITY_TYPE).alias("usage_quantity"),
         charges.unit_label().alias("unit"),
         charges.unit_price(F.col("quantity")).alias("unit_price"),
-        F.round("cost", 2).cast(c.AMOUNT_TYPE).alias("line_amount"),
+        charges.line_amount().alias("line_amount"),
     )
-    numbered = running_totals(
+    numbered = write_running_totals(
         lines,
         ["invoice_id"],
         ["service_type", "event_ts", "record_id"],
@@ -112,8 +118,8 @@ def invoice_lines(
 
 
 def billing_by_cycle(rated: DataFrame) -> DataFrame:
-    """Exact charges of every client and billing period."""
-    return _client_totals(_of_period(rated, None, True)).select(
+    """Exact charges of every client and billing period, before any rounding."""
+    return _client_totals(_of_period(rated, None, True), F.col("cost")).select(
         "user_id",
         "billing_period",
         F.col("voice").alias("voice_cost"),
@@ -127,13 +133,14 @@ def billable_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HO
     """Adds ``quantity`` and ``billable``, the part beyond the client's free units of that service and period.
 
     quotas: service, free_units; several quotas of a service add up.  Free units go to the earliest usage.
+    Runs jobs while it is built (:mod:`meterline.plans.running`).
     """
     free = quotas.groupBy(F.col("service").alias("_service")).agg(
         F.sum("free_units").cast(c.VOLUME_TYPE).alias("free_units")
     )
     nothing = F.lit(0).cast(c.VOLUME_TYPE)
     usage = billable(rated).withColumn("quantity", F.coalesce(charges.billed_quantity(), nothing))
-    used = running_totals(
+    used = write_running_totals(
         usage,
         ["user_id", "billing_period", "record_type"],
         ["event_ts", "record_id"],
@@ -142,59 +149,98 @@ def billable_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HO
     )
     beyond = F.col("used") - F.coalesce("free_units", nothing)
     return (
-        used.join(free, F.col("record_type") == F.col("_service"), "left")
+        with_rules(used, free, {"_service": F.col("record_type")})
         .withColumn("billable", F.greatest(nothing, F.least("quantity", beyond)).cast(c.VOLUME_TYPE))
-        .drop("_service", "free_units", "used")
+        .drop("free_units", "used")
     )
 
 
-def _scoped_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
-    """Every invoice scope with its fees, or once without.
+def rate_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``base_cost`` becomes ``cost`` of the units beyond the quota: a record costs its billable share.
+
+    Rows keep the columns of rated usage; records without payer or time keep their price, for no quota is theirs.
+    """
+    has_owner = charges.paying_user().isNotNull() & F.col("billing_period").isNotNull()
+    owned = rated.where(has_owner & (F.col("status") == c.STATUS_RATED))
+    names = owned.columns
+    # ``billable`` puts the payer into user_id, which later steps look up for themselves.
+    left = billable_after_quota(owned.withColumn("_user", F.col("user_id")), quotas, hot_rows)
+    left = left.withColumn("user_id", F.col("_user"))
+    share = F.try_divide(F.col("billable"), F.col("quantity")).cast("decimal(19,18)")
+    cost = F.round(F.col("cost") * F.coalesce(share, F.lit(1).cast("decimal(19,18)")), 6).cast(c.COST_TYPE)
+    priced = left.withColumn("base_cost", F.col("cost")).withColumn("cost", cost).select(*names, "base_cost")
+    rest = rated.where(~F.coalesce(has_owner & (F.col("status") == c.STATUS_RATED), F.lit(False)))
+    return priced.unionByName(rest.withColumn("base_cost", F.col("cost")).select(*names, "base_cost"))
+
+
+#: Fees that one invoice may have; each becomes a column expression.
+MOST_FEES = 200
+
+
+def _fee_list(fees: DataFrame) -> Column:
+    """All fees of an invoice as an array of (fee, category, amount, applies), from columns with its charges.
 
     fees: fee, category ('fee' or 'tax'), scope (a record type, or 'all' for the invoice), kind ('fixed' or
-    'percent'), amount.  A fee of one service applies only to invoices with charges for it.  Each invoice is
-    unfolded into its scopes, so fees are found by an equality join and not by pairing all with all.
+    'percent'), amount and, if the table has it, step.  A percentage for the whole invoice is taken of the subtotal and
+    of all fees of earlier steps, so that a tax of a later step covers them; one for a service is taken of its charge
+    alone, and applies only to invoices with charges for it.  A fee table is a few rows by nature: more than
+    ``MOST_FEES`` are refused.
     """
+    columns = ["fee", "category", "scope", "kind", "amount", *(["step"] if "step" in fees.columns else [])]
+    rows = fees.select(*columns).limit(MOST_FEES + 1).collect()
+    if len(rows) > MOST_FEES:
+        raise ValueError(f"more than {MOST_FEES} fees")
+    nothing = F.lit(0).cast(c.AMOUNT_TYPE)
+    listed, earlier = [], nothing
+    for step in sorted({row["step"] if "step" in columns else 0 for row in rows}):
+        own = nothing
+        for row in sorted(rows, key=lambda r: (str(r["fee"]), str(r["scope"]))):
+            if "step" in columns and row["step"] != step:
+                continue
+            whole = row["scope"] == "all"
+            charge = F.col("subtotal") + earlier if whole else F.col(row["scope"])
+            applies = F.lit(True) if whole else F.col(row["scope"]) > 0
+            amount = F.lit(row["amount"]) if row["kind"] == "fixed" else charge.cast("decimal(24,2)") * F.lit(row["amount"])
+            amount = F.round(amount, 2).cast(c.AMOUNT_TYPE)
+            own = (own + F.when(applies, amount).otherwise(nothing)).cast(c.AMOUNT_TYPE)
+            listed.append(
+                F.struct(
+                    F.lit(row["fee"]).alias("fee"),
+                    F.lit(row["category"]).alias("category"),
+                    amount.alias("amount"),
+                    applies.alias("applies"),
+                )
+            )
+        earlier = (earlier + own).cast(c.AMOUNT_TYPE)
+    kind = "array<struct<fee:string,category:string,amount:decimal(18,2),applies:boolean>>"
+    return F.filter(F.array(*listed).cast(kind), lambda fee: fee["applies"])
+
+
+def _with_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
     totals = _client_totals(_of_period(rated, None, True))
-    scopes = F.array(
-        F.struct(F.lit("all").alias("scope"), F.col("subtotal").alias("charge")),
-        *[F.struct(F.lit(k).alias("scope"), F.col(k).cast("decimal(32,6)").alias("charge")) for k in c.RECORD_TYPES],
-    )
-    unfolded = totals.select("user_id", "billing_period", "subtotal", F.inline(scopes))
-    applicable = unfolded.where((F.col("scope") == "all") | (F.col("charge") > 0))
-    amount = F.when(F.col("kind") == "fixed", F.col("amount")).otherwise(
-        F.col("charge").cast("decimal(24,6)") * F.col("amount")
-    )
-    return applicable.join(fees, "scope", "left").select(
-        "user_id",
-        "billing_period",
-        "subtotal",
-        "fee",
-        "category",
-        F.round(amount, 2).cast(c.AMOUNT_TYPE).alias("amount"),
-    )
+    return totals.withColumn("fees", _fee_list(fees))
 
 
 def invoice_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
     """Every fee of every invoice: user_id, billing_period, subtotal, fee, category, amount."""
-    return _scoped_fees(rated, fees).where(F.col("fee").isNotNull())
+    listed = _with_fees(rated, fees).select("user_id", "billing_period", "subtotal", F.inline("fees"))
+    return listed.drop("applies")
 
 
 def billing_with_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
-    """Invoices with fees and taxes from the fee table."""
+    """Invoices with fees and taxes from the fee table; the total is the sum of what is shown."""
 
     def sum_of(category: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("category") == category, F.col("amount"))), F.lit(0)).cast(c.AMOUNT_TYPE)
+        own = F.filter("fees", lambda fee: fee["category"] == category)
+        total = F.aggregate(own, F.lit(0).cast(c.AMOUNT_TYPE), lambda sums, fee: (sums + fee["amount"]).cast(c.AMOUNT_TYPE))
+        return total.cast(c.AMOUNT_TYPE)
 
-    # Grouped as the charges already are, so this adds no exchange.
-    summed = (
-        _scoped_fees(rated, fees)
-        .groupBy("user_id", "billing_period")
-        .agg(
-            F.round(F.max("subtotal"), 2).cast(c.AMOUNT_TYPE).alias("subtotal"),
-            sum_of("fee").alias("fee_amount"),
-            sum_of("tax").alias("tax_amount"),
-        )
+    summed = _with_fees(rated, fees).select(
+        "user_id",
+        "billing_period",
+        F.col("subtotal").cast(c.AMOUNT_TYPE).alias("subtotal"),
+        sum_of("fee").alias("fee_amount"),
+        sum_of("tax").alias("tax_amount"),
     )
     total = F.col("subtotal") + F.col("fee_amount") + F.col("tax_amount")
     return summed.withColumn("total_amount", total.cast(c.AMOUNT_TYPE))

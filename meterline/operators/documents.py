@@ -9,11 +9,11 @@ PAGE_LINES = 10_000
 
 
 def invoice_documents(summary: DataFrame, lines: DataFrame, page_lines: int = PAGE_LINES) -> DataFrame:
-    """One nested row per invoice page, lines in order; the first page carries the invoice header.
+    """One nested row per invoice page, lines in order; every page carries the invoice header and the number of pages.
 
-    An invoice of ordinary size is one page.  A larger one becomes as many pages as it needs, so no array
-    outgrows a task and no line is left out.  Pages meet headers on (invoice, page), which stays evenly spread
-    however many pages one invoice has.
+    An invoice becomes as many pages as it needs, so no array outgrows a task and no line is left out.  Headers are
+    unfolded into their pages first, and meet them on (invoice, page), which stays evenly spread however many pages one
+    invoice has.
     """
     detail = [name for name in LINE_COLUMNS if name not in ("invoice_id", "user_id")]
     paged = lines.withColumn("page", F.floor((F.col("line_number") - 1) / page_lines) + 1)
@@ -22,14 +22,16 @@ def invoice_documents(summary: DataFrame, lines: DataFrame, page_lines: int = PA
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("line_amount").alias("page_amount"),
     )
-    header = summary.select(
+    sizes = paged.groupBy(F.col("invoice_id").alias("_of")).agg(F.max("page").alias("pages"))
+    header = summary.join(sizes, F.col("invoice_id") == F.col("_of")).select(
         F.col("invoice_id").alias("_invoice"),
-        F.lit(1).cast("bigint").alias("_page"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("pages"))).alias("_page"),
+        "pages",
         F.struct(*[name for name in summary.columns if name not in ("invoice_id", "user_id")]).alias("header"),
     )
-    first = (F.col("invoice_id") == F.col("_invoice")) & (F.col("page") == F.col("_page"))
-    return pages.join(header, first, "left").select(
-        "invoice_id", "user_id", "page", "header", "n_lines", "page_amount", "lines"
+    same = (F.col("invoice_id") == F.col("_invoice")) & (F.col("page") == F.col("_page"))
+    return pages.join(header, same, "left").select(
+        "invoice_id", "user_id", "page", "pages", "header", "n_lines", "page_amount", "lines"
     )
 
 

@@ -81,19 +81,20 @@ def usage_dirty(df: DataFrame, marker: str = CORRUPTION_MARKER) -> DataFrame:
     return validate_usage(df, marker).where(~F.col("is_valid"))
 
 
-def dedup_usage(df: DataFrame) -> DataFrame:
-    """The first arrival of every payload, in canonical columns.
+def dedup_usage(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The first arrival of every payload, in canonical columns, with that arrival's ``carry`` columns.
 
     Grouping by the payload itself is exact, and copies collapse before the shuffle, so a record that was sent
     a billion times costs one row per task.
     """
-    return df.groupBy(*PAYLOAD).agg(F.min("record_id").alias("record_id")).select(*CANONICAL)
+    carried = [F.min_by(name, "record_id").alias(name) for name in carry]
+    return df.groupBy(*PAYLOAD).agg(F.min("record_id").alias("record_id"), *carried).select(*CANONICAL, *carry)
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Payloads that arrived more than once: first and last arrival and number of copies."""
     return (
-        df.groupBy(*PAYLOAD)
+        df.groupBy(payload_key().alias("_key"), "record_type", "user_id")
         .agg(
             F.min("record_id").alias("record_id"),
             F.max("record_id").alias("last_record_id"),
@@ -105,8 +106,12 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 
 
 def payload_key() -> Column:
-    """Digest of everything a record says, for state that must stay small."""
-    return F.sha2(F.to_json(F.struct(*PAYLOAD)), 256)
+    """Digest of everything a record says, in 32 bytes, for state and shuffles that must stay small.
+
+    The time goes in as microseconds: as JSON text it would lose all below the millisecond.
+    """
+    fields = [records.micros(name).alias(name) if name == "event_ts" else F.col(name) for name in PAYLOAD]
+    return F.unhex(F.sha2(F.to_json(F.struct(*fields)), 256))
 
 
 def unify_usage(*frames: DataFrame) -> DataFrame:

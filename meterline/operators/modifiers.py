@@ -2,9 +2,6 @@
 
 Where several rules of a kind fit a record the lowest price applies: rule tables are made unique before they meet
 usage, so no record is charged twice.
-
-Rule tables are small by nature, but nothing here relies on it: no join is hinted, so Spark broadcasts a rule
-table only if its own size estimate allows and shuffles it otherwise.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -12,41 +9,29 @@ from pyspark.sql import functions as F
 
 from meterline.constants import COST_TYPE
 from meterline.functions import charges
+from meterline.plans.rules import with_rules
+
+#: Stands for the end of a promotion without one: the last moment that a time stamp can hold here.
+OPEN_END = "TIMESTAMP_NTZ'9999-12-31 23:59:59.999999'"
 
 
 def promotion_segments(promotions: DataFrame) -> DataFrame:
-    """Promotions (service, valid_from, valid_to, percent_off) as non-overlapping segments by service and day.
+    """Promotions (service, valid_from, valid_to, percent_off) as non-overlapping segments by service.
 
-    Where promotions overlap the largest reduction applies, so a record meets at most one segment.  Promotions
-    are unfolded into days first: only those of one service and day are compared with each other, and the day
-    makes the later join an equality with many distinct keys.
+    ``valid_to`` is excluded; NULL is an open end.  Where promotions overlap the largest reduction applies, so a record
+    meets at most one segment.
     """
-    days = F.sequence(
-        F.to_date("valid_from"),
-        F.to_date(F.col("valid_to") - F.expr("INTERVAL 1 MICROSECOND")),
-        F.expr("INTERVAL 1 DAY"),
-    )
-    lasting = promotions.where(F.col("valid_from") < F.col("valid_to"))
-    daily = lasting.withColumn("day", F.explode(days)).select(
-        "service",
-        "day",
-        F.greatest("valid_from", F.col("day").cast("timestamp_ntz")).alias("valid_from"),
-        F.least("valid_to", F.date_add("day", 1).cast("timestamp_ntz")).alias("valid_to"),
-        "percent_off",
-    )
-    borders = daily.select(
-        "service", "day", F.explode(F.array("valid_from", "valid_to")).alias("segment_from")
-    ).distinct()
-    following = Window.partitionBy("service", "day").orderBy("segment_from")
+    lasting = promotions.withColumn("valid_to", F.coalesce("valid_to", F.expr(OPEN_END)))
+    lasting = lasting.where(F.col("valid_from") < F.col("valid_to")).select("service", "valid_from", "valid_to", "percent_off")
+    borders = lasting.select("service", F.explode(F.array("valid_from", "valid_to")).alias("segment_from")).distinct()
+    following = Window.partitionBy("service").orderBy("segment_from")
     segments = borders.withColumn("segment_to", F.lead("segment_from").over(following)).where(
         F.col("segment_to").isNotNull()
     )
-    covered = segments.join(daily, ["service", "day"]).where(
+    covered = segments.join(lasting, "service").where(
         (F.col("valid_from") <= F.col("segment_from")) & (F.col("segment_to") <= F.col("valid_to"))
     )
-    return covered.groupBy("service", "day", "segment_from", "segment_to").agg(
-        F.max("percent_off").alias("percent_off")
-    )
+    return covered.groupBy("service", "segment_from", "segment_to").agg(F.max("percent_off").alias("percent_off"))
 
 
 def rate_with_promotions(
@@ -65,32 +50,31 @@ def rate_with_promotions(
     )
     segments = promotion_segments(promotions).withColumnRenamed("service", "_service")
     usage = rated.withColumnRenamed("cost", "base_cost").withColumn("payer", charges.paying_user())
-    in_segment = (
-        (F.col("record_type") == F.col("_service"))
-        & (F.to_date("event_ts") == F.col("day"))
-        & (F.col("event_ts") >= F.col("segment_from"))
-        & (F.col("event_ts") < F.col("segment_to"))
-    )
-    promoted = usage.join(segments, in_segment, "left").join(
-        multipliers, F.col("payer") == F.col("_payer"), "left"
-    )
+    valid = (F.col("event_ts") >= F.col("segment_from")) & (F.col("event_ts") < F.col("segment_to"))
+    promoted = with_rules(usage, segments, {"_service": F.col("record_type")}, valid)
+    promoted = promoted.join(multipliers, F.col("payer") == F.col("_payer"), "left")
     price = (
         F.col("base_cost")
         * F.coalesce("plan_multiplier", F.lit(1).cast("decimal(4,2)"))
         * (F.lit(1).cast("decimal(4,2)") - F.coalesce("percent_off", F.lit(0).cast("decimal(4,2)")))
     )
     return promoted.withColumn("cost", price.cast(COST_TYPE)).drop(
-        "_service", "_payer", "day", "segment_from", "segment_to", "percent_off", "plan_multiplier"
+        "_payer", "segment_from", "segment_to", "percent_off", "plan_multiplier"
     )
 
 
 def hour_rows(bands: DataFrame) -> DataFrame:
-    """Bands (weekend, from_hour, to_hour, hour_multiplier) as one row per kind of day and hour."""
-    hours = F.sequence(F.col("from_hour"), F.col("to_hour") - 1)
-    unfolded = bands.where(F.col("from_hour") < F.col("to_hour")).select(
-        "weekend", F.explode(hours).alias("hour"), "hour_multiplier"
+    """Bands (weekend, from_hour, to_hour, hour_multiplier) as one row per kind of day and hour.
+
+    A band whose end comes before its start goes over midnight: 22 to 6 covers the hours 22, 23 and 0 to 5 of its kind
+    of day.  A band that starts and ends at the same hour covers the whole day.
+    """
+    first, end = F.col("from_hour"), F.col("to_hour")
+    hours = F.sequence(first, F.when(first < end, end).otherwise(end + 24) - 1)
+    unfolded = bands.select("weekend", F.explode(hours).alias("hour"), "hour_multiplier")
+    return unfolded.groupBy("weekend", (F.col("hour") % 24).alias("hour")).agg(
+        F.min("hour_multiplier").alias("hour_multiplier")
     )
-    return unfolded.groupBy("weekend", "hour").agg(F.min("hour_multiplier").alias("hour_multiplier"))
 
 
 def rate_with_modifiers(rated: DataFrame, bands: DataFrame, cells: DataFrame) -> DataFrame:
@@ -99,9 +83,7 @@ def rate_with_modifiers(rated: DataFrame, bands: DataFrame, cells: DataFrame) ->
     hours = hour_rows(bands).withColumnsRenamed({"weekend": "_weekend", "hour": "_hour"})
     places = cells.groupBy(F.col("cell_id").alias("_cell")).agg(F.min("cell_multiplier").alias("cell_multiplier"))
     usage = rated.withColumnRenamed("cost", "base_cost")
-    at_time = ((F.weekday("event_ts") >= 5) == F.col("_weekend")) & (F.hour("event_ts") == F.col("_hour"))
-    joined = usage.join(hours, at_time, "left").join(places, F.col("cell_id") == F.col("_cell"), "left")
+    timed = with_rules(usage, hours, {"_weekend": F.weekday("event_ts") >= 5, "_hour": F.hour("event_ts")})
+    joined = with_rules(timed, places, {"_cell": F.col("cell_id")})
     price = F.col("base_cost") * F.coalesce("hour_multiplier", neutral) * F.coalesce("cell_multiplier", neutral)
-    return joined.withColumn("cost", price.cast(COST_TYPE)).drop(
-        "_weekend", "_hour", "_cell", "hour_multiplier", "cell_multiplier"
-    )
+    return joined.withColumn("cost", price.cast(COST_TYPE)).drop("hour_multiplier", "cell_multiplier")

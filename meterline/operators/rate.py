@@ -6,6 +6,8 @@ from pyspark.sql.types import TimestampType
 
 from meterline import constants as c
 from meterline.functions import charges, records
+from meterline.operators.constraints import tariff_gaps
+from meterline.plans.rules import with_rules
 from meterline.schema import CANONICAL, RATED_COLUMNS
 
 
@@ -23,12 +25,36 @@ def to_rated_table(rated: DataFrame) -> DataFrame:
     return rated.withColumnRenamed("event_ts", "timestamp").select(*RATED_COLUMNS)
 
 
-def from_rated_table(table: DataFrame) -> DataFrame:
+def _last_attempts(table: DataFrame) -> DataFrame:
+    """Of each batch in a table of appended batches the last attempt: an earlier one may have left rows, too."""
+    batches = table.groupBy("run", "batch_id").agg(F.max("attempt").alias("attempt"))
+    return table.join(batches, ["run", "batch_id", "attempt"], "left_semi")
+
+
+def of_period(table: DataFrame, period: str) -> DataFrame:
+    """Rated rows of a stored table with a time in the period ``yyyy-MM``, or without one, which belong to none.
+
+    Both conditions are on stored columns as they are, so they reach the files or the database.
+    """
+    start, end = (F.add_months(F.to_date(F.lit(f"{period}-01")), n).cast("timestamp_ntz") for n in (0, 1))
+    stamp = F.col("timestamp")
+    if isinstance(table.schema["timestamp"].dataType, TimestampType):
+        start, end = records.utc_instant(start), records.utc_instant(end)
+    inside = (stamp >= start) & (stamp < end)
+    return table.where((F.col("status") == c.STATUS_RATED) & (inside | stamp.isNull()))
+
+
+def from_rated_table(table: DataFrame, period: str | None = None) -> DataFrame:
     """A stored table, whose numbers may be floating point, as rated usage ready for billing.
 
-    Stored rows have no arrival position; they are given one here, which holds once the rows are written
-    (:func:`meterline.plans.pipeline.bill_period` does that first).
+    With a period, only its rows are read (:func:`of_period`).  Batches that were appended more than once
+    (:class:`meterline.sinks.BatchTable`) count once.  Stored rows have no arrival position; they are given one here,
+    which holds once the rows are written (:func:`meterline.plans.pipeline.bill_period` does that first).
     """
+    if period is not None:
+        table = of_period(table, period)
+    if {"run", "batch_id", "attempt"} <= set(table.columns):
+        table = _last_attempts(table)
     stamp = F.col("timestamp")
     if isinstance(table.schema["timestamp"].dataType, TimestampType):
         stamp = records.utc_wall_clock(stamp)
@@ -65,10 +91,12 @@ def rate_by_tariff_table(df: DataFrame, tariff: DataFrame) -> DataFrame:
     """Status and cost from a tariff table (service, tier_from, tier_to, unit, price, round_rule).
 
     Every tier is given the full charge of the tiers below it first, on the tariff side.  A record then meets
-    exactly one tier, so pricing needs no regrouping of usage: one join that Spark broadcasts when its own
-    size estimate of the tariff allows.  Tiers of a service must be contiguous from
-    zero (:func:`meterline.operators.constraints.tariff_gaps`).
+    exactly one tier, so pricing needs no regrouping of usage.  Tiers of a service must be contiguous from zero; a
+    tariff with gaps or repeated tiers is refused before anything is priced.
     """
+    gap = tariff_gaps(tariff).select("service", "tier_from").first()
+    if gap:
+        raise ValueError(f"the tariff of {gap['service']} has no tier that ends where the one from {gap['tier_from']} starts")
     below = Window.partitionBy("service").orderBy("tier_from").rowsBetween(Window.unboundedPreceding, -1)
     tiers = tariff.withColumn(
         "below", F.coalesce(F.sum((F.col("tier_to") - F.col("tier_from")) * F.col("price")).over(below), F.lit(0))
@@ -84,15 +112,13 @@ def rate_by_tariff_table(df: DataFrame, tariff: DataFrame) -> DataFrame:
         },
         F.col("data_volume_mb"),
     )
-    in_tier = (
-        (F.col("record_type") == F.col("_service"))
-        & ((used > F.col("tier_from")) | ((used == 0) & (F.col("tier_from") == 0)))
-        & (F.col("tier_to").isNull() | (used <= F.col("tier_to")))
+    in_tier = ((used > F.col("tier_from")) | ((used == 0) & (F.col("tier_from") == 0))) & (
+        F.col("tier_to").isNull() | (used <= F.col("tier_to"))
     )
     charge = (F.col("below") + (used - F.col("tier_from")) * F.col("price")).cast(c.COST_TYPE)
     nothing = F.lit(0).cast(c.COST_TYPE)
-    joined = rating_status(df).join(tiers, in_tier, "left")
+    joined = with_rules(rating_status(df), tiers, {"_service": F.col("record_type")}, in_tier)
     priced = F.when(F.col("status") == c.STATUS_RATED, F.coalesce(charge, nothing)).otherwise(nothing)
     return joined.withColumns({"cost": priced, "billing_period": records.billing_period()}).drop(
-        "_service", "tier_from", "tier_to", "price", "round_rule", "below"
+        "tier_from", "tier_to", "price", "round_rule", "below"
     )

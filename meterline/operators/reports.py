@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 from meterline import constants as c
 from meterline.functions import charges
 from meterline.operators.bill import billable
-from meterline.operators.mediate import validate_usage
-from meterline.plans.percentiles import histogram_percentiles
+from meterline.operators.mediate import payload_key, validate_usage
+from meterline.plans.percentiles import write_histogram_percentiles
 from meterline.plans.running import HOT_ROWS
-from meterline.schema import PAYLOAD
 
 
 def reject_profile(usage: DataFrame) -> DataFrame:
@@ -19,7 +18,10 @@ def reject_profile(usage: DataFrame) -> DataFrame:
     must still have its original text (see :func:`meterline.operators.mediate.type_usage` and ``parse_usage``).
     """
     judged = validate_usage(usage)
-    payloads = judged.groupBy(*PAYLOAD, "reject_reason").agg(F.count(F.lit(1)).alias("copies"))
+    payloads = judged.groupBy(payload_key().alias("_key"), "record_type", "reject_reason").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+
     def counted(reason: Column, n: Column, records: Column) -> Column:
         return F.struct(reason.alias("reason"), n.alias("n"), records.alias("records"))
 
@@ -75,7 +77,10 @@ def _cycle(cycle: str) -> Column:
 
 
 def revenue_kpi(rated: DataFrame, cycle: str = "month") -> DataFrame:
-    """Revenue, clients and revenue per client by service and cycle, with the change to the previous cycle."""
+    """Revenue, clients and revenue per client by service and cycle, with the change to the previous cycle.
+
+    A service without revenue in the calendar cycle before has 0 there, and no change; its first cycle has neither.
+    """
     by_client = (
         billable(rated)
         .groupBy(_cycle(cycle).alias("cycle"), "record_type", "user_id")
@@ -85,8 +90,12 @@ def revenue_kpi(rated: DataFrame, cycle: str = "month") -> DataFrame:
     revenue = by_client.groupBy("cycle", "record_type").agg(
         F.sum("cost").cast("decimal(28,6)").alias("revenue"), F.count(F.lit(1)).alias("users")
     )
-    before = F.lag("revenue").over(Window.partitionBy("record_type").orderBy("cycle"))
-    kpi = revenue.withColumn("previous_revenue", before)
+    ordered = Window.partitionBy("record_type").orderBy("cycle")
+    start = F.to_date(F.rpad("cycle", 10, "-01"))
+    following = F.add_months(F.lag(start).over(ordered), 1) if cycle == "month" else F.date_add(F.lag(start).over(ordered), 1)
+    gap = F.lag("cycle").over(ordered).isNotNull() & (following != start)
+    nothing = F.lit(0).cast("decimal(28,6)")
+    kpi = revenue.withColumn("previous_revenue", F.when(gap, nothing).otherwise(F.lag("revenue").over(ordered)))
     change = F.try_divide(
         (F.col("revenue") - F.col("previous_revenue")).cast("decimal(22,6)"),
         F.col("previous_revenue").cast("decimal(22,6)"),
@@ -113,11 +122,13 @@ def top_users(rated: DataFrame, k: int = 10) -> DataFrame:
 def pipeline_counts(usage: DataFrame) -> DataFrame:
     """Records per day and stage: raw, clean, dirty, duplicate, rated (clean, copies removed) and rated value."""
     judged = validate_usage(usage)
-    payloads = judged.groupBy(*PAYLOAD, "is_valid").agg(F.count(F.lit(1)).alias("copies"))
+    described = judged.select(
+        payload_key().alias("_key"), F.to_date("event_ts").alias("day"), "is_valid", charges.rating_status().alias("status")
+    )
+    payloads = described.groupBy("_key", "day", "is_valid", "status").agg(F.count(F.lit(1)).alias("copies"))
     valid = F.col("is_valid")
     days = (
-        payloads.withColumns({"day": F.to_date("event_ts"), "status": charges.rating_status()})
-        .groupBy("day")
+        payloads.groupBy("day")
         .agg(
             F.sum("copies").alias("raw"),
             F.sum(F.when(valid, F.col("copies")).otherwise(0)).alias("clean"),
@@ -136,15 +147,17 @@ def _weighted(value: str) -> Column:
 
 
 def _pattern(rated: DataFrame, keys: dict[str, Column], hot_rows: int) -> DataFrame:
-    """Records, quantity, median and 95th percentile by ``keys``, all from one histogram of the quantities."""
+    """Records, quantity, median and 95th percentile by ``keys``, all from one histogram of the quantities.
+
+    Usage without quantity counts as a record.  Runs jobs while it is built (:mod:`meterline.plans.percentiles`).
+    """
     histogram = (
         billable(rated)
         .select(*[column.alias(name) for name, column in keys.items()], charges.billed_quantity().alias("quantity"))
-        .where(F.col("quantity").isNotNull())
         .groupBy(*keys, "quantity")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    return histogram_percentiles(
+    return write_histogram_percentiles(
         histogram,
         list(keys),
         "quantity",
@@ -177,7 +190,7 @@ def usage_by_cell_technology(rated: DataFrame, hot_rows: int = HOT_ROWS) -> Data
         F.sum("times").alias("times"),
     )
     keys = ["cell_id", "technology", "all_cells", "all_technologies"]
-    return histogram_percentiles(
+    return write_histogram_percentiles(
         cubed,
         keys,
         "cost",

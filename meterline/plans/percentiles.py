@@ -3,11 +3,11 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.plans.running import HOT_ROWS, running_totals
-from meterline.plans.shared_folder import checkpointed
+from meterline.plans.running import HOT_ROWS, bounded, write_running_totals
+from meterline.plans.shared_folder import written
 
 
-def histogram_percentiles(
+def write_histogram_percentiles(
     histogram: DataFrame,
     keys: list[str],
     value: str,
@@ -20,17 +20,21 @@ def histogram_percentiles(
 
     ``histogram`` holds each value of a key once with its count.  The count runs up in value order; the values
     at the two ranks around ``share * (n - 1)`` are picked and interpolated.  ``extra`` aggregates are taken along
-    from the same histogram.
+    from the same histogram.  A NULL value counts there, but has no rank.
+
+    The histogram, far smaller than the usage it was counted from, and the sizes of its groups are written below the
+    shared folder while the plan is built.
     """
-    # Read three times below, and far smaller than the usage it was counted from.
-    histogram = checkpointed(histogram)
-    running = running_totals(histogram, keys, [value], {"_upto": F.col(count)}, hot_rows)
-    sizes = histogram.groupBy(*keys).agg(F.sum(count).alias("_n"))
+    ranked_count = F.when(F.col(value).isNull(), F.lit(0)).otherwise(F.col(count)).cast("bigint")
+    histogram = written(histogram.withColumn("_counted", ranked_count), "histogram")
+    running = write_running_totals(histogram, keys, [value], {"_upto": F.col("_counted")}, hot_rows)
+    sizes = written(histogram.groupBy(*keys).agg(F.sum("_counted").alias("_n")), "sizes")
+    sizes = bounded(sizes, sizes.count())
     matches = [F.col(f"h.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     ranked = running.alias("h").join(sizes.alias("s"), matches)
 
     def at(rank):
-        inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col(count) <= rank)
+        inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_counted") <= rank)
         return F.max(F.when(inside, F.col(value).cast("double")))
 
     picked = ranked.groupBy(*[F.col(f"h.{k}").alias(k) for k in keys]).agg(

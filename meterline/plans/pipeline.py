@@ -1,19 +1,75 @@
 """The stages put together for batch jobs."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.operators import bill, mediate, rate
+from meterline.constants import STATUS_RATED
+from meterline.operators import bill, mediate, modifiers, rate
+from meterline.plans.shared_folder import written
 from meterline.schema import CANONICAL
 from meterline.sinks import new_run, record_run, run_path
 
 
+@dataclass(frozen=True)
+class Rules:
+    """Rule tables that change prices; what is None does not apply.
+
+    tariff: see :func:`meterline.operators.rate.rate_by_tariff_table`; without one, stored prices stay.  subscriptions,
+    plans and promotions go together.  fees: see :func:`meterline.operators.bill.billing_with_fees`.
+    """
+
+    tariff: DataFrame | None = None
+    bands: DataFrame | None = None
+    cells: DataFrame | None = None
+    subscriptions: DataFrame | None = None
+    plans: DataFrame | None = None
+    promotions: DataFrame | None = None
+    quotas: DataFrame | None = None
+    fees: DataFrame | None = None
+
+
 def rated_usage(raw: DataFrame, dedup: bool = True) -> DataFrame:
     """Raw JSON records to priced clean usage.  ``dedup=False`` charges every copy."""
     clean = mediate.usage_clean(mediate.parse_usage(raw)).select(*CANONICAL)
     return rate.rate_usage(mediate.dedup_usage(clean) if dedup else clean)
 
 
+def priced(usage: DataFrame, rules: Rules) -> DataFrame:
+    """Rated usage after all rules, in this order: tariff, hours and cells, plan and promotion, quota.
+
+    ``base_cost`` is the price before the rules.
+    """
+    names = [name for name in usage.columns if name != "base_cost"]
+    priced = usage
+    if rules.tariff is not None:
+        priced = rate.rate_by_tariff_table(priced.drop("status", "cost", "billing_period"), rules.tariff)
+    priced = priced.select(*names).withColumn("_price", F.col("cost"))
+    if rules.bands is not None or rules.cells is not None:
+        spark = usage.sparkSession
+        bands = rules.bands if rules.bands is not None else spark.createDataFrame(
+            [], "weekend boolean, from_hour int, to_hour int, hour_multiplier decimal(4,2)"
+        )
+        cells = rules.cells if rules.cells is not None else spark.createDataFrame(
+            [], "cell_id string, cell_multiplier decimal(4,2)"
+        )
+        priced = modifiers.rate_with_modifiers(priced, bands, cells).drop("base_cost")
+    if rules.promotions is not None:
+        priced = modifiers.rate_with_promotions(priced, rules.subscriptions, rules.plans, rules.promotions)
+        priced = priced.drop("base_cost", "payer")
+    if rules.quotas is not None:
+        # Quotas run over the usage several times, so what they run over is written.
+        priced = bill.rate_after_quota(written(priced, "priced"), rules.quotas).drop("base_cost")
+    return priced.select(*names, F.col("_price").alias("base_cost"))
+
+
+def rated_once(rated: DataFrame) -> DataFrame:
+    """Rated records, the first arrival of every payload with the price it was given."""
+    kept = rated.where(F.col("status") == STATUS_RATED)
+    return mediate.dedup_usage(kept, ("status", "cost", "billing_period"))
+
+
 def bill_period(
     rated: DataFrame,
     path: str,
@@ -21,23 +77,35 @@ def bill_period(
     invoice_date: Column | None = None,
     period_filter: bool = True,
     dedup: bool = True,
+    rules: Rules | None = None,
 ) -> str:
-    """Bills stored usage and publishes ``billed_usage``, summary and lines of the period together.
+    """Bills stored usage and publishes its tables of the period together; returns the run.
 
-    The usage that is billed is written first.  Summary, line sizes and lines then read that one snapshot, so
-    they agree with each other, and the copies are searched once.  Returns the run.
+    ``billed_usage``: the usage that is billed, written first.  ``billing_summary`` and ``invoice_lines`` read that one
+    snapshot, so they agree with each other, and copies are searched once.  ``unbillable_usage``: rated records without
+    payer in the period, or without time, which belong to no period and appear with every one.  With ``rules.fees``
+    also ``invoices`` and ``invoice_fees``.  Stored prices stay, unless ``rules`` change them.
     """
     spark, run = rated.sparkSession, new_run()
     if period_filter:
-        rated = rated.where(F.col("billing_period") == period)
-    billed = rate.rate_usage(mediate.dedup_usage(rated)) if dedup else rated
-    snapshot = run_path(path, "billed_usage", period, run)
-    billed.write.mode("error").parquet(snapshot)
-    usage = spark.read.parquet(snapshot)
+        rated = rated.where((F.col("billing_period") == period) | F.col("billing_period").isNull())
+    usage = rated_once(rated) if dedup else rated.where(F.col("status") == STATUS_RATED)
+    if rules is not None:
+        usage = priced(usage, rules)
+    snapshot = run_path(path, "rated_usage", period, run)
+    usage.write.mode("error").parquet(snapshot)
+    usage = spark.read.schema(usage.schema).parquet(snapshot)
+    unbillable = bill.unbillable(usage if period_filter else usage.withColumn("billing_period", F.lit(period)))
+    ours = usage.where(F.col("billing_period") == period) if period_filter else usage.withColumn("billing_period", F.lit(period))
     tables = {
+        "billed_usage": bill.billable(ours),
         "billing_summary": bill.billing_summary(usage, period, invoice_date, period_filter=period_filter),
         "invoice_lines": bill.invoice_lines(usage, period, period_filter=period_filter),
+        "unbillable_usage": unbillable,
     }
+    if rules is not None and rules.fees is not None:
+        tables["invoices"] = bill.billing_with_fees(ours, rules.fees)
+        tables["invoice_fees"] = bill.invoice_fees(ours, rules.fees)
     for name, table in tables.items():
         table.write.mode("error").parquet(run_path(path, name, period, run))
     record_run(spark, path, period, run)

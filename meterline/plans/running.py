@@ -4,6 +4,9 @@ A window partitioned by key sorts all rows of a key in one task.  That is the be
 the wrong one for a client that holds a third of all usage.  Keys above ``hot_rows`` rows are therefore
 range-partitioned by their full order into slices of about ``hot_rows`` rows; each slice is totalled by itself
 and shifted by the total of the slices before it.  The result is the same for every key size.
+
+:func:`write_running_totals` runs jobs while the plan is built: it counts the rows of each key, and if one is hot it
+writes that key's rows below the shared folder.  Give it stored rows; from others they would be computed for each job.
 """
 
 from functools import reduce
@@ -13,12 +16,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.plans.shared_folder import checkpointed
+from meterline.plans.shared_folder import written
 
 #: Rows of one key that a single task may sort: some hundred MB of usage lines.
 HOT_ROWS = 2_000_000
-#: Slices at most; with more rows than this allows, slices grow beyond ``HOT_ROWS`` and spill while sorting.
-MAX_SLICES = 10_000
 #: Rows of keys or slice totals that are sent to every task; at some 100 bytes each about 20 MB.
 BROADCAST_ROWS = 200_000
 
@@ -27,7 +28,7 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(and_, [left[n].eqNullSafe(right[n]) for n in names])
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
+def bounded(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast side only if its known row bound allows it; otherwise Spark joins it by shuffle."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -42,10 +43,11 @@ def _sliced(
 ) -> DataFrame:
     columns = df.columns
     # The slice must not change between its two uses below, so the sliced rows are written first.
-    rows = checkpointed(
+    rows = written(
         df.withColumns({f"_in_{name}": value for name, value in totals.items()})
         .repartitionByRange(slices, *keys, *order)
-        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("_slice", F.spark_partition_id()),
+        "slices",
     )
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     per_slice = rows.groupBy(*keys, "_slice").agg(*[F.sum(f"_in_{name}").alias(name) for name in totals])
@@ -54,7 +56,7 @@ def _sliced(
     )
     inside = _windowed(rows, [*keys, "_slice"], order, {f"_own_{n}": F.col(f"_in_{n}") for n in totals})
     # A slice border lies inside at most one key, so there are fewer slice totals than slices plus keys.
-    joined = inside.join(_bounded(before, slices + n_keys), _same(inside, before, [*keys, "_slice"]), "left")
+    joined = inside.join(bounded(before, slices + n_keys), _same(inside, before, [*keys, "_slice"]), "left")
     shifted = [
         F.when(F.col(f"_before_{n}").isNull(), F.col(f"_own_{n}"))
         .otherwise(F.col(f"_own_{n}") + F.col(f"_before_{n}"))
@@ -64,7 +66,7 @@ def _sliced(
     return joined.select(*[inside[name] for name in columns], *shifted)
 
 
-def running_totals(
+def write_running_totals(
     df: DataFrame,
     keys: list[str],
     order: list[str],
@@ -74,16 +76,16 @@ def running_totals(
     """Adds, per entry of ``totals``, the sum of its value over the key's rows up to and including this one.
 
     ``order`` must be a total order within a key, and values must not be NULL.  One narrow, map-side combined
-    count finds the hot keys; without any, the result is one plain window.
+    count, run at once, finds the hot keys; without any, the result is one plain window.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
     found = sizes.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
     if not found["keys"]:
         return _windowed(df, keys, order, totals)
-    hot = _bounded(checkpointed(sizes.select(*keys)), found["keys"])
+    hot = bounded(written(sizes.select(*keys), "hot-keys"), found["keys"])
     ordinary = df.join(hot, _same(df, hot, keys), "left_anti")
     heavy = df.join(hot, _same(df, hot, keys), "left_semi")
-    slices = min(ceil(found["rows"] / hot_rows), MAX_SLICES)
+    slices = ceil(found["rows"] / hot_rows)
     return _windowed(ordinary, keys, order, totals).unionByName(
         _sliced(heavy, keys, order, totals, slices, found["keys"])
     )

@@ -62,6 +62,14 @@ RATED_COLUMNS = (
     "status",
     "cost",
 )
+#: Rated usage in the folders that streams write, one below the other by period, run and batch.
+BATCH_SCHEMA = (
+    "record_id BIGINT, record_type STRING, event_ts TIMESTAMP_NTZ, caller_id STRING, callee_id STRING, duration_sec INT, "
+    "sender_id STRING, receiver_id STRING, user_id STRING, data_volume_mb DECIMAL(18,6), session_duration_sec INT, "
+    "cell_id STRING, technology STRING, status STRING, cost DECIMAL(20,6), billing_period STRING, run STRING, batch_id BIGINT"
+)
+#: The table of finished billing runs.
+RUNS = "billing_runs"
 SUMMARY_COLUMNS = (
     "invoice_id",
     "user_id",

@@ -2,8 +2,11 @@
 
 from math import ceil
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_BYTES = 256_000_000
+#: Sources without statistics report the largest number there is.
+UNKNOWN_BYTES = 1 << 62
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -30,13 +33,20 @@ def session(app_name: str, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shuffle_settings(input_gb: float | None) -> dict[str, str]:
-    """Shuffle partitions of about 256 MB of input each, and at most 100,000 of them.
+def input_bytes(df: DataFrame) -> int | None:
+    """What Spark's statistics say about the size of all that ``df`` reads; None where a source has no size."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else None
 
-    Adaptive execution merges partitions that turn out small but cannot split those of an aggregation, so a
-    large input needs a large number from the start.  Beyond the limit the bookkeeping of map outputs costs more
-    than larger partitions, which spill.
+
+def size_shuffles(df: DataFrame, input_gb: float | None = None) -> int:
+    """Sets and returns a number of shuffle partitions of about 256 MB of input each.
+
+    The size comes from the statistics of ``df``; ``input_gb`` is for sources that have none, such as a database.
+    Adaptive execution merges partitions that turn out small but cannot split those of an aggregation, so a large
+    input needs a large number from the start.
     """
-    if not input_gb:
-        return {}
-    return {"spark.sql.shuffle.partitions": str(min(100_000, max(200, ceil(input_gb * 4))))}
+    size = input_gb * 1e9 if input_gb else input_bytes(df) or 0
+    partitions = max(200, ceil(size / PARTITION_BYTES))
+    df.sparkSession.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions

@@ -1,7 +1,18 @@
 """Where results go."""
 
 from meterline.sinks.batches import BatchFolder, BatchTable
-from meterline.sinks.billing import new_run, read_published, record_run, run_path
+from meterline.sinks.billing import new_run, publish_tables, read_published, record_run, run_path
 from meterline.sinks.tables import export_csv, write_documents, write_table
 
-__all__ = ["BatchFolder", "BatchTable", "export_csv", "new_run", "read_published", "record_run", "run_path", "write_documents", "write_table"]
+__all__ = [
+    "BatchFolder",
+    "BatchTable",
+    "export_csv",
+    "new_run",
+    "publish_tables",
+    "read_published",
+    "record_run",
+    "run_path",
+    "write_documents",
+    "write_table",
+]

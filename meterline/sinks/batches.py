@@ -1,5 +1,7 @@
 """Writing micro-batches of rated usage."""
 
+import time
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -12,29 +14,29 @@ from meterline.sinks.tables import write_table
 
 @dataclass(frozen=True)
 class BatchFolder:
-    """``foreachBatch`` writer to files: every batch overwrites its own folder.
+    """``foreachBatch`` writer to files: every batch replaces its own folders.
 
-    A batch that Spark runs again after a failure therefore leaves its rows once.  Batch ids start over with a
-    new checkpoint, so ``run`` must change whenever the checkpoint does.  Errors reach the query and stop it.
-    Inside a batch rows lie by billing period, so billing reads only its period.
+    A batch that Spark runs again after a failure has the same records, so it leaves its rows once.  Batch ids start
+    over with a new checkpoint, so ``run`` must change whenever the checkpoint does.  Errors reach the query and stop it.
+    Folders lie by billing period first, so that billing lists and reads those of its period alone.
     """
 
     path: str
     run: str
-    partition_by: tuple[str, ...] = ("billing_period",)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # Static mode empties the folder first, also of periods that the earlier attempt had and this one lacks.
-        writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*self.partition_by).parquet(f"{self.path}/run={self.run}/batch_id={batch_id}")
+        marked = batch.withColumns({"run": F.lit(self.run), "batch_id": F.lit(batch_id).cast("bigint")})
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("billing_period", "run", "batch_id").parquet(self.path)
 
 
 @dataclass(frozen=True)
 class BatchTable:
     """``foreachBatch`` writer that appends to a table of rated usage, such as a database's.
 
-    Appending is at least once: a repeated batch can leave rows twice.  They carry the same payload, run and
-    batch id, and deduplication before billing removes them.
+    Appending is at least once: a batch that Spark runs again leaves its rows twice.  Each attempt has a name of its own,
+    later ones are greater, and readers take the last of each batch
+    (:func:`meterline.operators.rate.from_rated_table`).
     """
 
     run: str
@@ -43,5 +45,6 @@ class BatchTable:
     path: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        marked = to_rated_table(batch).withColumns({"run": F.lit(self.run), "batch_id": F.lit(batch_id)})
-        write_table(marked, self.fmt, self.options, self.path)
+        attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        origin = {"run": F.lit(self.run), "batch_id": F.lit(batch_id).cast("bigint"), "attempt": F.lit(attempt)}
+        write_table(to_rated_table(batch).withColumns(origin), self.fmt, self.options, self.path)

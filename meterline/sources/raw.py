@@ -5,14 +5,26 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Offsets below 2^48 leave 15 bits for the partition.
-OFFSET_BITS = 48
+#: Bits of a record id: 6 for the topic's place among those subscribed, 14 for the partition, 43 for the offset.
+OFFSET_BITS, PARTITION_BITS, MOST_TOPICS = 43, 14, 64
 MEDIATED_SCHEMA = "record_id BIGINT, value STRING, reject_reason STRING, is_valid BOOLEAN"
 
 
-def _from_messages(messages: DataFrame) -> DataFrame:
+def _topics(options: Mapping[str, str]) -> list[str]:
+    """The topics that the options subscribe to; append new ones at the end, ids hold their places."""
+    if "subscribe" not in options:
+        raise ValueError("name the topics in 'subscribe': record ids hold a topic's place in that list")
+    topics = [name.strip() for name in options["subscribe"].split(",")]
+    if len(topics) > MOST_TOPICS:
+        raise ValueError(f"at most {MOST_TOPICS} topics")
+    return topics
+
+
+def _from_messages(messages: DataFrame, topics: list[str]) -> DataFrame:
     """Message value as text, arrival position as ``record_id``, broker time as ``arrival_ts``."""
-    position = F.shiftleft(F.col("partition").cast("bigint"), OFFSET_BITS).bitwiseOR(F.col("offset"))
+    topic = F.array_position(F.array(*[F.lit(name) for name in topics]), F.col("topic")) - 1
+    partition = F.shiftleft(topic, PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint"))
+    position = F.shiftleft(partition, OFFSET_BITS).bitwiseOR(F.col("offset"))
     return messages.select(
         position.alias("record_id"),
         F.col("value").cast("string").alias("value"),
@@ -42,10 +54,11 @@ def stream_raw(spark: SparkSession, fmt: str, options: Mapping[str, str], path:
     """
     if fmt == "kafka":
         reader = spark.readStream.format("kafka").options(**{"startingOffsets": "earliest", **options})
-        return _from_messages(reader.load())
+        return _from_messages(reader.load(), _topics(options))
     if fmt == "text":
         lines = spark.readStream.format("text").options(**options).load(path)
         # A stream of lines has no positions.  The id is drawn here and stored by mediation, so it stays the same.
+        # Of some billions of such ids a few will be equal; topics give ids that never are.
         return _from_lines(lines, F.xxhash64(F.uuid()))
     raise ValueError(f"raw records come from kafka or text, not {fmt}")
 

@@ -3,6 +3,17 @@
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterline.schema import BATCH_SCHEMA, RUNS
+
+#: The folder that Spark gives rows whose partition value is NULL.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
+
+def table_options(options: Mapping[str, str] | None, name: str) -> dict[str, str]:
+    """Options for one of several tables: a database needs its name, files have it in their path."""
+    return {**(options or {}), **({"dbtable": name} if options and "url" in options else {})}
 
 
 def jdbc_options(
@@ -48,6 +59,37 @@ def read_clients(
     return read_table(spark, fmt, options, path).select("user_id").distinct()
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """A table that a streaming job wrote batch by batch (see :class:`meterline.sinks.BatchFolder`)."""
-    return spark.read.option("basePath", path).parquet(path).drop("run", "batch_id")
+def read_batches(spark: SparkSession, path: str, period: str | None = None) -> DataFrame:
+    """Rated usage that a streaming job wrote batch by batch (see :class:`meterline.sinks.BatchFolder`).
+
+    With a period, only its folder and that of usage without time are listed and read.
+    """
+    folders = path if period is None else f"{path}/billing_period={{{period},{UNDATED}}}"
+    return spark.read.schema(BATCH_SCHEMA).option("basePath", path).parquet(folders).drop("run", "batch_id")
+
+
+def read_consumption(spark: SparkSession, path: str) -> DataFrame:
+    """Consumption per user, service and window: the partial sums of all batches added up."""
+    parts = spark.read.option("basePath", path).parquet(path)
+    measures = [name for name in ("n", "quantity", "cost") if name in parts.columns]
+    sums = parts.groupBy("user_id", "record_type", "window_start", "window_end").agg(
+        *[F.sum(name).cast(dict(parts.dtypes)[name]).alias(name) for name in measures]
+    )
+    return sums
+
+
+def read_published_table(
+    spark: SparkSession,
+    name: str,
+    period: str,
+    fmt: str = "jdbc",
+    options: Mapping[str, str] | None = None,
+    path: str | None = None,
+) -> DataFrame:
+    """A table of the last run of a period that :func:`meterline.sinks.publish_tables` finished."""
+    runs = read_table(spark, fmt, table_options(options, f"{RUNS}"), path and f"{path}/{RUNS}")
+    last = runs.where(F.col("period") == period).agg(F.max_by("run", "published_at").alias("run")).first()["run"]
+    if last is None:
+        raise LookupError(f"nothing published for {period}")
+    table = read_table(spark, fmt, table_options(options, name), path and f"{path}/{name}")
+    return table.where((F.col("period") == period) & (F.col("run") == last)).drop("period", "run")

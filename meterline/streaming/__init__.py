@@ -1,5 +1,12 @@
 """Streaming jobs: they join a source, the operators that batch jobs use too, and a sink."""
 
-from meterline.streaming.jobs import await_all, daily_usage, dedup_stream, start_mediation, start_rating
+from meterline.streaming.jobs import (
+    await_all,
+    dedup_stream,
+    start_consumption,
+    start_mediation,
+    start_rating,
+    window_sums,
+)
 
-__all__ = ["await_all", "daily_usage", "dedup_stream", "start_mediation", "start_rating"]
+__all__ = ["await_all", "dedup_stream", "start_consumption", "start_mediation", "start_rating", "window_sums"]

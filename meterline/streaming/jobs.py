@@ -1,9 +1,8 @@
 """Mediation, rating, deduplication and running usage on streams."""
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -14,6 +13,10 @@ from meterline.operators.mediate import encode_usage, parse_usage, payload_key,
 from meterline.operators.rate import rate_usage
 from meterline.schema import CANONICAL
 
+#: Parts of one payload's copies that are thinned apart from each other.
+SALTS = 64
+VOLUME_SUM = "decimal(28,6)"
+
 
 def _started(
     writer: DataStreamWriter, checkpoint: str, trigger: Mapping[str, object] | None, name: str | None
@@ -24,13 +27,18 @@ def _started(
     return (writer.queryName(name) if name else writer).start()
 
 
-def mediated(raw: DataFrame) -> DataFrame:
+def mediated(raw: DataFrame, dedup_delay: str | None = None) -> DataFrame:
     """Raw text to ``record_id``, ``is_valid``, ``reject_reason`` and ``value``.
 
     Clean records are re-encoded from their normalised fields; dirty ones keep their original text.  Counts of
-    both are taken in the same pass.
+    both are taken in the same pass.  With ``dedup_delay`` (streams only; needs ``arrival_ts``) a clean record that
+    arrives again within that time is left out; dirty records are all kept.
     """
-    judged = validate_usage(parse_usage(raw))
+    carry = ("record_id",) if dedup_delay is None else ("record_id", "arrival_ts")
+    judged = validate_usage(parse_usage(raw, carry=carry))
+    if dedup_delay is not None:
+        own = F.unhex(F.sha2(F.concat(F.lit("dirty "), F.col("record_id").cast("string")), 256))
+        judged = _first_arrivals(judged, F.when(F.col("is_valid"), payload_key()).otherwise(own), "arrival_ts", dedup_delay)
     encoded = encode_usage(
         judged.withColumnRenamed("value", "original"), ("record_id", "is_valid", "reject_reason", "original")
     )
@@ -63,13 +71,16 @@ def start_mediation(
     dirty_topic: str = "dirty_records",
     trigger: Mapping[str, object] | None = None,
     name: str | None = "mediation",
+    dedup_delay: str | None = None,
 ) -> StreamingQuery:
     """Splits raw records into clean and dirty in one query that reads and parses every record once.
 
+    With ``dedup_delay``, such as ``7 days``, copies of clean records arriving within that time go no further.
+
     On Kafka each record names its topic.  On files the two outputs are the partitions ``is_valid=true`` and
     ``is_valid=false`` of ``path``, written exactly once.
     """
-    judged = mediated(raw)
+    judged = mediated(raw, dedup_delay)
     if fmt == "kafka":
         writer = to_messages(judged, clean_topic, dirty_topic).writeStream.format("kafka")
     else:
@@ -97,49 +108,74 @@ def start_rating(
     return _started(rated.writeStream.foreachBatch(write_batch), checkpoint, trigger, name)
 
 
-def dedup_stream(usage: DataFrame, arrival: str, delay: str) -> DataFrame:
-    """One record per payload among those arriving within ``delay`` of each other.
+def _first_arrivals(usage: DataFrame, key: Column, arrival: str, delay: str) -> DataFrame:
+    """One row per key among those arriving within ``delay`` of each other.
 
-    Usage times arrive in any order, so the watermark belongs on the arrival time.  State holds a digest per
-    payload.  Copies inside an Arrow batch go before the shuffle: a payload that makes up a third of all
-    records would otherwise send all its copies to one task.
+    In two steps: first within each of ``SALTS`` parts of a key's rows, then among what is left.  A payload that makes
+    up a third of all records is so spread over many tasks, and at most ``SALTS`` of its copies meet in one.
     """
+    salt = F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")
+    keyed = usage.withColumns({"_key": key, "_salt": salt}).withWatermark(arrival, delay)
+    thinned = keyed.dropDuplicatesWithinWatermark(["_key", "_salt"])
+    return thinned.dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_salt")
 
-    # A local function travels to the executors by value, so they need not have this package installed.
-    def first_of_each_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            repeated = batch.column("payload_key").to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated.to_numpy()))
 
-    keyed = usage.withColumn("payload_key", payload_key())
-    thinned = keyed.mapInArrow(first_of_each_batch, keyed.schema)
-    return thinned.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(["payload_key"]).drop("payload_key")
+def dedup_stream(usage: DataFrame, arrival: str, delay: str) -> DataFrame:
+    """One record per payload among those arriving within ``delay`` of each other.
+
+    Usage times arrive in any order, so the watermark belongs on the arrival time.  State holds a digest per payload.
+    """
+    return _first_arrivals(usage, payload_key(), arrival, delay)
 
 
-def daily_usage(usage: DataFrame, delay: str, width: str = "1 day") -> DataFrame:
-    """Records and billed quantity by service and window, once a window is ``delay`` past.
+def window_sums(usage: DataFrame, width: str = "1 day") -> DataFrame:
+    """Records, billed quantity and, if priced, cost by paying user, service and window of usage time.
 
-    Later records are dropped.  Partial sums are formed before the shuffle, so a busy service does not hurt.
+    Usage without a time has the window NULL, so nothing is lost.  Sums add up over any parts of the usage.
     """
-    timed = usage.select(
-        records.utc_instant(F.col("event_ts")).alias("event_time"),
+    instant = records.utc_instant(F.col("event_ts"))
+    timed = usage.withColumns(
+        {
+            "user_id": charges.paying_user(),
+            "quantity": charges.billed_quantity(),
+            "_window": F.window(F.coalesce(instant, F.timestamp_micros(F.lit(0))), width),
+        }
+    ).withColumn("_window", F.when(F.col("event_ts").isNotNull(), F.col("_window")))
+    measures = {"n": F.count(F.lit(1)), "quantity": F.sum("quantity").cast(VOLUME_SUM)}
+    if "cost" in usage.columns:
+        measures["cost"] = F.sum("cost").cast(VOLUME_SUM)
+    summed = timed.groupBy("user_id", "record_type", "_window").agg(*[value.alias(name) for name, value in measures.items()])
+    return summed.select(
+        "user_id",
         "record_type",
-        charges.billed_quantity().alias("quantity"),
-    )
-    return (
-        timed.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", width), "record_type")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
-        .select(
-            records.utc_wall_clock(F.col("window.start")).alias("window_start"),
-            records.utc_wall_clock(F.col("window.end")).alias("window_end"),
-            "record_type",
-            "n",
-            "quantity",
-        )
+        records.utc_wall_clock(F.col("_window.start")).alias("window_start"),
+        records.utc_wall_clock(F.col("_window.end")).alias("window_end"),
+        *measures,
     )
 
 
+def start_consumption(
+    usage: DataFrame,
+    path: str,
+    run: str,
+    checkpoint: str,
+    width: str = "1 day",
+    trigger: Mapping[str, object] | None = None,
+    name: str | None = "consumption",
+) -> StreamingQuery:
+    """Consumption per user while usage arrives: every batch writes its own partial sums.
+
+    No watermark decides what still counts, so usage that is a month late is added all the same.  A repeated batch
+    replaces its sums.  :func:`meterline.sources.read_consumption` adds the batches up.
+    """
+
+    def write_sums(batch: DataFrame, batch_id: int) -> None:
+        sums = window_sums(batch, width)
+        sums.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+    return _started(usage.writeStream.foreachBatch(write_sums), checkpoint, trigger, name)
+
+
 def await_all(queries: list[StreamingQuery], look_every: float = 1.0) -> None:
     """Waits until all queries have ended; the first failure of any of them is raised and stops the rest."""
     try:

@@ -15,17 +15,17 @@ VOICE = {
     "record_type": "voice",
     "timestamp": "2025-04-02T01:02:03Z",
     "caller_id": " U1 ",
-    "callee_id": "212600000001",
+    "callee_id": "9005500000001",
     "duration_sec": 60,
     "sender_id": "",
     "receiver_id": "",
     "user_id": "u1",
     "data_volume_mb": "",
     "session_duration_sec": "",
-    "cell_id": "TANGER_05",
+    "cell_id": "mill-03",
     "technology": "4G",
 }
-SMS = VOICE | {"record_type": "sms", "caller_id": "", "callee_id": "", "duration_sec": "", "sender_id": "u1", "receiver_id": "2126"}
+SMS = VOICE | {"record_type": "sms", "caller_id": "", "callee_id": "", "duration_sec": "", "sender_id": "u1", "receiver_id": "90055"}
 DATA = VOICE | {
     "record_type": "data",
     "caller_id": "",
@@ -208,6 +208,23 @@ def test_duplicate_report(spark):
     assert [(r["record_id"], r["last_record_id"], r["copies"]) for r in rows] == [(0, 3, 3)]
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [("5", "5"), (" 5.25 ", "5.25"), (".5", "0.5"), ("5.", "5"), ("1e2", "100"), ("5d", None), ("5f", None), ("5 MB", None), ("e5", None), ("-", None), ("", None), ("NaN", None)],
+)
+def test_only_whole_texts_are_numbers(spark, text, value):
+    names = [f"'{text}' AS {name}" if name == "data_volume_mb" else f"CAST(NULL AS STRING) AS {name}" for name in CANONICAL if name not in ("record_id", "event_ts")]
+    raw = spark.sql(f"SELECT 1L AS record_id, TIMESTAMP_NTZ'2024-01-01' AS event_ts, {', '.join(names)}")
+    assert mediate.type_usage(raw).first()["data_volume_mb"] == (None if value is None else Decimal(value))
+
+
+def test_payload_key_tells_microseconds_apart(spark):
+    stamps = ["2025-04-02T01:02:03.000100Z", "2025-04-02T01:02:03.000900Z", "2025-04-02T01:02:03.000100Z"]
+    keys = [r["k"] for r in parsed(spark, *[VOICE | {"timestamp": s} for s in stamps]).orderBy("record_id").select(mediate.payload_key().alias("k")).collect()]
+    assert keys[0] == keys[2] != keys[1]
+    assert len(keys[0]) == 32
+
+
 def test_payload_key_ignores_arrival(spark):
     keys = parsed(spark, VOICE, VOICE, SMS).select(mediate.payload_key().alias("k")).collect()
     assert keys[0] == keys[1] != keys[2]

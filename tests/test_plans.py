@@ -9,7 +9,7 @@ from meterline.checks import fixtures
 from meterline.checks.queries import QUERIES
 from meterline.operators import bill, clients, mediate, modifiers, rate, reports
 from meterline.schema import CANONICAL
-from meterline.session import SETTINGS, session, shuffle_settings
+from meterline.session import SETTINGS, session, size_shuffles
 from meterline.streaming.jobs import mediated
 
 #: The JVM's just-in-time compiler leaves larger methods alone, and they then run interpreted for ever.
@@ -80,20 +80,53 @@ def test_copies_are_dropped_in_one_exchange(rated):
     assert "partial_min(record_id" in plan
 
 
-def test_rules_are_broadcast_because_they_are_small(spark, rated):
-    """No hint: Spark's size estimate decides, so with a limit of zero the same queries join by shuffle."""
-    def build():
-        return modifiers.rate_with_modifiers(rated, fixtures.hour_bands(spark), fixtures.cell_modifiers(spark))
-
-    assert physical(build()).count("BroadcastHashJoin") == 2
-    expected = sorted(build().select("record_id", "cost").collect())
+def test_few_rules_are_broadcast_whatever_the_estimate(spark, rated, sf_dir):
+    """Usage is not exchanged on its few types, hours, days, cells or scopes."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = build()
-        assert "Broadcast" not in physical(shuffled)
-        assert sorted(shuffled.select("record_id", "cost").collect()) == expected
+        builds = [
+            modifiers.rate_with_modifiers(rated, fixtures.hour_bands(spark), fixtures.cell_modifiers(spark)),
+            modifiers.rate_with_promotions(rated, fixtures.clients(spark, sf_dir), fixtures.plans(spark), fixtures.promotions(spark)),
+            rate.rate_by_tariff_table(rated.drop("status", "cost", "billing_period"), fixtures.other_tariff(spark)),
+            bill.billable_after_quota(rated, fixtures.quotas(spark)),
+            bill.billing_with_fees(rated, fixtures.fees(spark)),
+        ]
+        plans = [physical(df) for df in builds]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        # What is exchanged on such a key, if anything, is the rule table.
+        few = r"Exchange hashpartitioning\((?:record_type|service|weekend|hour|day|cell_id|scope)#[^)]*\)"
+        assert not [m for m in re.findall(few + r".*?(LocalTableScan|FileScan)", plan, re.S) if m == "FileScan"]
+    assert [plan.count("BroadcastHashJoin") for plan in plans] == [2, 1, 1, 1, 0]
+
+
+def test_a_stored_table_is_read_for_its_period_alone(spark, rated, tmp_path):
+    path = str(tmp_path / "stored")
+    rate.to_rated_table(rated).write.parquet(path)
+    plan = physical(rate.from_rated_table(spark.read.parquet(path), "2024-01"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", physical(rate.from_rated_table(spark.read.parquet(path), "2024-01").select("*")))[1]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(status,rated)" in pushed
+    assert "GreaterThanOrEqual(timestamp,2024-01-01T00:00)" in pushed and "LessThan(timestamp,2024-02-01T00:00)" in pushed
+    assert "Exchange" not in plan
+
+
+def test_a_period_of_batches_does_not_list_the_others(spark, rated, tmp_path):
+    from meterline.sinks import BatchFolder
+    from meterline.sources import read_batches
+
+    path = str(tmp_path / "batches")
+    usage = rated.withColumn("billing_period", F.when(F.col("record_id") % 3 == 0, "2024-02").when(F.col("record_id") % 3 == 1, "2024-01"))
+    for batch in (0, 1, 1):
+        BatchFolder(path, "r")(usage, batch)
+    january = read_batches(spark, path, "2024-01")
+    assert not any("billing_period=2024-02" in name for name in january.inputFiles())
+    assert january.count() == 2 * usage.where("billing_period = '2024-01' OR billing_period IS NULL").count()
+    assert read_batches(spark, path).count() == 2 * usage.count()
 
 
 def test_rank_limit_is_applied_before_the_exchange(rated):
@@ -101,14 +134,27 @@ def test_rank_limit_is_applied_before_the_exchange(rated):
     assert re.search(r"WindowGroupLimit .* Partial", plan)
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInArrow")
+
+
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream")))
 def test_no_query_pairs_everything_or_uses_one_task_or_python(spark, sf_dir, name):
     plan = physical(QUERIES[name](spark, sf_dir))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInArrow"):
-        assert operator not in plan
+    assert not [operator for operator in FORBIDDEN if operator in plan]
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("delay", [None, "7 days"])
+def test_no_stream_uses_python(spark, sf_dir, tmp_path, delay):
+    raw = fixtures.json_from_raw(fixtures.raw_from_events(fixtures.event_stream(spark, sf_dir)))
+    raw = raw.withColumn("arrival_ts", F.current_timestamp())
+    query = mediated(raw, delay).writeStream.format("noop").option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert not [operator for operator in FORBIDDEN if operator in plan]
+    assert ("StreamingDeduplicateWithinWatermark" in plan) == (delay is not None)
+
+
 def generated_sizes(spark, build):
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -135,7 +181,7 @@ def test_generated_code_is_small_enough_to_be_compiled(spark, sf_dir, raw, rated
     }
     registered = {name: query for name, query in QUERIES.items() if not name.startswith("stream")}
     builds |= {name: lambda query=query: query(spark, sf_dir) for name, query in registered.items()}
-    sizes = {name: max(generated_sizes(spark, build)) for name, build in builds.items()}
+    sizes = {name: max(generated_sizes(spark, build), default=0) for name, build in builds.items()}
     assert {name: size for name, size in sizes.items() if size > LARGEST_COMPILED_METHOD} == {}
 
 
@@ -169,7 +215,15 @@ def test_skewed_client_join_is_split(spark):
 def test_session_settings(spark):
     assert session("tests").conf.get("spark.sql.session.timeZone") == "UTC"
     assert SETTINGS["spark.ui.enabled"] == "false"
-    assert shuffle_settings(None) == {}
-    assert shuffle_settings(1) == {"spark.sql.shuffle.partitions": "200"}
-    assert shuffle_settings(1000) == {"spark.sql.shuffle.partitions": "4000"}
-    assert shuffle_settings(100_000) == {"spark.sql.shuffle.partitions": "100000"}
+
+
+def test_shuffles_are_sized_by_what_is_read(spark, rated):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(rated) == 200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        wide = spark.range(10**12).select("id", F.lit("x" * 10).alias("x"))
+        assert size_shuffles(wide) > 30_000
+        assert size_shuffles(wide, input_gb=100_000) == 390_625
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -116,18 +116,27 @@ def test_hour_and_cell_modifiers(spark):
     weekday, sunday = datetime.datetime(2024, 1, 10), datetime.datetime(2024, 1, 14)
     usage = rated(
         spark,
-        data("10", at=weekday.replace(hour=7, minute=59), cell="TANGER_05"),
-        data("10", at=weekday.replace(hour=8), cell="IMZOUREN_10"),
+        data("10", at=weekday.replace(hour=5, minute=59), cell="mill-03"),
+        data("10", at=weekday.replace(hour=8), cell="harbour-02"),
         data("10", at=weekday.replace(hour=23), cell="elsewhere"),
         data("10", at=sunday.replace(hour=8), cell=None),
+        data("10", at=weekday.replace(hour=0), cell=None),
+        data("10", at=weekday.replace(hour=6), cell=None),
+        data("10", at=weekday.replace(hour=21, minute=59), cell=None),
     )
     result = modifiers.rate_with_modifiers(usage, fixtures.hour_bands(spark), fixtures.cell_modifiers(spark))
     costs = [row["cost"] for row in result.orderBy("record_id").collect()]
-    assert costs == [Decimal(c) for c in ("27.5", "45", "40", "45")]
+    assert costs == [Decimal(c) for c in ("27.5", "45", "25", "45", "25", "50", "40")]
+
+
+def test_a_band_over_midnight_covers_both_ends(spark):
+    bands = spark.sql("SELECT * FROM VALUES (false, 22, 6, 0.5), (true, 0, 24, 0.9), (true, 5, 5, 0.8) AS b(weekend, from_hour, to_hour, hour_multiplier)")
+    hours = {(r["weekend"], r["hour"]): float(r["hour_multiplier"]) for r in modifiers.hour_rows(bands).collect()}
+    assert hours == {(False, h): 0.5 for h in (22, 23, 0, 1, 2, 3, 4, 5)} | {(True, h): 0.8 for h in range(24)}
 
 
 def test_overlapping_rules_charge_once_and_lowest(spark):
-    usage = rated(spark, data("10", cell="TANGER_05"), data("600"))
+    usage = rated(spark, data("10", cell="mill-03"), data("600"))
     twice = [rules.union(rules.limit(2)) for rules in (fixtures.hour_bands(spark), fixtures.cell_modifiers(spark))]
     cheaper = spark.sql("SELECT false AS weekend, 12 AS from_hour, 13 AS to_hour, CAST(0.10 AS decimal(4,2)) AS hour_multiplier")
     result = modifiers.rate_with_modifiers(usage, twice[0].union(cheaper), twice[1]).orderBy("record_id").collect()
@@ -142,7 +151,7 @@ def test_overlapping_rules_charge_once_and_lowest(spark):
 
 
 def test_promotion_segments_do_not_overlap(spark):
-    segments = modifiers.promotion_segments(fixtures.promotions(spark))
+    segments = modifiers.promotion_segments(fixtures.promotions(spark)).where("service <> 'voice'")
     pairs = segments.selectExpr(
         "segment_from < lag(segment_to) OVER (PARTITION BY service ORDER BY segment_from) AS overlap", "segment_from >= segment_to AS empty"
     )
@@ -151,6 +160,49 @@ def test_promotion_segments_do_not_overlap(spark):
     assert {r["service"]: r["t"] / 3.6e9 for r in hours.collect()} == {"data": 12 * 24 + 6, "sms": 17 * 24}
 
 
+def test_promotions_without_an_end(spark):
+    usage = rated(spark, voice(600, at=datetime.datetime(2024, 1, 24, 23, 59)), voice(600, at=datetime.datetime(2024, 1, 25)), voice(600, at=datetime.datetime(2150, 1, 1)))
+    nobody = spark.createDataFrame([], "user_id STRING, plan STRING")
+    result = modifiers.rate_with_promotions(usage, nobody, fixtures.plans(spark), fixtures.promotions(spark))
+    assert [row["cost"] for row in result.orderBy("record_id").collect()] == [Decimal(c) for c in ("11", "8.8", "8.8")]
+
+
+def test_a_tariff_with_gaps_is_refused(spark):
+    gap = rate.default_tariff(spark).where("NOT (service = 'data' AND tier_from = 0)")
+    twice = rate.default_tariff(spark).union(rate.default_tariff(spark))
+    for tariff in (gap, twice):
+        with pytest.raises(ValueError):
+            rate.rate_by_tariff_table(frame(spark, sms()), tariff)
+
+
+def test_rules_of_any_size_give_the_same_prices(spark, sf_dir, monkeypatch):
+    """Above the row bound rules are joined by shuffle, with usage of one key spread over salts."""
+    import inspect
+
+    from meterline.plans import rules
+
+    usage = rate.rate_usage(mediate.usage_clean(fixtures.usage(spark, sf_dir)))
+
+    def prices():
+        timed = modifiers.rate_with_modifiers(usage, fixtures.hour_bands(spark), fixtures.cell_modifiers(spark))
+        promoted = modifiers.rate_with_promotions(usage, fixtures.clients(spark, sf_dir), fixtures.plans(spark), fixtures.promotions(spark))
+        tariff = rate.rate_by_tariff_table(usage.drop("status", "cost", "billing_period"), fixtures.other_tariff(spark))
+        frames = [df.select("record_id", "cost") for df in (timed, promoted, tariff)]
+        return [sorted(df.collect()) for df in frames], [df._jdf.queryExecution().executedPlan().toString() for df in frames]
+
+    small, plans = prices()
+    assert all("Exchange hashpartitioning(record_type" not in plan for plan in plans)
+    default = inspect.signature(rules.with_rules).parameters["rule_rows"].default
+    monkeypatch.setattr(rules.with_rules, "__defaults__", (None, 0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large, plans = prices()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert default > 0 and small == large
+    assert all("_salt" in plan for plan in plans)
+
+
 def test_tariff_gaps(spark):
     assert constraints.tariff_gaps(rate.default_tariff(spark)).count() == 0
     bad = spark.sql("SELECT * FROM VALUES ('a', 0, 5), ('a', 6, NULL), ('b', 1, NULL), ('c', 0, 5), ('c', 5, NULL), ('c', 5, NULL) AS t(service, tier_from, tier_to)")
@@ -173,7 +225,7 @@ def test_summary(spark):
         ("202401b", "b", "2024-01", date, *amounts("0", "0.5", "0", "0.5", "0.1", "0.6")),
         ("202401c", "c", "2024-01", date, *amounts("0", "0", "0", "0", "0", "0")),
     ]
-    assert bill.unbillable(usage).count() == 1
+    assert [row["problem"] for row in bill.unbillable(usage).collect()] == ["payer"]
     assert constraints.key_violations(summary, SUMMARY_KEY).count() == 0
 
 
@@ -193,6 +245,21 @@ def test_undated_usage_is_shown_and_not_lost(spark):
     assert bill.billing_summary(usage, "2024-01", period_filter=False).first()["subtotal"] == Decimal("1")
 
 
+def test_invoices_add_up_below_a_cent(spark):
+    usage = rated(spark, sms(), sms(), sms(user="b"), data("10", user="b"))
+    prices = {0: "0.425", 1: "0.425", 2: "0.0045", 3: "0.0045"}
+    cost = F.element_at(F.create_map(*[F.lit(x) for pair in prices.items() for x in pair]), F.col("record_id").cast("int"))
+    usage = usage.withColumn("cost", cost.cast("decimal(20,6)"))
+    lines = {r["user_id"]: r["s"] for r in bill.invoice_lines(usage, "2024-01").groupBy("user_id").agg(F.sum("line_amount").alias("s")).collect()}
+    for row in bill.billing_summary(usage, "2024-01").collect():
+        assert row["subtotal"] == lines[row["user_id"]] == row["total_voice_cost"] + row["total_sms_cost"] + row["total_data_cost"]
+        assert row["total_amount"] == row["subtotal"] + row["tax_amount"]
+    assert lines == {"a": Decimal("0.86"), "b": Decimal("0")}
+    for row in bill.billing_with_fees(usage, fixtures.fees(spark)).collect():
+        assert row["subtotal"] == lines[row["user_id"]]
+        assert row["total_amount"] == row["subtotal"] + row["fee_amount"] + row["tax_amount"]
+
+
 def test_tax_rate_is_a_parameter(spark):
     row = bill.billing_summary(rated(spark, data("10")), tax_rate=Decimal("0.055")).first()
     assert (row["tax_amount"], row["total_amount"]) == (Decimal("2.75"), Decimal("52.75"))
@@ -249,9 +316,13 @@ def test_fees(spark):
     rows = {row["user_id"]: row for row in bill.billing_with_fees(usage, fixtures.fees(spark)).collect()}
     assert rows["a"]["subtotal"] == Decimal("50.5")
     assert rows["a"]["fee_amount"] == Decimal("0.51") + Decimal("2") + Decimal("0.25")
-    assert rows["a"]["tax_amount"] == Decimal("10.1")
-    assert rows["b"]["total_amount"] == Decimal("0.5") + Decimal("0.01") + Decimal("2") + Decimal("0.1")
-    assert rows["c"]["total_amount"] == Decimal("2")
+    assert rows["a"]["tax_amount"] == Decimal("10.65")
+    assert rows["b"]["total_amount"] == Decimal("0.5") + Decimal("0.01") + Decimal("2") + Decimal("0.50")
+    assert rows["c"]["total_amount"] == Decimal("2.40")
+    plain = bill.billing_with_fees(usage, fixtures.fees(spark).drop("step")).where("user_id = 'a'").first()
+    assert plain["tax_amount"] == Decimal("10.1")
+    with pytest.raises(ValueError):
+        bill.invoice_fees(usage, spark.range(300).selectExpr("CAST(id AS STRING) AS fee", "'fee' AS category", "'all' AS scope", "'fixed' AS kind", "1.0 AS amount"))
     only_sms = fixtures.fees(spark).where("scope = 'sms'")
     assert bill.billing_with_fees(usage, only_sms).count() == 3
     assert bill.invoice_fees(usage, only_sms).count() == 0
@@ -273,14 +344,22 @@ def test_quota(spark):
     assert [row["billable"] for row in left] == [Decimal(b) for b in ("0", "0", "50", "10", "0", "1", "100", "0")]
 
 
+def test_quota_lowers_the_price(spark):
+    usage = rated(spark, data("300"), data("400"), data("100"), voice(10), sms(user=None), sms(at=None))
+    left = bill.rate_after_quota(usage, fixtures.quotas(spark)).orderBy("record_id").collect()
+    assert [row["cost"] for row in left] == [Decimal(c) for c in ("0", "550", "500", "0", "0", "0.5")]
+    assert [row["base_cost"] for row in left] == [Decimal(c) for c in ("900", "1100", "500", "1", "0", "0.5")]
+    assert set(usage.columns) <= set(left[0].asDict())
+
+
 def test_documents_page_large_invoices(spark):
     usage = rated(spark, *[sms()] * 7, sms(user="b"))
     lines, summary = bill.invoice_lines(usage, "2024-01"), bill.billing_summary(usage, "2024-01")
     pages = documents.invoice_documents(summary, lines, page_lines=3).orderBy("invoice_id", "page").collect()
     assert [(p["user_id"], p["page"], p["n_lines"]) for p in pages] == [("a", 1, 3), ("a", 2, 3), ("a", 3, 1), ("b", 1, 1)]
     assert [line["line_number"] for page in pages[:3] for line in page["lines"]] == [1, 2, 3, 4, 5, 6, 7]
-    assert [page["header"] is None for page in pages] == [False, True, True, False]
-    assert pages[0]["header"]["total_amount"] == Decimal("4.20")
+    assert [page["pages"] for page in pages] == [3, 3, 3, 1]
+    assert [page["header"]["total_amount"] for page in pages] == [Decimal(t) for t in ("4.20", "4.20", "4.20", "0.60")]
 
 
 def test_clients(spark):
@@ -307,6 +386,21 @@ def test_kpi_change(spark):
     ]
 
 
+def test_kpi_after_a_gap(spark):
+    usage = rated(spark, *[sms(at=datetime.datetime(2024, month, 5)) for month in (1, 3, 4, 4)])
+    rows = reports.revenue_kpi(usage).orderBy("cycle").collect()
+    assert [(r["previous_revenue"], r["change"]) for r in rows] == [(None, None), (Decimal("0"), None), (Decimal("0.5"), Decimal("1"))]
+    days = rated(spark, *[sms(at=datetime.datetime(2024, 1, day)) for day in (1, 2, 4)])
+    assert [r["previous_revenue"] for r in reports.revenue_kpi(days, "day").orderBy("cycle").collect()] == [None, Decimal("0.5"), Decimal("0")]
+
+
+def test_usage_without_quantity_counts_as_a_record(spark):
+    row = reports.usage_by_hour(rated(spark, data("3"), data("5"), other("data"), other("fax"))).where("record_type = 'data'").first()
+    assert (row["n"], row["median_quantity"]) == (2, 4.0)
+    fax = reports.usage_by_hour(rated(spark, data("3"), other("fax"))).where("record_type = 'fax'").first()
+    assert (fax["n"], fax["median_quantity"], fax["total_quantity"]) == (1, None, None)
+
+
 def test_top_users_breaks_ties_by_id(spark):
     usage = rated(spark, *[sms(user=u) for u in "dcba"], voice(10, user="e"))
     top = reports.top_users(usage, k=3).orderBy("rank").collect()

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from meterline.checks import fixtures
 from meterline.checks.queries import plain
 from meterline.operators import bill, mediate, rate, reports
-from meterline.plans.running import running_totals
+from meterline.plans.running import write_running_totals
 
 
 def reference_totals(rows, keys):
@@ -36,7 +36,7 @@ def reference_totals(rows, keys):
 def test_running_totals_equal_brute_force(spark, rows, hot_rows):
     data = [(key, at, number, value) for number, (key, at, value) in enumerate(rows)]
     df = spark.createDataFrame(data, "k STRING, at INT, id INT, v BIGINT")
-    found = running_totals(df, ["k"], ["at", "id"], {"total": F.col("v")}, hot_rows)
+    found = write_running_totals(df, ["k"], ["at", "id"], {"total": F.col("v")}, hot_rows)
     assert found.columns == ["k", "at", "id", "v", "total"]
     assert {row["id"]: row["total"] for row in found.collect()} == reference_totals(data, ["k"])
 
@@ -48,7 +48,7 @@ def test_hot_key_is_split_even_at_one_moment(spark):
         F.lit(0).alias("at"),
         "id",
     )
-    numbered = running_totals(df, ["k"], ["at", "id"], {"n": F.lit(1).cast("bigint")}, hot_rows=500)
+    numbered = write_running_totals(df, ["k"], ["at", "id"], {"n": F.lit(1).cast("bigint")}, hot_rows=500)
     whole = Window.partitionBy("k").orderBy("at", "id")
     expected = df.withColumn("n", F.row_number().over(whole).cast("bigint"))
     assert numbered.exceptAll(expected).count() == 0
