@@ -45,18 +45,25 @@ def bucket(key: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % buckets
 
 
-def smallest_hashes(rows: DataFrame, group: str, n: int, *columns: str) -> DataFrame:
-    """Of each group the rows with the ``n`` smallest hashes of the columns, equal rows once: (group, *columns, hash).
+def smallest_hashes(rows: DataFrame, n: int, *columns: str) -> DataFrame:
+    """(*columns, hash): the rows with the ``n`` smallest hashes of the columns, equal rows once.
 
-    A bounded sample that does not depend on the partitions.  Only hashes are ranked; the rows themselves are then picked
-    by each group's limit, so that no task or shuffle holds more texts than the sample has.
+    A bounded sample that does not depend on the partitions.  Only hashes are ranked; the rows are then picked by the
+    largest of them, so that no task or shuffle holds more texts than the sample has.
     """
+    hashed = rows.select(*columns, F.xxhash64(*columns).alias("hash"))
+    most = hashed.select("hash").orderBy("hash").limit(n).agg(F.max("hash")).first()[0]
+    picked = hashed.where(F.col("hash") <= F.lit(most).cast("bigint"))
+    return picked.groupBy("hash").agg(*[F.first(name).alias(name) for name in columns])
+
+
+def smallest_hashes_by(rows: DataFrame, group: str, n: int, *columns: str) -> DataFrame:
+    """(group, *columns, hash): the same for each group, which must not be NULL."""
     hashed = rows.select(F.col(group).alias("group"), *columns, F.xxhash64(group, *columns).alias("hash"))
     rank = F.row_number().over(Window.partitionBy("group").orderBy("hash"))
     limits = hashed.select("group", "hash").withColumn("rank", rank).where(F.col("rank") <= n)
-    limits = limits.groupBy(F.col("group").alias("of")).agg(F.max("hash").alias("most"))
-    limits = small(written(limits, "sample-limits"))
-    picked = hashed.join(limits, F.col("group").eqNullSafe(F.col("of")) & (F.col("hash") <= F.col("most")))
+    limits = small(written(limits.groupBy("group").agg(F.max("hash").alias("most")), "sample-limits"))
+    picked = hashed.join(limits, "group").where(F.col("hash") <= F.col("most"))
     return picked.groupBy("group", "hash").agg(*[F.first(name).alias(name) for name in columns])
 
 

@@ -193,8 +193,8 @@ def labelled_runs(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]
 
 def fitted(docs: DataFrame, key: str, text: str) -> crf.Model | None:
     """The field trained on at most ``TRAINING_DOCS`` documents; None if none of them holds a finding."""
-    rows = docs.select(F.lit(0).alias("all"), F.col(key).alias("key"), F.col(text).alias("text"))
-    sample = smallest_hashes(rows.where(F.col("text").rlike("[0-9@]")), "all", TRAINING_DOCS, "key", "text")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    sample = smallest_hashes(rows, TRAINING_DOCS, "key", "text")
     sequences, labels = labelled_runs([row["text"] for row in sample.orderBy("hash").select("text").collect()])
     if not any(own.any() for own in labels):
         return None
