@@ -7,7 +7,7 @@ number and with any further names, and change only what their decision is about.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.common import read_table, written
+from meterline.llm.common import ship, written
 from meterline.llm.host_quality import judge_by_host
 from meterline.llm.mixing import mix
 from meterline.llm.packing import pack
@@ -29,6 +29,7 @@ def _identity() -> Column:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints, that with the smallest id; of repeated rows, one."""
+    ship(spark)
     keyed = docs.select(_identity().alias("key"), simhash(F.col("text")).alias("fingerprint"))
     classes = simhash_classes(written(keyed, "simhash"), "key", "fingerprint")
     kept = written(classes.where("key = component_id").groupBy("key").agg(F.max("fingerprint").alias("chosen")), "kept")
@@ -40,6 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with every piece of personal data replaced by the name of its kind; ``n_chars`` follows."""
+    ship(spark)
     model = fitted(docs, "doc_id", "text")
     rows = docs.withColumn("text", redacted(F.col("text"), model))
     return rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
@@ -52,6 +54,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences; a document that was taken several times is packed as often."""
+    ship(spark)
     return pack(docs, "doc_id", "text")
 
 

@@ -1,6 +1,11 @@
 """Helpers shared by the text operators."""
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +18,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 50_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the executors, as ``--py-files`` does, unless the session's context already has it.
+
+    Functions in tasks refer to the package by name.  Spark serves the archive from the driver, which deletes it at its end.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_meterline_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="meterline-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/meterline_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._meterline_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 

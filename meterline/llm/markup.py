@@ -42,6 +42,7 @@ DROPPED_NAMES = frozenset(
     "subscribe subscription signup login share sharing social related recommended recommendations teaser comment comments "
     "commentlist replies respond disqus feedback widget widgets toolbar skip copyright disclaimer legal".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist replies respond disqus related recommended teaser".split())
 #: Words of a class or id that name the article where no element does.
 ARTICLE_NAMES = frozenset("article content post entry story maintext body main".split())
 
@@ -127,7 +128,7 @@ def is_surrounding(node: Node) -> bool:
     """Whether an element is a menu, an advert, a form or the like by its tag, role, name or invisibility."""
     if node.tag in DROPPED:
         return True
-    if not node.attributes or node.tag in ("html", "body", "article", "main"):
+    if not node.attributes or node.tag in ("html", "body", "main"):
         return False
     named = node.named()
     if "hidden" in named or named.get("aria-hidden") == "true" or _HIDDEN.search(named.get("style", "")):
@@ -184,34 +185,37 @@ def _length(top: Node, skip) -> int:
 def main_node(root: Node) -> Node:
     """The element that holds the article: ``article``, else ``main``, else one so named, else the page.
 
-    Of several, the one with the most text; an ``article`` inside another one is part of it.
+    Of several, the one with the most text; an ``article`` inside another one is part of it.  Elements inside menus,
+    asides and the like do not count.  Names alone can mislead, as a page's ``with-sidebar`` does: what lies inside an
+    element that only its name marks counts if there is nothing else.
     """
-    best: dict[int, tuple[int, int, Node]] = {}
-    todo = [(root, False)]
-    count = 0
+    best: dict[tuple[bool, int], tuple[int, Node]] = {}
+    todo = [(root, True, False)]
     while todo:
-        node, within = todo.pop()
-        count += 1
-        if node is not root and (is_surrounding(node) or node.tag == "header"):
+        node, clear, within = todo.pop()
+        if node.tag in DROPPED or node.tag == "header":
             continue
+        clear = clear and (node is root or not is_surrounding(node))
         named = node.named() if node.attributes else {}
+        words = {w.lower() for key in ("class", "id") for w in _NAME.findall(named.get(key, ""))} if named else set()
+        if words & COMMENT_NAMES:
+            continue
         rank = 0
         if node.tag == "article" or named.get("role") == "article":
             rank = 3
         elif node.tag == "main" or named.get("role") == "main":
             rank = 2
         elif node.tag in ("div", "section", "td") and not within:
-            words = {w.lower() for key in ("class", "id") for w in _NAME.findall(named.get(key, ""))}
             rank = int(bool(words & ARTICLE_NAMES))
         if rank:
             size = _length(node, is_surrounding)
-            if rank not in best or size > best[rank][0]:
-                best[rank] = (size, count, node)
+            if size > best.get((clear, rank), (0, None))[0]:
+                best[clear, rank] = size, node
         if rank < 3:
-            todo += [(child, within or rank == 1) for child in reversed(node.children) if isinstance(child, Node)]
-    for rank in (3, 2, 1):
-        if rank in best and best[rank][0] > 0:
-            return best[rank][2]
+            todo += [(child, clear, within or rank == 1) for child in reversed(node.children) if isinstance(child, Node)]
+    for key in ((True, 3), (True, 2), (False, 3), (False, 2), (True, 1), (False, 1)):
+        if key in best:
+            return best[key][1]
     return root
 
 

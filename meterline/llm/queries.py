@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.class_model import score_by_classes
-from meterline.llm.common import read_table, written
+from meterline.llm.common import read_table, ship, written
 from meterline.llm.edit_fingerprint import neighbour_likeness
 from meterline.llm.host_quality import MEASURES, judge_by_host
 from meterline.llm.language import dictionaries, predict_language
@@ -144,8 +144,16 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _shipped(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -386,6 +386,21 @@ def test_article_of_a_page():
     assert article_blocks(parse(PAGE), {}) == ["Title & more", "First bold text here.", "Second été line", "one", "two"]
 
 
+def test_articles_in_other_layouts():
+    comments = '<div id="comments"><article class="comment"><p>A long comment of a reader, longer than the article itself is.</p></article></div>'
+    layouts = {
+        f'<body><div class="page with-sidebar"><article><p>Text one.</p><p>Two.</p>{comments}</article><div class="sidebar">Side</div></div></body>': ["Text one.", "Two."],
+        f'<body><main><h1>Head</h1><p>Text.</p><div class="newsletter-signup">Join</div></main>{comments}</body>': ["Head", "Text."],
+        f'<body><div class="topNav">Menu</div><div class="post-content"><h1>Head</h1><p>Text.</p></div>{comments}<div id="footer">F</div></body>': ["Head", "Text."],
+        '<body><nav>Menu</nav><p>Just text</p><footer>F</footer></body>': ["Just text"],
+        '<body><section class="teasers"><article class="teaser"><p>A teaser that is longer than the text by far.</p></article></section><article><p>Text.</p></article></body>': ["Text."],
+        '<article><h1>T</h1><table><tr><td>a<td>b<tr><td>c</table><pre>x\n  y</pre><figure><img alt=i><figcaption>Cap</figcaption></figure><blockquote>Q</blockquote></article>': ["T", "a", "b", "c", "x y", "Cap", "Q"],
+        '<article><div role="alert">Notice</div><p hidden>no</p><p>Yes<script>x</script> it is<noscript>n</noscript></p><button>B</button><select><option>o</select></article>': ["Yes it is"],
+    }
+    for source, blocks in layouts.items():
+        assert article_blocks(parse(source), set()) == blocks, source
+
+
 def test_broken_pages():
     assert article_blocks(parse("a &am"), {}) == ["a &am"]
     assert article_blocks(parse("<p>x</p></div></p>y<b>z"), {}) == ["x", "yz"]
