@@ -36,6 +36,8 @@ SEED = 20_240
 BATCH_CHARS = 6_000_000
 BANDS = 128
 BAND_BITS = 20
+LARGE_GROUP = 64
+FURTHER_CUTS = 16
 
 _END = 255
 _BLOCK = 4096
@@ -296,13 +298,36 @@ def _band_keys(hexed: pd.Series) -> list[list[int]]:
     return keys
 
 
+def _further_keys(hexed: pd.Series) -> list[list[int]]:
+    """``FURTHER_CUTS`` numbers of ``BAND_BITS`` bits each, sampled from all walks."""
+    slots = np.random.RandomState(SEED + 2).randint(0, WALKS * SLOTS, (FURTHER_CUTS, BAND_BITS))
+    keys = []
+    for value in hexed:
+        bits = np.unpackbits(np.frombuffer(bytes.fromhex(value), np.uint8)).astype(np.int64)
+        keys.append(((np.arange(FURTHER_CUTS) << BAND_BITS) + bits[slots] @ (1 << np.arange(BAND_BITS))).tolist())
+    return keys
+
+
+def _by_size(keyed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of groups of two to ``LARGE_GROUP`` rows, and those of larger groups."""
+    sizes = written(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "edit-sizes")
+    few = keyed.join(sizes.where(F.col("size") <= LARGE_GROUP).select(key), key, "left_semi")
+    return few, keyed.join(sizes.where(F.col("size") > LARGE_GROUP).select(key), key, "left_semi")
+
+
+def _all_pairs(keyed: DataFrame) -> DataFrame:
+    one, other = keyed.select("band", "node"), keyed.select("band", F.col("node").alias("other"))
+    return one.join(other, "band").where("node > other").select("node", "other")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
     """(key, fingerprint, component): documents linked by an edit distance of at most ``1 - similarity`` of the longer text.
 
-    Equal texts are one node.  Each of ``BANDS`` bands groups nodes by ``BAND_BITS`` bits sampled from one walk; inside a group a node
-    is compared with the group's smallest node and with its predecessor, so that the candidates grow with the number of
-    nodes, not with its square.  A candidate counts only if the edit distance confirms it.  ``component`` is the smallest
-    key reachable.
+    Equal texts are one node.  Each of ``BANDS`` bands groups nodes by ``BAND_BITS`` bits sampled from one walk.  In a group
+    of up to ``LARGE_GROUP`` nodes all are compared.  A larger group is cut again, by as many further bits of the other
+    walks for each of ``FURTHER_CUTS`` draws; in what is still larger, a node is compared with the smallest node and its
+    predecessor, so that candidates grow with the number of nodes, not with its square.  A candidate counts only if the
+    edit distance confirms it.  ``component`` is the smallest key reachable.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = written(
@@ -315,10 +340,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     def bands(hexed: pd.Series) -> pd.Series:
         return pd.Series(_band_keys(hexed))
 
-    keyed = nodes.select("node", F.explode(bands("fingerprint")).alias("band"))
-    ordered = Window.partitionBy("band").orderBy("node")
-    beside = keyed.select("node", F.array(F.first("node").over(ordered), F.lag("node").over(ordered)).alias("others"))
-    pairs = beside.select("node", F.explode("others").alias("other")).where("other < node").distinct()
+    @F.pandas_udf("array<long>")
+    def cuts(hexed: pd.Series) -> pd.Series:
+        return pd.Series(_further_keys(hexed))
+
+    banded = nodes.select("node", "fingerprint", F.explode(bands("fingerprint")).alias("band"))
+    few, large = _by_size(written(banded, "edit-bands"), "band")
+    further = large.withColumn("cut", F.explode(cuts("fingerprint"))).withColumn("band", F.xxhash64("band", "cut"))
+    few_further, crowded = _by_size(written(further.drop("cut"), "edit-cuts"), "band")
+    ordered = Window.partitionBy("band").orderBy("fingerprint", "node")
+    beside = crowded.select("node", F.array(F.first("node").over(ordered), F.lag("node").over(ordered)).alias("others"))
+    chained = beside.select("node", F.explode("others").alias("other")).where("other <> node")
+    pairs = _all_pairs(few).unionByName(_all_pairs(few_further)).unionByName(chained)
+    pairs = pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
     left = nodes.select("node", F.col("whole").alias("left"))
     right = nodes.select(F.col("node").alias("other"), F.col("whole").alias("right"))
 
