@@ -46,7 +46,7 @@ def dictionaries(docs: DataFrame, key: str, text: str, lang: str) -> dict[str, b
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where((bucket(F.col("key"), FOLDS) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = smallest_hashes_by(rows, "lang", SAMPLE_DOCS, "key", "text")
+    sample = smallest_hashes_by(rows, "lang", SAMPLE_DOCS, sizes, "key", "text")
     sample = sample.select("group", "hash", F.substring("text", 1, DICTIONARY_BYTES).alias("text")).collect()
     found: dict[str, list[tuple[int, str]]] = {}
     for row in sample:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import bucket
+from meterline.llm.common import bucket, likely_smallest
 
 FOLDS = 5
 SAMPLE_DOCS = 6_000
@@ -203,8 +203,10 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str)
     marked = labels.select(F.col(key).alias("key"), F.col(toxic).cast("int").alias("toxic"))
     marked = marked.where((bucket(F.col("key"), FOLDS) != 0) & F.col("toxic").isin(0, 1))
     totals = {row["toxic"]: row["n"] for row in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("key"), "key")
-    chosen = marked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
+    order = Window.partitionBy("toxic").orderBy("hash", "key")
+    likely = marked.withColumn("hash", F.xxhash64("key"))
+    likely = likely.where(likely_smallest(F.col("hash"), F.col("toxic"), SAMPLE_DOCS, totals))
+    chosen = likely.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # At most twice SAMPLE_DOCS short rows are sent out.
     found = texts.join(F.broadcast(chosen), "key").select("key", "toxic", "text").collect()

@@ -596,6 +596,20 @@ def test_languages_of_held_out_documents(spark, docs):
     assert all(0 <= row["score"] <= 1 for row in rows)
 
 
+def test_samples_have_the_smallest_hashes(spark):
+    from meterline.llm.common import smallest_hashes, smallest_hashes_by
+
+    rows = spark.range(60_000).selectExpr("id AS key", "if(id % 3 = 0, 'a', 'b') AS lang", "CAST(id % 7 AS STRING) AS text")
+    sizes = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    hashed = rows.withColumn("h", F.xxhash64("lang", "key", "text"))
+    for name in sizes:
+        expected = sorted(row["h"] for row in hashed.where(F.col("lang") == name).collect())[:400]
+        found = smallest_hashes_by(rows, "lang", 400, sizes, "key", "text").where(F.col("group") == name).collect()
+        assert sorted(row["hash"] for row in found) == expected
+    found = sorted(row["hash"] for row in smallest_hashes(rows, 50, "key", "text").collect())
+    assert found == sorted(row[0] for row in rows.select(F.xxhash64("key", "text")).collect())[:50]
+
+
 def test_texts_without_letters_have_no_language():
     compressors = language.Compressors({"en": b"the quick brown fox " * 5, "fr": b"le renard brun rapide " * 5})
     for text in (None, "", " 12 + 3 = 15 \n", "___"):
