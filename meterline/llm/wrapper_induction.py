@@ -178,10 +178,12 @@ def written_form(tree: Tree) -> str:
     return json.dumps(_kept(tree, FORGOTTEN * tree.support), separators=(",", ":"))
 
 
-def read_form(text: str) -> Tree:
+def read_form(text: str, times: int = 1) -> Tree:
+    """The written tree, or what as many copies of it give when they are merged."""
+
     def build(entry: list) -> Tree:
         label, support, contents, children = entry
-        return Tree(label, support, {c: n for c, n in contents}, [build(child) for child in children])
+        return Tree(label, support * times, {c: n * times for c, n in contents}, [build(child) for child in children])
 
     return build(json.loads(text))
 
@@ -225,10 +227,10 @@ def host_of(url: Column) -> Column:
 _TREES = "host string, chunk bigint, tree string"
 
 
-def _merge_chunk(trees: Iterable[str]) -> str:
+def _merge_chunk(trees: Iterable[tuple[str, int]]) -> str:
     wrapper = None
-    for text in trees:
-        tree = read_form(text)
+    for text, times in trees:
+        tree = read_form(text, times)
         wrapper = tree if wrapper is None else merged(wrapper, tree)
     return written_form(wrapper)
 
@@ -239,6 +241,17 @@ def _summaries(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"host": batch["host"], "chunk": batch["chunk"], "tree": trees})
 
 
+def _merged_chunks(trees: DataFrame) -> DataFrame:
+    """One tree for each chunk.  Equal trees are counted before the exchange, so that copies of a page are one row."""
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        tree = _merge_chunk(sorted(zip(group["tree"].tolist(), group["n"].tolist(), strict=True)))
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "chunk": [group["chunk"].iloc[0]], "tree": [tree]})
+
+    counted = trees.groupBy("host", "chunk", "tree").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("host", "chunk").applyInPandas(merge, _TREES)
+
+
 def host_wrappers(pages: DataFrame, url: str, source: str) -> DataFrame:
     """(host, tree): one wrapper for each host with at least ``LEAST_PAGES`` pages."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(url).alias("url"), F.coalesce(F.col(source), F.lit("")).alias("html"))
@@ -249,16 +262,12 @@ def host_wrappers(pages: DataFrame, url: str, source: str) -> DataFrame:
     chunk = F.pmod(F.xxhash64("url", "html"), F.ceil(F.col("pages") / CHUNK)).alias("chunk")
     trees = rows.join(small(sizes), "host").select("host", chunk, "html").mapInPandas(_summaries, _TREES)
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        tree = _merge_chunk(sorted(group["tree"]))
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "chunk": [group["chunk"].iloc[0]], "tree": [tree]})
-
-    trees = written(trees.groupBy("host", "chunk").applyInPandas(merge, _TREES), "wrappers")
+    trees = written(_merged_chunks(trees), "wrappers")
     chunks = -(-most // CHUNK)
     while chunks > 1:
         chunks = -(-chunks // CHUNK)
         fewer = trees.withColumn("chunk", F.pmod(F.xxhash64("chunk"), F.lit(chunks)))
-        trees = written(fewer.groupBy("host", "chunk").applyInPandas(merge, _TREES), "wrappers")
+        trees = written(_merged_chunks(fewer), "wrappers")
     return trees.select("host", "tree")
 
 

@@ -475,6 +475,15 @@ def test_alignment_is_the_best_one():
     assert close >= 190
 
 
+def test_copies_of_a_page_count_as_often_as_they_occur():
+    draw = random.Random(3)
+    page = lambda n: f"<div class=top>menu</div><article><p>{' '.join(draw.choices('abcde', k=n))}</p><p>x</p></article>"
+    forms = [wrapper_induction.written_form(wrapper_induction.tree_of(wrapper_induction.parse(page(n)))) for n in (3, 4, 5)]
+    one_by_one = wrapper_induction._merge_chunk([(form, 1) for form in sorted(forms) for _ in range(7)])
+    assert wrapper_induction._merge_chunk([(form, 7) for form in sorted(forms)]) == one_by_one
+    assert wrapper_induction.read_form(one_by_one).support == 21
+
+
 # --- 4 class model
 
 
@@ -612,7 +621,7 @@ def test_samples_have_the_smallest_hashes(spark):
 
 def test_texts_without_letters_have_no_language():
     compressors = language.Compressors({"en": b"the quick brown fox " * 5, "fr": b"le renard brun rapide " * 5})
-    for text in (None, "", " 12 + 3 = 15 \n", "___"):
+    for text in (None, "", " 12 + 3 = 15 \n", "___", "½ ² Ⅷ"):
         assert compressors.predict(text) == ("und", 0.0, True)
     assert compressors.predict("the quick brown fox")[0] == "en"
     assert compressors.predict("le renard brun")[0] == "fr"
