@@ -85,7 +85,8 @@ class Compressors:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         plain = letters(text) if text else ""
-        if not plain or not self.each:
+        # Other signs that count as parts of words, such as fractions and superscripts, are no letters.
+        if not any(map(str.isalpha, plain)) or not self.each:
             return UNKNOWN, 0.0, True
         sizes = self.sizes(plain)
         best = int(sizes.argmin())
