@@ -22,21 +22,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _identity() -> Column:
-    """A document's id as sortable text, smaller ids first; documents without id come last and go by their text."""
+    """Sortable text that rows share if their ids and texts are equal, smaller ids first; documents without id come last."""
     known = F.lpad(F.expr("cast(cast(doc_id AS decimal(20,0)) + 9223372036854775808 AS string)"), 20, "0")
-    return F.coalesce(known, F.concat(F.lit("~"), F.sha2(F.coalesce("text", F.lit("")), 256)))
+    return F.concat(F.coalesce(known, F.lit("~")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints, that with the smallest id; of repeated rows, one."""
+    """One document of each group of linked fingerprints, that with the smallest id.
+
+    Texts under one id are documents of their own.  Of rows with equal id and text, a text before NULL, then the one whose
+    other columns come first as JSON.
+    """
     ship(spark)
     keyed = docs.select(_identity().alias("key"), simhash(F.col("text")).alias("fingerprint"))
     classes = simhash_classes(written(keyed, "simhash"), "key", "fingerprint")
-    kept = written(classes.where("key = component_id").groupBy("key").agg(F.max("fingerprint").alias("chosen")), "kept")
+    kept = written(classes.where("key = component_id").select("key").distinct(), "kept")
     rows = docs.select(F.struct("*").alias("row"), _identity().alias("key"))
-    found = rows.join(kept, "key")
-    one = F.min_by("row", F.coalesce("row.text", F.lit("")))
-    return found.groupBy("key").agg(one.alias("row")).select("row.*")
+    order = F.struct(F.col("row.text").isNull(), F.to_json(F.col("row").dropFields("text")))
+    return rows.join(kept, "key").groupBy("key").agg(F.min_by("row", order).alias("row")).select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -154,6 +154,15 @@ def test_one_of_repeated_rows_and_of_rows_without_key_stays(spark):
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == [("7", "a b c d"), ("9", "None"), ("None", "other words here now")]
 
 
+def test_texts_under_one_id_are_documents_of_their_own(spark):
+    docs = spark.createDataFrame(
+        [(8, "one text of some words", "y"), (8, "something else altogether", "x"), (8, "one text of some words", "x"), (9, "something else altogether", "x")],
+        "doc_id long, text string, source string",
+    )
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(map(tuple, kept.collect())) == [(8, "one text of some words", "x"), (8, "something else altogether", "x")]
+
+
 def test_redaction_of_a_null_text(spark):
     docs = spark.createDataFrame([(1, None, 5), (2, "call +1 (988) 555-2485", 22)], "doc_id long, text string, n_chars long")
     rows = {r["doc_id"]: r for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
