@@ -2,7 +2,8 @@
 
 A source whose share should be ``w`` and which holds ``n`` of ``N`` texts repeats each text ``w N / n`` times on average.
 How often one text is taken is drawn from the Poisson distribution with that mean, by inverting it at a number between
-0 and 1 that a hash of seed and key gives.  Copies are then put in the order of another hash.  Everything is made of
+0 and 1 that a hash of seed and key gives; a mean above ``MOST_RATE`` is the sum of several such draws, which has the same
+distribution.  Copies are then put in the order of another hash.  Everything is made of
 Spark's own functions, and the same table gives the same copies in the same order, whatever its partitions.
 
 Rows: NULL is a source of its own and a key of its own; rows with equal keys draw alike and are all kept or repeated;
@@ -12,9 +13,12 @@ any other column is only carried; a table without rows gives none.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import partitions, small, written
+from meterline.llm.common import let, partitions, small, written
 
 SEED = "mix-1"
+#: Larger means are drawn as the sum of several equal smaller ones: ``exp(-rate)`` must not be zero.
+MOST_RATE = 700
+COPIES_AT_ONCE = 10_000
 
 
 def unit_hash(*parts: Column) -> Column:
@@ -57,27 +61,38 @@ def thresholds(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), most), start, further, lambda state: state["sums"])
 
 
+def drawn_copies(sums: Column, parts: Column, seed: str, key: Column, drawn: Column) -> Column:
+    """How many copies: the sum of ``parts`` draws, the first at ``drawn``, each further one at a hash of its own."""
+
+    def draw(total: Column, part: Column) -> Column:
+        at = F.when(part == 1, drawn).otherwise(unit_hash(F.lit(seed), key, part, F.lit("part")))
+        return total + let(at, lambda one: F.size(F.filter(sums, lambda most: most <= one)))
+
+    return F.aggregate(F.sequence(F.lit(1).cast("bigint"), parts), F.lit(0).cast("bigint"), draw)
+
+
 def mix(
     docs: DataFrame, key: str, source: str, weights: dict[str | None, float] | None = None, seed: str = SEED
 ) -> DataFrame:
     """(row, copy, place): each row of ``docs``, whole as a struct, as often as drawn.
 
     ``copy`` counts from 1, ``place`` is in [0, 1).  Copies are dealt out to partitions by ``place`` and ordered by it
-    there, so that any run of rows is a random sample.  Rates above some 700 copies a text are refused: the first term
-    of the distribution would be zero.
+    there, so that any run of rows is a random sample.
     """
     rates = written(source_rates(docs, source, weights), "rates")
-    if rates.where("rate > 700").limit(1).count():
-        raise ValueError("a source would be repeated over 700 times; give it a smaller weight")
-    table = small(written(rates.select("source", thresholds(F.col("rate")).alias("sums")), "thresholds"))
+    parts = F.greatest(F.ceil(F.col("rate") / MOST_RATE), F.lit(1)).cast("bigint")
+    table = rates.select("source", parts.alias("parts"), thresholds(F.col("rate") / parts).alias("sums"))
+    table = small(written(table, "thresholds"))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col(source).alias("of"))
     rows = rows.withColumn("drawn", unit_hash(F.lit(seed), F.col("key")))
     counted = rows.join(table, F.col("of").eqNullSafe(F.col("source"))).select(
-        "row", "key", F.size(F.filter("sums", lambda most: most <= F.col("drawn"))).alias("count")
-    )
-    copies = counted.where("count > 0").select(
-        "row", "key", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count").cast("bigint"))).alias("copy")
+        "row", "key", drawn_copies(F.col("sums"), F.col("parts"), seed, F.col("key"), F.col("drawn")).alias("count")
     )
+    # In two steps, so that no array is longer than COPIES_AT_ONCE.
+    starts = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"), F.lit(COPIES_AT_ONCE))).alias("start")
+    last = F.least(F.col("start") + (COPIES_AT_ONCE - 1), F.col("count"))
+    copies = counted.where("count > 0").select("row", "key", "count", starts)
+    copies = copies.select("row", "key", F.explode(F.sequence("start", last)).alias("copy"))
     place = unit_hash(F.lit(seed), F.col("key"), F.col("copy"), F.lit("place"))
     return (
         copies.select("row", "copy", place.alias("place"))

@@ -370,6 +370,27 @@ def test_mixing_meets_its_weights_and_order(spark):
     assert sorted(again.select("place").toPandas()["place"]) == sorted(table["place"])
 
 
+def test_rare_source_beside_millions_of_rows(spark):
+    source = F.when(F.col("id") > 2, (F.col("id") % 10).cast("string")).alias("source")
+    docs = spark.range(18_000_000).select(F.col("id").alias("doc_id"), source)
+    sizes = [3, *[row["count"] for row in docs.where("source IS NOT NULL").groupBy("source").count().collect()]]
+    rate = math.sqrt(3) / sum(map(math.sqrt, sizes)) * 18_000_000 / 3
+    assert rate > 700
+    mixed = mixing.mix(docs, "doc_id", "source").where("row.source IS NULL")
+    rows = mixed.groupBy("row.doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("copy").alias("numbers"), F.max("copy").alias("most")).collect()
+    assert len(rows) == 3
+    assert all(row["n"] == row["numbers"] == row["most"] and abs(row["n"] - rate) < 6 * math.sqrt(rate) for row in rows)
+
+
+def test_large_rates_have_the_poisson_distribution(spark):
+    sums = mixing.thresholds(F.lit(690.0))
+    table = spark.range(1).select(sums.alias("sums")).crossJoin(spark.range(4_000))
+    drawn = mixing.drawn_copies(F.col("sums"), F.lit(3).cast("bigint"), "s", F.col("id"), mixing.unit_hash(F.lit("s"), F.col("id")))
+    counts = np.array([row["n"] for row in table.select(drawn.alias("n")).collect()])
+    assert abs(counts.mean() - 2_070) < 4 * math.sqrt(2_070 / 4_000)
+    assert abs(counts.var() / 2_070 - 1) < 0.1
+
+
 # --- 3 pages
 
 
