@@ -109,3 +109,28 @@ def smallest_hashes_by(rows: DataFrame, group: str, n: int, sizes: dict, *column
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(rows: DataFrame, group: str, *order: Column) -> DataFrame:
+    """The rows with ``pos``, their number in their group from 0, and ``n``, the rows of the group.
+
+    ``rows`` is a written table.  It is dealt out by the whole order, then by a number of each row, so a group with a third
+    of all rows, or one row repeated as often, fills as many partitions as it needs.  A row's number is its place in the
+    sorted partition plus the rows of its group in the partitions before; only the latter, one row for each group and
+    partition, are summed up.  Rows equal in group and order are numbered in any order.  ``group`` is not NULL.
+    """
+    spread = rows.withColumn("_spread", F.monotonically_increasing_id())
+    dealt = spread.repartitionByRange(partitions(rows.sparkSession), F.col(group), *order, F.col("_spread"))
+    dealt = dealt.sortWithinPartitions(F.col(group), *order, F.col("_spread")).drop("_spread")
+    placed = written(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_slice", F.shiftright("_at", 33))
+    slices = placed.groupBy(group, "_slice").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slices.select(
+        F.col(group),
+        "_slice",
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_rows").over(Window.partitionBy(group)).alias("n"),
+    )
+    joined = placed.join(small(written(starts, "starts")), [group, "_slice"])
+    return joined.withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_slice", "_shift")

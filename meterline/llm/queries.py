@@ -10,6 +10,7 @@ from meterline.llm.common import read_table, ship, written
 from meterline.llm.edit_fingerprint import neighbour_likeness
 from meterline.llm.host_quality import MEASURES, judge_by_host
 from meterline.llm.language import dictionaries, predict_language
+from meterline.llm import merkle
 from meterline.llm.mixing import mix
 from meterline.llm.packing import pack
 from meterline.llm.personal_data import find_personal_data, fitted
@@ -71,6 +72,10 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, dictionaries(docs, "doc_id", "text", "lang"), "doc_id", "text")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(merkle.build(read_table(spark, sf_dir, "documents", *merkle.FIELDS)))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -84,12 +89,85 @@ QUERIES: dict[str, Query] = {
         op8_poisson_mixing,
         op9_toxic_neighbours,
         op10_zstd_language,
+        op13_merkle_manifest,
     )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+#: The bytes of a BLOB as numbers, and their CRC-32 by the table of its polynomial, which ``crc_table`` makes.
+_BYTES = "list_transform(range(1, strlen(hex({blob})) // 2 + 1), lambda i: ('0x' || substr(hex({blob}), (2 * i - 1)::INT, 2))::UBIGINT)"
+_CRC_STEP = "xor(c >> 1, (c & 1) * 3988292384)"
+CRC_TABLE = f"""
+        crc_table AS (
+            SELECT list(list_reduce([b::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: {_CRC_STEP}) ORDER BY b) AS crcs
+            FROM range(256) AS bytes(b))"""
+
+
+def crc32_sql(blob: str) -> str:
+    """Needs the only row of ``crc_table`` beside the blob."""
+    number = _BYTES.format(blob=blob)
+    step = "xor(c >> 8, crcs[(xor(c, x) & 255)::INT + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {number}), lambda c, x: {step}), 4294967295::UBIGINT)"
+
+
+def merkle_sql(most: int = 6) -> str:
+    """All proofs as SQL, for sources of up to ``16 ** most`` rows: each level and each fold is a step of its own."""
+    fields = ", ".join(
+        f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}::VARCHAR) || ':' || {v}::VARCHAR END" for v in merkle.FIELDS
+    )
+    lowered = fields.replace("text", f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')")
+    steps = [
+        CRC_TABLE.strip(),
+        f"""leaves AS (
+            SELECT coalesce('=' || source, '') AS tree, doc_id, sha256(concat({fields})) AS leaf,
+                CASE WHEN {crc32_sql("encode(coalesce(doc_id::VARCHAR, ''))")} % 5 = 0 THEN sha256(concat({lowered})) END AS tampered
+            FROM documents, crc_table)""",
+        """placed AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+            FROM leaves)""",
+        "d0 AS (SELECT tree, pos, n, leaf AS node FROM placed)",
+    ]
+
+    def grown(kind: str) -> None:
+        for k in range(most):
+            steps.append(f"""{kind}{k + 1} AS (
+                SELECT tree, pos // 16 AS pos, max((n + 15) // 16) AS n,
+                    CASE WHEN max(n) > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE max(node) END AS node
+                FROM {kind}{k} GROUP BY tree, pos // 16)""")
+            steps.append(f"""{kind}_beside{k} AS (
+                SELECT a.tree, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS lefts,
+                    coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS rights
+                FROM {kind}{k} a JOIN {kind}{k} b ON a.tree = b.tree AND a.pos // 16 = b.pos // 16
+                WHERE a.n > 1 GROUP BY a.tree, a.pos)""")
+
+    def folded(kind: str, before: str, tree: str, pos: str) -> str:
+        for k in range(most):
+            steps.append(f"""{kind}_fold{k} AS (
+                SELECT f.* REPLACE (CASE WHEN s.tree IS NULL THEN f.node ELSE sha256(s.lefts || f.node || s.rights) END AS node,
+                    CASE WHEN s.tree IS NULL THEN f.proof ELSE f.proof || s.lefts || s.rights END AS proof)
+                FROM {before} f LEFT JOIN {kind}_beside{k} s ON s.tree = {tree} AND s.pos = {pos} // {16**k})""")
+            before = f"{kind}_fold{k}"
+        return before
+
+    grown("d")
+    steps.append(f"""s0 AS (
+            SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, node, tree AS source
+            FROM d{most})""")
+    grown("s")
+    steps.append("""start AS (
+            SELECT p.tree, p.pos, s0.pos AS at, s0.node AS subroot, p.doc_id, p.leaf, coalesce(tampered, leaf) AS node, '' AS proof
+            FROM placed p JOIN s0 ON s0.source = p.tree)""")
+    last = folded("s", folded("d", "start", "f.tree", "f.pos"), "''", "f.at")
+    joined = ",\n        ".join(steps)
+    return f"""
+        WITH {joined}
+        SELECT doc_id, leaf, subroot, r.node AS root, sha256(proof) AS proof_sha256, f.node AS folded_root, f.node = r.node AS verified
+        FROM {last} f, s{most} r"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": merkle_sql(),
     "op2_host_quality": rf"""
         WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS whole, {_WORDS} AS w FROM documents),
         listed AS (
