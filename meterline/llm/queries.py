@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from meterline.llm.class_model import score_by_classes
 from meterline.llm.common import read_table, ship, written
 from meterline.llm.edit_fingerprint import neighbour_likeness
+from meterline.llm import importance, merkle
 from meterline.llm.host_quality import MEASURES, judge_by_host
 from meterline.llm.language import dictionaries, predict_language
-from meterline.llm import merkle
 from meterline.llm.mixing import mix
 from meterline.llm.packing import pack
 from meterline.llm.personal_data import find_personal_data, fitted
@@ -72,6 +72,12 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, dictionaries(docs, "doc_id", "text", "lang"), "doc_id", "text")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    target = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return importance.resample(docs, target).drop("n_words")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(merkle.build(read_table(spark, sf_dir, "documents", *merkle.FIELDS)))
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op8_poisson_mixing,
         op9_toxic_neighbours,
         op10_zstd_language,
+        op11_importance_resampling,
         op13_merkle_manifest,
     )
 }
@@ -166,7 +173,43 @@ def merkle_sql(most: int = 6) -> str:
         FROM {last} f, s{most} r"""
 
 
+_LOWERED = f"translate(coalesce(text, ''), '{merkle.UPPER}', '{merkle.LOWER}')"
+_RUNS = """list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]),
+                list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))"""
+IMPORTANCE_SQL = rf"""
+        WITH {CRC_TABLE.strip()},
+        texts AS (
+            SELECT row_number() OVER () AS rid, *, {_RUNS} AS runs
+            FROM (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)),
+        targets AS (
+            SELECT {_RUNS} AS runs
+            FROM (SELECT regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)),
+        own AS (SELECT rid, unnest(runs) AS run FROM texts),
+        wanted AS (SELECT unnest(runs) AS run FROM targets),
+        hashed AS (
+            SELECT run, {crc32_sql("encode(run)")} % 10000 AS bucket
+            FROM (SELECT run FROM own UNION SELECT run FROM wanted) AS d(run), crc_table),
+        s AS (SELECT bucket, count(*)::DOUBLE AS s FROM own JOIN hashed USING (run) GROUP BY bucket),
+        t AS (SELECT bucket, count(*)::DOUBLE AS t FROM wanted JOIN hashed USING (run) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)
+                / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+            FROM range(10000) AS r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+        weights AS (SELECT rid, sum(gain)::BIGINT AS weight FROM own JOIN hashed USING (run) JOIN gains USING (bucket) GROUP BY rid),
+        scored AS (
+            SELECT rid, doc_id, len(w) AS n_words, len(runs)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)
+                    / 4294967296)))::BIGINT AS score
+            FROM texts LEFT JOIN weights USING (rid)),
+        ranked AS (
+            SELECT *, row_number() OVER (ORDER BY n_words < 20, score DESC, doc_id NULLS LAST, n_features) AS place,
+                (count(*) FILTER (WHERE n_words >= 20) OVER ()) * 5 // 100 AS drawn
+            FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM ranked"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_importance_resampling": IMPORTANCE_SQL,
     "op13_merkle_manifest": merkle_sql(),
     "op2_host_quality": rf"""
         WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS whole, {_WORDS} AS w FROM documents),

@@ -73,6 +73,8 @@ def _write(spark, folder, rows, pages, labels):
     frame.repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(pages, PAGES).write.parquet(f"{folder}/pages.parquet")
     spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    targets = [(row[0], row[1], "clash") for row in rows[4::3]]
+    spark.createDataFrame(targets, "item_id bigint, text string, pos string").write.parquet(f"{folder}/benchmark.parquet")
     return str(folder)
 
 
