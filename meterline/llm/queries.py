@@ -15,6 +15,7 @@ from meterline.llm.mixing import mix
 from meterline.llm.packing import pack
 from meterline.llm.personal_data import find_personal_data, fitted
 from meterline.llm.simhash import as_hex, simhash, simhash_classes
+from meterline.llm.suffix_dedup import without_repeats
 from meterline.llm import toxicity
 from meterline.llm.wrapper_induction import extract_text
 
@@ -78,6 +79,18 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, target).drop("n_words")
 
 
+def op12_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    lengths = F.transform("removed", lambda span: span["end"] - span["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(merkle.build(read_table(spark, sf_dir, "documents", *merkle.FIELDS)))
 
@@ -96,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op9_toxic_neighbours,
         op10_zstd_language,
         op11_importance_resampling,
+        op12_induced_suffixes,
         op13_merkle_manifest,
     )
 }
