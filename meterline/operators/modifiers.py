@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from meterline.constants import COST_TYPE
 from meterline.functions import charges
+from meterline.plans.asof import as_of
+from meterline.plans.intervals import strongest_segments, with_valid
 from meterline.plans.rules import with_rules
+from meterline.plans.running import HOT_ROWS
 
 #: Stands for the end of a promotion without one: the last moment that a time stamp can hold here.
 OPEN_END = "TIMESTAMP_NTZ'9999-12-31 23:59:59.999999'"
+EARLIEST = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
 
 
 def promotion_segments(promotions: DataFrame) -> DataFrame:
@@ -22,45 +26,80 @@ def promotion_segments(promotions: DataFrame) -> DataFrame:
     meets at most one segment.
     """
     lasting = promotions.withColumn("valid_to", F.coalesce("valid_to", F.expr(OPEN_END)))
-    lasting = lasting.where(F.col("valid_from") < F.col("valid_to")).select("service", "valid_from", "valid_to", "percent_off")
-    borders = lasting.select("service", F.explode(F.array("valid_from", "valid_to")).alias("segment_from")).distinct()
-    following = Window.partitionBy("service").orderBy("segment_from")
-    segments = borders.withColumn("segment_to", F.lead("segment_from").over(following)).where(
-        F.col("segment_to").isNotNull()
+    lasting = lasting.where(F.col("service").isNotNull() & (F.col("valid_from") < F.col("valid_to")))
+    segments = strongest_segments(
+        lasting.select("service", "valid_from", "valid_to", "percent_off"), "service", "valid_from", "valid_to", "percent_off"
     )
-    covered = segments.join(lasting, "service").where(
-        (F.col("valid_from") <= F.col("segment_from")) & (F.col("segment_to") <= F.col("valid_to"))
-    )
-    return covered.groupBy("service", "segment_from", "segment_to").agg(F.max("percent_off").alias("percent_off"))
+    return segments.withColumnsRenamed({"valid_from": "segment_from", "valid_to": "segment_to"})
+
+
+def _with_percent_off(usage: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Adds ``percent_off``: that of the promotion valid for the record's service at its time."""
+    segments = promotion_segments(promotions)
+    segments = segments.withColumn("segment_to", F.when(F.col("segment_to") < F.expr(OPEN_END), F.col("segment_to")))
+    return with_valid(usage, segments, "service", F.col("record_type"), "event_ts", "segment_from", "segment_to")
+
+
+def _lowest_price(plans: DataFrame, *keys: str) -> DataFrame:
+    return plans.groupBy(*keys).agg(F.min("plan_multiplier").alias("plan_multiplier"))
+
+
+def _dated(table: DataFrame) -> bool:
+    return "valid_from" in table.columns
+
+
+def _with_multiplier(usage: DataFrame, subscriptions: DataFrame, plans: DataFrame, hot_rows: int) -> DataFrame:
+    """Adds ``plan_multiplier``: the price, at the time of the record, of the plan that its payer had at that time."""
+    clients = subscriptions.withColumnRenamed("user_id", "_payer")
+    if not _dated(plans):
+        prices = _lowest_price(plans, "plan")
+        if not _dated(subscriptions):
+            multipliers = _lowest_price(clients.join(prices, "plan"), "_payer")
+            return usage.join(multipliers, F.col("payer") == F.col("_payer"), "left").drop("_payer")
+        changes = _lowest_price(clients.join(prices, "plan", "left"), "_payer", "valid_from")
+        return as_of(usage, changes, "_payer", F.col("payer"), "event_ts", "valid_from", hot_rows)
+    if _dated(subscriptions):
+        changes = clients.groupBy("_payer", "valid_from").agg(F.min("plan").alias("_plan"))
+        planned = as_of(usage, changes, "_payer", F.col("payer"), "event_ts", "valid_from", hot_rows)
+    else:
+        held = clients.groupBy("_payer").agg(F.min("plan").alias("_plan"))
+        planned = usage.join(held, F.col("payer") == F.col("_payer"), "left").drop("_payer")
+    since = F.coalesce("valid_from", F.expr(EARLIEST)).alias("valid_from")
+    prices = _lowest_price(plans.select("plan", since, "plan_multiplier"), "plan", "valid_from")
+    following = Window.partitionBy("plan").orderBy("valid_from")
+    spans = prices.withColumn("valid_to", F.lead("valid_from").over(following))
+    return with_valid(planned, spans, "plan", F.col("_plan"), "event_ts", "valid_from", "valid_to").drop("_plan")
 
 
 def rate_with_promotions(
-    rated: DataFrame, subscriptions: DataFrame, plans: DataFrame, promotions: DataFrame
+    rated: DataFrame,
+    subscriptions: DataFrame | None = None,
+    plans: DataFrame | None = None,
+    promotions: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``base_cost`` becomes ``cost`` under the payer's plan and the promotion valid at that time.
 
-    subscriptions: user_id, plan; plans: plan, plan_multiplier.  A payer without a plan pays
-    the base price.  A payer with very much usage makes a skewed join partition, which adaptive execution
-    splits: usage is the left, splittable side.
+    subscriptions: user_id, plan; plans: plan, plan_multiplier; they go together, and promotions stand for themselves.  With a
+    column ``valid_from`` a subscription, or a plan's price, holds from then until the next one of the same client, or plan
+    (:func:`meterline.plans.asof.as_of`); NULL is since ever, and the plan NULL ends a subscription.  A payer without a plan
+    pays the base price, and so does one whose plan has no price yet.  Of several plans that a client has from the same
+    moment on, the cheapest counts; if prices are dated, the first by name.  A payer with very much usage makes a skewed join
+    partition, which adaptive execution splits: usage is the left, splittable side; with dated subscriptions it is cut into
+    slices by time.
     """
-    multipliers = (
-        subscriptions.join(plans, "plan")
-        .groupBy(F.col("user_id").alias("_payer"))
-        .agg(F.min("plan_multiplier").alias("plan_multiplier"))
-    )
-    segments = promotion_segments(promotions).withColumnRenamed("service", "_service")
+    if (subscriptions is None) != (plans is None):
+        raise ValueError("subscriptions and plans go together")
     usage = rated.withColumnRenamed("cost", "base_cost").withColumn("payer", charges.paying_user())
-    valid = (F.col("event_ts") >= F.col("segment_from")) & (F.col("event_ts") < F.col("segment_to"))
-    promoted = with_rules(usage, segments, {"_service": F.col("record_type")}, valid)
-    promoted = promoted.join(multipliers, F.col("payer") == F.col("_payer"), "left")
-    price = (
-        F.col("base_cost")
-        * F.coalesce("plan_multiplier", F.lit(1).cast("decimal(4,2)"))
-        * (F.lit(1).cast("decimal(4,2)") - F.coalesce("percent_off", F.lit(0).cast("decimal(4,2)")))
-    )
-    return promoted.withColumn("cost", price.cast(COST_TYPE)).drop(
-        "_payer", "segment_from", "segment_to", "percent_off", "plan_multiplier"
-    )
+    price, whole = F.col("base_cost"), F.lit(1).cast("decimal(4,2)")
+    if promotions is not None:
+        usage = _with_percent_off(usage, promotions)
+    if plans is not None:
+        usage = _with_multiplier(usage, subscriptions, plans, hot_rows)
+        price = price * F.coalesce("plan_multiplier", whole)
+    if promotions is not None:
+        price = price * (whole - F.coalesce("percent_off", F.lit(0).cast("decimal(4,2)")))
+    return usage.withColumn("cost", price.cast(COST_TYPE)).drop("percent_off", "plan_multiplier")
 
 
 def hour_rows(bands: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ from meterline.sinks import new_run, record_run, run_path
 class Rules:
     """Rule tables that change prices; what is None does not apply.
 
-    tariff: see :func:`meterline.operators.rate.rate_by_tariff_table`; without one, stored prices stay.  subscriptions,
-    plans and promotions go together.  fees: see :func:`meterline.operators.bill.billing_with_fees`.
+    tariff: see :func:`meterline.operators.rate.rate_by_tariff_table`; without one, stored prices stay.  subscriptions
+    and plans go together, promotions stand for themselves
+    (:func:`meterline.operators.modifiers.rate_with_promotions`).  fees: see :func:`meterline.operators.bill.billing_with_fees`.
     """
 
     tariff: DataFrame | None = None
@@ -55,7 +56,7 @@ def priced(usage: DataFrame, rules: Rules) -> DataFrame:
             [], "cell_id string, cell_multiplier decimal(4,2)"
         )
         priced = modifiers.rate_with_modifiers(priced, bands, cells).drop("base_cost")
-    if rules.promotions is not None:
+    if any(table is not None for table in (rules.subscriptions, rules.plans, rules.promotions)):
         priced = modifiers.rate_with_promotions(priced, rules.subscriptions, rules.plans, rules.promotions)
         priced = priced.drop("base_cost", "payer")
     if rules.quotas is not None:

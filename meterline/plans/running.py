@@ -24,7 +24,7 @@ HOT_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+def same_keys(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(and_, [left[n].eqNullSafe(right[n]) for n in names])
 
 
@@ -56,7 +56,7 @@ def _sliced(
     )
     inside = _windowed(rows, [*keys, "_slice"], order, {f"_own_{n}": F.col(f"_in_{n}") for n in totals})
     # A slice border lies inside at most one key, so there are fewer slice totals than slices plus keys.
-    joined = inside.join(bounded(before, slices + n_keys), _same(inside, before, [*keys, "_slice"]), "left")
+    joined = inside.join(bounded(before, slices + n_keys), same_keys(inside, before, [*keys, "_slice"]), "left")
     shifted = [
         F.when(F.col(f"_before_{n}").isNull(), F.col(f"_own_{n}"))
         .otherwise(F.col(f"_own_{n}") + F.col(f"_before_{n}"))
@@ -83,8 +83,8 @@ def write_running_totals(
     if not found["keys"]:
         return _windowed(df, keys, order, totals)
     hot = bounded(written(sizes.select(*keys), "hot-keys"), found["keys"])
-    ordinary = df.join(hot, _same(df, hot, keys), "left_anti")
-    heavy = df.join(hot, _same(df, hot, keys), "left_semi")
+    ordinary = df.join(hot, same_keys(df, hot, keys), "left_anti")
+    heavy = df.join(hot, same_keys(df, hot, keys), "left_semi")
     slices = ceil(found["rows"] / hot_rows)
     return _windowed(ordinary, keys, order, totals).unionByName(
         _sliced(heavy, keys, order, totals, slices, found["keys"])
