@@ -162,6 +162,38 @@ def promotions(spark: SparkSession) -> DataFrame:
     )
 
 
+def many_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A promotion for every other event: some last minutes, some days, some end before they start, some never end."""
+    own = table(spark, sf_dir, "events").where("event_id % 2 = 0")
+    return own.selectExpr(
+        "element_at(array('voice', 'sms', 'data'), CAST(event_id % 3 AS INT) + 1) AS service",
+        "date_trunc('minute', ts) AS valid_from",
+        "if(event_id % 100 = 50, NULL, date_trunc('minute', ts) + make_dt_interval(0, CAST(event_id % 700 AS INT) - 10)) AS valid_to",
+        "CAST((event_id % 61) / 100 AS decimal(4,2)) AS percent_off",
+    )
+
+
+def plan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan that each client has had since ever, and changes of plan while the events happen; some end without a new one."""
+    changes = table(spark, sf_dir, "events").where("event_id % 7 = 0").selectExpr(
+        "concat('u', user_id) AS user_id",
+        "element_at(array('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD', 'MACHINERY', 'FURNITURE', NULL), CAST(event_id % 6 AS INT) + 1) AS plan",
+        "ts AS valid_from",
+    )
+    first = clients(spark, sf_dir).select("user_id", "plan", F.lit(None).cast("timestamp_ntz").alias("valid_from"))
+    return first.unionByName(changes)
+
+
+def plan_prices(spark: SparkSession) -> DataFrame:
+    """Prices of plans over time: one changes, one begins late, one has always been the same."""
+    return spark.sql(
+        """SELECT plan, CAST(plan_multiplier AS decimal(4,2)) AS plan_multiplier, CAST(valid_from AS TIMESTAMP_NTZ) AS valid_from
+           FROM VALUES ('AUTOMOBILE', 0.95, NULL), ('AUTOMOBILE', 0.75, '2024-01-12 06:30:00'), ('AUTOMOBILE', 1.05, '2024-01-23 00:00:00'),
+                       ('BUILDING', 0.90, '2024-01-08 00:00:00'), ('HOUSEHOLD', 1.00, NULL), ('MACHINERY', 0.85, '2024-01-01 00:00:00')
+                AS prices(plan, plan_multiplier, valid_from)"""
+    )
+
+
 def hour_bands(spark: SparkSession) -> DataFrame:
     return spark.sql(
         """SELECT weekend, from_hour, to_hour, CAST(hour_multiplier AS decimal(4,2)) AS hour_multiplier

@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType
 from meterline.checks import fixtures
 from meterline.operators import bill, clients, constraints, documents, mediate, modifiers, rate, reports
 from meterline.plans.pipeline import Rules, bill_period
-from meterline.plans.shared_folder import fresh_path
+from meterline.plans.shared_folder import fresh_path, written
 from meterline.schema import CANONICAL, LINE_KEY, PAYLOAD
 from meterline.sinks import BatchFolder, BatchTable, export_csv, publish_tables, read_published, write_table
 from meterline.sources import (
@@ -131,6 +131,19 @@ def rate_with_promotions(spark, sf_dir):
     return priced.select("record_id", "base_cost", "cost")
 
 
+def rate_with_many_promotions(spark, sf_dir):
+    """Promotions that grow with the usage, most of them overlapping."""
+    priced = modifiers.rate_with_promotions(_rated(spark, sf_dir), promotions=fixtures.many_promotions(spark, sf_dir))
+    return priced.select("record_id", "base_cost", "cost")
+
+
+def rate_with_plan_history(spark, sf_dir):
+    """Clients change their plans, and plans their prices."""
+    rated = written(_rated(spark, sf_dir), "rated")
+    priced = modifiers.rate_with_promotions(rated, fixtures.plan_changes(spark, sf_dir), fixtures.plan_prices(spark))
+    return priced.select("record_id", "base_cost", "cost")
+
+
 def rate_with_modifiers(spark, sf_dir):
     priced = modifiers.rate_with_modifiers(
         _rated(spark, sf_dir), fixtures.hour_bands(spark), fixtures.cell_modifiers(spark)
@@ -288,7 +301,7 @@ def stream_rate(spark, sf_dir):
     return read_batches(spark, path).select("record_id", "status", "cost")
 
 
-def _written(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def _stream_written(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
@@ -307,7 +320,7 @@ def stream_dedup(spark, sf_dir):
     usage = mediate.type_usage(raw)
     arriving = usage.select(*CANONICAL, F.col("event_ts").cast("timestamp").alias("arrival_ts"))
     kept = dedup_stream(arriving, "arrival_ts", "31 days")
-    return _written(spark, kept.drop("record_id", "arrival_ts"), "deduplicated")
+    return _stream_written(spark, kept.drop("record_id", "arrival_ts"), "deduplicated")
 
 
 def stream_daily_usage(spark, sf_dir):
@@ -356,6 +369,33 @@ def billing_full(spark, sf_dir):
     return read_published(spark, path, "invoices", PERIOD).join(sums, "user_id", "left")
 
 
+def invoice_documents_full(spark, sf_dir):
+    """Pages of a billing run with fees: header, fee rows, summary and invoice of each agree on one total."""
+    path = fresh_path(spark, "billing")
+    rules = Rules(subscriptions=fixtures.clients(spark, sf_dir), plans=fixtures.plans(spark), fees=fixtures.fees(spark))
+    bill_period(_rated(spark, sf_dir), path, PERIOD, invoice_day(), rules=rules)
+    summary, lines, invoices, fees = (
+        read_published(spark, path, name, PERIOD) for name in ("billing_summary", "invoice_lines", "invoices", "invoice_fees")
+    )
+    pages = documents.invoice_documents(summary, lines, page_lines=20, fees=fees)
+    zero = F.lit(0).cast("decimal(28,2)")
+    fee_rows = F.aggregate("header.fees", zero, lambda total, fee: (total + fee["amount"]).cast("decimal(28,2)"))
+    shown = pages.select(
+        "invoice_id",
+        "user_id",
+        "page",
+        "pages",
+        F.col("header.subtotal").alias("subtotal"),
+        F.col("header.fee_amount").alias("fee_amount"),
+        F.col("header.tax_amount").alias("tax_amount"),
+        F.col("header.total_amount").alias("total_amount"),
+        F.size("header.fees").alias("n_fees"),
+        fee_rows.alias("fee_rows"),
+        "n_lines",
+    )
+    return shown.join(invoices.select("user_id", F.col("total_amount").alias("invoice_total")), "user_id", "left").drop("user_id")
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     path = f"{fresh_path(spark, 'landing')}/records"
     fixtures.raw_json(spark, sf_dir).select("value").repartition(3).write.text(path)
@@ -424,6 +464,8 @@ QUERIES: dict[str, Query] = {
         rated_table,
         rate_by_tariff_table,
         rate_with_promotions,
+        rate_with_many_promotions,
+        rate_with_plan_history,
         rate_with_modifiers,
         charges_by_service,
         billing_summary,
@@ -456,6 +498,7 @@ QUERIES: dict[str, Query] = {
         billing_published,
         usage_unbillable,
         billing_full,
+        invoice_documents_full,
         landing_batch,
         landing_stream,
         table_round_trip,

@@ -6,7 +6,7 @@ from dataclasses import fields
 from meterline.jobs.options import add_endpoint, options
 from meterline.operators.documents import invoice_documents
 from meterline.operators.rate import from_rated_table
-from meterline.plans.pipeline import Rules, bill_period
+from meterline.plans.pipeline import Rules, bill_period, published_tables
 from meterline.session import session, size_shuffles
 from meterline.sinks import export_csv, publish_tables, read_published, write_documents
 from meterline.sources import read_batches, read_table
@@ -39,22 +39,20 @@ def main(arguments: list[str] | None = None) -> None:
         rated = from_rated_table(table, period)
     size_shuffles(rated, args.input_gb)
     given = {name: spark.read.parquet(path) for name in RULE_TABLES if (path := getattr(args, name))}
+    rules = Rules(**given) if given else None
     # Streamed usage may hold copies that arrived further apart than stream state reaches back.
     run = bill_period(
-        rated,
-        args.path,
-        args.period,
-        period_filter=not args.all_usage,
-        dedup=not args.keep_copies,
-        rules=Rules(**given) if given else None,
+        rated, args.path, args.period, period_filter=not args.all_usage, dedup=not args.keep_copies, rules=rules
     )
-    summary, lines = (read_published(spark, args.path, name, args.period) for name in ("billing_summary", "invoice_lines"))
+    tables = {name: read_published(spark, args.path, name, args.period) for name in published_tables(rules)}
+    summary, lines = tables["billing_summary"], tables["invoice_lines"]
     if args.database_option:
-        publish_tables({"billing_summary": summary, "invoice_lines": lines}, args.period, run, "jdbc", options(args.database_option))
+        publish_tables(tables, args.period, run, "jdbc", options(args.database_option))
     if args.csv:
         export_csv(lines, args.csv, args.single_csv_file)
     if args.documents:
-        write_documents(invoice_documents(summary, lines), args.documents, args.document_format)
+        pages = invoice_documents(summary, lines, fees=tables.get("invoice_fees"))
+        write_documents(pages, args.documents, args.document_format)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,10 @@ from meterline.plans.rules import with_rules
 from meterline.schema import LINE_COLUMNS, SUMMARY_COLUMNS
 
 
+FEE_TYPE = "array<struct<fee:string,category:string,amount:decimal(18,2),applies:boolean>>"
+INVOICE_COLUMNS = ("user_id", "billing_period", "subtotal", "fee_amount", "tax_amount", "total_amount")
+
+
 def billable(rated: DataFrame) -> DataFrame:
     """Rated records with the payer as ``user_id``."""
     charged = rated.where(F.col("status") == c.STATUS_RATED).withColumn("user_id", charges.paying_user())
@@ -56,36 +60,79 @@ def _client_totals(rated: DataFrame, amount: Column | None = None) -> DataFrame:
     )
 
 
-def billing_summary(
+def invoice_charges(
     rated: DataFrame,
     period: str | None = None,
-    invoice_date: Column | None = None,
+    fees: DataFrame | None = None,
     tax_rate: Decimal = c.TAX_RATE,
     period_filter: bool = True,
 ) -> DataFrame:
-    """One invoice per client and period.
+    """What each invoice charges, worked out once: voice, sms, data, subtotal, fees, fee_amount, tax_amount, total_amount.
 
-    ``period=None`` bills every period in the data; ``period_filter=False`` bills all usage under the label
-    ``period``.  Lines are rounded to cents, the subtotal is their sum, the tax is that of the subtotal rounded to cents,
-    and the total is the sum of both.
+    Lines are rounded to cents, the subtotal is their sum, each fee and tax is rounded, and the total is the sum of what
+    is shown.  Without a fee table the only fee is the tax of ``tax_rate``.  Summary, documents and fee rows are projections of
+    this table, so they agree.
     """
     totals = _client_totals(_of_period(rated, period, period_filter))
-    tax = F.round(F.col("subtotal") * F.lit(tax_rate), 2).cast(c.AMOUNT_TYPE)
-    amounts = {
-        "total_voice_cost": F.col("voice"),
-        "total_sms_cost": F.col("sms"),
-        "total_data_cost": F.col("data"),
-        "subtotal": F.col("subtotal"),
-        "tax_amount": tax,
-        "total_amount": F.col("subtotal") + tax,
-    }
-    return totals.withColumns(
+    if fees is None:
+        tax = F.round(F.col("subtotal") * F.lit(tax_rate), 2).cast(c.AMOUNT_TYPE)
+        only = F.struct(F.lit("tax").alias("fee"), F.lit("tax").alias("category"), tax.alias("amount"), F.lit(True).alias("applies"))
+        listed = F.array(only).cast(FEE_TYPE)
+    else:
+        listed = _fee_list(fees)
+    charged = totals.withColumn("fees", listed)
+
+    def sum_of(category: str) -> Column:
+        own = F.filter("fees", lambda fee: fee["category"] == category)
+        total = F.aggregate(own, F.lit(0).cast(c.AMOUNT_TYPE), lambda sums, fee: (sums + fee["amount"]).cast(c.AMOUNT_TYPE))
+        return total.cast(c.AMOUNT_TYPE)
+
+    charged = charged.withColumns({"fee_amount": sum_of("fee"), "tax_amount": sum_of("tax")})
+    total = F.col("subtotal") + F.col("fee_amount") + F.col("tax_amount")
+    return charged.withColumns(
+        {
+            "subtotal": F.col("subtotal").cast(c.AMOUNT_TYPE),
+            "total_amount": total.cast(c.AMOUNT_TYPE),
+            "fees": F.transform("fees", lambda fee: fee.dropFields("applies")),
+        }
+    )
+
+
+def summary_of(charged: DataFrame, invoice_date: Column | None = None, with_fees: bool = False) -> DataFrame:
+    """The summary of :func:`invoice_charges`; ``with_fees`` adds the column ``fee_amount``, which is part of the total."""
+    names = list(SUMMARY_COLUMNS)
+    if with_fees:
+        names.insert(names.index("tax_amount"), "fee_amount")
+    return charged.withColumns(
         {
             "invoice_id": charges.invoice_id(F.col("billing_period"), F.col("user_id")),
             "invoice_date": F.current_date() if invoice_date is None else invoice_date,
-            **{name: value.cast(c.AMOUNT_TYPE) for name, value in amounts.items()},
+            "total_voice_cost": F.col("voice").cast(c.AMOUNT_TYPE),
+            "total_sms_cost": F.col("sms").cast(c.AMOUNT_TYPE),
+            "total_data_cost": F.col("data").cast(c.AMOUNT_TYPE),
         }
-    ).select(*SUMMARY_COLUMNS)
+    ).select(*names)
+
+
+def fees_of(charged: DataFrame) -> DataFrame:
+    """Every fee of :func:`invoice_charges`: user_id, billing_period, subtotal, fee, category, amount."""
+    return charged.select("user_id", "billing_period", "subtotal", F.inline("fees"))
+
+
+def billing_summary(
+    rated: DataFrame,
+    period: str | None = None,
+    invoice_date: Column | None = None,
+    tax_rate: Decimal = c.TAX_RATE,
+    period_filter: bool = True,
+    fees: DataFrame | None = None,
+) -> DataFrame:
+    """One invoice per client and period.
+
+    ``period=None`` bills every period in the data; ``period_filter=False`` bills all usage under the label
+    ``period``.  With a fee table its fees and taxes take the place of ``tax_rate`` (:func:`invoice_charges`).
+    """
+    return summary_of(invoice_charges(rated, period, fees, tax_rate, period_filter), invoice_date, fees is not None)
 
 
 def invoice_lines(
@@ -212,35 +259,14 @@ def _fee_list(fees: DataFrame) -> Column:
                 )
             )
         earlier = (earlier + own).cast(c.AMOUNT_TYPE)
-    kind = "array<struct<fee:string,category:string,amount:decimal(18,2),applies:boolean>>"
-    return F.filter(F.array(*listed).cast(kind), lambda fee: fee["applies"])
-
-
-def _with_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
-    totals = _client_totals(_of_period(rated, None, True))
-    return totals.withColumn("fees", _fee_list(fees))
+    return F.filter(F.array(*listed).cast(FEE_TYPE), lambda fee: fee["applies"])
 
 
 def invoice_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
     """Every fee of every invoice: user_id, billing_period, subtotal, fee, category, amount."""
-    listed = _with_fees(rated, fees).select("user_id", "billing_period", "subtotal", F.inline("fees"))
-    return listed.drop("applies")
+    return fees_of(invoice_charges(rated, None, fees))
 
 
 def billing_with_fees(rated: DataFrame, fees: DataFrame) -> DataFrame:
     """Invoices with fees and taxes from the fee table; the total is the sum of what is shown."""
-
-    def sum_of(category: str) -> Column:
-        own = F.filter("fees", lambda fee: fee["category"] == category)
-        total = F.aggregate(own, F.lit(0).cast(c.AMOUNT_TYPE), lambda sums, fee: (sums + fee["amount"]).cast(c.AMOUNT_TYPE))
-        return total.cast(c.AMOUNT_TYPE)
-
-    summed = _with_fees(rated, fees).select(
-        "user_id",
-        "billing_period",
-        F.col("subtotal").cast(c.AMOUNT_TYPE).alias("subtotal"),
-        sum_of("fee").alias("fee_amount"),
-        sum_of("tax").alias("tax_amount"),
-    )
-    total = F.col("subtotal") + F.col("fee_amount") + F.col("tax_amount")
-    return summed.withColumn("total_amount", total.cast(c.AMOUNT_TYPE))
+    return invoice_charges(rated, None, fees).select(*INVOICE_COLUMNS)

@@ -82,32 +82,45 @@ def bill_period(
 ) -> str:
     """Bills stored usage and publishes its tables of the period together; returns the run.
 
-    ``billed_usage``: the usage that is billed, written first.  ``billing_summary`` and ``invoice_lines`` read that one
-    snapshot, so they agree with each other, and copies are searched once.  ``unbillable_usage``: rated records without
-    payer in the period, or without time, which belong to no period and appear with every one.  With ``rules.fees``
-    also ``invoices`` and ``invoice_fees``.  Stored prices stay, unless ``rules`` change them.
+    ``billed_usage``: the usage that is billed, written first.  ``invoice_charges``: what each invoice charges, with its fees and
+    taxes, worked out from it once; ``billing_summary`` and, with ``rules.fees``, ``invoices`` and ``invoice_fees`` are
+    projections of that table, so all totals are equal.  ``invoice_lines`` reads the same usage.  ``unbillable_usage``: rated
+    records without payer in the period, or without time, which belong to no period and appear with every one.  Stored
+    prices stay, unless ``rules`` change them.
     """
     spark, run = rated.sparkSession, new_run()
+    fees = None if rules is None else rules.fees
     if period_filter:
         rated = rated.where((F.col("billing_period") == period) | F.col("billing_period").isNull())
     usage = rated_once(rated) if dedup else rated.where(F.col("status") == STATUS_RATED)
     if rules is not None:
         usage = priced(usage, rules)
-    snapshot = run_path(path, "rated_usage", period, run)
-    usage.write.mode("error").parquet(snapshot)
-    usage = spark.read.schema(usage.schema).parquet(snapshot)
+
+    def stored(name: str, table: DataFrame) -> DataFrame:
+        path_of_run = run_path(path, name, period, run)
+        table.write.mode("error").parquet(path_of_run)
+        return spark.read.schema(table.schema).parquet(path_of_run)
+
+    usage = stored("rated_usage", usage)
     unbillable = bill.unbillable(usage if period_filter else usage.withColumn("billing_period", F.lit(period)))
     ours = usage.where(F.col("billing_period") == period) if period_filter else usage.withColumn("billing_period", F.lit(period))
+    charged = stored("invoice_charges", bill.invoice_charges(usage, period, fees, period_filter=period_filter))
     tables = {
         "billed_usage": bill.billable(ours),
-        "billing_summary": bill.billing_summary(usage, period, invoice_date, period_filter=period_filter),
+        "billing_summary": bill.summary_of(charged, invoice_date, fees is not None),
         "invoice_lines": bill.invoice_lines(usage, period, period_filter=period_filter),
         "unbillable_usage": unbillable,
     }
-    if rules is not None and rules.fees is not None:
-        tables["invoices"] = bill.billing_with_fees(ours, rules.fees)
-        tables["invoice_fees"] = bill.invoice_fees(ours, rules.fees)
+    if fees is not None:
+        tables["invoices"] = charged.select(*bill.INVOICE_COLUMNS)
+        tables["invoice_fees"] = bill.fees_of(charged)
     for name, table in tables.items():
-        table.write.mode("error").parquet(run_path(path, name, period, run))
+        stored(name, table)
     record_run(spark, path, period, run)
     return run
+
+
+def published_tables(rules: Rules | None = None) -> list[str]:
+    """Names of the tables of a run that are for readers outside, such as a database."""
+    fees = ["invoices", "invoice_fees"] if rules is not None and rules.fees is not None else []
+    return ["billing_summary", "invoice_lines", "unbillable_usage", *fees]

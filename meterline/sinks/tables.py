@@ -35,6 +35,9 @@ def write_documents(documents: DataFrame, path: str, fmt: str = "json") -> None:
         documents.write.mode("overwrite").json(path)
     elif fmt == "xml":
         nested = documents.withColumn("lines", F.struct(F.col("lines").alias("line")))
+        if "fees" in documents.schema["header"].dataType.names:
+            listed = F.struct(F.col("header.fees").alias("fee"))
+            nested = nested.withColumn("header", F.col("header").withField("fees", listed))
         nested.write.mode("overwrite").format("xml").options(rowTag="invoice", rootTag="invoices").save(path)
     else:
         raise ValueError(f"documents are written as json or xml, not {fmt}")
