@@ -105,10 +105,10 @@ def with_close_records(raw: DataFrame) -> DataFrame:
     return unfolded.withColumn("event_ts", F.timestamp_add("MICROSECOND", F.col("_later"), F.col("event_ts"))).drop("_later")
 
 
-def unordered_events(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+def unordered_events(spark: SparkSession, sf_dir: str, path: str, batches: int = 6) -> DataFrame:
     """The events as a stream of several batches, each with events of all days."""
     events = table(spark, sf_dir, "events")
-    events.repartition(6, F.xxhash64("event_id")).write.mode("overwrite").parquet(path)
+    events.repartition(batches, F.xxhash64("event_id")).write.mode("overwrite").parquet(path)
     return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(path)
 
 

@@ -11,19 +11,30 @@ from meterline.operators import bill, clients, constraints, documents, mediate,
 from meterline.plans.pipeline import Rules, bill_period
 from meterline.plans.shared_folder import fresh_path, written
 from meterline.schema import CANONICAL, LINE_KEY, PAYLOAD
-from meterline.sinks import BatchFolder, BatchTable, export_csv, publish_tables, read_published, write_table
+from meterline.sinks import BatchFolder, BatchTable, SegmentFolder, compact, export_csv, publish_tables, read_published, write_table
 from meterline.sources import (
+    read_balances,
     read_batches,
     read_clients,
     read_consumption,
     read_mediated,
     read_published_table,
     read_raw,
+    read_segments,
     read_table,
     stream_clean,
     stream_raw,
 )
-from meterline.streaming import await_all, dedup_stream, start_consumption, start_mediation, start_rating
+from meterline.streaming import (
+    BatchMetrics,
+    await_all,
+    dedup_stream,
+    read_batch_metrics,
+    start_balances,
+    start_consumption,
+    start_mediation,
+    start_rating,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -333,6 +344,59 @@ def stream_daily_usage(spark, sf_dir):
     return read_consumption(spark, f"{path}/sums")
 
 
+def rated_compacted(spark, sf_dir):
+    """Rated usage of twelve batches in merged segments; batches are run again, and merged by two jobs at once, meanwhile."""
+    path = fresh_path(spark, "segments")
+    events = fixtures.unordered_events(spark, sf_dir, f"{path}-events", batches=12)
+    clean = mediate.encode_usage(mediate.usage_clean(mediate.type_usage(fixtures.raw_from_events(events))), ("record_id",))
+    store = SegmentFolder(path, "check", fan_out=3, compacting=False)
+
+    def run_twice(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        compact(spark, path, batch.schema, fan_out=3)
+        store(batch, batch_id)
+
+    start_rating(clean, run_twice, f"{path}-checkpoint", trigger=AT_ONCE, name=None).awaitTermination()
+    return read_segments(spark, path).select("record_id", "status", "cost")
+
+
+def stream_balance(spark, sf_dir):
+    """Free units left after batches that each hold usage of all days."""
+    path = fresh_path(spark, "balances")
+    events = fixtures.unordered_events(spark, sf_dir, f"{path}-events")
+    usage = mediate.usage_clean(mediate.type_usage(fixtures.raw_from_events(events))).select(*CANONICAL)
+    query = start_balances(rate.rate_usage(usage), path, "check", f"{path}-checkpoint", trigger=AT_ONCE, name=None, fan_out=3)
+    query.awaitTermination()
+    return read_balances(spark, path, fixtures.quotas(spark), PERIOD)
+
+
+def batch_metrics(spark, sf_dir):
+    """Counts of all batches of mediation and rating, which are stopped half-way and started again from their checkpoints."""
+    path = fresh_path(spark, "observed")
+    events = fixtures.table(spark, sf_dir, "events").repartition(6, F.xxhash64("event_id"))
+    halves = [events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")]
+    metrics = BatchMetrics(spark, f"{path}/metrics", fan_out=3)
+    spark.streams.addListener(metrics)
+    try:
+        for half in halves:
+            half.write.mode("append").parquet(f"{path}/events")
+            arriving = spark.readStream.schema(half.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/events")
+            raw = fixtures.json_from_raw(fixtures.raw_from_events(arriving))
+            mediation = start_mediation(raw, "parquet", {}, f"{path}/cp1", f"{path}/mediated", trigger=AT_ONCE, name=None)
+            await_all([mediation])
+            clean = stream_clean(spark, "parquet", {}, f"{path}/mediated")
+            store = SegmentFolder(f"{path}/rated", "check", fan_out=3)
+            rating = start_rating(clean, store, f"{path}/cp2", trigger=AT_ONCE, name=None)
+            await_all([rating])
+            for query in (mediation, rating):
+                metrics.await_batch(query)
+    finally:
+        spark.streams.removeListener(metrics)
+    counts = read_batch_metrics(spark, f"{path}/metrics")
+    # Once by (query, batch): were a batch stored twice, its rows would add up to more.
+    return counts.groupBy("metric", "counter").agg(F.sum("n").alias("n"))
+
+
 def billing_published(spark, sf_dir):
     """Stored usage with prices of its own, billed and read back: the prices are the stored ones."""
     path = fresh_path(spark, "billing")
@@ -425,7 +489,8 @@ def table_round_trip(spark, sf_dir):
     for _ in range(2):
         batches(stored.withColumns(doubles).withColumnRenamed("timestamp", "event_ts"), 0)
     for _ in range(2):
-        rated = rate.from_rated_table(read_table(spark, path=f"{path}/rated"), PERIOD)
+        attempts = read_table(spark, path=f"{path}/rated_attempts")
+        rated = rate.from_rated_table(read_table(spark, path=f"{path}/rated"), PERIOD, attempts)
         run = bill_period(rated, f"{path}/billing", PERIOD, invoice_day())
         tables = {name: read_published(spark, f"{path}/billing", name, PERIOD) for name in ("billing_summary", "invoice_lines")}
         publish_tables(tables, PERIOD, run, "parquet", path=f"{path}/database")
@@ -495,6 +560,9 @@ QUERIES: dict[str, Query] = {
         stream_rate,
         stream_dedup,
         stream_daily_usage,
+        rated_compacted,
+        batch_metrics,
+        stream_balance,
         billing_published,
         usage_unbillable,
         billing_full,

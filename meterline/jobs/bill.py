@@ -8,19 +8,20 @@ from meterline.operators.documents import invoice_documents
 from meterline.operators.rate import from_rated_table
 from meterline.plans.pipeline import Rules, bill_period, published_tables
 from meterline.session import session, size_shuffles
-from meterline.sinks import export_csv, publish_tables, read_published, write_documents
-from meterline.sources import read_batches, read_table
+from meterline.sinks import attempts_of, export_csv, publish_tables, read_published, write_documents
+from meterline.sources import read_batches, read_segments, read_table
 
 RULE_TABLES = [field.name for field in fields(Rules)]
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    add_endpoint(parser, "rated", "batches")
+    add_endpoint(parser, "rated", "segments")
     parser.add_argument("--period", required=True, help="such as 2025-04")
     parser.add_argument("--path", required=True, help="folder of the billing tables")
     parser.add_argument("--all-usage", action="store_true", help="bill all usage under the period's label")
     parser.add_argument("--keep-copies", action="store_true", help="charge every copy of a record")
+    parser.add_argument("--attempts", action="store_true", help="the rating job appended the table: read which attempts finished")
     parser.add_argument("--input-gb", type=float, help="size of the period's usage, for sources that do not tell it")
     for name in RULE_TABLES:
         parser.add_argument(f"--{name}", help=f"Parquet table of the {name} rules")
@@ -32,11 +33,15 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser.parse_args(arguments)
     spark = session("billing")
     period = None if args.all_usage else args.period
-    if args.rated_format == "batches":
+    if args.rated_format == "segments":
+        rated = read_segments(spark, args.rated_path, period)
+    elif args.rated_format == "batches":
         rated = read_batches(spark, args.rated_path, period)
     else:
-        table = read_table(spark, args.rated_format, options(args.rated_option), args.rated_path)
-        rated = from_rated_table(table, period)
+        place = options(args.rated_option), args.rated_path
+        table = read_table(spark, args.rated_format, *place)
+        attempts = read_table(spark, args.rated_format, *attempts_of(*place)) if args.attempts else None
+        rated = from_rated_table(table, period, attempts)
     size_shuffles(rated, args.input_gb)
     given = {name: spark.read.parquet(path) for name in RULE_TABLES if (path := getattr(args, name))}
     rules = Rules(**given) if given else None

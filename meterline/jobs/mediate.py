@@ -2,10 +2,10 @@
 
 import argparse
 
-from meterline.jobs.options import add_endpoint, add_streaming, options, trigger
+from meterline.jobs.options import add_endpoint, add_streaming, options, run_observed, trigger
 from meterline.session import session
 from meterline.sources import stream_raw
-from meterline.streaming import await_all, start_mediation
+from meterline.streaming import start_mediation
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -19,18 +19,21 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser.parse_args(arguments)
     spark = session("mediation")
     raw = stream_raw(spark, args.source_format, options(args.source_option), args.source_path)
-    query = start_mediation(
-        raw,
-        args.sink_format,
-        options(args.sink_option),
-        args.checkpoint,
-        args.sink_path,
-        args.clean_topic,
-        args.dirty_topic,
-        trigger(args),
-        dedup_delay=args.dedup_delay,
-    )
-    await_all([query])
+
+    def start():
+        return start_mediation(
+            raw,
+            args.sink_format,
+            options(args.sink_option),
+            args.checkpoint,
+            args.sink_path,
+            args.clean_topic,
+            args.dirty_topic,
+            trigger(args),
+            dedup_delay=args.dedup_delay,
+        )
+
+    run_observed(spark, args, start)
 
 
 if __name__ == "__main__":

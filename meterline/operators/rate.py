@@ -8,6 +8,7 @@ from meterline import constants as c
 from meterline.functions import charges, records
 from meterline.operators.constraints import tariff_gaps
 from meterline.plans.rules import with_rules
+from meterline.plans.running import BROADCAST_ROWS, bounded
 from meterline.schema import CANONICAL, RATED_COLUMNS
 
 
@@ -25,10 +26,16 @@ def to_rated_table(rated: DataFrame) -> DataFrame:
     return rated.withColumnRenamed("event_ts", "timestamp").select(*RATED_COLUMNS)
 
 
-def _last_attempts(table: DataFrame) -> DataFrame:
-    """Of each batch in a table of appended batches the last attempt: an earlier one may have left rows, too."""
-    batches = table.groupBy("run", "batch_id").agg(F.max("attempt").alias("attempt"))
-    return table.join(batches, ["run", "batch_id", "attempt"], "left_semi")
+def _last_attempts(table: DataFrame, attempts: DataFrame | None) -> DataFrame:
+    """Of each batch in a table of appended batches the last attempt: an earlier one may have left rows, too.
+
+    With the table of finished ``attempts``, one row each, usage is read once and meets a counted, broadcast table.  Without
+    it, the attempts are looked up in the usage itself, and one that never finished may count.
+    """
+    last = (table if attempts is None else attempts).groupBy("run", "batch_id").agg(F.max("attempt").alias("attempt"))
+    if attempts is not None:
+        last = bounded(last, last.limit(BROADCAST_ROWS + 1).count())
+    return table.join(last, ["run", "batch_id", "attempt"], "left_semi")
 
 
 def of_period(table: DataFrame, period: str) -> DataFrame:
@@ -44,17 +51,17 @@ def of_period(table: DataFrame, period: str) -> DataFrame:
     return table.where((F.col("status") == c.STATUS_RATED) & (inside | stamp.isNull()))
 
 
-def from_rated_table(table: DataFrame, period: str | None = None) -> DataFrame:
+def from_rated_table(table: DataFrame, period: str | None = None, attempts: DataFrame | None = None) -> DataFrame:
     """A stored table, whose numbers may be floating point, as rated usage ready for billing.
 
     With a period, only its rows are read (:func:`of_period`).  Batches that were appended more than once
-    (:class:`meterline.sinks.BatchTable`) count once.  Stored rows have no arrival position; they are given one here,
+    (:class:`meterline.sinks.BatchTable`) count once; give their table of finished ``attempts``.  Stored rows have no arrival position; they are given one here,
     which holds once the rows are written (:func:`meterline.plans.pipeline.bill_period` does that first).
     """
     if period is not None:
         table = of_period(table, period)
     if {"run", "batch_id", "attempt"} <= set(table.columns):
-        table = _last_attempts(table)
+        table = _last_attempts(table, attempts)
     stamp = F.col("timestamp")
     if isinstance(table.schema["timestamp"].dataType, TimestampType):
         stamp = records.utc_wall_clock(stamp)

@@ -68,6 +68,15 @@ BATCH_SCHEMA = (
     "sender_id STRING, receiver_id STRING, user_id STRING, data_volume_mb DECIMAL(18,6), session_duration_sec INT, "
     "cell_id STRING, technology STRING, status STRING, cost DECIMAL(20,6), billing_period STRING, run STRING, batch_id BIGINT"
 )
+#: The same in segments (:mod:`meterline.sinks.segments`).
+RATED_SCHEMA = BATCH_SCHEMA.removesuffix(", run STRING, batch_id BIGINT")
+#: Partial sums of consumption, by the day in which their window starts.
+CONSUMPTION_SCHEMA = (
+    "user_id STRING, record_type STRING, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, n BIGINT, "
+    "quantity DECIMAL(28,6), cost DECIMAL(28,6), window_day DATE"
+)
+#: Units that clients have used in a period.
+BALANCE_SCHEMA = "user_id STRING, record_type STRING, n BIGINT, used DECIMAL(28,6), billing_period STRING"
 #: The table of finished billing runs.
 RUNS = "billing_runs"
 SUMMARY_COLUMNS = (

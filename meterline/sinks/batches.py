@@ -34,8 +34,9 @@ class BatchFolder:
 class BatchTable:
     """``foreachBatch`` writer that appends to a table of rated usage, such as a database's.
 
-    Appending is at least once: a batch that Spark runs again leaves its rows twice.  Each attempt has a name of its own,
-    later ones are greater, and readers take the last of each batch
+    Appending is at least once: a batch that Spark runs again leaves its rows twice.  Each attempt has a name of its own and
+    later ones are greater.  An attempt whose rows are all there is added to a small second table, whose name ends in
+    ``_attempts``; readers take the last finished attempt of each batch
     (:func:`meterline.operators.rate.from_rated_table`).
     """
 
@@ -48,3 +49,11 @@ class BatchTable:
         attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
         origin = {"run": F.lit(self.run), "batch_id": F.lit(batch_id).cast("bigint"), "attempt": F.lit(attempt)}
         write_table(to_rated_table(batch).withColumns(origin), self.fmt, self.options, self.path)
+        finished = batch.sparkSession.range(1).select(*[value.alias(name) for name, value in origin.items()])
+        write_table(finished, self.fmt, *attempts_of(self.options, self.path))
+
+
+def attempts_of(options: Mapping[str, str], path: str | None) -> tuple[dict[str, str], str | None]:
+    """Options and path of the table of finished attempts beside a table of appended batches."""
+    beside = {"dbtable": f"{options['dbtable']}_attempts"} if "dbtable" in options else {}
+    return {**options, **beside}, path and f"{path.rstrip('/')}_attempts"

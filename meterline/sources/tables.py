@@ -4,8 +4,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from meterline.schema import BATCH_SCHEMA, RUNS
+from meterline.constants import VOLUME_TYPE
+from meterline.plans.rules import with_rules
+from meterline.schema import BALANCE_SCHEMA, BATCH_SCHEMA, CONSUMPTION_SCHEMA, RATED_SCHEMA, RUNS
+from meterline.sinks.segments import read_live
 
 #: The folder that Spark gives rows whose partition value is NULL.
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
@@ -68,14 +72,58 @@ def read_batches(spark: SparkSession, path: str, period: str | None = None) -> D
     return spark.read.schema(BATCH_SCHEMA).option("basePath", path).parquet(folders).drop("run", "batch_id")
 
 
-def read_consumption(spark: SparkSession, path: str) -> DataFrame:
-    """Consumption per user, service and window: the partial sums of all batches added up."""
-    parts = spark.read.option("basePath", path).parquet(path)
-    measures = [name for name in ("n", "quantity", "cost") if name in parts.columns]
-    sums = parts.groupBy("user_id", "record_type", "window_start", "window_end").agg(
-        *[F.sum(name).cast(dict(parts.dtypes)[name]).alias(name) for name in measures]
-    )
-    return sums
+def read_segments(spark: SparkSession, path: str, period: str | None = None) -> DataFrame:
+    """Rated usage from the live segments of a stream (:class:`meterline.sinks.SegmentFolder`).
+
+    With a period, only its partitions and those of usage without time.
+    """
+    wanted = None if period is None else {period, UNDATED}.__contains__
+    return read_live(spark, path, StructType.fromDDL(RATED_SCHEMA), "billing_period", wanted)
+
+
+def read_consumption(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Consumption per user, service and window: the partial sums of all batches added up.
+
+    ``first`` and ``last``: days ``yyyy-MM-dd`` in which windows start; only their partitions are read, and no footer to find
+    out what is in them.  Without bounds, usage without time is there, too.
+    """
+
+    def inside(day: str) -> bool:
+        return (first is None and last is None) or (day != UNDATED and (first or day) <= day <= (last or day))
+
+    parts = read_live(spark, path, StructType.fromDDL(CONSUMPTION_SCHEMA), "window_day", inside)
+    return add_windows(parts).drop("window_day")
+
+
+def add_windows(parts: DataFrame) -> DataFrame:
+    """Partial sums of consumption added up."""
+    kinds = dict(parts.dtypes)
+    sums = [F.sum(name).cast(kinds[name]).alias(name) for name in ("n", "quantity", "cost")]
+    return parts.groupBy("user_id", "record_type", "window_start", "window_end", "window_day").agg(*sums)
+
+
+def add_balances(parts: DataFrame) -> DataFrame:
+    """Partial balances added up."""
+    kinds = dict(parts.dtypes)
+    sums = [F.sum(name).cast(kinds[name]).alias(name) for name in ("n", "used")]
+    return parts.groupBy("user_id", "record_type", "billing_period").agg(*sums)
+
+
+def read_balances(
+    spark: SparkSession, path: str, quotas: DataFrame | None = None, period: str | None = None
+) -> DataFrame:
+    """What clients have used of each service in each period so far; with quotas also the free units that are ``left``.
+
+    Reads the few live segments of sums and none of the usage.
+    """
+    wanted = None if period is None else {period}.__contains__
+    balances = add_balances(read_live(spark, path, StructType.fromDDL(BALANCE_SCHEMA), "billing_period", wanted))
+    if quotas is None:
+        return balances
+    free = quotas.groupBy(F.col("service").alias("_service")).agg(F.sum("free_units").cast(VOLUME_TYPE).alias("free_units"))
+    nothing = F.lit(0).cast(VOLUME_TYPE)
+    left = F.greatest(nothing, F.coalesce("free_units", nothing) - F.col("used")).cast(VOLUME_TYPE)
+    return with_rules(balances, free, {"_service": F.col("record_type")}).withColumn("left", left).drop("free_units")
 
 
 def read_published_table(

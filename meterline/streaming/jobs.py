@@ -9,9 +9,12 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from meterline.constants import STATUS_RATED
 from meterline.functions import charges, records
+from meterline.operators.bill import billable
 from meterline.operators.mediate import encode_usage, parse_usage, payload_key, validate_usage
 from meterline.operators.rate import rate_usage
 from meterline.schema import CANONICAL
+from meterline.sinks.segments import SegmentFolder
+from meterline.sources.tables import add_balances, add_windows
 
 #: Parts of one payload's copies that are thinned apart from each other.
 SALTS = 64
@@ -162,20 +165,48 @@ def start_consumption(
     width: str = "1 day",
     trigger: Mapping[str, object] | None = None,
     name: str | None = "consumption",
+    fan_out: int = 8,
 ) -> StreamingQuery:
-    """Consumption per user while usage arrives: every batch writes its own partial sums.
+    """Consumption per user while usage arrives: every batch adds its own partial sums, and they are merged as they grow.
 
     No watermark decides what still counts, so usage that is a month late is added all the same.  A repeated batch
-    replaces its sums.  :func:`meterline.sources.read_consumption` adds the batches up.
+    counts once (:class:`meterline.sinks.SegmentFolder`).  Usage has a ``cost``.
+    :func:`meterline.sources.read_consumption` adds up what is live.
     """
+    store = SegmentFolder(path, run, "window_day", fan_out, add_windows)
 
     def write_sums(batch: DataFrame, batch_id: int) -> None:
-        sums = window_sums(batch, width)
-        sums.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+        store(window_sums(batch, width).withColumn("window_day", F.to_date("window_start")), batch_id)
 
     return _started(usage.writeStream.foreachBatch(write_sums), checkpoint, trigger, name)
 
 
+def start_balances(
+    rated: DataFrame,
+    path: str,
+    run: str,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+    name: str | None = "balances",
+    fan_out: int = 8,
+) -> StreamingQuery:
+    """What clients have used of each service in each period, kept up to date batch by batch.
+
+    A batch is summed by client, period and service, and only the sums are stored; batches may hold usage of any period in any
+    order.  Sums of billed quantity do not depend on the order either, so the free units left
+    (:func:`meterline.sources.read_balances`) are those that a batch run over all usage would find.
+    """
+    store = SegmentFolder(path, run, "billing_period", fan_out, add_balances)
+
+    def write_sums(batch: DataFrame, batch_id: int) -> None:
+        units = billable(batch).select(
+            "user_id", "record_type", "billing_period", F.lit(1).cast("bigint").alias("n"), charges.billed_quantity().cast(VOLUME_SUM).alias("used")
+        )
+        store(add_balances(units), batch_id)
+
+    return _started(rated.writeStream.foreachBatch(write_sums), checkpoint, trigger, name)
+
+
 def await_all(queries: list[StreamingQuery], look_every: float = 1.0) -> None:
     """Waits until all queries have ended; the first failure of any of them is raised and stops the rest."""
     try:
