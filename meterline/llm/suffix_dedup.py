@@ -3,16 +3,20 @@
 Every byte of a text that lies in a string of ``LEAST`` bytes which also starts in a document with a smaller id is removed.
 
 1. Each window of ``LEAST`` bytes is represented by the smallest hash of the ``KMER``-byte strings in it, so equal windows have
-   equal hashes.  Neighbouring windows of one hash are a run, some 15 on the average.
-2. Hashes that occur in one document alone are done with.  Which ones repeat is sent to all tasks as a bit for each hash, in
-   at most ``MOST_BITS`` bits; a bit set for another hash costs a comparison and changes nothing.
-3. The strings under the runs of a repeated hash meet in one shard.  A shard's different strings are sorted by all their
-   suffixes (:mod:`meterline.llm.induced`); suffixes that share ``LEAST`` bytes stand beside each other and get the smallest
-   id of their documents.
+   equal hashes.  Neighbouring windows of one hash are a run, some 15 on the average, with the string that they cover.
+2. The hashes, with a digest of the run's string, are counted in buckets.  A hash of one document is done with; one whose
+   strings are all equal needs no further comparison; the others are mixed.  All tasks learn of which kind a hash is from
+   bits, at most ``MOST_BITS`` of each kind; a bit set by another hash costs a comparison and changes nothing.
+3. The runs of a repeated hash meet in one shard, of mixed ones with their strings.  A shard's different strings are sorted by
+   all their suffixes (:mod:`meterline.llm.induced`); suffixes that share ``LEAST`` bytes stand beside each other and get the
+   smallest id of their documents.
 4. A hash in more than ``HOT`` documents is no single shard's: of its strings the different ones are kept, with their
    smallest ids, and their windows are grouped by content.
 5. Spans go back to the documents.
 
+Hashes and runs travel as packed columns, one row for some megabytes of text and a bucket or shard; texts
+without spans are left where they are.
+
 Rows: a NULL text is empty; texts shorter than ``LEAST`` lose nothing.  A row without id counts as coming after all ids, and
 rows of one id, equal or not, take nothing from each other.  Texts of any length are read in pieces that overlap.  Bytes
 are those of UTF-8, so what is kept can begin or end inside a character; it is binary.
@@ -20,6 +24,7 @@ are those of UTF-8, so what is kept can begin or end inside a character; it is b
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
 from tempfile import SpooledTemporaryFile
 
 import numpy as np
@@ -27,26 +32,32 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import small, written
-from meterline.llm.induced import CHUNK, NO_LIMIT, array, suffixes
+from meterline.llm.common import partitions, small, written
+from meterline.llm.induced import CHUNK, array, suffixes
 
 LEAST = 50
-KMER = 24
-#: Windows of a text that are worked on at once, and bytes of texts whose hashes are counted together.
-PIECE = 1 << 20
-TOGETHER = 1 << 22
-#: Documents of one hash up to which their strings meet in one shard.
+KMER = 20
+#: Windows that are worked on at once, and bytes of texts whose runs are packed together.
+PIECE = 1 << 16
+TOGETHER = 1 << 24
+#: Documents of one hash up to which its runs meet in one shard.
 HOT = 2_000
-#: Bits that say which hashes repeat: 64 MB at most, and as many that say which ones are hot.
-MOST_BITS, BITS_A_HASH, SLICE_BITS = 1 << 29, 32, 20
+#: Buckets of hashes, and shards of runs, for each partition of a shuffle.
+BUCKETS, SHARDS = 4, 2
+#: Leading bits of a hash that are counted, and how many are looked up: 64 MB of bits for each of three kinds at most.
+HASH_BITS = 48
+MOST_BITS, BITS_A_HASH, FEWEST_BITS = 29, 32, 20
 #: Tuples that a queue of the sorter, and elements that an array, may hold in memory.
 IN_MEMORY = 1 << 26
 #: Windows of occurrences that are compared at once.
 COMPARED = 1 << 21
 NO_ID = np.iinfo(np.int64).max
+MIXED, CROWDED = 1, 2
 
-HASHES = "hash bigint, low bigint, high bigint, docs bigint"
-RUNS = "doc bigint, text_hash bigint, start bigint, hash bigint, string binary, hot boolean"
+COUNTS = "bucket bigint, hashes binary, digests binary, docs binary"
+KINDS = "bucket bigint, hashes binary, kinds binary"
+RUNS = "shard bigint, doc binary, text_hash binary, start binary, windows binary, hash binary, mixed binary, strings binary"
+HOT_RUNS = "doc bigint, text_hash bigint, start bigint, hash bigint, string binary"
 SPANS = "doc bigint, text_hash bigint, start bigint, end bigint"
 
 
@@ -78,13 +89,63 @@ def _kmer_hashes(data: np.ndarray, k: int) -> np.ndarray:
     return found ^ (found >> np.uint64(32))
 
 
-def window_runs(data: bytes, least: int = LEAST, k: int = KMER) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each piece of a text: where it begins, first and last window of each run in it, and the runs' hashes."""
-    whole = np.frombuffer(data, np.uint8)
+def window_runs(texts: list[bytes], least: int = LEAST, k: int = KMER) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of each piece of the joined texts: where it begins in them, then of each run its text, first and last window, and hash.
+
+    Windows count from the beginning of the joined texts; none goes over the end of a text.
+    """
+    whole = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(text) for text in texts])
+    starts = np.append(0, ends[:-1])
     for begin in range(0, len(whole) - least + 1, PIECE):
         hashes = _sliding(_kmer_hashes(whole[begin : begin + PIECE + least - 1], k), least - k + 1)
-        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        yield begin, first, np.append(first[1:], len(hashes)) - 1, hashes[first]
+        inside = np.ones(len(hashes), bool)
+        a, b = np.searchsorted(ends, (begin, begin + len(hashes) + least))
+        for end in (ends[a : b + 1] - begin).tolist():
+            inside[max(end - least + 1, 0) : max(end, 0)] = False
+        change = np.append(True, (hashes[1:] != hashes[:-1]) | ~inside[:-1])
+        first = np.flatnonzero(change & inside)
+        last = np.flatnonzero(inside & np.append(change[1:] | ~inside[1:], True))
+        # Smallest hashes lie near zero; buckets, shards and bits need them spread again.
+        spread = hashes[first] * np.uint64(0xFF51AFD7ED558CCD)
+        spread = (spread ^ (spread >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+        text = np.searchsorted(starts, first + begin, "right") - 1
+        yield begin, text, first + begin, last + begin, spread ^ (spread >> np.uint64(33))
+
+
+def _together(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows again, in tables of some megabytes of text or of one text."""
+    for batch in batches:
+        sizes = np.cumsum([len(data) for data in batch["data"]])
+        groups = sizes // TOGETHER
+        for a, b in zip(border := [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist()], [*border[1:], len(batch)], strict=True):
+            if b > a:
+                yield batch.iloc[a:b]
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    found = np.full(n, factor, np.uint64)
+    found[0] = 1
+    return np.multiply.accumulate(found)
+
+
+class Digests:
+    """64-bit digests of parts of a text from one running sum: bytes stand for fixed odd numbers, places for powers."""
+
+    FACTOR = 0xD1342543DE82EF95
+
+    def __init__(self, least: int):
+        size = PIECE + least
+        self.values = np.random.default_rng(12).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.up = _powers(self.FACTOR, size)
+        self.down = _powers(pow(self.FACTOR, -1, 1 << 64), size)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.values[data] * self.up[: len(data)], out=sums[1:])
+        found = (sums[ends] - sums[starts]) * self.down[starts]
+        found ^= found >> np.uint64(31)
+        return found * np.uint64(0xBF58476D1CE4E5B9) ^ (ends - starts).astype(np.uint64)
 
 
 def _spill_folder() -> str | None:
@@ -92,144 +153,223 @@ def _spill_folder() -> str | None:
     return os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
 
 
-def _hash_counter(least: int) -> Callable:
-    """Each hash with the smallest and largest id and the number of documents, for some megabytes of texts at a time."""
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where each group of equal neighbours begins."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, np.int64)
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of sorted numbers, all first bytes, then all second ones: the leading ones repeat themselves."""
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
 
-    def counted(held: list[tuple[int, np.ndarray]]) -> pd.DataFrame:
-        hashes = np.concatenate([own for _, own in held])
-        docs = np.repeat([doc for doc, _ in held], [len(own) for _, own in held])
+def _from_planes(blobs: Iterable[bytes], width: int) -> np.ndarray:
+    parts = [np.frombuffer(blob, np.uint8).reshape(width, -1).T for blob in blobs]
+    found = np.zeros((sum(map(len, parts)), 8), np.uint8)
+    np.concatenate(parts, out=found[:, :width]) if parts else None
+    return found.view("<u8").ravel()
+
+
+def _packed(groups: np.ndarray, columns: dict[str, np.ndarray], name: str, planes: dict[str, int]) -> pd.DataFrame:
+    """A row for each group, its values of each column as bytes, those in ``planes`` in so many; ``groups`` ascending."""
+    begin = _firsts(groups)
+    borders = list(zip(begin.tolist(), [*begin[1:].tolist(), len(groups)], strict=True))
+    packed = {
+        column: [_planes(values[a:b], planes[column]) if column in planes else values[a:b].tobytes() for a, b in borders]
+        for column, values in columns.items()
+    }
+    return pd.DataFrame({name: groups[begin].astype(np.int64), **packed})
+
+
+def _hash_counter(least: int, bits: int) -> Callable:
+    """Each hash and digest with the number of documents, for some megabytes of texts at a time."""
+
+    def counted(hashes: np.ndarray, digests: np.ndarray, texts: np.ndarray) -> pd.DataFrame:
         order = np.argsort(hashes, kind="stable")
-        hashes, docs = hashes[order], docs[order]
-        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.empty(0, np.int64)
-        return pd.DataFrame(
-            {
-                "hash": hashes[first].view(np.int64),
-                "low": np.minimum.reduceat(docs, first) if len(first) else docs,
-                "high": np.maximum.reduceat(docs, first) if len(first) else docs,
-                "docs": np.diff(np.append(first, len(hashes))),
-            }
-        )
+        hashes, digests, texts = hashes[order], digests[order], texts[order]
+        same = hashes[1:] == hashes[:-1]
+        shared = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        order = shared[np.lexsort((texts[shared], digests[shared], hashes[shared]))]
+        digests[shared], texts[shared] = digests[order], texts[order]
+        new = np.append(True, ~same | (digests[1:] != digests[:-1]))
+        new_text = new | np.append(True, texts[1:] != texts[:-1])
+        first = np.flatnonzero(new)
+        docs = np.minimum(np.add.reduceat(new_text.astype(np.int64), first), 65535).astype("<u2")
+        hashes = hashes[first]
+        columns = {"hashes": hashes, "digests": digests[first].astype("<u8"), "docs": docs}
+        return _packed(hashes >> np.uint64(HASH_BITS - bits), columns, "bucket", {"hashes": HASH_BITS // 8})
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-        for batch in batches:
-            for doc, data in zip(batch["doc"], batch["data"], strict=True):
-                for _, _, _, hashes in window_runs(data, least):
-                    held.append((doc, np.unique(hashes)))
-                size += len(data)
-                if size >= TOGETHER and held:
-                    yield counted(held)
-                    held, size = [], 0
-        if held:
-            yield counted(held)
+        digest = Digests(least)
+        for batch in _together(batches):
+            texts = batch["data"].tolist()
+            whole, held = np.frombuffer(b"".join(texts), np.uint8), []
+            for begin, text, first, last, hashes in window_runs(texts, least):
+                own = digest(whole[begin : begin + PIECE + least - 1], first - begin, last + least - begin)
+                held.append((hashes >> np.uint64(64 - HASH_BITS), own, text))
+            if sum(len(own[0]) for own in held):
+                yield counted(*[np.concatenate(x) for x in zip(*held, strict=True)])
 
     return run
 
 
-def _bits(repeated: DataFrame, rows: int) -> tuple[int, bytes, bytes]:
-    """The number of leading bits of a hash that are looked up, and for each value whether a repeated, or a hot, hash has it."""
-    width = SLICE_BITS
-    while width < MOST_BITS.bit_length() - 1 and 1 << width < BITS_A_HASH * rows:
+def _judge(hot: int) -> Callable:
+    """Of a bucket's hashes those in several documents, or with several strings, and of which kind they are."""
+
+    def run(own: pd.DataFrame) -> pd.DataFrame:
+        hashes = _from_planes(own["hashes"], HASH_BITS // 8)
+        digests, docs = (np.frombuffer(b"".join(own[c]), kind) for c, kind in (("digests", "<u8"), ("docs", "<u2")))
+        order = np.lexsort((digests, hashes))
+        hashes, digests, docs = hashes[order], digests[order], docs[order]
+        first = _firsts(hashes)
+        total = np.add.reduceat(docs.astype(np.int64), first)
+        mixed = np.maximum.reduceat(digests, first) != np.minimum.reduceat(digests, first)
+        kinds = mixed * MIXED + (total > hot) * CROWDED
+        chosen = np.flatnonzero(total > 1)
+        rows = {"hashes": [_planes(hashes[first[chosen]], HASH_BITS // 8)], "kinds": [kinds[chosen].astype(np.uint8).tobytes()]}
+        return pd.DataFrame({"bucket": own["bucket"].iloc[:1].to_numpy(), **rows})
+
+    return run
+
+
+def _bits(kinds: DataFrame, bits: int, hashes: int) -> tuple[int, bytes, bytes, bytes]:
+    """How many leading bits of a hash are looked up, and for each value whether a repeated, mixed or crowded hash has it.
+
+    ``bits``: those that name a bucket.
+    """
+    width = max(bits + 3, FEWEST_BITS)
+    while width < MOST_BITS and 1 << width < BITS_A_HASH * hashes:
         width += 1
-    place = F.shiftrightunsigned("hash", 64 - width)
-    slices = repeated.groupBy(place.alias("place")).agg(F.max("hot").alias("hot"))
-    slices = slices.withColumn("slice", F.shiftright("place", SLICE_BITS))
+    size = 1 << (width - bits)
 
-    def fill(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        at = own["place"].to_numpy() & ((1 << SLICE_BITS) - 1)
-        both = []
-        for chosen in (at, at[own["hot"].to_numpy(bool)]):
-            bits = np.zeros(1 << SLICE_BITS, bool)
-            bits[chosen] = True
-            both.append(np.packbits(bits, bitorder="little").tobytes())
-        return pd.DataFrame({"slice": [key[0]], "repeated": [both[0]], "hot": [both[1]]})
+    def fill(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for bucket, blob, kind in zip(batch["bucket"], batch["hashes"], batch["kinds"], strict=True):
+                place = (_from_planes([blob], HASH_BITS // 8) >> np.uint64(HASH_BITS - width)) & np.uint64(size - 1)
+                kind = np.frombuffer(kind, np.uint8)
+                own = [bucket]
+                for chosen in (place, place[kind & MIXED > 0], place[kind & CROWDED > 0]):
+                    flags = np.zeros(size, bool)
+                    flags[chosen] = True
+                    own.append(np.packbits(flags, bitorder="little").tobytes())
+                rows.append(own)
+            yield pd.DataFrame(rows, columns=["bucket", "repeated", "mixed", "crowded"])
+
+    found = [bytearray(1 << (width - 3)) for _ in range(3)]
+    schema = "bucket bigint, repeated binary, mixed binary, crowded binary"
+    for row in kinds.mapInPandas(fill, schema).toLocalIterator():
+        at = row["bucket"] * (size >> 3)
+        for whole, own in zip(found, row[1:], strict=True):
+            whole[at : at + len(own)] = own
+    return width, *map(bytes, found)
 
-    size = 1 << (SLICE_BITS - 3)
-    found = [bytearray(1 << (width - 3)) for _ in range(2)]
-    for row in slices.groupBy("slice").applyInPandas(fill, "slice bigint, repeated binary, hot binary").toLocalIterator():
-        for bits, own in zip(found, (row["repeated"], row["hot"]), strict=True):
-            bits[row["slice"] * size : (row["slice"] + 1) * size] = own
-    return width, bytes(found[0]), bytes(found[1])
 
+class _Kinds:
+    """The bits of all hashes, in a task."""
 
-def _run_maker(bits, least: int) -> Callable:
-    """The strings under runs of repeated hashes."""
+    def __init__(self, bits):
+        self.width, *kinds = bits.value
+        self.repeated, self.mixed, self.crowded = (np.frombuffer(own, np.uint8) for own in kinds)
+
+    def is_set(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> np.uint64(64 - self.width)
+        return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _run_maker(bits, least: int, shards: int) -> Callable:
+    """Runs of repeated hashes that are not crowded, packed by shard; strings of the mixed ones."""
+
+    names = ("doc", "text_hash", "start", "windows", "hash", "mixed")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width, *both = bits.value
-        repeated, hot = (np.frombuffer(own, np.uint8) for own in both)
+        kinds = _Kinds(bits)
+        for batch in _together(batches):
+            texts, held = batch["data"].tolist(), []
+            for _, *own, hashes in window_runs(texts, least):
+                chosen = np.flatnonzero(kinds.is_set(kinds.repeated, hashes) & ~kinds.is_set(kinds.crowded, hashes))
+                held.append([x[chosen] for x in (*own, hashes)])
+            if not sum(len(own[0]) for own in held):
+                continue
+            text, first, last, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+            shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+            order = np.argsort(hashes, kind="stable")  # shards are ranges of hashes
+            text, first, last, hashes, shard = (x[order] for x in (text, first, last, hashes, shard))
+            mixed = kinds.is_set(kinds.mixed, hashes)
+            doc, text_hash = (batch[name].to_numpy()[text] for name in ("doc", "text_hash"))
+            begin = np.append(0, np.cumsum([len(data) for data in texts])[:-1])[text]
+            columns = (doc, text_hash, first - begin, (last - first + 1).astype(np.int32), hashes, mixed)
+            frame = _packed(shard, dict(zip(names, columns, strict=True)), "shard", {"hash": 8})
+            whole = b"".join(texts)
+            strings = [whole[a : b + least] if m else b"" for m, a, b in zip(mixed.tolist(), first.tolist(), last.tolist(), strict=True)]
+            borders = np.append(_firsts(shard), len(shard)).tolist()
+            frame["strings"] = [b"".join(strings[a:b]) for a, b in zip(borders[:-1], borders[1:], strict=True)]
+            yield frame
 
-        def is_set(own: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-            place = hashes >> np.uint64(64 - width)
-            return (own[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return run
 
-        held, size = [], 0
-        names = [field.split()[0] for field in RUNS.split(", ")]
 
-        def frame() -> pd.DataFrame:
-            columns = zip(*held, strict=True)
-            return pd.DataFrame({n: np.concatenate(c) for n, c in zip(names, columns, strict=True)})
+def _crowded_runs(bits, least: int) -> Callable:
+    """Runs of crowded hashes, each a row with its string."""
 
-        for batch in batches:
-            for doc, text_hash, data in zip(batch["doc"], batch["text_hash"], batch["data"], strict=True):
-                for begin, first, last, hashes in window_runs(data, least):
-                    own = np.flatnonzero(is_set(repeated, hashes))
-                    if not len(own):
-                        continue
-                    starts, ends, hashes = first[own] + begin, last[own] + begin + least, hashes[own]
-                    strings = np.empty(len(own), object)
-                    strings[:] = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                    same = [np.full(len(own), value) for value in (doc, text_hash)]
-                    held.append((*same, starts, hashes.view(np.int64), strings, is_set(hot, hashes)))
-                    size += int((ends - starts).sum())
-                    if size > TOGETHER:
-                        yield frame()
-                        held, size = [], 0
-        if held:
-            yield frame()
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kinds = _Kinds(bits)
+        for batch in _together(batches):
+            texts, held = batch["data"].tolist(), []
+            for _, *own, hashes in window_runs(texts, least):
+                chosen = np.flatnonzero(kinds.is_set(kinds.crowded, hashes))
+                held.append([x[chosen] for x in (*own, hashes)])
+            if not sum(len(own[0]) for own in held):
+                continue
+            text, first, last, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+            begin, whole = np.append(0, np.cumsum([len(data) for data in texts])[:-1])[text], b"".join(texts)
+            strings = [whole[a : b + least] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            doc, text_hash = (batch[name].to_numpy()[text] for name in ("doc", "text_hash"))
+            columns = {"doc": doc, "text_hash": text_hash, "start": first - begin, "hash": hashes.view(np.int64), "string": strings}
+            yield pd.DataFrame(columns)
 
     return run
 
 
 class _Shard:
-    """The strings of a partition, which come sorted by hash, string and id, and where they occur."""
+    """The runs of a shard: the different strings, and where they occur."""
 
     def __init__(self, least: int, limit: int):
         self.least, self.limit, self.folder = least, limit, _spill_folder()
         self.file = SpooledTemporaryFile(max_size=limit, dir=self.folder)
-        #: Of each different string: where its text begins or -1 if it is alone under its hash, its windows, its smallest id.
+        self.size = 0
+        #: Of each different string: where its text begins, its windows, its smallest id.
+        self.known: dict[tuple[int, bytes], int] = {}
         self.begins: list[int] = []
         self.windows: list[int] = []
         self.firsts: list[int] = []
-        self.occurrences: list[tuple] = []
-        self.size, self.hash, self.string, self.alone = 0, None, None, None
-
-    def add(self, batch: pd.DataFrame) -> None:
-        which = np.empty(len(batch), np.int64)
-        rows = zip(batch["hash"].tolist(), batch["string"], batch["doc"].tolist(), strict=True)
-        for i, (own_hash, string, doc) in enumerate(rows):
-            if own_hash != self.hash:
-                self.hash, self.string = own_hash, string
-                self.alone = len(self.begins)
-                self._new(string, doc, -1)
-            elif string != self.string:
-                if self.alone is not None:  # the group has a second string, so the first one is needed, too
-                    self.begins[self.alone], self.alone = self._write(self.string), None
-                self.string = string
-                self._new(string, doc, self._write(string))
-            which[i] = len(self.begins) - 1
-        self.occurrences.append((which, *[batch[name].to_numpy() for name in ("doc", "text_hash", "start")]))
-
-    def _new(self, string: bytes, doc: int, begin: int) -> None:
-        self.begins.append(begin)
-        self.windows.append(len(string) - self.least + 1)
-        self.firsts.append(doc)
-
-    def _write(self, string: bytes) -> int:
-        begin = self.size
-        self.file.write(string)
-        self.size += len(string) + 1
-        return begin
+        self.mixed: list[tuple] = []
+        self.equal: list[tuple] = []
+
+    def add(self, row) -> None:
+        kinds = {"doc": "<i8", "text_hash": "<i8", "start": "<i8", "windows": "<i4", "mixed": bool}
+        own = {name: np.frombuffer(getattr(row, name), kind) for name, kind in kinds.items()}
+        own["hash"] = _from_planes([row.hash], 8)
+        mixed = own.pop("mixed")
+        numbers = ("doc", "text_hash", "start", "windows", "hash")
+        self.equal.append(tuple(own[name][~mixed] for name in numbers))
+        doc, text_hash, start, windows, hashes = (own[name][mixed] for name in numbers)
+        which = np.empty(len(doc), np.int64)
+        ends = np.cumsum(windows + self.least - 1).tolist()
+        rows = zip(hashes.tolist(), doc.tolist(), windows.tolist(), [0, *ends], ends, strict=False)
+        for i, (own_hash, own_doc, n, begin, end) in enumerate(rows):
+            string = row.strings[begin:end]
+            at = self.known.setdefault((own_hash, string), len(self.begins))
+            if at == len(self.begins):
+                self.begins.append(self.size)
+                self.windows.append(n)
+                self.firsts.append(own_doc)
+                self.file.write(string)
+                self.size += len(string) + 1
+            elif own_doc < self.firsts[at]:
+                self.firsts[at] = own_doc
+            which[i] = at
+        self.mixed.append((which, doc, text_hash, start))
 
     def _text(self, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """All written strings, characters from 1 up, each ended by 0."""
@@ -279,21 +419,23 @@ class _Shard:
 
     def spans(self) -> Iterator[pd.DataFrame]:
         """Where each occurrence repeats an earlier document."""
-        if not self.occurrences:
+        doc, text_hash, start, windows, hashes = (np.concatenate(x) for x in zip(*self.equal, strict=True))
+        if len(doc):  # all strings of a hash are one
+            order = np.argsort(hashes, kind="stable")
+            begin = _firsts(hashes[order])
+            first = np.empty(len(doc), np.int64)
+            first[order] = np.repeat(np.minimum.reduceat(doc[order], begin), np.diff(np.append(begin, len(doc))))
+            own = np.flatnonzero(first < doc)
+            ends = start[own] + windows[own] + self.least - 1
+            yield pd.DataFrame({"doc": doc[own], "text_hash": text_hash[own], "start": start[own], "end": ends})
+        if not self.begins:
             return
         begins, windows, firsts = (np.array(x, np.int64) for x in (self.begins, self.windows, self.firsts))
-        stored = begins >= 0
-        order = np.argsort(begins[stored], kind="stable")
-        least = self._least_ids(begins[stored][order], windows[stored][order], firsts[stored][order])
-        for which, *columns in self.occurrences:
-            alone = ~stored[which]
-            later = np.flatnonzero(alone & (firsts[which] < columns[0]))
-            doc, text_hash, start = (column[later] for column in columns)
-            ends = start + windows[which[later]] + self.least - 1
-            yield pd.DataFrame({"doc": doc, "text_hash": text_hash, "start": start, "end": ends})
-            rest = np.flatnonzero(~alone)
-            pieces = np.cumsum(windows[which[rest]]) // COMPARED
-            for own in np.split(rest, np.flatnonzero(np.diff(pieces)) + 1):
+        self.known.clear()
+        least = self._least_ids(begins, windows, firsts)
+        for which, *columns in self.mixed:
+            pieces = np.cumsum(windows[which]) // COMPARED
+            for own in np.split(np.arange(len(which)), np.flatnonzero(np.diff(pieces)) + 1):
                 yield self._repeated(least, which[own], begins, windows, *[column[own] for column in columns])
 
     def _repeated(self, least, which, begins, windows, doc, text_hash, start) -> pd.DataFrame:
@@ -316,11 +458,15 @@ class _Shard:
 
 
 def _sorter(least: int, limit: int) -> Callable:
+    """``batches`` come sorted by shard, so that one shard at a time is held."""
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard = _Shard(least, limit)
-        for batch in batches:
-            shard.add(batch)
-        yield from shard.spans()
+        rows = (row for batch in batches for row in batch.itertuples(index=False))
+        for _, own in groupby(rows, key=lambda row: row.shard):
+            shard = _Shard(least, limit)
+            for row in own:
+                shard.add(row)
+            yield from shard.spans()
 
     return run
 
@@ -346,13 +492,47 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, limit: int = IN_MEMORY,
     ``docs``: doc, text_hash, data.
     """
     spark = docs.sparkSession
-    hashes = docs.select("doc", "data").mapInPandas(_hash_counter(least), HASHES)
-    sums = hashes.groupBy("hash").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("docs").alias("docs"))
-    repeated = written(sums.where("low < high").select("hash", (F.col("docs") > hot).alias("hot")), "repeated-hashes")
-    bits = spark.sparkContext.broadcast(_bits(repeated, repeated.count()))
-    runs = written(docs.mapInPandas(_run_maker(bits, least), RUNS), "window-runs")
-    shards = runs.where("NOT hot").drop("hot").repartition("hash").sortWithinPartitions("hash", "string", "doc")
-    return shards.mapInPandas(_sorter(least, limit), SPANS).unionByName(_hot_spans(runs.where("hot").drop("hot"), least))
+    tasks = partitions(spark)
+    bits = min(max((BUCKETS * tasks - 1).bit_length(), 1), FEWEST_BITS)
+    counts = docs.select("data").mapInPandas(_hash_counter(least, bits), COUNTS)
+    judged = written(counts.groupBy("bucket").applyInPandas(_judge(hot), KINDS), "repeated-hashes")
+    hashes = judged.agg(F.sum(F.octet_length("kinds"))).first()[0] or 0
+    known = spark.sparkContext.broadcast(_bits(judged, bits, hashes))
+    runs = docs.mapInPandas(_run_maker(known, least, SHARDS * tasks), RUNS)
+    shards = runs.repartition(tasks, "shard").sortWithinPartitions("shard")
+    crowded = written(docs.mapInPandas(_crowded_runs(known, least), HOT_RUNS), "crowded-runs")
+    return shards.mapInPandas(_sorter(least, limit), SPANS).unionByName(_hot_spans(crowded, least))
+
+
+def _text_bits(spans: DataFrame) -> tuple[int, bytes]:
+    """How many leading bits of a text's hash are looked up, and which are those of texts with spans."""
+    texts, width = spans.count(), FEWEST_BITS
+    while width < MOST_BITS and 1 << width < BITS_A_HASH * texts:
+        width += 1
+    place = F.shiftrightunsigned("text_hash", 64 - width)
+    places = spans.select(place.alias("place")).distinct().withColumn("part", F.shiftright("place", FEWEST_BITS))
+
+    def fill(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(1 << FEWEST_BITS, bool)
+        flags[own["place"].to_numpy() & ((1 << FEWEST_BITS) - 1)] = True
+        return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    found = bytearray(1 << (width - 3))
+    for row in places.groupBy("part").applyInPandas(fill, "part bigint, bits binary").toLocalIterator():
+        at = row["part"] << (FEWEST_BITS - 3)
+        found[at : at + len(row["bits"])] = row["bits"]
+    return width, bytes(found)
+
+
+def _has_bit(bits) -> Callable:
+    @F.pandas_udf("boolean")
+    def has_bit(text_hash: pd.Series) -> pd.Series:
+        width, data = bits.value
+        place = text_hash.to_numpy().view(np.uint64) >> np.uint64(64 - width)
+        flags = np.frombuffer(data, np.uint8)[place >> np.uint64(3)]
+        return pd.Series((flags >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1)
+
+    return has_bit
 
 
 def _cutter(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -376,19 +556,23 @@ def without_repeats(
 ) -> DataFrame:
     """doc_id, n_bytes, removed (maximal spans: start, end), kept (the bytes that are left): a row for each document.
 
-    Spans go back by id and hash of the text: rows equal in both are equal in what they lose.
+    Spans go back by id and hash of the text: rows equal in both are equal in what they lose.  Which texts have spans is
+    known from bits, too, so most others are not shuffled.
     """
-
-    def prepared(*more: Column) -> DataFrame:
-        whole = F.coalesce(F.col(text), F.lit(""))
-        own = F.col(key).cast("bigint")
-        return docs.select(
-            *more, F.coalesce(own, F.lit(NO_ID)).alias("doc"), F.xxhash64(whole).alias("text_hash"), whole.cast("binary").alias("data")
-        )
-
-    spans = repeated_spans(prepared(), least, limit, hot)
-    merged = spans.distinct().groupBy("doc", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    whole, own = F.coalesce(F.col(text), F.lit("")), F.col(key).cast("bigint")
+    rows = docs.select(
+        own.alias("doc_id"),
+        F.coalesce(own, F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(whole).alias("text_hash"),
+        whole.cast("binary").alias("data"),
+    )
+    spans = repeated_spans(rows.drop("doc_id"), least, limit, hot)
+    merged = spans.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     merged = written(merged, "spans")
-    rows = prepared(F.col(key).cast("bigint").alias("doc_id")).join(merged, ["doc", "text_hash"], "left")
-    schema = "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"
-    return rows.select("doc_id", "data", "spans").mapInPandas(_cutter, schema)
+    bits = docs.sparkSession.sparkContext.broadcast(_text_bits(merged))
+    marked = rows.withColumn("marked", _has_bit(bits)("text_hash"))
+    cut = "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"
+    found = marked.where("marked").join(merged, ["doc", "text_hash"], "left").select("doc_id", "data", "spans")
+    nothing = F.array().cast("array<struct<start:bigint,end:bigint>>").alias("removed")
+    untouched = marked.where("NOT marked").select("doc_id", F.octet_length("data").cast("bigint").alias("n_bytes"), nothing, F.col("data").alias("kept"))
+    return found.mapInPandas(_cutter, cut).unionByName(untouched)

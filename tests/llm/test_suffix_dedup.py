@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from meterline.llm import induced, suffix_dedup
@@ -95,25 +96,49 @@ def test_what_is_kept(spark, rows, options):
     assert found(spark, rows, **options) == brute(rows)
 
 
-def test_long_texts_in_pieces(spark, rows, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "PIECE", 64)
-    whole = [(doc, text) for doc, text in rows if text]
-    texts = [text.encode() for _, text in whole]
-    for data in texts:
-        windows = [w for begin, first, last, _ in suffix_dedup.window_runs(data) for a, b in zip(first, last, strict=True) for w in range(begin + a, begin + b + 1)]
-        assert windows == list(range(max(len(data) - LEAST + 1, 0)))
+def windows_of(texts):
+    """(text, window in it) -> hash."""
+    starts = np.append(0, np.cumsum([len(text) for text in texts]))
+    found = {}
+    for _, *runs in suffix_dedup.window_runs(texts):
+        for text, first, last, own in zip(*[x.tolist() for x in runs], strict=True):
+            for window in range(first, last + 1):
+                assert (text, window - starts[text]) not in found
+                found[text, window - starts[text]] = own
+    return found
 
 
-def test_equal_windows_have_equal_hashes():
+@pytest.mark.parametrize("piece", [64, 1 << 16])
+def test_every_window_lies_in_one_run(rows, monkeypatch, piece):
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    texts = [(text or "").encode() for _, text in rows]
+    assert sorted(windows_of(texts)) == [(i, w) for i, text in enumerate(texts) for w in range(len(text) - LEAST + 1)]
+
+
+def test_equal_windows_have_equal_hashes(rows):
+    texts = [(text or "").encode() for _, text in rows]
+    hashes = {}
+    for (i, w), own in windows_of(texts).items():
+        assert hashes.setdefault(texts[i][w : w + LEAST], own) == own
+
+
+def test_digests_of_equal_strings_are_equal():
     draw = random.Random(9)
-    shared = bytes(draw.choices(range(97, 100), k=120))
-    hashes = []
-    for _ in range(2):
-        data = bytes(draw.choices(range(97, 100), k=draw.randint(0, 200))) + shared + bytes(draw.choices(range(97, 100), k=90))
-        at = data.index(shared)
-        own = {w: h for b, first, last, hs in suffix_dedup.window_runs(data) for x, y, h in zip(first, last, hs, strict=True) for w in range(b + x, b + y + 1)}
-        hashes.append([own[at + i] for i in range(len(shared) - LEAST + 1)])
-    assert hashes[0] == hashes[1]
+    data = bytes(draw.choices(range(97, 99), k=3000)) * 2
+    starts = np.array([draw.randrange(2900) for _ in range(400)])
+    ends = starts + np.array([draw.randrange(1, 90) for _ in range(400)])
+    digest = suffix_dedup.Digests(LEAST)
+    here, there = (digest(np.frombuffer(data, np.uint8), starts + shift, ends + shift) for shift in (0, 3000))
+    assert here.tolist() == there.tolist()
+    assert len(set(here.tolist())) == len({data[a:b] for a, b in zip(starts, ends, strict=True)})
+
+
+def test_rows_are_worked_on_in_small_tables(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 10)
+    batches = [pd.DataFrame({"data": [b"x" * n for n in own]}) for own in ([3, 4, 50, 0, 1, 2], [], [9, 9])]
+    parts = [[len(x) for x in part["data"]] for part in suffix_dedup._together(batches)]
+    assert [n for part in parts for n in part] == [3, 4, 50, 0, 1, 2, 9, 9]
+    assert all(sum(part[:-1]) <= 60 for part in parts) and len(parts) > 3
 
 
 def test_query_on_all_documents_equals_brute_force(spark, sf_dir):
