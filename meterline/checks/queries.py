@@ -4,14 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from meterline.checks import fixtures
-from meterline.operators import bill, clients, constraints, documents, mediate, modifiers, rate, reports
+from meterline.functions import charges
+from meterline.operators import anomalies, bill, clients, constraints, documents, mediate, modifiers, rate, reports, sessions, sketches
+from meterline.operators.history import HistoryDedup
 from meterline.plans.pipeline import Rules, bill_period
 from meterline.plans.shared_folder import fresh_path, written
 from meterline.schema import CANONICAL, LINE_KEY, PAYLOAD
 from meterline.sinks import BatchFolder, BatchTable, SegmentFolder, compact, export_csv, publish_tables, read_published, write_table
+from meterline.sinks.segments import read_live
 from meterline.sources import (
     read_balances,
     read_batches,
@@ -34,6 +37,7 @@ from meterline.streaming import (
     start_consumption,
     start_mediation,
     start_rating,
+    start_sessions,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +283,71 @@ def usage_by_cell_technology(spark, sf_dir):
     return reports.usage_by_cell_technology(_billed_once(spark, sf_dir))
 
 
+def revenue_sketch(spark, sf_dir):
+    """Weeks from stored daily sketches, beside what is exact; estimates are checked against usage and shown as verdicts."""
+    usage = written(bill.billable(_billed_once(spark, sf_dir)), "billed")
+    path = fresh_path(spark, "sketches")
+    write_table(sketches.usage_sketches(usage), path=path)
+    weeks = sketches.revenue_by_sketch(read_table(spark, path=path), "week")
+    found = written(weeks.withColumnsRenamed({"users": "about", "n": "records"}), "weeks")
+    week = F.to_date(F.date_trunc("week", "event_ts"))
+    rows = usage.withColumns({"cycle": week, "units": charges.billed_quantity().cast("double")}).select("cycle", "record_type", "user_id", "units")
+    joined = rows.join(F.broadcast(found), ["cycle", "record_type"])
+
+    def share(condition):
+        return F.avg(condition.cast("double"))
+
+    def close(quantile, at):
+        below, upto = share(F.col("units") < F.col(quantile)), share(F.col("units") <= F.col(quantile))
+        return (below <= at + 0.03) & (upto >= at - 0.03)
+
+    return joined.groupBy("cycle", "record_type").agg(
+        F.max("records").alias("n"),
+        F.max("quantity").alias("quantity"),
+        F.max("revenue").alias("revenue"),
+        F.count_distinct("user_id").alias("users"),
+        (F.abs(F.max("about") - F.count_distinct("user_id")) <= F.count_distinct("user_id") * 0.06).alias("users_close"),
+        close("median_quantity", 0.5).alias("median_close"),
+        close("p95_quantity", 0.95).alias("p95_close"),
+    )
+
+
+def usage_anomalies(spark, sf_dir):
+    """Planted outliers in usage that repeats itself every week."""
+    weekly = fixtures.weekly_usage(mediate.dedup_usage(_clean(spark, sf_dir)))
+    return anomalies.usage_anomalies(rate.rate_usage(weekly))
+
+
+def usage_sessions(spark, sf_dir):
+    return sessions.usage_sessions(_billed_once(spark, sf_dir), "6 hours")
+
+
+def stream_sessions(spark, sf_dir):
+    """A record far in the future moves the watermark past all others."""
+    path = fresh_path(spark, "sessions")
+    events = fixtures.table(spark, sf_dir, "events")
+    late = events.limit(1).selectExpr("900000001L AS event_id", "TIMESTAMP_NTZ'2034-01-01 00:00:00' AS ts", "-1L AS user_id", "'click' AS event_type", "100D AS value", "props")
+    for part in (events, late):
+        part.write.mode("append").parquet(f"{path}/events")
+        stream = spark.readStream.schema(fixtures.SCHEMAS["events"]).parquet(f"{path}/events")
+        usage = mediate.usage_clean(mediate.type_usage(fixtures.raw_from_events(stream))).select(*CANONICAL)
+        await_all([start_sessions(rate.rate_usage(usage), f"{path}/out", f"{path}/checkpoint", "6 hours", trigger=AT_ONCE, name=None)])
+    return spark.read.parquet(f"{path}/out").where("user_id <> 'u-1'")
+
+
+def dedup_against_history(spark, sf_dir):
+    """Three batches, in which each record may be a copy of one of an earlier batch; the second one is run again."""
+    path = fresh_path(spark, "history")
+    usage = written(fixtures.usage(spark, sf_dir).select(*CANONICAL), "arrivals")
+    copy = F.col("record_id") >= fixtures.COPY_OFFSET
+    batch = F.when(copy, 2).otherwise(F.col("record_id") % 2)
+    step = HistoryDedup(f"{path}/index", "check", SegmentFolder(f"{path}/out", "check", "day"))
+    for batch_id in (0, 1, 1, 2):
+        step(usage.where(batch == batch_id).withColumn("day", F.to_date("event_ts")), batch_id)
+    schema = StructType([*usage.schema.fields]).add("day", "date")
+    return read_live(spark, f"{path}/out", schema, "day").drop("day")
+
+
 def _json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.raw_from_events(fixtures.event_stream(spark, sf_dir))
     return fixtures.json_from_raw(raw)
@@ -555,6 +624,11 @@ QUERIES: dict[str, Query] = {
         usage_by_hour,
         usage_by_weekday,
         usage_by_cell_technology,
+        revenue_sketch,
+        usage_anomalies,
+        usage_sessions,
+        stream_sessions,
+        dedup_against_history,
         stream_mediate,
         stream_mediate_rejects,
         stream_rate,

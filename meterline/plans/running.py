@@ -66,6 +66,40 @@ def _sliced(
     return joined.select(*[inside[name] for name in columns], *shifted)
 
 
+def with_previous(
+    df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Adds, per entry of ``previous`` (output name -> column), the column's value in the key's row before, or NULL.
+
+    ``order`` must be a total order within a key.  Hot keys are sliced as for running totals; the first row of a slice gets the
+    values of the last row of the slice before.
+    """
+    columns = df.columns
+
+    def lagged(rows: DataFrame, *parts: str) -> DataFrame:
+        window = Window.partitionBy(*keys, *parts).orderBy(*order)
+        return rows.withColumns({name: F.lag(column).over(window) for name, column in previous.items()})
+
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    found = sizes.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+    if not found["keys"]:
+        return lagged(df)
+    hot = bounded(written(sizes.select(*keys), "hot-keys"), found["keys"])
+    ordinary = lagged(df.join(hot, same_keys(df, hot, keys), "left_anti"))
+    slices = ceil(found["rows"] / hot_rows)
+    rows = df.join(hot, same_keys(df, hot, keys), "left_semi").repartitionByRange(slices, *keys, *order)
+    rows = written(rows.withColumn("_slice", F.spark_partition_id()), "slices")
+    last = F.max_by(F.struct(*[F.col(column).alias(name) for name, column in previous.items()]), F.struct(*order))
+    ends = rows.groupBy(*keys, "_slice").agg(last.alias("_last"), F.min(F.struct(*order)).alias("_first"))
+    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice"))
+    ends = bounded(written(ends.withColumn("_last", before), "slice-ends"), slices + found["keys"])
+    inside = lagged(rows, "_slice")
+    joined = inside.join(ends, same_keys(inside, ends, [*keys, "_slice"]), "left")
+    is_first = F.struct(*[inside[name] for name in order]) == F.col("_first")
+    given = [F.when(is_first, F.col(f"_last.{name}")).otherwise(inside[name]).alias(name) for name in previous]
+    return ordinary.unionByName(joined.select(*[inside[name] for name in columns], *given))
+
+
 def write_running_totals(
     df: DataFrame,
     keys: list[str],

@@ -12,6 +12,7 @@ from meterline.functions import charges, records
 from meterline.operators.bill import billable
 from meterline.operators.mediate import encode_usage, parse_usage, payload_key, validate_usage
 from meterline.operators.rate import rate_usage
+from meterline.operators.sessions import GAP, session_stream
 from meterline.schema import CANONICAL
 from meterline.sinks.segments import SegmentFolder
 from meterline.sources.tables import add_balances, add_windows
@@ -207,6 +208,20 @@ def start_balances(
     return _started(rated.writeStream.foreachBatch(write_sums), checkpoint, trigger, name)
 
 
+def start_sessions(
+    rated: DataFrame,
+    path: str,
+    checkpoint: str,
+    gap: str = GAP,
+    delay: str = "1 hour",
+    trigger: Mapping[str, object] | None = None,
+    name: str | None = "sessions",
+) -> StreamingQuery:
+    """Finished sessions of use as files (:func:`meterline.operators.sessions.session_stream`), each written once."""
+    writer = session_stream(rated, gap, delay).writeStream.format("parquet").option("path", path)
+    return _started(writer, checkpoint, trigger, name)
+
+
 def await_all(queries: list[StreamingQuery], look_every: float = 1.0) -> None:
     """Waits until all queries have ended; the first failure of any of them is raised and stops the rest."""
     try:
