@@ -40,8 +40,8 @@ KMER = 20
 #: Windows that are worked on at once, and bytes of texts whose runs are packed together.
 PIECE = 1 << 16
 TOGETHER = 1 << 24
-#: Documents of one hash up to which its runs meet in one shard.
-HOT = 2_000
+#: Documents of one hash up to which its runs meet in one shard: some 10 MB of strings and numbers.
+HOT = 100_000
 #: Buckets of hashes, and shards of runs, for each partition of a shuffle.
 BUCKETS, SHARDS = 4, 2
 #: Leading bits of a hash that are counted, and how many are looked up: 64 MB of bits for each of three kinds at most.
