@@ -76,15 +76,15 @@ def smallest_hashes(rows: DataFrame, n: int, *columns: str) -> DataFrame:
     largest of them, so that no task or shuffle holds more texts than the sample has.
     """
     hashed = rows.select(*columns, F.xxhash64(*columns).alias("hash"))
-    most = hashed.select("hash").orderBy("hash").limit(n).agg(F.max("hash")).first()[0]
+    most = hashed.select("hash").distinct().orderBy("hash").limit(n).agg(F.max("hash")).first()[0]
     picked = hashed.where(F.col("hash") <= F.lit(most).cast("bigint"))
     return picked.groupBy("hash").agg(*[F.first(name).alias(name) for name in columns])
 
 
 def likely_smallest(hashed: Column, group: Column, n: int, sizes: dict) -> Column:
-    """Whether a hash can be among the ``n`` smallest of its group, whose number of rows is in ``sizes``.
+    """Whether a hash can be among the ``n`` smallest of its group, whose number of different hashes is in ``sizes``.
 
-    Hashes spread evenly, so the ``n`` smallest of many rows lie in a known part of their range, but for a chance that
+    Hashes spread evenly, so the ``n`` smallest of many lie in a known part of their range, but for a chance that
     the margin makes negligible.  What is then ranked has about ``2 n`` rows a group, however many rows there are.
     """
     least = F.lit(True)
@@ -96,10 +96,12 @@ def likely_smallest(hashed: Column, group: Column, n: int, sizes: dict) -> Colum
     return least
 
 
-def smallest_hashes_by(rows: DataFrame, group: str, n: int, sizes: dict, *columns: str) -> DataFrame:
-    """(group, *columns, hash): the same for each group; ``sizes`` has each group, which is not NULL, with its rows."""
+def smallest_hashes_by(rows: DataFrame, group: str, n: int, *columns: str) -> DataFrame:
+    """(group, *columns, hash): the same for each group, which is not NULL.  Repeated rows count once throughout."""
     hashed = rows.select(F.col(group).alias("group"), *columns, F.xxhash64(group, *columns).alias("hash"))
-    ranked = hashed.select("group", "hash").where(likely_smallest(F.col("hash"), F.col("group"), n, sizes))
+    different = written(hashed.select("group", "hash").distinct(), "sample-hashes")
+    sizes = {row["group"]: row["count"] for row in different.groupBy("group").count().collect()}
+    ranked = different.where(likely_smallest(F.col("hash"), F.col("group"), n, sizes))
     rank = F.row_number().over(Window.partitionBy("group").orderBy("hash"))
     limits = ranked.withColumn("rank", rank).where(F.col("rank") <= n)
     limits = small(written(limits.groupBy("group").agg(F.max("hash").alias("most")), "sample-limits"))

@@ -5,8 +5,8 @@ of ``PIECE_CHARS`` so that a long text cannot serve as its own dictionary, and c
 ``score`` is the softmax of the sizes in units of ``UNIT_BYTES``; a prediction whose margin over the second language is
 narrow is marked ``rejected``.
 
-The dictionaries are fitted to a bounded sample: per language at most ``SAMPLE_DOCS`` training texts, those with the
-smallest hashes, of which ``DICTIONARY_BYTES`` are used.  Everything else covers all rows.
+The dictionaries are fitted to a bounded sample: per language at most ``SAMPLE_DOCS`` different training texts, those with the
+smallest hashes, and a piece of each, ``DICTIONARY_BYTES`` together.  Everything else covers all rows.
 
 Rows: a text that is NULL or has no letter is ``und`` with score 0 and rejected; so is any text if nothing was learned;
 languages equal in size are decided by their number of training texts, then by name; repeated rows are predicted each.
@@ -21,10 +21,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import bucket, smallest_hashes_by
+from meterline.llm.common import bucket, smallest_hashes_by, written
 
 SAMPLE_DOCS = 400
 DICTIONARY_BYTES = 120_000
+#: Characters of a sampled text that are used at least; with few texts it is their share of the dictionary.
+LEAST_PIECE = 300
 LEVEL = 6
 PIECE_CHARS = 4_000
 UNIT_BYTES = 4.0
@@ -46,10 +48,16 @@ def dictionaries(docs: DataFrame, key: str, text: str, lang: str) -> dict[str, b
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where((bucket(F.col("key"), FOLDS) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = smallest_hashes_by(rows, "lang", SAMPLE_DOCS, sizes, "key", "text")
-    sample = sample.select("group", "hash", F.substring("text", 1, DICTIONARY_BYTES).alias("text")).collect()
+    sample = written(smallest_hashes_by(rows, "lang", SAMPLE_DOCS, "key", "text"), "sample")
+    texts = {row["group"]: row["count"] for row in sample.groupBy("group").count().collect()}
+    # As much of each text as its share of the dictionary, from a place that its hash gives; of a short text all.
+    size = F.lit(LEAST_PIECE)
+    for name, n in texts.items():
+        size = F.when(F.col("group") == name, max(LEAST_PIECE, -(-DICTIONARY_BYTES // n))).otherwise(size)
+    room = F.greatest(F.length("text") - size, F.lit(0)) + 1
+    piece = F.substring("text", F.pmod(F.col("hash"), room).cast("int") + 1, size)
     found: dict[str, list[tuple[int, str]]] = {}
-    for row in sample:
+    for row in sample.select("group", "hash", piece.alias("text")).collect():
         found.setdefault(row["group"], []).append((row["hash"], row["text"]))
     content = {}
     for name, own in sorted(found.items(), key=lambda item: (-sizes[item[0]], item[0])):

@@ -1,13 +1,13 @@
 """Mixing sources to target weights by Poisson replication.
 
 A source whose share should be ``w`` and which holds ``n`` of ``N`` texts repeats each text ``w N / n`` times on average.
-How often one text is taken is drawn from the Poisson distribution with that mean, by inverting it at a number between
-0 and 1 that a hash of seed and key gives; a mean above ``MOST_RATE`` is the sum of several such draws, which has the same
+How often one row is taken is drawn from the Poisson distribution with that mean, by inverting it at a number between
+0 and 1 that a hash of seed, all its columns and its number among equal rows gives; a mean above ``MOST_RATE`` is the sum of several such draws, which has the same
 distribution.  Copies are then put in the order of another hash.  Everything is made of
 Spark's own functions, and the same table gives the same copies in the same order, whatever its partitions.
 
-Rows: NULL is a source of its own and a key of its own; rows with equal keys draw alike and are all kept or repeated;
-any other column is only carried; a table without rows gives none.
+Rows: NULL is a source of its own; every row draws by itself, whether it shares its key, or all it holds, with others; which of
+equal rows is taken how often cannot be seen, their numbers can; a table without rows gives none.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -71,9 +71,35 @@ def drawn_copies(sums: Column, parts: Column, seed: str, key: Column, drawn: Col
     return F.aggregate(F.sequence(F.lit(1).cast("bigint"), parts), F.lit(0).cast("bigint"), draw)
 
 
-def mix(
-    docs: DataFrame, key: str, source: str, weights: dict[str | None, float] | None = None, seed: str = SEED
-) -> DataFrame:
+def row_digest(columns: list[str]) -> Column:
+    """MD5 of all columns as text, each with its length, so that no two rows give the same input; NULL is ``-``."""
+
+    def field(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        return F.when(value.isNull(), "-").otherwise(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value))
+
+    return F.md5(F.concat(*[field(name) for name in columns]).cast("binary"))
+
+
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """(row, identity): each row as a struct, and its digest with its number among equal rows.
+
+    Digests that occur once need no number.  The others are counted before the shuffle, one row for each, and unfolded again
+    in steps of ``COPIES_AT_ONCE``, so a row repeated a billion times is no single task's.
+    """
+    rows = docs.select(F.struct("*").alias("row"), row_digest(docs.columns).alias("digest"))
+    counts = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    repeated = small(written(counts, "repeated-rows"))
+    one = rows.join(repeated, "digest", "left_anti").select("row", F.concat("digest", F.lit(":1")).alias("identity"))
+    several = rows.join(repeated, "digest").groupBy("digest").agg(F.first("row").alias("row"), F.first("many").alias("many"))
+    steps = several.withColumn("first", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("many"), F.lit(COPIES_AT_ONCE))))
+    steps = steps.repartition(partitions(docs.sparkSession), "digest", "first")
+    number = F.explode(F.sequence("first", F.least(F.col("first") + (COPIES_AT_ONCE - 1), F.col("many"))))
+    each = steps.withColumn("number", number).select("row", F.concat("digest", F.lit(":"), "number").alias("identity"))
+    return one.unionByName(each)
+
+
+def mix(docs: DataFrame, source: str, weights: dict[str | None, float] | None = None, seed: str = SEED) -> DataFrame:
     """(row, copy, place): each row of ``docs``, whole as a struct, as often as drawn.
 
     ``copy`` counts from 1, ``place`` is in [0, 1).  Copies are dealt out to partitions by ``place`` and ordered by it
@@ -83,17 +109,17 @@ def mix(
     parts = F.greatest(F.ceil(F.col("rate") / MOST_RATE), F.lit(1)).cast("bigint")
     table = rates.select("source", parts.alias("parts"), thresholds(F.col("rate") / parts).alias("sums"))
     table = small(written(table, "thresholds"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col(source).alias("of"))
-    rows = rows.withColumn("drawn", unit_hash(F.lit(seed), F.col("key")))
+    rows = numbered_rows(docs).withColumn("of", F.col(f"row.`{source}`"))
+    rows = rows.withColumn("drawn", unit_hash(F.lit(seed), F.col("identity")))
     counted = rows.join(table, F.col("of").eqNullSafe(F.col("source"))).select(
-        "row", "key", drawn_copies(F.col("sums"), F.col("parts"), seed, F.col("key"), F.col("drawn")).alias("count")
+        "row", "identity", drawn_copies(F.col("sums"), F.col("parts"), seed, F.col("identity"), F.col("drawn")).alias("count")
     )
     # In two steps, so that no array is longer than COPIES_AT_ONCE.
     starts = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"), F.lit(COPIES_AT_ONCE))).alias("start")
     last = F.least(F.col("start") + (COPIES_AT_ONCE - 1), F.col("count"))
-    copies = counted.where("count > 0").select("row", "key", "count", starts)
-    copies = copies.select("row", "key", F.explode(F.sequence("start", last)).alias("copy"))
-    place = unit_hash(F.lit(seed), F.col("key"), F.col("copy"), F.lit("place"))
+    copies = counted.where("count > 0").select("row", "identity", "count", starts)
+    copies = copies.select("row", "identity", F.explode(F.sequence("start", last)).alias("copy"))
+    place = unit_hash(F.lit(seed), F.col("identity"), F.col("copy"), F.lit("place"))
     return (
         copies.select("row", "copy", place.alias("place"))
         .repartition(partitions(docs.sparkSession), "place")

@@ -58,7 +58,7 @@ def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return mix(docs, "doc_id", "source").select("row.*", "copy", "place")
+    return mix(docs, "source").select("row.*", "copy", "place")
 
 
 def op9_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,24 +256,34 @@ ORACLE_SQL: dict[str, str] = {
         """,
     "op8_poisson_mixing": """
         WITH RECURSIVE sizes AS (SELECT source, count(*)::DOUBLE AS texts FROM documents GROUP BY source),
-        rates AS (
-            SELECT source, sqrt(texts) / (SELECT sum(sqrt(texts)) FROM sizes) * (SELECT sum(texts) FROM sizes) / texts AS rate
+        wholes AS (
+            SELECT source, sqrt(texts) / (SELECT sum(sqrt(texts)) FROM sizes) * (SELECT sum(texts) FROM sizes) / texts AS whole
             FROM sizes),
+        rates AS (SELECT source, greatest(ceil(whole / 700), 1)::BIGINT AS parts, whole / greatest(ceil(whole / 700), 1) AS rate FROM wholes),
         sums AS (
             SELECT source, rate, 0 AS k, exp(-rate) AS term, exp(-rate) AS most FROM rates
             UNION ALL
             SELECT source, rate, k + 1, term * rate / (k + 1), most + term * rate / (k + 1) FROM sums
             WHERE k < ceil(rate + 9 * sqrt(rate) + 20)),
-        drawn AS (
-            SELECT doc_id, source, text,
-                ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / 281474976710656.0 AS at
+        tables AS (SELECT source, list(most ORDER BY k) AS mosts FROM sums GROUP BY source),
+        digested AS (
+            SELECT *, md5(concat(
+                CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END,
+                CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+                CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END)) AS digest
             FROM documents),
-        copies AS (
-            SELECT doc_id, drawn.source, text, k + 1 AS copy
-            FROM drawn JOIN sums ON drawn.source IS NOT DISTINCT FROM sums.source AND sums.most <= drawn.at)
+        named AS (SELECT *, digest || ':' || row_number() OVER (PARTITION BY digest) AS identity FROM digested),
+        drawn AS (
+            SELECT named.doc_id, named.source, named.text, identity, mosts,
+                list_transform(range(1, parts + 1), lambda p: ('0x' || substr(md5(CASE WHEN p = 1 THEN 'mix-1:' || identity
+                    ELSE 'mix-1:' || identity || ':' || p || ':part' END), 1, 12))::BIGINT / 281474976710656.0) AS ats
+            FROM named JOIN rates ON named.source IS NOT DISTINCT FROM rates.source
+            JOIN tables ON named.source IS NOT DISTINCT FROM tables.source),
+        counted AS (
+            SELECT *, list_sum(list_transform(ats, lambda t: len(list_filter(mosts, lambda m: m <= t))))::BIGINT AS n FROM drawn),
+        copies AS (SELECT doc_id, source, text, identity, unnest(range(1, n + 1)) AS copy FROM counted)
         SELECT doc_id, source, text, copy::BIGINT AS copy,
-            ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy || ':place'), 1, 12))::BIGINT
-                / 281474976710656.0 AS place
+            ('0x' || substr(md5('mix-1:' || identity || ':' || copy || ':place'), 1, 12))::BIGINT / 281474976710656.0 AS place
         FROM copies
         """,
 }

@@ -22,10 +22,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import bucket, likely_smallest
+from meterline.llm.common import bucket, smallest_hashes_by
 
 FOLDS = 5
 SAMPLE_DOCS = 6_000
@@ -203,14 +203,13 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str)
     marked = labels.select(F.col(key).alias("key"), F.col(toxic).cast("int").alias("toxic"))
     marked = marked.where((bucket(F.col("key"), FOLDS) != 0) & F.col("toxic").isin(0, 1))
     totals = {row["toxic"]: row["n"] for row in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy("hash", "key")
-    likely = marked.withColumn("hash", F.xxhash64("key"))
-    likely = likely.where(likely_smallest(F.col("hash"), F.col("toxic"), SAMPLE_DOCS, totals))
-    chosen = likely.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
+    # Labels of one document that agree are one example, however often they are given.
+    chosen = smallest_hashes_by(marked, "toxic", SAMPLE_DOCS, "key").select("key", F.col("group").alias("toxic"))
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # At most twice SAMPLE_DOCS short rows are sent out.
-    found = texts.join(F.broadcast(chosen), "key").select("key", "toxic", "text").collect()
-    rows = sorted((row["key"], row["toxic"], row["text"]) for row in found)
+    # At most twice SAMPLE_DOCS short rows are sent out; of texts that share an id, so many that the sample does not grow.
+    found = texts.join(F.broadcast(chosen), "key").select("key", "toxic", "text")
+    found = smallest_hashes_by(found, "toxic", SAMPLE_DOCS, "key", "text").collect()
+    rows = sorted((row["key"], row["group"], row["text"]) for row in found)
     shuffled = np.random.RandomState(11).permutation(len(rows))
     return Model([rows[i] for i in shuffled], totals)
 

@@ -360,23 +360,46 @@ def test_poisson_thresholds(spark):
 def test_mixing_meets_its_weights_and_order(spark):
     rows = [(i, "big" if i % 10 else ("small" if i % 20 else None), "t") for i in range(20_000)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, copy string")
-    mixed = mixing.mix(docs, "doc_id", "source", {"big": 0.5, "small": 0.25, None: 0.25})
+    mixed = mixing.mix(docs, "source", {"big": 0.5, "small": 0.25, None: 0.25})
     table = mixed.select("row.*", F.col("copy").alias("number"), "place").toPandas()
     share = table.groupby("source", dropna=False).size() / 20_000
     assert abs(share["big"] - 0.5) < 0.03 and abs(share["small"] - 0.25) < 0.03 and abs(share[share.index.isna()].iloc[0] - 0.25) < 0.03
     assert set(table["copy"]) == {"t"}
     assert table.groupby(["doc_id", "number"]).size().max() == 1
-    again = mixing.mix(docs.repartition(5), "doc_id", "source", {"big": 0.5, "small": 0.25, None: 0.25})
+    again = mixing.mix(docs.repartition(5), "source", {"big": 0.5, "small": 0.25, None: 0.25})
     assert sorted(again.select("place").toPandas()["place"]) == sorted(table["place"])
 
 
+def test_rows_of_one_key_draw_by_themselves(spark):
+    """1,000 different rows without key, and 1,000 equal ones: both keep their rate and reach all partitions."""
+    rows = [(None, "a", f"text {i}") for i in range(1_000)] + [(7, "b", "same")] * 1_000 + [(i, "c", "t") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = mixing.mix(docs, "source", {"a": 0.16, "b": 0.16, "c": 0.68})
+    found = mixed.withColumn("part", F.spark_partition_id()).select("row.*", "copy", "part").toPandas()
+    for source in "ab":
+        own = found[found["source"] == source]
+        assert abs(len(own) - 800) < 5 * math.sqrt(800)
+        assert own["part"].nunique() == 8 and own["part"].value_counts().max() < 0.3 * len(own)
+        taken = (own["copy"] == 1).sum()  # of 1,000 Poisson draws with mean 0.8
+        assert abs(taken - 1_000 * (1 - math.exp(-0.8))) < 5 * math.sqrt(250)
+    again = mixing.mix(docs.repartition(3), "source", {"a": 0.16, "b": 0.16, "c": 0.68})
+    assert sorted(row["place"] for row in again.collect()) == sorted(row["place"] for row in mixed.collect())
+
+
+def test_repeated_rows_unfold_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", 7)
+    docs = spark.createDataFrame([(1, "x")] * 100 + [(2, "y")], "doc_id long, source string")
+    found = sorted(row["identity"].split(":")[1] for row in mixing.numbered_rows(docs).where("row.doc_id = 1").collect())
+    assert found == sorted(str(i) for i in range(1, 101))
+
+
 def test_rare_source_beside_millions_of_rows(spark):
     source = F.when(F.col("id") > 2, (F.col("id") % 10).cast("string")).alias("source")
     docs = spark.range(18_000_000).select(F.col("id").alias("doc_id"), source)
     sizes = [3, *[row["count"] for row in docs.where("source IS NOT NULL").groupBy("source").count().collect()]]
     rate = math.sqrt(3) / sum(map(math.sqrt, sizes)) * 18_000_000 / 3
     assert rate > 700
-    mixed = mixing.mix(docs, "doc_id", "source").where("row.source IS NULL")
+    mixed = mixing.mix(docs, "source").where("row.source IS NULL")
     rows = mixed.groupBy("row.doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("copy").alias("numbers"), F.max("copy").alias("most")).collect()
     assert len(rows) == 3
     assert all(row["n"] == row["numbers"] == row["most"] and abs(row["n"] - rate) < 6 * math.sqrt(rate) for row in rows)
@@ -634,12 +657,33 @@ def test_samples_have_the_smallest_hashes(spark):
     hashed = rows.withColumn("h", F.xxhash64("lang", "key", "text"))
     for name in sizes:
         expected = sorted(row["h"] for row in hashed.where(F.col("lang") == name).collect())[:400]
-        found = smallest_hashes_by(rows, "lang", 400, sizes, "key", "text").where(F.col("group") == name).collect()
+        found = smallest_hashes_by(rows, "lang", 400, "key", "text").where(F.col("group") == name).collect()
         assert sorted(row["hash"] for row in found) == expected
     found = sorted(row["hash"] for row in smallest_hashes(rows, 50, "key", "text").collect())
     assert found == sorted(row[0] for row in rows.select(F.xxhash64("key", "text")).collect())[:50]
 
 
+def test_a_language_of_few_texts_repeated_has_a_dictionary(spark):
+    rows = [(i % 6, f"ein kurzer satz in einer sprache mit worten nummer {'abcdef'[i % 6]}", "de") for i in range(60_000)]
+    rows += [(i, f"some other words of a language that has many texts {i} and more of them {i * 7}", "en") for i in range(100, 3_000)]
+    docs = spark.createDataFrame(rows, "key long, text string, lang string")
+    found = language.dictionaries(docs, "key", "text", "lang")
+    assert set(found) == {"de", "en"} and len(found["de"]) > 100
+
+
+def test_one_long_text_does_not_fill_a_dictionary(spark):
+    rows = [(i, f"word{'abcdefghij'[i % 10] * 3} and so on", "en") for i in range(200)] + [(i, "zzz " * 200_000, "en") for i in (1_000, 1_001)]
+    content = language.dictionaries(spark.createDataFrame(rows, "key long, text string, lang string"), "key", "text", "lang")["en"]
+    assert content.count(b"word") > 100 and content.count(b"zzz") < 600
+
+
+def test_labels_given_many_times_are_one_example(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} {'bad' if i % 5 == 0 else 'good'} word") for i in range(300)], "doc_id long, text string")
+    labels = spark.range(200_000).selectExpr("id % 300 AS doc_id", "CAST(id % 5 = 0 AS int) AS toxic")
+    model = toxicity.fitted(docs, labels, "doc_id", "text", "toxic")
+    assert len(model.ids) > 0 and model.score("a bad word")[0] > model.score("a good word")[0]
+
+
 def test_texts_without_letters_have_no_language():
     compressors = language.Compressors({"en": b"the quick brown fox " * 5, "fr": b"le renard brun rapide " * 5})
     for text in (None, "", " 12 + 3 = 15 \n", "___", "½ ² Ⅷ"):

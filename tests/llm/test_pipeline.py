@@ -110,7 +110,9 @@ def test_mixing(outputs):
             most += term
         return k
 
-    expected = {row["doc_id"]: copies(rates[row["source"]], _unit("mix-1", str(row["doc_id"]))) for row in given}
+    fields = lambda row: "".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row.values())
+    identity = lambda row: hashlib.md5(fields(row).encode()).hexdigest() + ":1"
+    expected = {row["doc_id"]: copies(rates[row["source"]], _unit("mix-1", identity(row))) for row in given}
     assert Counter(row["doc_id"] for row in mixed) == Counter({i: n for i, n in expected.items() if n})
     by_id = {row["doc_id"]: row for row in given}
     assert all(row == by_id[row["doc_id"]] for row in mixed)
