@@ -17,8 +17,9 @@ INVOICE_COLUMNS = ("user_id", "billing_period", "subtotal", "fee_amount", "tax_a
 
 
 def billable(rated: DataFrame) -> DataFrame:
-    """Rated records with the payer as ``user_id``."""
-    charged = rated.where(F.col("status") == c.STATUS_RATED).withColumn("user_id", charges.paying_user())
+    """Rated records with the payer as ``user_id``; usage laid out by client has its ``payer`` already."""
+    payer = F.col("payer") if "payer" in rated.columns else charges.paying_user()
+    charged = rated.where(F.col("status") == c.STATUS_RATED).withColumn("user_id", payer).drop("payer")
     return charged.where(F.col("user_id").isNotNull())
 
 
@@ -28,7 +29,7 @@ def unbillable(rated: DataFrame) -> DataFrame:
     return rated.where(F.col("status") == c.STATUS_RATED).withColumn("problem", problem).where(F.col("problem").isNotNull())
 
 
-def _of_period(rated: DataFrame, period: str | None, period_filter: bool) -> DataFrame:
+def usage_of_period(rated: DataFrame, period: str | None, period_filter: bool) -> DataFrame:
     """Usage of the period, on the stored column so that partitions are pruned; or all of it, so labelled.
 
     Without a period, all usage that has one of its own.
@@ -73,7 +74,7 @@ def invoice_charges(
     is shown.  Without a fee table the only fee is the tax of ``tax_rate``.  Summary, documents and fee rows are projections of
     this table, so they agree.
     """
-    totals = _client_totals(_of_period(rated, period, period_filter))
+    totals = _client_totals(usage_of_period(rated, period, period_filter))
     if fees is None:
         tax = F.round(F.col("subtotal") * F.lit(tax_rate), 2).cast(c.AMOUNT_TYPE)
         only = F.struct(F.lit("tax").alias("fee"), F.lit("tax").alias("category"), tax.alias("amount"), F.lit(True).alias("applies"))
@@ -142,10 +143,11 @@ def invoice_lines(
 
     Runs jobs while it is built (:mod:`meterline.plans.running`): bill from stored usage.
     """
-    usage = billable(_of_period(rated, period, period_filter)).withColumn("quantity", charges.quantity())
+    usage = billable(usage_of_period(rated, period, period_filter)).withColumn("quantity", charges.quantity())
     lines = usage.select(
         charges.invoice_id(F.col("billing_period"), F.col("user_id")).alias("invoice_id"),
         "user_id",
+        "billing_period",
         charges.service_label().alias("service_type"),
         "event_ts",
         "record_id",
@@ -156,7 +158,7 @@ def invoice_lines(
     )
     numbered = write_running_totals(
         lines,
-        ["invoice_id"],
+        ["user_id", "billing_period"],
         ["service_type", "event_ts", "record_id"],
         {"line_number": F.lit(1).cast("bigint")},
         hot_rows,
@@ -166,7 +168,7 @@ def invoice_lines(
 
 def billing_by_cycle(rated: DataFrame) -> DataFrame:
     """Exact charges of every client and billing period, before any rounding."""
-    return _client_totals(_of_period(rated, None, True), F.col("cost")).select(
+    return _client_totals(usage_of_period(rated, None, True), F.col("cost")).select(
         "user_id",
         "billing_period",
         F.col("voice").alias("voice_cost"),
@@ -202,22 +204,29 @@ def billable_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HO
     )
 
 
-def rate_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def price_after_quota(owned: DataFrame, quotas: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``base_cost`` becomes ``cost`` of the units beyond the quota: a record costs its billable share.
 
-    Rows keep the columns of rated usage; records without payer or time keep their price, for no quota is theirs.
+    ``owned``: rated records with a payer and a period.
     """
-    has_owner = charges.paying_user().isNotNull() & F.col("billing_period").isNotNull()
-    owned = rated.where(has_owner & (F.col("status") == c.STATUS_RATED))
     names = owned.columns
     # ``billable`` puts the payer into user_id, which later steps look up for themselves.
     left = billable_after_quota(owned.withColumn("_user", F.col("user_id")), quotas, hot_rows)
+    if "payer" in names:
+        left = left.withColumn("payer", F.col("user_id"))
     left = left.withColumn("user_id", F.col("_user"))
     share = F.try_divide(F.col("billable"), F.col("quantity")).cast("decimal(19,18)")
     cost = F.round(F.col("cost") * F.coalesce(share, F.lit(1).cast("decimal(19,18)")), 6).cast(c.COST_TYPE)
-    priced = left.withColumn("base_cost", F.col("cost")).withColumn("cost", cost).select(*names, "base_cost")
+    return left.withColumn("base_cost", F.col("cost")).withColumn("cost", cost).select(*names, "base_cost")
+
+
+def rate_after_quota(rated: DataFrame, quotas: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The same for all rated usage: records without payer or time keep their price, for no quota is theirs."""
+    has_owner = charges.paying_user().isNotNull() & F.col("billing_period").isNotNull()
+    owned = rated.where(has_owner & (F.col("status") == c.STATUS_RATED))
+    priced = price_after_quota(owned, quotas, hot_rows)
     rest = rated.where(~F.coalesce(has_owner & (F.col("status") == c.STATUS_RATED), F.lit(False)))
-    return priced.unionByName(rest.withColumn("base_cost", F.col("cost")).select(*names, "base_cost"))
+    return priced.unionByName(rest.withColumn("base_cost", F.col("cost")).select(*owned.columns, "base_cost"))
 
 
 #: Fees that one invoice may have; each becomes a column expression.

@@ -1,12 +1,15 @@
 """The stages put together for batch jobs."""
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.constants import STATUS_RATED
 from meterline.operators import bill, mediate, modifiers, rate
+from meterline.plans.clients import bucketed, write_by_client
 from meterline.plans.shared_folder import written
 from meterline.schema import CANONICAL
 from meterline.sinks import new_run, record_run, run_path
@@ -82,7 +85,8 @@ def bill_period(
 ) -> str:
     """Bills stored usage and publishes its tables of the period together; returns the run.
 
-    ``billed_usage``: the usage that is billed, written first.  ``invoice_charges``: what each invoice charges, with its fees and
+    ``billed_usage``: the usage that is billed, exchanged once, by payer
+    (:func:`meterline.plans.clients.write_by_client`).  ``invoice_charges``: what each invoice charges, with its fees and
     taxes, worked out from it once; ``billing_summary`` and, with ``rules.fees``, ``invoices`` and ``invoice_fees`` are
     projections of that table, so all totals are equal.  ``invoice_lines`` reads the same usage.  ``unbillable_usage``: rated
     records without payer in the period, or without time, which belong to no period and appear with every one.  Stored
@@ -94,7 +98,7 @@ def bill_period(
         rated = rated.where((F.col("billing_period") == period) | F.col("billing_period").isNull())
     usage = rated_once(rated) if dedup else rated.where(F.col("status") == STATUS_RATED)
     if rules is not None:
-        usage = priced(usage, rules)
+        usage = priced(usage, replace(rules, quotas=None))
 
     def stored(name: str, table: DataFrame) -> DataFrame:
         path_of_run = run_path(path, name, period, run)
@@ -103,12 +107,24 @@ def bill_period(
 
     usage = stored("rated_usage", usage)
     unbillable = bill.unbillable(usage if period_filter else usage.withColumn("billing_period", F.lit(period)))
-    ours = usage.where(F.col("billing_period") == period) if period_filter else usage.withColumn("billing_period", F.lit(period))
-    charged = stored("invoice_charges", bill.invoice_charges(usage, period, fees, period_filter=period_filter))
+    # All usage is exchanged here, on its payer, and nowhere below.  No payer is in two parts.
+    parts = write_by_client(bill.usage_of_period(usage.where(F.col("status") == STATUS_RATED), period, period_filter))
+    if rules is not None and rules.quotas is not None:
+
+        def after_quota(part: DataFrame) -> DataFrame:
+            left = bill.price_after_quota(part.withColumnRenamed("base_cost", "_price"), rules.quotas)
+            return left.drop("base_cost").withColumnRenamed("_price", "base_cost")
+
+        parts = [bucketed(after_quota(parts[0]), "after_quota"), *[written(after_quota(p), "after-quota") for p in parts[1:]]]
+
+    def of_all(table: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [table(part) for part in parts])
+
+    charged = stored("invoice_charges", of_all(lambda part: bill.invoice_charges(part, None, fees)))
     tables = {
-        "billed_usage": bill.billable(ours),
+        "billed_usage": of_all(bill.billable),
         "billing_summary": bill.summary_of(charged, invoice_date, fees is not None),
-        "invoice_lines": bill.invoice_lines(usage, period, period_filter=period_filter),
+        "invoice_lines": of_all(bill.invoice_lines),
         "unbillable_usage": unbillable,
     }
     if fees is not None:

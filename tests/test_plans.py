@@ -98,7 +98,8 @@ def test_few_rules_are_broadcast_whatever_the_estimate(spark, rated, sf_dir):
         # What is exchanged on such a key, if anything, is the rule table.
         few = r"Exchange hashpartitioning\((?:record_type|service|weekend|hour|day|cell_id|scope)#[^)]*\)"
         assert not [m for m in re.findall(few + r".*?(LocalTableScan|FileScan)", plan, re.S) if m == "FileScan"]
-    assert [plan.count("BroadcastHashJoin") for plan in plans] == [2, 1, 1, 1, 0]
+    # Promotions are two tables: the services that have any, and their blocks.
+    assert [plan.count("BroadcastHashJoin") for plan in plans] == [2, 2, 1, 1, 0]
 
 
 def test_a_stored_table_is_read_for_its_period_alone(spark, rated, tmp_path):
@@ -227,3 +228,34 @@ def test_shuffles_are_sized_by_what_is_read(spark, rated):
         assert size_shuffles(wide, input_gb=100_000) == 390_625
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_billing_reads_usage_by_client_without_an_exchange(spark, sf_dir, rated):
+    """Totals, sizes, line numbers and quotas on what is laid out by payer once."""
+    from meterline.plans.clients import bucketed, write_by_client
+
+    usage = bill.usage_of_period(rated, "2024-01", False)
+    (part,) = write_by_client(usage)
+    after = bill.price_after_quota(part, fixtures.quotas(spark))
+    again = bucketed(after.drop("base_cost"), "again")
+    sizes = part.groupBy("payer", "billing_period").count()
+    lines, charged = bill.invoice_lines(part), bill.invoice_charges(part, None, fixtures.fees(spark))
+    for build in (lines, charged, sizes, after, bill.invoice_lines(again)):
+        plan = physical(build)
+        assert not re.search(r"Exchange (hash|range)partitioning\((?!service#)", plan)  # the rules of a service alone
+        assert "Bucketed: true" in plan
+    assert sorted(map(repr, lines.collect())) == sorted(map(repr, bill.invoice_lines(usage).collect()))
+    own = bill.billable_after_quota(usage, fixtures.quotas(spark)).select("record_id", "billable")
+    assert sorted(bill.billable_after_quota(part, fixtures.quotas(spark)).select("record_id", "billable").collect()) == sorted(own.collect())
+
+
+def test_hot_payers_stay_out_of_the_buckets(spark, rated):
+    from meterline.plans.clients import write_by_client
+
+    usage = bill.usage_of_period(rated, "2024-01", False)
+    parts = write_by_client(usage, hot_rows=50)
+    assert len(parts) == 2 and parts[0].columns == parts[1].columns
+    payers = [{row["payer"] for row in part.select("payer").distinct().collect()} for part in parts]
+    assert payers[1] and not payers[0] & payers[1]
+    lines = [bill.invoice_lines(part, hot_rows=50) for part in parts]
+    assert sorted(map(repr, lines[0].unionByName(lines[1]).collect())) == sorted(map(repr, bill.invoice_lines(usage).collect()))
