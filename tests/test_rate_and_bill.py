@@ -176,10 +176,10 @@ def test_a_tariff_with_gaps_is_refused(spark):
 
 
 def test_rules_of_any_size_give_the_same_prices(spark, sf_dir, monkeypatch):
-    """Above the row bound rules are joined by shuffle, with usage of one key spread over salts."""
+    """Above the row bound rules are joined by shuffle, with usage of one key spread over salts, or sorted with the usage."""
     import inspect
 
-    from meterline.plans import rules
+    from meterline.plans import intervals, rules
 
     usage = rate.rate_usage(mediate.usage_clean(fixtures.usage(spark, sf_dir)))
 
@@ -194,13 +194,15 @@ def test_rules_of_any_size_give_the_same_prices(spark, sf_dir, monkeypatch):
     assert all("Exchange hashpartitioning(record_type" not in plan for plan in plans)
     default = inspect.signature(rules.with_rules).parameters["rule_rows"].default
     monkeypatch.setattr(rules.with_rules, "__defaults__", (None, 0))
+    monkeypatch.setattr(intervals.with_valid, "__defaults__", (0,))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large, plans = prices()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert default > 0 and small == large
-    assert all("_salt" in plan for plan in plans)
+    assert ["_salt" in plan for plan in plans] == [True, False, True]
+    assert "last(_rule" in plans[1]
 
 
 def test_tariff_gaps(spark):
