@@ -1,6 +1,12 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-case words and their first four, five and six letters.  Of these, the terms that toxic examples have
+Whole texts are compared by all their words, with document frequencies counted over all documents.  The index has the
+examples of each rarer word, and of the ``FREQUENT`` most frequent ones the largest weight in each block of examples: what
+the rare words give is exact, what the frequent ones can add is bounded by block, and only examples that may be among the
+nearest are compared in full.  An example close to the text, a copy above all, decides by its label, the more the closer it
+is (from ``NEAR`` on; at 1 alone).
+
+Farther away, a few words tell more than the whole text.  For that, terms are lower-case words and their first four, five and six letters.  Of these, the terms that toxic examples have
 clearly more often than others (log-likelihood ratio) span the space in which texts are compared; all other words of a
 text are one further term.  Examples lie in blocks, and a block keeps each term's largest weight in it.  The product of a text with those is an upper bound for the
 whole block, so blocks are read by falling bound until the bound is no better than the k-th best example found: the
@@ -9,11 +15,11 @@ logistic curve fitted to the examples, each judged by the others.  Examples with
 stand in the ranking as often as needed, with the share of toxic ones among them.  A text without any such term has just
 that share.
 
-Fitted to a bounded sample: per label at most ``SAMPLE_DOCS`` training rows, those with the smallest hashes; the two labels
-are weighted back to their numbers among all training rows.  All texts are scored whole.
+Fitted to a bounded sample: per label at most ``SAMPLE_DOCS`` training rows, those with the smallest hashes, and as many of
+them as ``SAMPLE_CHARS`` characters allow; the two labels are weighted back to their numbers among all training rows.  All texts are scored whole.
 
 Rows: NULL text counts as empty; labels that are NULL, or whose document is missing, are not used; a document with several
-labels is an example of each; without any example of both labels the score is the toxic share of all (0 without labels).
+labels is an example of each; of equally near examples the one with the smaller place in the sample comes first; without any example of both labels the score is the toxic share of all (0 without labels).
 """
 
 import re
@@ -22,13 +28,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import bucket, smallest_hashes_by
+from meterline.llm.common import bucket, smallest_hashes_by, written
 
 FOLDS = 5
 SAMPLE_DOCS = 6_000
+SAMPLE_CHARS = 50_000_000
+FREQUENT = 512
+#: Cosine of whole texts from which an example's label counts by itself.
+NEAR = 0.8
 MOST_TERMS = 4_000
 LEAST_RATIO = 20.0
 LEAST_TIMES = 4.0
@@ -106,9 +116,69 @@ class Index:
         return examples, cosines
 
 
+class WholeIndex:
+    """Unit vectors of whole texts over all words of the examples: lists of rare words, block maxima of frequent ones."""
+
+    def __init__(self, texts: list[str], frequencies: dict[str, int], documents: int):
+        counts = [Counter(_word.findall(text.lower())) for text in texts]
+        own = Counter(word for count in counts for word in count)
+        ranked = sorted(own, key=lambda word: (-own[word], word))
+        self.place = {word: i for i, word in enumerate(ranked)}
+        found = np.array([frequencies.get(word, 0) for word in ranked] + [0], np.float64)
+        #: The last one is for words that no example has.
+        self.inverse = np.log((documents + 1) / (np.minimum(found, documents) + 1)) + 1
+        self.size = len(texts)
+        self.blocks = np.arange(self.size) // BLOCK
+        self.frequent = np.zeros((min(FREQUENT, len(ranked)), self.size), np.float32)
+        lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for i, count in enumerate(counts):
+            terms, weights = self.vector(count)
+            often = terms < len(self.frequent)
+            self.frequent[terms[often], i] = weights[often]
+            lists.append((terms[~often], np.full(np.count_nonzero(~often), i), weights[~often]))
+        terms, examples, weights = (np.concatenate(x) for x in zip(*lists, strict=True))
+        order = np.argsort(terms, kind="stable")
+        self.examples, self.weights = examples[order].astype(np.int32), weights[order].astype(np.float32)
+        self.starts = np.searchsorted(terms[order], np.arange(len(ranked) + 1))
+        edges = np.arange(0, self.size, BLOCK)
+        self.most = np.maximum.reduceat(self.frequent, edges, axis=1) if len(self.frequent) else np.zeros((0, len(edges)), np.float32)
+
+    def vector(self, count: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Terms that an example has, ascending, and their weights in the unit vector of all words."""
+        last = len(self.place)
+        terms = np.array([self.place.get(word, last) for word in count], np.int64)
+        weights = (1 + np.log(np.array(list(count.values()), np.float64))) * self.inverse[terms]
+        norm = np.sqrt(weights @ weights)
+        order = np.argsort(terms, kind="stable")
+        order = order[terms[order] < last]
+        return terms[order], (weights[order] / norm if norm else weights[order]).astype(np.float32)
+
+    def nearest(self, text: str, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """(example, cosine) of the k nearest examples that share a word, nearest first; ``without`` is left out."""
+        terms, weights = self.vector(Counter(_word.findall(text.lower())))
+        often = int(np.searchsorted(terms, len(self.frequent)))
+        begin, end = self.starts[terms[often:]], self.starts[terms[often:] + 1]
+        lengths = end - begin
+        at = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        rare = np.bincount(self.examples[at], self.weights[at] * np.repeat(weights[often:], lengths), self.size)
+        bound = rare + (weights[:often] @ self.most[terms[:often]])[self.blocks]
+        if 0 <= without < self.size:
+            rare[without] = bound[without] = -1.0
+        # The k-th best is not below the k-th best sum of rare words.
+        least = np.partition(rare, self.size - k)[self.size - k] if self.size > k else 0.0
+        left = np.flatnonzero((bound >= least - 1e-6) & (bound > 0))
+        cosines = rare[left] + weights[:often] @ self.frequent[terms[:often][:, None], left]
+        order = np.lexsort((left, -cosines))[:k]
+        order = order[cosines[order] > 1e-6]
+        return left[order], np.minimum(cosines[order], 1.0)
+
+
 class Model:
-    def __init__(self, examples: list[tuple], totals: dict[int, int]):
-        """``examples``: (doc_id, toxic, text); ``totals``: training rows by label."""
+    def __init__(self, examples: list[tuple], totals: dict[int, int], frequencies: dict[str, int] | None = None, documents: int = 0):
+        """``examples``: (doc_id, toxic, text); ``totals``: training rows by label; document frequencies of the examples' words."""
+        self.all_ids = [doc for doc, _, _ in examples]
+        self.all_toxic = np.array([toxic for _, toxic, _ in examples], np.float64)
+        self.whole = WholeIndex([text for _, _, text in examples], frequencies or {}, documents) if examples else None
         sampled = Counter(toxic for _, toxic, _ in examples)
         everything = sum(totals.values())
         self.share = totals.get(1, 0) / everything if everything else 0.0
@@ -189,6 +259,18 @@ class Model:
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """Probability of the toxic label, and the nearest examples."""
+        chance, evidence = self._by_terms(text)
+        if self.whole is None:
+            return chance, evidence
+        near, cosines = self.whole.nearest(text, NEIGHBOURS)
+        if not len(near) or cosines[0] < NEAR:
+            return chance, evidence
+        votes = 1 / (1.02 - cosines[cosines >= NEAR])
+        own = float(votes @ self.all_toxic[near[: len(votes)]] / votes.sum())
+        part = (float(cosines[0]) - NEAR) / (1 - NEAR)
+        return float(np.clip(part * own + (1 - part) * chance, 0.0, 1.0)), [self.all_ids[i] for i in near[:EVIDENCE]]
+
+    def _by_terms(self, text: str) -> tuple[float, list[int]]:
         own = counted(text, self.known) if self.index else {}
         if not own:
             return float(self.default), []
@@ -198,8 +280,18 @@ class Model:
         return float(np.clip(chance, 0.0, 1.0)), self.ids[examples[:EVIDENCE]].tolist()
 
 
+def document_frequencies(docs: DataFrame, text: str, words: set[str]) -> tuple[dict[str, int], int]:
+    """In how many of all documents each of the words, those of a bounded sample, occurs; and the number of documents."""
+    spark = docs.sparkSession
+    wanted = F.broadcast(spark.createDataFrame([(word,) for word in sorted(words)], "word string"))
+    parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{M}]+")
+    found = docs.select(F.explode(F.array_distinct(parts)).alias("word")).join(wanted, "word")
+    counts = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return {row["word"]: row["n"] for row in counts.toLocalIterator()}, docs.count()
+
+
 def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str) -> Model:
-    """The model of the training rows; at most twice ``SAMPLE_DOCS`` texts come to the driver."""
+    """The model of the training rows; at most twice ``SAMPLE_DOCS`` texts and ``SAMPLE_CHARS`` characters come to the driver."""
     marked = labels.select(F.col(key).alias("key"), F.col(toxic).cast("int").alias("toxic"))
     marked = marked.where((bucket(F.col("key"), FOLDS) != 0) & F.col("toxic").isin(0, 1))
     totals = {row["toxic"]: row["n"] for row in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -208,10 +300,14 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # At most twice SAMPLE_DOCS short rows are sent out; of texts that share an id, so many that the sample does not grow.
     found = texts.join(F.broadcast(chosen), "key").select("key", "toxic", "text")
-    found = smallest_hashes_by(found, "toxic", SAMPLE_DOCS, "key", "text").collect()
+    found = written(smallest_hashes_by(found, "toxic", SAMPLE_DOCS, "key", "text"), "examples")
+    so_far = Window.partitionBy("group").orderBy("hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = found.select("group", "hash", F.sum(F.length("text")).over(so_far).alias("upto"))
+    found = found.join(F.broadcast(sizes.where(F.col("upto") <= SAMPLE_CHARS // 2)), ["group", "hash"]).collect()
     rows = sorted((row["key"], row["group"], row["text"]) for row in found)
     shuffled = np.random.RandomState(11).permutation(len(rows))
-    return Model([rows[i] for i in shuffled], totals)
+    words = {word for _, _, own in rows for word in _word.findall(own.lower())}
+    return Model([rows[i] for i in shuffled], totals, *document_frequencies(docs, text, words))
 
 
 def score_toxicity(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:

@@ -677,6 +677,55 @@ def test_one_long_text_does_not_fill_a_dictionary(spark):
     assert content.count(b"word") > 100 and content.count(b"zzz") < 600
 
 
+def test_whole_texts_are_compared_with_all_examples():
+    draw = random.Random(17)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(1, 6))) for _ in range(3_000)]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    texts = [" ".join(draw.choices(words, weights, k=draw.randint(0, 60))) for _ in range(700)]
+    texts += [texts[5], texts[5] + " zzz", ""]
+    frequencies = {word: draw.randint(1, 900) for word in words}
+    index = toxicity.WholeIndex(texts, frequencies, 1_000)
+
+    def unit(text):
+        own = {w: (1 + math.log(n)) * (math.log(1_001 / (frequencies.get(w, 0) + 1)) + 1) for w, n in Counter(toxicity._word.findall(text)).items()}
+        norm = math.sqrt(sum(x * x for x in own.values())) or 1
+        return {w: x / norm for w, x in own.items()}
+
+    units = [unit(text) for text in texts]
+    for text in texts[:40] + ["", "unknownword", texts[5] + " unknownword", " ".join(words[:300])]:
+        own = unit(text)
+        cosines = [sum(x * other.get(w, 0) for w, x in own.items()) for other in units]
+        best = sorted(cosines, reverse=True)[:15]
+        found, near = index.nearest(text, 15)
+        assert np.allclose(near, [c for c in best if c > 1e-6], atol=1e-5)
+        assert np.allclose([cosines[i] for i in found], near, atol=1e-5)
+        assert 5 not in index.nearest(texts[5], 15, 5)[0]
+
+
+def test_copies_of_toxic_examples_are_found_by_their_own_words(spark):
+    """Toxic texts of words that no other has, and of ordinary words: each is its own first evidence."""
+    draw = random.Random(21)
+    usual = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(800)]
+    clean = [" ".join(draw.choices(usual, k=80)) for _ in range(1_500)]
+    marked = [" ".join(draw.choices(usual, k=70) + draw.choices(["vile", "hateful", "scum"], k=10)) for _ in range(200)]
+    rare = [" ".join("".join(draw.choices("klmnopqrstuvwxyz", k=7)) for _ in range(60)) for _ in range(40)]
+    ordinary = [" ".join(draw.choices(usual, k=80)) for _ in range(40)]
+    texts = clean + marked + rare + ordinary
+    toxic = [0] * len(clean) + [1] * (len(texts) - len(clean))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.fitted(docs, labels, "doc_id", "text", "toxic")
+    learned = set(model.all_ids)
+    for i in range(len(clean) + len(marked), len(texts)):
+        if i in learned:
+            score, evidence = model.score(texts[i])
+            assert score >= 0.5 and evidence[0] == i
+            score, evidence = model.score(texts[i] + " and more")
+            assert score >= 0.5 and evidence[0] == i
+    wrong = sum(model.score(text)[0] >= 0.5 for text in clean)
+    assert wrong <= 5 and sum(model.score(text)[0] >= 0.5 for text in marked) >= 195
+
+
 def test_labels_given_many_times_are_one_example(spark):
     docs = spark.createDataFrame([(i, f"text number {i} {'bad' if i % 5 == 0 else 'good'} word") for i in range(300)], "doc_id long, text string")
     labels = spark.range(200_000).selectExpr("id % 300 AS doc_id", "CAST(id % 5 = 0 AS int) AS toxic")
