@@ -1,28 +1,43 @@
 """Personal data in texts: four patterns, and what a conditional random field over word shapes adds to them.
 
 The field reads runs of neighbouring words that hold a digit or an at sign; no other word can be part of a finding.  It
-is trained on a small labelled table: the runs of at most ``TRAINING_DOCS`` documents, labelled by the patterns, each
-finding once more in a spelling that the patterns miss (a telephone number without plus, a card number with dots).
+is trained on a small labelled table: some made by rule, of every kind in several spellings and of plain numbers, so that none
+depends on what a corpus happens to hold; and the runs of at most ``TRAINING_DOCS`` documents, as many of each kind in which
+Spark finds that kind, however rare it is, labelled by the patterns.  Each finding comes once more in a spelling that the
+patterns miss (a telephone number without plus, a card number with dots).
 
-Rows: NULL text counts as empty; texts are searched whole, whatever their length; repeated rows are searched each; a
-table without rows, or without anything to learn from, leaves the patterns alone.
+Rows: NULL text counts as empty; texts are searched whole, whatever their length; repeated rows are searched each, and
+count once for the sample; a corpus without any finding has the field of the table made by rule.
 """
 
 import hashlib
+import random
 import re
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.llm import crf
-from meterline.llm.common import smallest_hashes
+from meterline.llm.common import smallest_hashes_by, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with a digit or an at sign that the labelled table is made of, those with the smallest hashes of their keys.
+#: Documents that the labelled table is made of, a fifth for each kind and a fifth for any with a digit or an at sign, those
+#: with the smallest hashes, and their characters at most.
 TRAINING_DOCS = 600
+TRAINING_CHARS = 10_000_000
+#: Examples of the table made by rule, for each spelling.
+MADE = 12
+#: Where a document may hold a kind; the patterns decide.
+CANDIDATES = {
+    "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]",
+    "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]",
+    "card": r"[0-9]([ -]?[0-9]){15}",
+    "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    "any": r"[0-9@]",
+}
 #: Longest run of tokens in the labelled table.
 TRAINING_TOKENS = 60
 N_FEATURES = 1 << 13
@@ -170,6 +185,29 @@ def _other_spelling(kind: str, value: str, salt: int) -> str | None:
     return None
 
 
+def made_examples() -> list[tuple[str, str | None]]:
+    """(value, kind or None) by a fixed rule: every kind in the spellings of patterns and others, and numbers that are none."""
+    draw = random.Random(31)
+    digits = lambda n: "".join(draw.choices("0123456789", k=n))
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 9)))
+
+    def card(mark: str) -> str:
+        body = draw.choice("3456") + digits(14)
+        whole = next(body + last for last in "0123456789" if luhn(body + last))
+        return mark.join(whole[i : i + 4] for i in range(0, 16, 4))
+
+    found: list[tuple[str, str | None]] = []
+    for _ in range(MADE):
+        area, first, last = draw.choice("23456789") + digits(2), digits(3), digits(4)
+        found += [(spelled, "phone") for spelled in (f"+1 ({area}) {first}-{last}", f"+{digits(2)} {area} {first} {last}", f"({area}) {first}-{last}", f"{area}-{first}-{last}", f"{area}.{first}.{last}")]
+        found += [(card(mark), "card") for mark in ("", " ", "-", ".")]
+        found.append((".".join(str(draw.randint(0, 255)) for _ in range(4)), "ip"))
+        found += [(f"{word()}{mark}{word()}@{word()}.{draw.choice(('org', 'com', 'co.uk'))}", "email") for mark in (".", "_", "")]
+        found += [(plain, None) for plain in (str(draw.randint(1, 2100)), f"{draw.randint(1, 99)}.{digits(2)}", f"{draw.randint(1, 9)},{digits(3)}")]
+        found += [(plain, None) for plain in (f"{draw.randint(1, 9)}.{draw.randint(0, 20)}.{draw.randint(0, 9)}", f"20{digits(2)}-{digits(2)}-{digits(2)}", word() + digits(2), digits(6))]
+    return found
+
+
 def labelled_runs(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     sequences, labels = [], []
 
@@ -179,6 +217,8 @@ def labelled_runs(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]
             sequences.append(rows)
             labels.append(_labels(tokens, spans))
 
+    for value, kind in made_examples():
+        add(value, 0, len(value), [(kind, 0, len(value))] if kind else [])
     for text in texts:
         spans = base_spans(text)
         for start, end in runs(text):
@@ -186,18 +226,30 @@ def labelled_runs(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]
             add(text, start, end, own)
             for kind, a, b in own:
                 other = _other_spelling(kind, text[a:b], len(sequences))
-                if other and (a, b) == (start, end):
-                    add(other, 0, len(other), [(kind, 0, len(other))])
+                if other is None or a < start or b > end:
+                    continue
+                longer = len(other) - (b - a)
+                moved = [(k, x - start + longer * (x >= b), y - start + longer * (y >= b)) for k, x, y in own]
+                spelled = text[start:a] + other + text[b:end]
+                add(spelled, 0, len(spelled), moved)
     return sequences, labels
 
 
-def fitted(docs: DataFrame, key: str, text: str) -> crf.Model | None:
-    """The field trained on at most ``TRAINING_DOCS`` documents; None if none of them holds a finding."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    sample = smallest_hashes(rows, TRAINING_DOCS, "key", "text")
-    sequences, labels = labelled_runs([row["text"] for row in sample.orderBy("hash").select("text").collect()])
-    if not any(own.any() for own in labels):
-        return None
+def training_texts(docs: DataFrame, key: str, text: str) -> list[str]:
+    """Whole texts of a bounded sample, in a fixed order."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kinds = F.array_compact(F.array(*[F.when(F.col("text").rlike(pattern), kind) for kind, pattern in CANDIDATES.items()]))
+    rows = rows.where(F.col("text").rlike(CANDIDATES["any"])).withColumn("kind", F.explode(kinds))
+    sample = written(smallest_hashes_by(rows, "kind", TRAINING_DOCS // len(CANDIDATES), "key", "text"), "sample")
+    so_far = Window.partitionBy("group").orderBy("hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bounded = sample.withColumn("upto", F.sum(F.length("text")).over(so_far))
+    bounded = bounded.where(F.col("upto") <= TRAINING_CHARS // len(CANDIDATES))
+    return [row["text"] for row in bounded.select("group", "hash", "text").orderBy("group", "hash").collect()]
+
+
+def fitted(docs: DataFrame, key: str, text: str) -> crf.Model:
+    """The field trained on the table made by rule and on a bounded sample of documents."""
+    sequences, labels = labelled_runs(list(dict.fromkeys(training_texts(docs, key, text))))
     n_labels = 2 * len(KINDS) + 1
     allowed = np.ones((n_labels, n_labels), bool)
     for kind in range(len(KINDS)):

@@ -231,6 +231,24 @@ def test_golay_words_one_bit_apart_share_a_key():
     assert max(map(len, sets[0])) == 6
 
 
+def test_rare_kinds_are_learnt_and_the_field_never_vanishes(spark):
+    """Three documents of 20,000 hold a finding, and a corpus without any."""
+    rows = [(i, f"in {1900 + i % 120} there were {i} of them at {i % 24}:30") for i in range(20_000)]
+    rare = [(20_000, "call +1 (988) 555-2485 now"), (20_001, "card 4111 1111 1111 1111 expired"), (20_002, "write a.b@c.org")]
+    other = "call (988) 555-2485 or use 4111.1111.1111.1111 since 1999"
+    for own in (rows + rare, rows):
+        model = personal_data.fitted(spark.createDataFrame(own, "doc_id long, text string"), "doc_id", "text")
+        (_, spans), (_, none) = personal_data.all_spans([other, rows[77][1]], model)
+        assert [kind for kind, _, _ in spans] == ["card", "phone"] and none == []
+        assert personal_data.redact(other, spans) == "call [PHONE] or use [CARD] since 1999"
+
+
+def test_all_kinds_are_sampled(spark):
+    rows = [(i, f"number {i}") for i in range(5_000)] + [(9_000, "see 10.0.0.1"), (9_001, "card 4111 1111 1111 1111")]
+    texts = personal_data.training_texts(spark.createDataFrame(rows * 3, "doc_id long, text string"), "doc_id", "text")
+    assert {"see 10.0.0.1", "card 4111 1111 1111 1111"} <= set(texts) and len(texts) <= personal_data.TRAINING_DOCS
+
+
 # --- 7 packing
 
 
