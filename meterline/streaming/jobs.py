@@ -117,6 +117,10 @@ def _first_arrivals(usage: DataFrame, key: Column, arrival: str, delay: str) ->
 
     In two steps: first within each of ``SALTS`` parts of a key's rows, then among what is left.  A payload that makes
     up a third of all records is so spread over many tasks, and at most ``SALTS`` of its copies meet in one.
+
+    The rule that this gives: the first arrival comes through, none within ``delay`` after it does, and a payload that keeps arriving
+    comes through again between one and two delays later, as a part remembers for ``delay`` what it has passed on itself.
+    Copies that must go whatever their distance are left to :class:`meterline.operators.history.HistoryDedup` or to billing.
     """
     salt = F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")
     keyed = usage.withColumns({"_key": key, "_salt": salt}).withWatermark(arrival, delay)
