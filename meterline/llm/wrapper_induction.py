@@ -1,7 +1,8 @@
 """Main text of web pages by wrapper induction.
 
 The pages of a host are aligned with each other by simple tree matching: nodes match if their labels (tag and class) are
-equal and their parents match, in page order, as many as possible.  The aligned tree is the host's wrapper.  A node that
+equal and their parents match, in page order: equal contents that stand once on either side first, then the largest sum of
+matched nodes, in which equal contents count double; of equally good alignments that with the earlier pairs.  The aligned tree is the host's wrapper.  A node that
 most pages have with the same content is template; the others are slots.  A page is then aligned with its host's wrapper,
 template nodes are taken out, and the blocks of its article (``markup``) are its text.
 
@@ -14,9 +15,11 @@ repeated rows are extracted each; a table without pages gives none.
 """
 
 import json
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +39,6 @@ LEAST_AGREEMENT = 0.9
 CONTENTS = 4
 #: Nodes on fewer pages than this share are forgotten when trees are merged.
 FORGOTTEN = 0.05
-#: Larger tables of children are not searched for the best alignment; children are matched in order.
-MOST_CELLS = 10_000
 DEEPEST = 60
 
 
@@ -94,7 +95,8 @@ def _weight(left: Tree, right: Tree) -> int:
 
 
 def match(left: list[Tree], right: list[Tree]) -> list[tuple[Tree, Tree]]:
-    """Pairs of children in order with the largest weight."""
+    """Pairs of children in order: equal ones at both ends, those whose content is on either side once, and between them the
+    pairs with the largest weight."""
     labels = [tree.label for tree in left]
     if len(set(labels)) == len(labels) and labels == [tree.label for tree in right]:
         return list(zip(left, right, strict=True))
@@ -103,8 +105,8 @@ def match(left: list[Tree], right: list[Tree]) -> list[tuple[Tree, Tree]]:
     least = min(len(left), len(right))
 
     def equal(a: Tree, b: Tree) -> bool:
-        """Whether pairing the two, first or last in their lists, cannot be beaten."""
-        return a.label == b.label and (not a.children and not b.children or a.content == b.content)
+        """Pairing two such, first or last in their lists, cannot be beaten."""
+        return a.label == b.label and a.content == b.content
 
     while start < least and equal(left[start], right[start]):
         pairs.append((left[start], right[start]))
@@ -114,32 +116,65 @@ def match(left: list[Tree], right: list[Tree]) -> list[tuple[Tree, Tree]]:
         end += 1
     tail = list(zip(left[len(left) - end :], right[len(right) - end :], strict=True))
     left, right = left[start : len(left) - end], right[start : len(right) - end]
-    if left and right:
-        pairs += _aligned(left, right)
+    i = j = 0
+    for a, b in [*_anchors(left, right), (len(left), len(right))]:
+        if i < a and j < b:
+            pairs += _aligned(left[i:a], right[j:b])
+        if a < len(left):
+            pairs.append((left[a], right[b]))
+        i, j = a + 1, b + 1
     return pairs + tail
 
 
+def _once(trees: list[Tree]) -> dict[tuple[str, int], int]:
+    """Places of contents that occur once."""
+    found: dict[tuple[str, int], int] = {}
+    for at, tree in enumerate(trees):
+        key = (tree.label, tree.content)
+        found[key] = -1 if key in found else at
+    return {key: at for key, at in found.items() if at >= 0}
+
+
+def _anchors(left: list[Tree], right: list[Tree]) -> list[tuple[int, int]]:
+    """Places of contents that both sides have once, as many as stand in the same order (the longest rising sequence)."""
+    there = _once(right)
+    shared = [(at, there[key]) for key, at in _once(left).items() if key in there]
+    ends: list[int] = []  # smallest last place on the right of a sequence of each length
+    last: list[int] = []
+    before = []
+    for n, (_, place) in enumerate(shared):
+        k = bisect_left(ends, place)
+        before.append(last[k - 1] if k else -1)
+        ends[k : k + 1], last[k : k + 1] = [place], [n]
+    found, n = [], last[-1] if last else -1
+    while n >= 0:
+        found.append(shared[n])
+        n = before[n]
+    return found[::-1]
+
+
 def _aligned(left: list[Tree], right: list[Tree]) -> list[tuple[Tree, Tree]]:
-    if len(left) * len(right) > MOST_CELLS:
-        pairs, at = [], 0
-        for one in left:
-            to = next((j for j in range(at, min(at + 20, len(right))) if right[j].label == one.label), None)
-            if to is not None:
-                pairs.append((one, right[to]))
-                at = to + 1
-        return pairs
-    weights = [[_weight(a, b) for b in right] for a in left]
-    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    """The pairs in order with the largest weight, by the full table, a row at a time."""
+    kinds: dict[str, int] = {}
+    labels, contents = (
+        [np.array([own(tree) for tree in trees], np.int64) for trees in (left, right)]
+        for own in (lambda tree: kinds.setdefault(tree.label, len(kinds)), lambda tree: tree.content)
+    )
+    same = labels[0][:, None] == labels[1]
+    weights = np.where(same, 1 + (contents[0][:, None] == contents[1]), 0)
+    for i, j in zip(*np.nonzero(same), strict=True):
+        if left[i].children and right[j].children:
+            weights[i, j] = _weight(left[i], right[j])
+    best = np.zeros((len(left) + 1, len(right) + 1), np.int64)
     for i in range(len(left) - 1, -1, -1):
-        for j in range(len(right) - 1, -1, -1):
-            here = weights[i][j] + best[i + 1][j + 1] if weights[i][j] else 0
-            best[i][j] = max(here, best[i + 1][j], best[i][j + 1])
+        here = np.maximum(np.where(weights[i] > 0, weights[i] + best[i + 1, 1:], 0), best[i + 1, :-1])
+        best[i, :-1] = np.maximum.accumulate(here[::-1])[::-1]
     pairs, i, j = [], 0, 0
     while i < len(left) and j < len(right):
-        if weights[i][j] and best[i][j] == weights[i][j] + best[i + 1][j + 1]:
+        if weights[i, j] and best[i, j] == weights[i, j] + best[i + 1, j + 1]:
             pairs.append((left[i], right[j]))
             i, j = i + 1, j + 1
-        elif best[i][j] == best[i + 1][j]:
+        elif best[i, j] == best[i + 1, j]:
             i += 1
         else:
             j += 1
