@@ -502,6 +502,24 @@ def test_articles_of_the_given_pages(spark):
     assert len(rows) == len(sources)
 
 
+@pytest.mark.parametrize("most", [12, 150])
+def test_a_notice_without_class_is_template_wherever_it_stands(spark, most):
+    """64 pages of 3 to ``most`` own paragraphs, one equal notice at the end and one in the middle, none with a class."""
+    draw = random.Random(most)
+    words = lambda: " ".join("".join(draw.choices("abcdefghij", k=5)) for _ in range(9))
+    pages, own = [], {}
+    for i in range(64):
+        paragraphs = [words() for _ in range(draw.randint(3, most))]
+        own[i] = "\n\n".join(paragraphs)
+        middle = len(paragraphs) // 2
+        shown = [*paragraphs[:middle], "Read our terms before you go on.", *paragraphs[middle:], "All rights are reserved by the owners."]
+        body = "".join(f"<p>{p}</p>" for p in shown)
+        pages.append((i, f"http://h.example/{i}", f"<html><body><article>{body}</article></body></html>"))
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {row["page_id"]: row["text"] for row in wrapper_induction.extract_text(table, "page_id", "url", "html").collect()}
+    assert found == own
+
+
 def test_alignment_is_the_best_one():
     draw = random.Random(11)
 
@@ -714,10 +732,12 @@ def test_whole_texts_are_compared_with_all_examples():
         own = unit(text)
         cosines = [sum(x * other.get(w, 0) for w, x in own.items()) for other in units]
         best = sorted(cosines, reverse=True)[:15]
-        found, near = index.nearest(text, 15)
+        found, near = index.nearest(toxicity.words_of(text), 15)
         assert np.allclose(near, [c for c in best if c > 1e-6], atol=1e-5)
         assert np.allclose([cosines[i] for i in found], near, atol=1e-5)
-        assert 5 not in index.nearest(texts[5], 15, 5)[0]
+        assert 5 not in index.nearest(toxicity.words_of(texts[5]), 15, 5)[0]
+        above = index.nearest(toxicity.words_of(text), 15, least=0.3)[1]
+        assert np.allclose(above, [c for c in best if c >= 0.3], atol=1e-5)
 
 
 def test_copies_of_toxic_examples_are_found_by_their_own_words(spark):
