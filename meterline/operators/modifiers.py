@@ -13,6 +13,7 @@ from meterline.plans.asof import as_of
 from meterline.plans.intervals import strongest_segments, with_valid
 from meterline.plans.rules import with_rules
 from meterline.plans.running import HOT_ROWS
+from meterline.plans.shared_folder import written
 
 #: Stands for the end of a promotion without one: the last moment that a time stamp can hold here.
 OPEN_END = "TIMESTAMP_NTZ'9999-12-31 23:59:59.999999'"
@@ -35,7 +36,7 @@ def promotion_segments(promotions: DataFrame) -> DataFrame:
 
 def _with_percent_off(usage: DataFrame, promotions: DataFrame) -> DataFrame:
     """Adds ``percent_off``: that of the promotion valid for the record's service at its time."""
-    segments = promotion_segments(promotions)
+    segments = written(promotion_segments(promotions), "segments")
     segments = segments.withColumn("segment_to", F.when(F.col("segment_to") < F.expr(OPEN_END), F.col("segment_to")))
     return with_valid(usage, segments, "service", F.col("record_type"), "event_ts", "segment_from", "segment_to")
 
@@ -68,6 +69,7 @@ def _with_multiplier(usage: DataFrame, subscriptions: DataFrame, plans: DataFram
     prices = _lowest_price(plans.select("plan", since, "plan_multiplier"), "plan", "valid_from")
     following = Window.partitionBy("plan").orderBy("valid_from")
     spans = prices.withColumn("valid_to", F.lead("valid_from").over(following))
+    spans = written(spans, "plan-prices")
     return with_valid(planned, spans, "plan", F.col("_plan"), "event_ts", "valid_from", "valid_to").drop("_plan")
 
 

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from meterline.functions import records
 from meterline.plans.asof import as_of
+from meterline.plans.rules import with_rules
 
 #: Blocks up to which a rule table is sent to every task; at some 60 bytes each about 25 MB.
 COVER_ROWS = 400_000
+#: Segments up to which each record is tried against all of its key: fewer than a record has levels of blocks.
+FEW_SEGMENTS = 16
 #: Lengths, in microseconds, of which the largest that divides all borders becomes the unit of time.
 UNITS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
 
@@ -90,6 +93,7 @@ def with_valid(
     start: str,
     end: str,
     cover_rows: int = COVER_ROWS,
+    few_segments: int = FEW_SEGMENTS,
 ) -> DataFrame:
     """Usage with the values of the segment of its key in which ``at`` lies, or NULL: one row for each.
 
@@ -97,16 +101,20 @@ def with_valid(
     their names do not occur in the usage.  Times are counted in the largest unit that divides all borders; gaps between
     segments are covered, too, so a record meets exactly one block.  The blocks are counted while the plan is built and sent
     to all tasks, which look each record up once a level.  Beyond ``cover_rows`` blocks usage and segments are sorted
-    together instead (:func:`meterline.plans.asof.as_of`).
+    together instead (:func:`meterline.plans.asof.as_of`).  Segments are read several times: give a stored table.
     """
     values = [name for name in segments.columns if name not in (key, start, end)]
     starts = _without_gaps(segments.where(F.col(key).isNotNull()), key, start, end, values)
     micros = records.micros("_from")
     fits = [F.bool_and(micros % unit == 0).alias(f"unit{i}") for i, unit in enumerate(UNITS)]
-    found = starts.agg(F.min(micros).alias("first"), F.max(micros).alias("last"), *fits).first()
+    found = starts.agg(F.min(micros).alias("first"), F.max(micros).alias("last"), F.count(F.lit(1)).alias("n"), *fits).first()
     if found["first"] is None:
         nothing = {name: F.lit(None).cast(segments.schema[name].dataType) for name in values}
         return usage.withColumns(nothing)
+    if found["n"] <= few_segments:
+        within = (F.col(at) >= F.col("_start")) & (F.col("_end").isNull() | (F.col(at) < F.col("_end")))
+        few = segments.withColumnsRenamed({key: "_of", start: "_start", end: "_end"})
+        return with_rules(usage, few, {"_of": usage_key}, within).drop("_start", "_end")
     unit = next(unit for i, unit in enumerate(UNITS) if found[f"unit{i}"])
     # Number 0 is all time before the first border, and the last one all time from the last border on.
     last = (found["last"] - found["first"]) // unit + 1

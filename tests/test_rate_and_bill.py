@@ -194,7 +194,7 @@ def test_rules_of_any_size_give_the_same_prices(spark, sf_dir, monkeypatch):
     assert all("Exchange hashpartitioning(record_type" not in plan for plan in plans)
     default = inspect.signature(rules.with_rules).parameters["rule_rows"].default
     monkeypatch.setattr(rules.with_rules, "__defaults__", (None, 0))
-    monkeypatch.setattr(intervals.with_valid, "__defaults__", (0,))
+    monkeypatch.setattr(intervals.with_valid, "__defaults__", (0, 0))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large, plans = prices()
