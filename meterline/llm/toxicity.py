@@ -54,9 +54,12 @@ def terms_of(text: str) -> set[str]:
     return found | {word[:n] + "*" for word in found for n in (4, 5, 6) if len(word) > n}
 
 
-def counted(text: str, known: dict[str, int]) -> dict[int, int]:
-    """How often the text has each known term, and under 0 its other words; nothing if it has no known term."""
-    counts: Counter = Counter(_word.findall(text.lower()))
+def words_of(text: str) -> Counter:
+    return Counter(_word.findall(text.lower()))
+
+
+def counted(counts: Counter, known: dict[str, int]) -> dict[int, int]:
+    """How often a text of these words has each known term, and under 0 its other words; nothing if it has no known term."""
     found: dict[int, int] = {}
     others = 0
     for word, n in counts.items():
@@ -120,25 +123,47 @@ class WholeIndex:
     """Unit vectors of whole texts over all words of the examples: lists of rare words, block maxima of frequent ones."""
 
     def __init__(self, texts: list[str], frequencies: dict[str, int], documents: int):
-        counts = [Counter(_word.findall(text.lower())) for text in texts]
-        own = Counter(word for count in counts for word in count)
-        ranked = sorted(own, key=lambda word: (-own[word], word))
-        self.place = {word: i for i, word in enumerate(ranked)}
+        place: dict[str, int] = {}
+        terms, times = [], []
+        for text in texts:
+            count = words_of(text)
+            terms.append(np.array([place.setdefault(word, len(place)) for word in count], np.uint32))
+            times.append(np.array(list(count.values()), np.uint32))
+        lengths = np.array([len(own) for own in terms], np.int64)
+        terms, times = np.concatenate(terms), np.concatenate(times)
+        times = times.astype(np.uint16) if times.max(initial=0) < 1 << 16 else times
+        own, words = np.bincount(terms, minlength=len(place)).tolist(), list(place)
+        order = sorted(range(len(words)), key=lambda i: (-own[i], words[i]))
+        ranked = [words[i] for i in order]
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
         found = np.array([frequencies.get(word, 0) for word in ranked] + [0], np.float64)
         #: The last one is for words that no example has.
-        self.inverse = np.log((documents + 1) / (np.minimum(found, documents) + 1)) + 1
-        self.size = len(texts)
+        inverse = np.log((documents + 1) / (np.minimum(found, documents) + 1)) + 1
+        self.given, self.place = (ranked, inverse, rank[terms], times, lengths), None
+
+    def __getstate__(self):
+        """Words and how often each example has them; weights are worked out again where the index is read."""
+        return self.given
+
+    def __setstate__(self, given) -> None:
+        self.given, self.place = given, None
+
+    def _read(self) -> None:
+        ranked, self.inverse, terms, times, lengths = self.given
+        self.place = {word: i for i, word in enumerate(ranked)}
+        self.size, terms = len(lengths), terms.astype(np.int64)
+        examples = np.repeat(np.arange(self.size), lengths)
+        weights = (1 + np.log(times.astype(np.float64))) * self.inverse[terms]
+        norms = np.sqrt(np.bincount(examples, weights * weights, self.size))
+        weights = (weights / norms[examples]).astype(np.float32)
+        often = terms < FREQUENT
         self.blocks = np.arange(self.size) // BLOCK
         self.frequent = np.zeros((min(FREQUENT, len(ranked)), self.size), np.float32)
-        lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for i, count in enumerate(counts):
-            terms, weights = self.vector(count)
-            often = terms < len(self.frequent)
-            self.frequent[terms[often], i] = weights[often]
-            lists.append((terms[~often], np.full(np.count_nonzero(~often), i), weights[~often]))
-        terms, examples, weights = (np.concatenate(x) for x in zip(*lists, strict=True))
+        self.frequent[terms[often], examples[often]] = weights[often]
+        terms, examples, weights = terms[~often], examples[~often], weights[~often]
         order = np.argsort(terms, kind="stable")
-        self.examples, self.weights = examples[order].astype(np.int32), weights[order].astype(np.float32)
+        self.examples, self.weights = examples[order].astype(np.int32), weights[order]
         self.starts = np.searchsorted(terms[order], np.arange(len(ranked) + 1))
         edges = np.arange(0, self.size, BLOCK)
         self.most = np.maximum.reduceat(self.frequent, edges, axis=1) if len(self.frequent) else np.zeros((0, len(edges)), np.float32)
@@ -153,9 +178,14 @@ class WholeIndex:
         order = order[terms[order] < last]
         return terms[order], (weights[order] / norm if norm else weights[order]).astype(np.float32)
 
-    def nearest(self, text: str, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(example, cosine) of the k nearest examples that share a word, nearest first; ``without`` is left out."""
-        terms, weights = self.vector(Counter(_word.findall(text.lower())))
+    def nearest(self, words: Counter, k: int, without: int = -1, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(example, cosine) of the k nearest examples that share a word, nearest first; ``without`` is left out.
+
+        Those below ``least`` are not wanted, and their blocks, whose bounds tell, need not be read.
+        """
+        if self.place is None:
+            self._read()
+        terms, weights = self.vector(words)
         often = int(np.searchsorted(terms, len(self.frequent)))
         begin, end = self.starts[terms[often:]], self.starts[terms[often:] + 1]
         lengths = end - begin
@@ -165,11 +195,13 @@ class WholeIndex:
         if 0 <= without < self.size:
             rare[without] = bound[without] = -1.0
         # The k-th best is not below the k-th best sum of rare words.
-        least = np.partition(rare, self.size - k)[self.size - k] if self.size > k else 0.0
-        left = np.flatnonzero((bound >= least - 1e-6) & (bound > 0))
+        left = np.flatnonzero(bound >= max(least - 1e-6, 1e-6))
+        if len(left) > k:
+            enough = np.partition(rare, self.size - k)[self.size - k]
+            left = left[bound[left] >= enough - 1e-6]
         cosines = rare[left] + weights[:often] @ self.frequent[terms[:often][:, None], left]
         order = np.lexsort((left, -cosines))[:k]
-        order = order[cosines[order] > 1e-6]
+        order = order[cosines[order] >= max(least - 1e-6, 1e-6)]
         return left[order], np.minimum(cosines[order], 1.0)
 
 
@@ -190,7 +222,7 @@ class Model:
         weight = {label: totals[label] / sampled[label] for label in (0, 1)}
         self._choose_terms(examples, sampled)
         frequency = np.zeros(len(self.known) + 1)
-        counts = [counted(text, self.known) for _, _, text in examples]
+        counts = [counted(words_of(text), self.known) for _, _, text in examples]
         for (_, toxic, _), own in zip(examples, counts, strict=True):
             for term in own:
                 frequency[term] += weight[toxic]
@@ -259,19 +291,20 @@ class Model:
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """Probability of the toxic label, and the nearest examples."""
-        chance, evidence = self._by_terms(text)
+        words = words_of(text)
+        chance, evidence = self._by_terms(words)
         if self.whole is None:
             return chance, evidence
-        near, cosines = self.whole.nearest(text, NEIGHBOURS)
-        if not len(near) or cosines[0] < NEAR:
+        near, cosines = self.whole.nearest(words, NEIGHBOURS, least=NEAR)
+        if not len(near):
             return chance, evidence
-        votes = 1 / (1.02 - cosines[cosines >= NEAR])
-        own = float(votes @ self.all_toxic[near[: len(votes)]] / votes.sum())
-        part = (float(cosines[0]) - NEAR) / (1 - NEAR)
+        votes = 1 / (1.02 - cosines)
+        own = float(votes @ self.all_toxic[near] / votes.sum())
+        part = max(float(cosines[0]) - NEAR, 0.0) / (1 - NEAR)
         return float(np.clip(part * own + (1 - part) * chance, 0.0, 1.0)), [self.all_ids[i] for i in near[:EVIDENCE]]
 
-    def _by_terms(self, text: str) -> tuple[float, list[int]]:
-        own = counted(text, self.known) if self.index else {}
+    def _by_terms(self, words: Counter) -> tuple[float, list[int]]:
+        own = counted(words, self.known) if self.index else {}
         if not own:
             return float(self.default), []
         vector = self.vector(own)
@@ -281,13 +314,23 @@ class Model:
 
 
 def document_frequencies(docs: DataFrame, text: str, words: set[str]) -> tuple[dict[str, int], int]:
-    """In how many of all documents each of the words, those of a bounded sample, occurs; and the number of documents."""
-    spark = docs.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(word,) for word in sorted(words)], "word string"))
-    parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{M}]+")
-    found = docs.select(F.explode(F.array_distinct(parts)).alias("word")).join(wanted, "word")
-    counts = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return {row["word"]: row["n"] for row in counts.toLocalIterator()}, docs.count()
+    """In how many of all documents each of the words, those of a bounded sample, occurs; and the number of documents.
+
+    Each task counts its documents and sends one row for each word.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, documents = Counter(), 0
+        for batch in batches:
+            for own in batch["text"]:
+                found.update(wanted.value.intersection(_word.findall(own.lower())))
+            documents += len(batch)
+        yield pd.DataFrame({"word": [None, *found], "n": [documents, *found.values()]})
+
+    parts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInPandas(count, "word string, n bigint")
+    sums = {row["word"]: row["n"] for row in parts.groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator()}
+    return sums, sums.pop(None, 0)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str) -> Model:
