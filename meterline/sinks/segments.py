@@ -23,6 +23,8 @@ MANIFEST = "_manifest"
 KEPT_VERSIONS = 20
 #: Bytes above which a merged segment is written in several files for each value of its partition column.
 FILE_BYTES = 256_000_000
+#: Rows above which it is, too: a task sorts its rows by that column, and in memory they are ten times as large as in files.
+FILE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -210,6 +212,7 @@ def compact(
     fan_out: int = 8,
     merge: Callable[[DataFrame], DataFrame] | None = None,
     file_bytes: int = FILE_BYTES,
+    file_rows: int = FILE_ROWS,
 ) -> int:
     """Merges segments until no ``fan_out`` of one level are neighbours; returns how many merges were published.
 
@@ -220,12 +223,13 @@ def compact(
     merged = 0
     while own := _due(load(spark, path), fan_out):
         rows = _read(spark, path, own, schema, column)
-        rows = merge(rows) if merge else rows
         size = sum(_Folder(spark, path).size(f"segment={s.name}") for s in own)
-        # Rows of one value go to as many tasks as its share of the bytes could fill files, so values stay in few files.
-        tasks = max(1, -(-size // file_bytes))
-        spread = F.pmod(F.xxhash64(*rows.columns), F.lit(tasks))
-        rows = rows.repartition(tasks, column, spread)
+        tasks = max(1, -(-size // file_bytes), -(-rows.count() // file_rows))
+        rows = merge(rows) if merge else rows
+        # Tasks take ranges of equal size: rows of one value go to neighbouring tasks, so values stay in few files.  Rows that
+        # come from files alone have the same numbers whenever they are read, so that even equal ones can be dealt out.
+        spread = F.xxhash64(*rows.columns) if merge else F.monotonically_increasing_id()
+        rows = rows.repartitionByRange(tasks, column, spread)
         first, last, level = own[0].first, own[-1].last, own[0].level + 1
         name = f"{own[0].run}-{first:012d}-{last:012d}-{uuid.uuid4().hex}"
         segment = _write(rows, path, column, Segment(name, own[0].run, first, last, level, ()))

@@ -66,6 +66,21 @@ def test_merged_segments_are_deleted_only_by_vacuum(spark, rated, tmp_path):
     assert segments.load(spark, path).retired == {}
 
 
+def test_tasks_of_a_merge_have_few_rows_each(spark, tmp_path):
+    """One frequent value, equal rows in it, and some rare values: no file has more than its share."""
+    path = str(tmp_path / "s")
+    months = F.when(F.col("id") % 100 < 96, "2024-01").otherwise(F.concat(F.lit("2024-0"), (F.col("id") % 4 + 2).cast("string")))
+    rows = spark.range(4000).select((F.col("id") % 2 * F.col("id")).alias("record_id"), months.alias("billing_period"))
+    store = sinks.SegmentFolder(path, "r", fan_out=2, compacting=False)
+    for batch in range(2):
+        store(rows.where(F.col("record_id") >= 0), batch)
+    assert sinks.compact(spark, path, rows.schema, fan_out=2, file_rows=500) == 1
+    merged = spark.read.parquet(f"{path}/segment={segments.load(spark, path).segments[0].name}")
+    files = [row["n"] for row in merged.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(files) <= 750 and len(files) <= 16 + 4
+    assert sorted(map(tuple, merged.select("record_id", "billing_period").collect())) == sorted(map(tuple, rows.union(rows).collect()))
+
+
 def test_writers_and_merges_at_once(spark, rated, tmp_path):
     """Two runs write and a third thread merges; each version follows from the one before."""
     path, failures = str(tmp_path / "s"), []
