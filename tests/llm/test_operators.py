@@ -740,6 +740,37 @@ def test_whole_texts_are_compared_with_all_examples():
         assert np.allclose(above, [c for c in best if c >= 0.3], atol=1e-5)
 
 
+def test_texts_far_from_all_examples_are_told_by_their_rarest_words():
+    """Their frequent words are not read, and no text that is near enough is lost."""
+    draw = random.Random(19)
+    words = ["".join(draw.choices("abcdefgh", k=5)) for _ in range(4_000)]
+    weights = [1 / (i + 100) for i in range(len(words))]
+    texts = [" ".join(draw.choices(words, weights, k=draw.randint(20, 60))) for _ in range(600)]
+    index = toxicity.WholeIndex(texts, Counter(word for text in texts for word in set(text.split())), len(texts))
+    queries = [" ".join(draw.choices(words, weights, k=40)) for _ in range(40)]
+    # Parts of examples, from far to near.
+    queries += [" ".join(text.split()[: 2 + i % 60]) for i, text in enumerate(texts[:120])]
+    near = []
+    for text in queries:
+        examples, cosines = index.nearest(toxicity.words_of(text), 15)
+        near.append(examples[cosines >= 0.8].tolist())
+        assert index.nearest(toxicity.words_of(text), 15, least=0.8)[0].tolist() == near[-1]
+    assert 20 < sum(map(bool, near)) < 140
+    index.most = None  # reading the frequent words fails from here on
+    for text, wanted in zip(queries[:40], near[:40], strict=True):
+        assert not wanted and not len(index.nearest(toxicity.words_of(text), 15, least=0.8)[0])
+
+
+def test_words_of_ascii_and_other_texts():
+    every = "".join(map(chr, range(0x3000))) + "\u212a\u0130\U0001d400"
+    for text in ("", every, every[:128], "a" + "b ".join(every[:128]), "K\u212a1x_y", "It's 3x\x1fTwo\n"):
+        assert toxicity.all_words(text) == toxicity._word.findall(text.lower())
+    known = {"bad": 1, "badl*": 2, "worse*": 3}
+    counts = Counter({"bad": 2, "badly": 3, "worsening": 1, "worst": 4, "ba": 1, "good": 2})
+    assert toxicity.counted(counts, known, toxicity.heads_of(known)) == {0: 7, 1: 2, 2: 3, 3: 1}
+    assert toxicity.counted(Counter("good"), known, toxicity.heads_of(known)) == {}
+
+
 def test_copies_of_toxic_examples_are_found_by_their_own_words(spark):
     """Toxic texts of words that no other has, and of ordinary words: each is its own first evidence."""
     draw = random.Random(21)
