@@ -4,17 +4,19 @@ Every byte of a text that lies in a string of ``LEAST`` bytes which also starts
 
 1. Each window of ``LEAST`` bytes is represented by the smallest hash of the ``KMER``-byte strings in it, so equal windows have
    equal hashes.  Neighbouring windows of one hash are a run, some 15 on the average, with the string that they cover.
-2. The hashes, with a digest of the run's string, are counted in buckets.  A hash of one document is done with; one whose
-   strings are all equal needs no further comparison; the others are mixed.  All tasks learn of which kind a hash is from
-   bits, at most ``MOST_BITS`` of each kind; a bit set by another hash costs a comparison and changes nothing.
-3. The runs of a repeated hash meet in one shard, of mixed ones with their strings.  A shard's different strings are sorted by
-   all their suffixes (:mod:`meterline.llm.induced`); suffixes that share ``LEAST`` bytes stand beside each other and get the
-   smallest id of their documents.
+2. The hashes, with a digest of the run's string and of the hashes beside it, are counted in buckets.  A hash of one document is
+   done with; one whose digests are all equal needs no further comparison; the others are mixed.  All tasks learn of which
+   kind a hash is from bits, at most ``MOST_BITS`` of each kind; a bit set by another hash costs a comparison and changes nothing.
+3. Neighbouring runs that are not mixed have the same neighbours wherever they occur, so they go on as one, with the hash of
+   the first.  The runs of a repeated hash meet in one shard, of mixed ones with their strings.  Strings that share with no
+   other one the hash's bytes and those around it that a common window would have are told without sorting.  The others
+   are sorted by all their suffixes (:mod:`meterline.llm.induced`); suffixes that share ``LEAST`` bytes stand beside each other and
+   get the smallest id of their documents.
 4. A hash in more than ``HOT`` documents is no single shard's: of its strings the different ones are kept, with their
    smallest ids, and their windows are grouped by content.
-5. Spans go back to the documents.
+5. Spans are packed by texts, joined where they meet and go back to the documents.
 
-Hashes and runs travel as packed columns, one row for some megabytes of text and a bucket or shard; texts
+Hashes, runs and spans travel as packed columns, one row for some megabytes of text and a bucket or shard; texts
 without spans are left where they are.
 
 Rows: a NULL text is empty; texts shorter than ``LEAST`` lose nothing.  A row without id counts as coming after all ids, and
@@ -49,16 +51,24 @@ HASH_BITS = 48
 MOST_BITS, BITS_A_HASH, FEWEST_BITS = 29, 32, 20
 #: Tuples that a queue of the sorter, and elements that an array, may hold in memory.
 IN_MEMORY = 1 << 26
-#: Windows of occurrences that are compared at once.
+#: Windows of occurrences that are compared at once, bytes of strings that are looked at together, and spans packed together.
 COMPARED = 1 << 21
+SEEN = 1 << 18
+PACKED = 1 << 20
+#: Jobs in which the bits come to the driver.
+PARTS_OF_BITS = 24
 NO_ID = np.iinfo(np.int64).max
 MIXED, CROWDED = 1, 2
 
 COUNTS = "bucket bigint, hashes binary, digests binary, docs binary"
 KINDS = "bucket bigint, hashes binary, kinds binary"
+#: Numbers of a run, and how many bytes of each are sent.
+NUMBERS = {"doc": 8, "text_hash": 8, "start": 8, "windows": 8, "hash": HASH_BITS // 8}
 RUNS = "shard bigint, doc binary, text_hash binary, start binary, windows binary, hash binary, mixed binary, strings binary"
-HOT_RUNS = "doc bigint, text_hash bigint, start bigint, hash bigint, string binary"
-SPANS = "doc bigint, text_hash bigint, start bigint, end bigint"
+HOT_RUNS = "doc bigint, text_hash bigint, start bigint, end bigint, hash bigint, string binary"
+SPAN = ("doc", "text_hash", "start", "end")
+PACKED_SPANS = "part bigint, doc binary, text_hash binary, start binary, end binary"
+SPANS = "doc bigint, text_hash bigint, spans binary"
 
 
 def _sliding(values: np.ndarray, width: int) -> np.ndarray:
@@ -158,9 +168,13 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, np.int64)
 
 
+def _rows_of_bytes(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)
+
+
 def _planes(values: np.ndarray, width: int) -> bytes:
-    """The lowest ``width`` bytes of sorted numbers, all first bytes, then all second ones: the leading ones repeat themselves."""
-    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    """The lowest ``width`` bytes of numbers, all first bytes, then all second ones: the leading ones repeat themselves."""
+    return _rows_of_bytes(values)[:, :width].T.tobytes()
 
 
 def _from_planes(blobs: Iterable[bytes], width: int) -> np.ndarray:
@@ -174,18 +188,30 @@ def _packed(groups: np.ndarray, columns: dict[str, np.ndarray], name: str, plane
     """A row for each group, its values of each column as bytes, those in ``planes`` in so many; ``groups`` ascending."""
     begin = _firsts(groups)
     borders = list(zip(begin.tolist(), [*begin[1:].tolist(), len(groups)], strict=True))
-    packed = {
-        column: [_planes(values[a:b], planes[column]) if column in planes else values[a:b].tobytes() for a, b in borders]
-        for column, values in columns.items()
-    }
+    packed = {}
+    for column, values in columns.items():
+        if column in planes:
+            rows = _rows_of_bytes(values)[:, : planes[column]]
+            packed[column] = [rows[a:b].T.tobytes() for a, b in borders]
+        else:
+            packed[column] = [values[a:b].tobytes() for a, b in borders]
     return pd.DataFrame({name: groups[begin].astype(np.int64), **packed})
 
 
+def _with_neighbours(digests: np.ndarray, hashes: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Digests of runs in their order, each put together with the hashes of the runs before and after it in its text."""
+    found, same = digests * np.uint64(0x9FB21C651E98DF25), texts[1:] == texts[:-1]
+    found[1:] += np.where(same, hashes[:-1], 0) * np.uint64(0xC2B2AE3D27D4EB4F)
+    found[:-1] += np.where(same, hashes[1:], 0) * np.uint64(0x165667B19E3779F9)
+    found ^= found >> np.uint64(31)
+    return found * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def _hash_counter(least: int, bits: int) -> Callable:
     """Each hash and digest with the number of documents, for some megabytes of texts at a time."""
 
     def counted(hashes: np.ndarray, digests: np.ndarray, texts: np.ndarray) -> pd.DataFrame:
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         hashes, digests, texts = hashes[order], digests[order], texts[order]
         same = hashes[1:] == hashes[:-1]
         shared = np.flatnonzero(np.append(same, False) | np.append(False, same))
@@ -206,20 +232,21 @@ def _hash_counter(least: int, bits: int) -> Callable:
             whole, held = np.frombuffer(b"".join(texts), np.uint8), []
             for begin, text, first, last, hashes in window_runs(texts, least):
                 own = digest(whole[begin : begin + PIECE + least - 1], first - begin, last + least - begin)
-                held.append((hashes >> np.uint64(64 - HASH_BITS), own, text))
+                held.append((hashes, own, text))
             if sum(len(own[0]) for own in held):
-                yield counted(*[np.concatenate(x) for x in zip(*held, strict=True)])
+                hashes, own, text = (np.concatenate(x) for x in zip(*held, strict=True))
+                yield counted(hashes >> np.uint64(64 - HASH_BITS), _with_neighbours(own, hashes, text), text)
 
     return run
 
 
 def _judge(hot: int) -> Callable:
-    """Of a bucket's hashes those in several documents, or with several strings, and of which kind they are."""
+    """Of a bucket's hashes those in several documents, or with several digests, and of which kind they are."""
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
         hashes = _from_planes(own["hashes"], HASH_BITS // 8)
         digests, docs = (np.frombuffer(b"".join(own[c]), kind) for c, kind in (("digests", "<u8"), ("docs", "<u2")))
-        order = np.lexsort((digests, hashes))
+        order = np.argsort(hashes)
         hashes, digests, docs = hashes[order], digests[order], docs[order]
         first = _firsts(hashes)
         total = np.add.reduceat(docs.astype(np.int64), first)
@@ -233,7 +260,7 @@ def _judge(hot: int) -> Callable:
 
 
 def _bits(kinds: DataFrame, bits: int, hashes: int) -> tuple[int, bytes, bytes, bytes]:
-    """How many leading bits of a hash are looked up, and for each value whether a repeated, mixed or crowded hash has it.
+    """How many leading bits of a hash are looked up, for each value whether a repeated or mixed hash has it, the crowded hashes.
 
     ``bits``: those that name a bucket.
     """
@@ -246,63 +273,81 @@ def _bits(kinds: DataFrame, bits: int, hashes: int) -> tuple[int, bytes, bytes,
         for batch in batches:
             rows = []
             for bucket, blob, kind in zip(batch["bucket"], batch["hashes"], batch["kinds"], strict=True):
-                place = (_from_planes([blob], HASH_BITS // 8) >> np.uint64(HASH_BITS - width)) & np.uint64(size - 1)
-                kind = np.frombuffer(kind, np.uint8)
+                hashes, kind = _from_planes([blob], HASH_BITS // 8), np.frombuffer(kind, np.uint8)
+                place = (hashes >> np.uint64(HASH_BITS - width)) & np.uint64(size - 1)
                 own = [bucket]
-                for chosen in (place, place[kind & MIXED > 0], place[kind & CROWDED > 0]):
+                for chosen in (place, place[kind & MIXED > 0]):
                     flags = np.zeros(size, bool)
                     flags[chosen] = True
                     own.append(np.packbits(flags, bitorder="little").tobytes())
-                rows.append(own)
+                rows.append([*own, hashes[kind & CROWDED > 0].tobytes()])
             yield pd.DataFrame(rows, columns=["bucket", "repeated", "mixed", "crowded"])
 
-    found = [bytearray(1 << (width - 3)) for _ in range(3)]
+    found, crowded = [bytearray(1 << (width - 3)) for _ in range(2)], []
     schema = "bucket bigint, repeated binary, mixed binary, crowded binary"
-    for row in kinds.mapInPandas(fill, schema).toLocalIterator():
+    for row in kinds.coalesce(PARTS_OF_BITS).mapInPandas(fill, schema).toLocalIterator():
         at = row["bucket"] * (size >> 3)
-        for whole, own in zip(found, row[1:], strict=True):
+        for whole, own in zip(found, row[1:3], strict=True):
             whole[at : at + len(own)] = own
-    return width, *map(bytes, found)
+        crowded.append(row["crowded"])
+    return width, *map(bytes, found), np.sort(np.frombuffer(b"".join(crowded), "<u8")).tobytes()
 
 
 class _Kinds:
-    """The bits of all hashes, in a task."""
+    """The kinds of all hashes, in a task."""
 
     def __init__(self, bits):
-        self.width, *kinds = bits.value
-        self.repeated, self.mixed, self.crowded = (np.frombuffer(own, np.uint8) for own in kinds)
+        self.width, *kinds, crowded = bits.value
+        self.repeated, self.mixed = (np.frombuffer(own, np.uint8) for own in kinds)
+        self.crowded = np.append(np.frombuffer(crowded, "<u8"), np.uint64(1 << 63))
 
     def is_set(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         place = hashes >> np.uint64(64 - self.width)
         return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
+    def is_crowded(self, hashes: np.ndarray) -> np.ndarray:
+        counted = hashes >> np.uint64(64 - HASH_BITS)
+        return self.crowded[np.searchsorted(self.crowded, counted)] == counted
+
+    def runs(self, texts: list[bytes], least: int, crowded: bool) -> tuple[np.ndarray, ...]:
+        """Runs of repeated hashes, crowded ones or the others: text, first and last window, hash, whether it is mixed.
+
+        Neighbours that are not mixed are one, as each of their hashes has the other beside it wherever it occurs.
+        """
+        held = [[np.empty(0, np.int64)] * 3 + [np.empty(0, np.uint64)]]
+        for _, *own, hashes in window_runs(texts, least):
+            chosen = np.flatnonzero(self.is_set(self.repeated, hashes))
+            chosen = chosen[self.is_crowded(hashes[chosen]) == crowded]
+            held.append([x[chosen] for x in (*own, hashes)])
+        text, first, last, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+        mixed = self.is_set(self.mixed, hashes)
+        follows = ~mixed[1:] & ~mixed[:-1] & (text[1:] == text[:-1]) & (first[1:] == last[:-1] + 1)
+        begins, ends = (np.append(True, ~follows), np.append(~follows, True)) if len(text) else (mixed, mixed)
+        return text[begins], first[begins], last[ends], hashes[begins], mixed[begins]
+
 
 def _run_maker(bits, least: int, shards: int) -> Callable:
     """Runs of repeated hashes that are not crowded, packed by shard; strings of the mixed ones."""
 
-    names = ("doc", "text_hash", "start", "windows", "hash", "mixed")
-
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kinds = _Kinds(bits)
         for batch in _together(batches):
-            texts, held = batch["data"].tolist(), []
-            for _, *own, hashes in window_runs(texts, least):
-                chosen = np.flatnonzero(kinds.is_set(kinds.repeated, hashes) & ~kinds.is_set(kinds.crowded, hashes))
-                held.append([x[chosen] for x in (*own, hashes)])
-            if not sum(len(own[0]) for own in held):
+            texts = batch["data"].tolist()
+            text, first, last, hashes, mixed = kinds.runs(texts, least, False)
+            if not len(text):
                 continue
-            text, first, last, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(hashes)  # shards are ranges of hashes
+            text, first, last, hashes, mixed = (x[order] for x in (text, first, last, hashes, mixed))
             shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-            order = np.argsort(hashes, kind="stable")  # shards are ranges of hashes
-            text, first, last, hashes, shard = (x[order] for x in (text, first, last, hashes, shard))
-            mixed = kinds.is_set(kinds.mixed, hashes)
             doc, text_hash = (batch[name].to_numpy()[text] for name in ("doc", "text_hash"))
             begin = np.append(0, np.cumsum([len(data) for data in texts])[:-1])[text]
-            columns = (doc, text_hash, first - begin, (last - first + 1).astype(np.int32), hashes, mixed)
-            frame = _packed(shard, dict(zip(names, columns, strict=True)), "shard", {"hash": 8})
+            counted = hashes >> np.uint64(64 - HASH_BITS)
+            columns = (doc, text_hash, first - begin, last - first + 1, counted, mixed)
+            frame = _packed(shard, dict(zip((*NUMBERS, "mixed"), columns, strict=True)), "shard", NUMBERS)
             whole = b"".join(texts)
-            strings = [whole[a : b + least] if m else b"" for m, a, b in zip(mixed.tolist(), first.tolist(), last.tolist(), strict=True)]
-            borders = np.append(_firsts(shard), len(shard)).tolist()
+            own = np.flatnonzero(mixed)
+            strings = [whole[a:b] for a, b in zip(first[own].tolist(), (last[own] + least).tolist(), strict=True)]
+            borders = np.searchsorted(own, np.append(_firsts(shard), len(shard))).tolist()
             frame["strings"] = [b"".join(strings[a:b]) for a, b in zip(borders[:-1], borders[1:], strict=True)]
             yield frame
 
@@ -310,23 +355,21 @@ def _run_maker(bits, least: int, shards: int) -> Callable:
 
 
 def _crowded_runs(bits, least: int) -> Callable:
-    """Runs of crowded hashes, each a row with its string."""
+    """Runs of crowded hashes, each a row, the mixed ones with their strings."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kinds = _Kinds(bits)
         for batch in _together(batches):
-            texts, held = batch["data"].tolist(), []
-            for _, *own, hashes in window_runs(texts, least):
-                chosen = np.flatnonzero(kinds.is_set(kinds.crowded, hashes))
-                held.append([x[chosen] for x in (*own, hashes)])
-            if not sum(len(own[0]) for own in held):
+            texts = batch["data"].tolist()
+            text, first, last, hashes, mixed = kinds.runs(texts, least, True)
+            if not len(text):
                 continue
-            text, first, last, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
             begin, whole = np.append(0, np.cumsum([len(data) for data in texts])[:-1])[text], b"".join(texts)
-            strings = [whole[a : b + least] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            rows = zip(mixed.tolist(), first.tolist(), (last + least).tolist(), strict=True)
+            strings = [whole[a:b] if m else None for m, a, b in rows]
             doc, text_hash = (batch[name].to_numpy()[text] for name in ("doc", "text_hash"))
-            columns = {"doc": doc, "text_hash": text_hash, "start": first - begin, "hash": hashes.view(np.int64), "string": strings}
-            yield pd.DataFrame(columns)
+            place = {"start": first - begin, "end": last + least - begin}
+            yield pd.DataFrame({"doc": doc, "text_hash": text_hash, **place, "hash": hashes.view(np.int64), "string": strings})
 
     return run
 
@@ -337,59 +380,101 @@ class _Shard:
     def __init__(self, least: int, limit: int):
         self.least, self.limit, self.folder = least, limit, _spill_folder()
         self.file = SpooledTemporaryFile(max_size=limit, dir=self.folder)
-        self.size = 0
-        #: Of each different string: where its text begins, its windows, its smallest id.
+        self.rows: list = []
+        self.held = 0
+        #: Of each different string: its hash, its windows, its smallest id.
         self.known: dict[tuple[int, bytes], int] = {}
-        self.begins: list[int] = []
+        self.hashes: list[int] = []
         self.windows: list[int] = []
         self.firsts: list[int] = []
         self.mixed: list[tuple] = []
         self.equal: list[tuple] = []
 
     def add(self, row) -> None:
-        kinds = {"doc": "<i8", "text_hash": "<i8", "start": "<i8", "windows": "<i4", "mixed": bool}
-        own = {name: np.frombuffer(getattr(row, name), kind) for name, kind in kinds.items()}
-        own["hash"] = _from_planes([row.hash], 8)
-        mixed = own.pop("mixed")
-        numbers = ("doc", "text_hash", "start", "windows", "hash")
-        self.equal.append(tuple(own[name][~mixed] for name in numbers))
-        doc, text_hash, start, windows, hashes = (own[name][mixed] for name in numbers)
+        self.rows.append(row)
+        self.held += len(row.doc) + len(row.strings)
+        if self.held > TOGETHER:
+            self._take()
+
+    def _take(self) -> None:
+        own = {name: _from_planes([getattr(row, name) for row in self.rows], width) for name, width in NUMBERS.items()}
+        mixed = np.frombuffer(b"".join(row.mixed for row in self.rows), bool)
+        strings = b"".join(row.strings for row in self.rows)
+        self.rows, self.held = [], 0
+        columns = [own["hash"], *[own[name].view(np.int64) for name in ("doc", "text_hash", "start", "windows")]]
+        self.equal.append(tuple(column[~mixed] for column in columns))
+        hashes, doc, text_hash, start, windows = (column[mixed] for column in columns)
         which = np.empty(len(doc), np.int64)
         ends = np.cumsum(windows + self.least - 1).tolist()
         rows = zip(hashes.tolist(), doc.tolist(), windows.tolist(), [0, *ends], ends, strict=False)
         for i, (own_hash, own_doc, n, begin, end) in enumerate(rows):
-            string = row.strings[begin:end]
-            at = self.known.setdefault((own_hash, string), len(self.begins))
-            if at == len(self.begins):
-                self.begins.append(self.size)
+            string = strings[begin:end]
+            at = self.known.setdefault((own_hash, string), len(self.windows))
+            if at == len(self.windows):
+                self.hashes.append(own_hash)
                 self.windows.append(n)
                 self.firsts.append(own_doc)
                 self.file.write(string)
-                self.size += len(string) + 1
             elif own_doc < self.firsts[at]:
                 self.firsts[at] = own_doc
             which[i] = at
         self.mixed.append((which, doc, text_hash, start))
 
-    def _text(self, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """All written strings, characters from 1 up, each ended by 0."""
-        text = array(self.size, "u2", self.limit, self.folder)
+    def _strings(self, lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """All written strings in pieces: the number of the first, their bytes, their lengths."""
         self.file.seek(0)
+        pieces = np.append(_firsts(np.cumsum(lengths) // SEEN), len(lengths)).tolist()
+        for a, b in zip(pieces[:-1], pieces[1:], strict=True):
+            yield a, np.frombuffer(self.file.read(int(lengths[a:b].sum())), np.uint8), lengths[a:b]
+
+    def _alike(self, lengths: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Which strings may have a window in common with another one.
+
+        Each has the ``KMER`` bytes of its hash, the smallest of all in it, and a window in common has them at one place.  Of the
+        bytes beside them in a window two thirds are on the left, in the middle or on the right at least.  Strings
+        with several smallest ones, and those of their hashes, count as alike.
+        """
+        beside = self.least - KMER
+        step = beside // 3
+        lefts, size = sorted({*range(0, beside - step, step or 1), beside - step}), self.least - step
+        keys, owners, several = [], [], []
+        for number, data, own in self._strings(lengths):
+            ends = np.cumsum(own)
+            starts = ends - own
+            kmers = _kmer_hashes(data, KMER)
+            kmers[(ends[:-1, None] - np.arange(1, KMER)).ravel()] = np.iinfo(np.uint64).max
+            least = np.minimum.reduceat(kmers, starts)
+            at = np.flatnonzero(kmers == np.repeat(least, own)[: len(kmers)])
+            first = _firsts(np.searchsorted(ends, at, "right"))
+            several.append(number + np.flatnonzero(np.diff(np.append(first, len(at))) > 1))
+            wide, anchor = _kmer_hashes(data, size), at[first]
+            for left in lefts:
+                place = anchor - left
+                fits = np.flatnonzero((place >= starts) & (place + size <= ends))
+                keys.append(wide[place[fits]] + np.uint64(left))
+                owners.append(number + fits)
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(keys)
+        same = keys[order[1:]] == keys[order[:-1]]
+        found = np.isin(hashes, hashes[np.concatenate(several)])
+        found[owners[order[np.append(same, False) | np.append(False, same)]]] = True
+        return found
+
+    def _text(self, lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """The chosen strings, characters from 1 up, each ended by 0."""
+        text = array(int((lengths[chosen] + 1).sum()), "u2", self.limit, self.folder)
         at = 0
-        for i in range(0, len(begins), CHUNK):
-            own = lengths[i : i + CHUNK]
-            data = np.frombuffer(self.file.read(int(own.sum())), np.uint8).astype(np.uint16) + 1
-            data = np.insert(data, np.cumsum(own), 0)
+        for number, data, own in self._strings(lengths):
+            picked = chosen[number : number + len(own)]
+            data = data[np.repeat(picked, own)].astype(np.uint16) + 1
+            data = np.insert(data, np.cumsum(own[picked]), 0)
             text[at : at + len(data)] = data
             at += len(data)
         return text
 
-    def _least_ids(self, begins: np.ndarray, windows: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    def _least_ids(self, text: np.ndarray, begins: np.ndarray, windows: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """By place in the text, the smallest id of the documents with the window that begins there."""
-        found = array(self.size, "i8", self.limit, self.folder)
-        if not self.size:
-            return found
-        text = self._text(begins, windows + self.least - 1)
+        found = array(len(text), "i8", self.limit, self.folder)
         group, open_places, open_least = 0, [], NO_ID
         for pos, lcp, _ in suffixes(text, 257, self.limit, self.folder):
             groups = group + np.cumsum(lcp < self.least)
@@ -417,28 +502,38 @@ class _Shard:
             group = int(groups[-1])
         return found
 
-    def spans(self) -> Iterator[pd.DataFrame]:
-        """Where each occurrence repeats an earlier document."""
-        doc, text_hash, start, windows, hashes = (np.concatenate(x) for x in zip(*self.equal, strict=True))
+    def spans(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """Where each occurrence repeats an earlier document: doc, hash of the text, start, end."""
+        self._take()
+        hashes, doc, text_hash, start, windows = (np.concatenate(x) for x in zip(*self.equal, strict=True))
         if len(doc):  # all strings of a hash are one
-            order = np.argsort(hashes, kind="stable")
+            order = np.argsort(hashes)
             begin = _firsts(hashes[order])
             first = np.empty(len(doc), np.int64)
             first[order] = np.repeat(np.minimum.reduceat(doc[order], begin), np.diff(np.append(begin, len(doc))))
             own = np.flatnonzero(first < doc)
-            ends = start[own] + windows[own] + self.least - 1
-            yield pd.DataFrame({"doc": doc[own], "text_hash": text_hash[own], "start": start[own], "end": ends})
-        if not self.begins:
+            yield doc[own], text_hash[own], start[own], start[own] + windows[own] + self.least - 1
+        if not self.windows:
             return
-        begins, windows, firsts = (np.array(x, np.int64) for x in (self.begins, self.windows, self.firsts))
+        windows, firsts = np.array(self.windows, np.int64), np.array(self.firsts, np.int64)
         self.known.clear()
-        least = self._least_ids(begins, windows, firsts)
+        lengths = windows + self.least - 1
+        alike = self._alike(lengths, np.array(self.hashes, np.uint64))
+        sizes = np.where(alike, lengths + 1, 0)
+        begins = np.cumsum(sizes) - sizes
+        least = np.empty(0, np.int64)
+        if alike.any():
+            least = self._least_ids(self._text(lengths, alike), begins[alike], windows[alike], firsts[alike])
         for which, *columns in self.mixed:
-            pieces = np.cumsum(windows[which]) // COMPARED
-            for own in np.split(np.arange(len(which)), np.flatnonzero(np.diff(pieces)) + 1):
+            own = np.flatnonzero(~alike[which] & (firsts[which] < columns[0]))
+            doc, text_hash, start = (column[own] for column in columns)
+            yield doc, text_hash, start, start + lengths[which[own]]
+            compared = np.flatnonzero(alike[which])
+            pieces = np.cumsum(windows[which[compared]]) // COMPARED
+            for own in np.split(compared, np.flatnonzero(np.diff(pieces)) + 1):
                 yield self._repeated(least, which[own], begins, windows, *[column[own] for column in columns])
 
-    def _repeated(self, least, which, begins, windows, doc, text_hash, start) -> pd.DataFrame:
+    def _repeated(self, least, which, begins, windows, doc, text_hash, start) -> tuple[np.ndarray, ...]:
         sizes = windows[which]
         row = np.repeat(np.arange(len(which)), sizes)
         window = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -447,20 +542,46 @@ class _Shard:
         goes_on = np.append(hit[1:] & (row[1:] == row[:-1]), False) if len(row) else hit
         first, last = np.flatnonzero(hit & ~follows), np.flatnonzero(hit & ~goes_on)
         own = row[first]
-        return pd.DataFrame(
-            {
-                "doc": doc[own],
-                "text_hash": text_hash[own],
-                "start": start[own] + window[first],
-                "end": start[own] + window[last] + self.least,
-            }
-        )
-
-
-def _sorter(least: int, limit: int) -> Callable:
+        return doc[own], text_hash[own], start[own] + window[first], start[own] + window[last] + self.least
+
+
+def _merged(doc: np.ndarray, text_hash: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The spans in the order of their texts, those that overlap or touch as one; ``text_hash`` has no sign."""
+    order = np.lexsort((start, doc, text_hash))
+    doc, text_hash, start, end = (x[order] for x in (doc, text_hash, start, end))
+    new = np.append(True, (text_hash[1:] != text_hash[:-1]) | (doc[1:] != doc[:-1]))[: len(doc)]
+    shift = np.cumsum(new) * (int(end.max(initial=0)) + 1)
+    reached = np.maximum.accumulate(end + shift)
+    first = np.flatnonzero(new | np.append(True, start[1:] + shift[1:] > reached[:-1])[: len(doc)])
+    last = np.append(first[1:], len(doc))[: len(first)] - 1
+    return doc[first], text_hash[first], start[first], (reached - shift)[last]
+
+
+def _pack_spans(spans: Iterable[tuple[np.ndarray, ...]], parts: int) -> Iterator[pd.DataFrame]:
+    """Spans (doc, hash of the text, start, end) packed by the part that their text belongs to."""
+    held, size = [], 0
+
+    def packed() -> pd.DataFrame:
+        doc, text_hash, start, end = (np.concatenate(x) for x in zip(*held, strict=True))
+        doc, text_hash, start, end = _merged(doc, text_hash.view(np.uint64), start, end)
+        part = ((text_hash >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        return _packed(part, {"doc": doc, "text_hash": text_hash, "start": start, "end": end}, "part", dict.fromkeys(SPAN, 8))
+
+    for own in spans:
+        if len(own[0]):
+            held.append(own)
+            size += len(own[0])
+        if size > PACKED:
+            yield packed()
+            held, size = [], 0
+    if held:
+        yield packed()
+
+
+def _sorter(least: int, limit: int, parts: int) -> Callable:
     """``batches`` come sorted by shard, so that one shard at a time is held."""
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spans(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[np.ndarray, ...]]:
         rows = (row for batch in batches for row in batch.itertuples(index=False))
         for _, own in groupby(rows, key=lambda row: row.shard):
             shard = _Shard(least, limit)
@@ -468,26 +589,50 @@ def _sorter(least: int, limit: int) -> Callable:
                 shard.add(row)
             yield from shard.spans()
 
+    return lambda batches: _pack_spans(spans(batches), parts)
+
+
+def _span_packer(parts: int) -> Callable:
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _pack_spans((tuple(batch[name].to_numpy() for name in SPAN) for batch in batches), parts)
+
     return run
 
 
+def _span_merger(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each text its spans as numbers, start and end in turn; ``batches`` come sorted by part."""
+    rows = (row for batch in batches for row in batch.itertuples(index=False))
+    for _, group in groupby(rows, key=lambda row: row.part):
+        own = list(group)
+        numbers = [_from_planes([getattr(row, name) for row in own], 8) for name in SPAN]
+        doc, text_hash, start, end = _merged(*[x if name == "text_hash" else x.view(np.int64) for name, x in zip(SPAN, numbers, strict=True)])
+        first = np.flatnonzero(np.append(True, (text_hash[1:] != text_hash[:-1]) | (doc[1:] != doc[:-1])))
+        spans = np.stack((start, end), 1).astype("<i8")
+        blobs = [spans[a:b].tobytes() for a, b in zip(first.tolist(), [*first[1:].tolist(), len(spans)], strict=True)]
+        yield pd.DataFrame({"doc": doc[first], "text_hash": text_hash[first].view(np.int64), "spans": blobs})
+
+
 def _hot_spans(runs: DataFrame, least: int) -> DataFrame:
-    """The same for strings of hot hashes: equal strings are put together first, then their windows are grouped."""
+    """(doc, text_hash, start, end) for runs of hot hashes: of mixed ones equal strings are put together first, then their windows are grouped."""
+    equal, runs = runs.where("string IS NULL"), runs.where("string IS NOT NULL")
+    earliest = small(written(equal.groupBy("hash").agg(F.min("doc").alias("least")), "hot-hashes"))
+    whole = equal.join(earliest, "hash").where("least < doc").select(*SPAN)
     strings = written(runs.groupBy("hash", "string").agg(F.min("doc").alias("first")), "hot-strings")
     place = F.explode(F.sequence(F.lit(1), F.octet_length("string") - least + 1))
     windows = strings.withColumn("at", place).withColumn("window", F.substring("string", F.col("at"), F.lit(least)))
     firsts = written(windows.groupBy("window").agg(F.min("first").alias("least")), "hot-windows")
     ids = F.sort_array(F.collect_list(F.struct("at", "least")))
-    known = windows.join(small(firsts), "window").groupBy("hash", "string").agg(ids.alias("ids"))
+    known = windows.join(small(firsts), "window").groupBy("hash", "string").agg(ids.alias("ids"), F.max("least").alias("most"))
     known = small(written(known, "hot-ids"))
-    hits = F.filter("ids", lambda one: one["least"] < F.col("doc"))
-    found = runs.join(known, ["hash", "string"]).withColumn("hit", F.explode(hits))
-    begin = F.col("start") + F.col("hit.at") - 1
-    return found.select("doc", "text_hash", begin.alias("start"), (begin + least).alias("end"))
+    hits = F.transform(F.filter("ids", lambda one: one["least"] < F.col("doc")), lambda one: F.struct(one["at"].alias("first"), one["at"].alias("last")))
+    every = F.array(F.struct(F.lit(1).alias("first"), F.size("ids").alias("last")))
+    found = runs.join(known, ["hash", "string"]).withColumn("hit", F.explode(F.when(F.col("most") < F.col("doc"), every).otherwise(hits)))
+    begin, end = (F.col("start") + F.col(name) - 1 for name in ("hit.first", "hit.last"))
+    return whole.unionByName(found.select("doc", "text_hash", begin.alias("start"), (end + least).alias("end")))
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST, limit: int = IN_MEMORY, hot: int = HOT) -> DataFrame:
-    """(doc, text_hash, start, end): byte spans that repeat an earlier document; they may overlap.
+    """(doc, text_hash, spans): of each text the byte spans that repeat an earlier document, as numbers, start and end in turn.
 
     ``docs``: doc, text_hash, data.
     """
@@ -497,11 +642,15 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, limit: int = IN_MEMORY,
     counts = docs.select("data").mapInPandas(_hash_counter(least, bits), COUNTS)
     judged = written(counts.groupBy("bucket").applyInPandas(_judge(hot), KINDS), "repeated-hashes")
     hashes = judged.agg(F.sum(F.octet_length("kinds"))).first()[0] or 0
-    known = spark.sparkContext.broadcast(_bits(judged, bits, hashes))
+    kinds = _bits(judged, bits, hashes)
+    known = spark.sparkContext.broadcast(kinds)
     runs = docs.mapInPandas(_run_maker(known, least, SHARDS * tasks), RUNS)
     shards = runs.repartition(tasks, "shard").sortWithinPartitions("shard")
-    crowded = written(docs.mapInPandas(_crowded_runs(known, least), HOT_RUNS), "crowded-runs")
-    return shards.mapInPandas(_sorter(least, limit), SPANS).unionByName(_hot_spans(crowded, least))
+    spans = shards.mapInPandas(_sorter(least, limit, tasks), PACKED_SPANS)
+    if kinds[-1]:
+        crowded = written(docs.mapInPandas(_crowded_runs(known, least), HOT_RUNS), "crowded-runs")
+        spans = spans.unionByName(_hot_spans(crowded, least).mapInPandas(_span_packer(tasks), PACKED_SPANS))
+    return spans.repartition(tasks, "part").sortWithinPartitions("part").mapInPandas(_span_merger, SPANS)
 
 
 def _text_bits(spans: DataFrame) -> tuple[int, bytes]:
@@ -539,15 +688,10 @@ def _cutter(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         cut, kept = [], []
         for data, spans in zip(batch["data"], batch["spans"], strict=True):
-            merged: list[list[int]] = []
-            for span in [] if spans is None else spans:
-                if merged and span["start"] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], span["end"])
-                else:
-                    merged.append([span["start"], span["end"]])
-            borders = [0, *[at for span in merged for at in span], len(data)]
-            kept.append(b"".join(data[a:b] for a, b in zip(borders[::2], borders[1::2], strict=True)))
-            cut.append([{"start": a, "end": b} for a, b in merged])
+            numbers = [] if spans is None else np.frombuffer(spans, "<i8").tolist()
+            borders = [0, *numbers, len(data)]
+            kept.append(b"".join([data[a:b] for a, b in zip(borders[::2], borders[1::2], strict=True)]))
+            cut.append([{"start": a, "end": b} for a, b in zip(numbers[::2], numbers[1::2], strict=True)])
         yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["data"].map(len), "removed": cut, "kept": kept})
 
 
@@ -566,9 +710,7 @@ def without_repeats(
         F.xxhash64(whole).alias("text_hash"),
         whole.cast("binary").alias("data"),
     )
-    spans = repeated_spans(rows.drop("doc_id"), least, limit, hot)
-    merged = spans.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
-    merged = written(merged, "spans")
+    merged = written(repeated_spans(rows.drop("doc_id"), least, limit, hot), "spans")
     bits = docs.sparkSession.sparkContext.broadcast(_text_bits(merged))
     marked = rows.withColumn("marked", _has_bit(bits)("text_hash"))
     cut = "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"

@@ -146,3 +146,101 @@ def test_query_on_all_documents_equals_brute_force(spark, sf_dir):
     query = queries()["op12_induced_suffixes"](spark, sf_dir)
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sorted(repr(tuple(row[c] for c in columns)) for row in query.collect()) == brute(rows)
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def random_text(draw, n):
+    return bytes(draw.choices(range(97, 123), k=n))
+
+
+def kinds_of(spark, texts, hot=100):
+    counts = pd.concat(suffix_dedup._hash_counter(LEAST, 1)([pd.DataFrame({"data": texts})]))
+    judged = pd.concat([suffix_dedup._judge(hot)(own) for _, own in counts.groupby("bucket")])
+    rows = [tuple(row) for row in judged.astype(object).itertuples(index=False)]
+    return suffix_dedup._Kinds(Sent(suffix_dedup._bits(spark.createDataFrame(rows, suffix_dedup.KINDS), 1, 1000)))
+
+
+def test_what_is_copied_as_a_whole_travels_as_one_run(spark):
+    """A copied text is one run, and so is a copied passage but for the runs that reach over its ends."""
+    draw = random.Random(4)
+    whole, passage = random_text(draw, 3000), random_text(draw, 2000)
+    texts = [whole, random_text(draw, 900), whole, random_text(draw, 300) + passage + random_text(draw, 400), random_text(draw, 80) + passage]
+    kinds = kinds_of(spark, texts)
+    text, first, last, _, mixed = kinds.runs(texts, LEAST, False)
+    starts = np.append(0, np.cumsum([len(own) for own in texts]))
+    sizes = {i: (last - first + 1)[(text == i) & ~mixed].tolist() for i in range(5)}
+    assert sizes[0] == sizes[2] == [3000 - LEAST + 1] and sizes[1] == []
+    assert len(sizes[3]) == len(sizes[4]) == 1 and sizes[3] == sizes[4] and sizes[3][0] > 2000 - 3 * LEAST
+    assert (first[text == 2] - starts[2]).tolist() == [0] and mixed[text >= 3].sum() <= 8
+    assert len(kinds_of(spark, texts, 1).runs(texts, LEAST, True)[0]) == len(text)  # crowded ones, too
+
+
+def shards_of(docs, texts):
+    """All runs as if their hashes were mixed, by shard."""
+    every = b"\xff" * (1 << 17)
+    batch = pd.DataFrame({"doc": docs, "text_hash": np.arange(len(docs)), "data": texts})
+    return pd.concat(suffix_dedup._run_maker(Sent((20, every, every, b"")), LEAST, 4)([batch]))
+
+
+def test_strings_that_share_only_what_is_hashed_are_not_sorted(monkeypatch):
+    draw = random.Random(6)
+    common = [random_text(draw, 20) for _ in range(5)]
+    texts = [b"".join(random_text(draw, 100) + own for own in common) for _ in range(50)]
+
+    def fail(*_):
+        raise AssertionError("sorted")
+
+    monkeypatch.setattr(suffix_dedup, "suffixes", fail)
+    assert list(suffix_dedup._sorter(LEAST, 1 << 20, 4)([shards_of(range(50), texts)])) == []
+    texts[7] = texts[7][:200] + texts[3][100:149] + texts[7][200:]  # a byte less than a window
+    with pytest.raises(AssertionError, match="sorted"):
+        list(suffix_dedup._sorter(LEAST, 1 << 20, 4)([shards_of(range(50), texts)]))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_strings_with_windows_in_common_are_alike(seed):
+    """Of strings with a common k-mer, of a few letters so that it can come twice."""
+    draw = random.Random(seed)
+    letters, own = draw.choice((range(97, 99), range(97, 123))), random_text(draw, 20)
+    text = lambda n: bytes(draw.choices(letters, k=n))
+    beside = [text(40) for _ in range(3)]
+    texts = [text(30) + draw.choice(beside)[draw.randint(0, 40) :] + own + draw.choice(beside)[: draw.randint(0, 40)] + text(30) for _ in range(60)]
+    rows = shards_of(range(60), texts)
+    for _, group in rows.groupby("shard"):
+        shard = suffix_dedup._Shard(LEAST, 1 << 20)
+        for row in group.itertuples(index=False):
+            shard.add(row)
+        shard._take()
+        lengths = np.array(shard.windows) + LEAST - 1
+        alike = shard._alike(lengths, np.array(shard.hashes, np.uint64))
+        strings = [string for _, string in shard.known]
+        holders = {}
+        for i, string in enumerate(strings):
+            for at in range(len(string) - LEAST + 1):
+                holders.setdefault(string[at : at + LEAST], set()).add(i)
+        assert all(alike[i] for own in holders.values() if len(own) > 1 for i in own)
+
+
+def test_spans_are_packed_by_parts_and_joined_by_texts(monkeypatch):
+    """Many spans are few rows, whatever has been packed with them; of each text those that meet are one."""
+    monkeypatch.setattr(suffix_dedup, "PACKED", 500)
+    draw = np.random.default_rng(2)
+    doc, text = draw.integers(-3, 3, 4000), draw.choice(np.array([-(2**63), -5, 0, 7, 2**63 - 1]), 4000)
+    start = draw.integers(0, 3000, 4000)
+    spans = (doc, text, start, start + draw.integers(1, 20, 4000))
+    packed = list(suffix_dedup._pack_spans([tuple(x[i : i + 100] for x in spans) for i in range(0, 4000, 100)], 8))
+    assert all(len(own) <= 5 and own["part"].is_monotonic_increasing for own in packed) and len(packed) > 5
+    rows = pd.concat(packed).sort_values("part", kind="stable")
+    found = {(row.doc, row.text_hash): np.frombuffer(row.spans, "<i8").reshape(-1, 2).tolist() for own in suffix_dedup._span_merger([rows]) for row in own.itertuples()}
+    expected = {}
+    for d, t, a, b in sorted(zip(*[x.tolist() for x in spans], strict=True)):
+        own = expected.setdefault((d, t), [])
+        if own and a <= own[-1][1]:
+            own[-1][1] = max(own[-1][1], b)
+        else:
+            own.append([a, b])
+    assert found == expected
