@@ -46,7 +46,7 @@ TOGETHER = 1 << 24
 HOT = 100_000
 #: Buckets of hashes, and shards of runs, for each partition of a shuffle.
 BUCKETS, SHARDS = 4, 2
-#: Leading bits of a hash that are counted, and how many are looked up: 64 MB of bits for each of three kinds at most.
+#: Leading bits of a hash that are counted, and how many are looked up: 64 MB of bits for each of two kinds at most.
 HASH_BITS = 48
 MOST_BITS, BITS_A_HASH, FEWEST_BITS = 29, 32, 20
 #: Tuples that a queue of the sorter, and elements that an array, may hold in memory.
@@ -235,6 +235,7 @@ def _hash_counter(least: int, bits: int) -> Callable:
                 held.append((hashes, own, text))
             if sum(len(own[0]) for own in held):
                 hashes, own, text = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
                 yield counted(hashes >> np.uint64(64 - HASH_BITS), _with_neighbours(own, hashes, text), text)
 
     return run
@@ -320,6 +321,7 @@ class _Kinds:
             chosen = chosen[self.is_crowded(hashes[chosen]) == crowded]
             held.append([x[chosen] for x in (*own, hashes)])
         text, first, last, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+        del held  # some 30 MB, as much as what has been put together
         mixed = self.is_set(self.mixed, hashes)
         follows = ~mixed[1:] & ~mixed[:-1] & (text[1:] == text[:-1]) & (first[1:] == last[:-1] + 1)
         begins, ends = (np.append(True, ~follows), np.append(~follows, True)) if len(text) else (mixed, mixed)
